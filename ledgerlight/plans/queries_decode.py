@@ -1 +1,112 @@
-"""Queries (filled in below)."""
+"""Decoding queries: JSON, decimals, months, ULIDs, nested documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import decode as D
+from ..functions.timefn import epoch_millis, from_epoch_micros
+from ..operators import documents
+from ..schemas import CORRUPT, PROPS_DDL
+from . import standins
+from .catalog import register, table
+
+
+@register("parse_json", "S3 X1", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, NOT json_valid(props) AS bad
+FROM events""")
+def q_parse_json(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    p = ev.select("event_id", D.parse_json("props", PROPS_DDL).alias("p"))
+    return p.select("event_id", F.col("p.k").alias("k"), F.col("p")[CORRUPT].isNotNull().alias("bad"))
+
+
+@register("ulid_time", "X7", f"""
+SELECT event_id, ulid, make_timestamp({standins.sql_ulid_decode('ulid')} * 1000) AS decoded,
+       make_timestamp({standins.sql_ulid_decode('ulid')} * 1000) = date_trunc('millisecond', ts) AS ok
+FROM (SELECT event_id, ts, {standins.sql_ulid('(epoch_us(ts) // 1000)', 'event_id')} AS ulid FROM events)""")
+def q_ulid_time(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    u = ev.select("event_id", "ts", D.ulid_of_time("ts", F.col("event_id")).alias("ulid"))
+    u = u.withColumn("decoded", D.ulid_time("ulid"))
+    return u.select("event_id", "ulid", "decoded",
+                    (F.col("decoded") == from_epoch_micros(epoch_millis("ts") * F.lit(1000))).alias("ok"))
+
+
+@register("year_month", "X4 X5", """
+SELECT o_orderkey,
+       strftime(o_orderdate - INTERVAL 11 MONTH, '%Y-%m') AS ym_first,
+       strftime(o_orderdate, '%Y-%m') AS ym_last,
+       CAST(date_trunc('month', o_orderdate - INTERVAL 11 MONTH) AS DATE) AS fra,
+       last_day(o_orderdate) AS til,
+       CAST(12 AS INTEGER) AS n_maaneder
+FROM orders""")
+def q_year_month(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    ym = o.select("o_orderkey",
+                  D.year_month(F.add_months(F.to_date("o_orderdate"), -11)).alias("ym_first"),
+                  D.year_month("o_orderdate").alias("ym_last"))
+    return ym.select("*", D.month_start("ym_first").alias("fra"), D.month_end("ym_last").alias("til"),
+                     D.months_inclusive("ym_first", "ym_last").alias("n_maaneder"))
+
+
+def _docs(spark, sf_dir):
+    d = standins.rule_documents(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    return documents.decode_documents(d)
+
+
+SQL_DOC_BASE = """
+WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
+           FROM lineitem GROUP BY l_orderkey),
+d AS (SELECT o.*, l.s, l.n FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
+
+_DAGSATS = f"CAST(floor(o_totalprice / {float(standins.WORKDAYS)}) AS INTEGER)"
+
+
+@register("flatten_doc", "F6 X6 X7 X9 X3 S3", SQL_DOC_BASE + f"""
+SELECT {standins.sql_ulid('(epoch_us(o_orderdate) // 1000)', 'o_orderkey * 10')} AS id,
+       {standins.sql_ulid('(epoch_us(o_orderdate) // 1000)', 'o_custkey')} AS behov_id,
+       make_timestamp((epoch_us(o_orderdate) // 1000) * 1000) AS created_at,
+       lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS aktor_id,
+       o_orderkey AS vedtak_id,
+       CAST(o_orderdate AS DATE) AS beregningsdato,
+       CAST(o_custkey % 4 AS INTEGER) AS antall_barn,
+       COALESCE(CAST(CAST(s AS DECIMAL(20,2)) AS VARCHAR), '{standins.UNKNOWN_INCOME}') AS avkortet_raw,
+       CAST(s AS DECIMAL(20,2)) AS avkortet,
+       s >= {standins.MIN_INCOME} AS oppfyller_minsteinntekt,
+       CASE WHEN s >= {standins.MIN_INCOME} THEN 52 ELSE 26 END AS periode_antall_uker,
+       {_DAGSATS} AS dagsats,
+       5 * {_DAGSATS} AS ukesats,
+       'Grunnlag' AS grunnlag_regel, 'v1' AS grunnlag_versjon,
+       'Sats' AS sats_regel, 'v1' AS sats_versjon,
+       CAST(COALESCE(n, 0) AS INTEGER) AS n_perioder,
+       false AS corrupt
+FROM d""")
+def q_flatten_doc(spark, sf_dir):
+    return documents.flatten_document(_docs(spark, sf_dir))
+
+
+@register("decimal_parse", "X3", SQL_DOC_BASE + f"""
+SELECT o_orderkey AS vedtak_id,
+       COALESCE(CAST(CAST(s AS DECIMAL(20,2)) AS VARCHAR), '{standins.UNKNOWN_INCOME}') AS avkortet_raw,
+       CAST(s AS DECIMAL(20,2)) AS avkortet,
+       s IS NULL AS avkortet_bad
+FROM d""")
+def q_decimal_parse(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    raw = F.col("doc.grunnlagResultat.avkortet")
+    return d.select(F.col("doc.faktum.vedtakId").alias("vedtak_id"), raw.alias("avkortet_raw"),
+                    D.decimal_or_null(raw).alias("avkortet"), D.decimal_is_bad(raw).alias("avkortet_bad"))
+
+
+@register("explode_periods", "X8 X4 X5 X3", """
+SELECT o.o_orderkey AS vedtak_id, l.l_linenumber AS periode,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(20,2)) AS VARCHAR) AS inntekt_raw,
+       CAST(l.l_extendedprice AS DECIMAL(20,2)) AS inntekt,
+       CAST(date_trunc('month', l.l_shipdate - INTERVAL 11 MONTH) AS DATE) AS fra,
+       last_day(l.l_shipdate) AS til,
+       CASE WHEN l.l_orderkey IS NOT NULL THEN CAST(12 AS INTEGER) END AS n_maaneder,
+       l.l_returnflag = 'R' AS fangst_og_fisk
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+def q_explode_periods(spark, sf_dir):
+    return documents.explode_periods(_docs(spark, sf_dir))

@@ -155,3 +155,109 @@ def sql_selftest_gauge() -> str:
              date_trunc('hour', ts) + INTERVAL 1 HOUR AS ts,
              CAST(count(*) FILTER (WHERE level = 'WARN') AS DOUBLE) AS value
       FROM msgs GROUP BY log_app, log_namespace, date_trunc('hour', ts)"""
+
+
+# ---------------------------------------------------------------- rule-evaluation documents
+
+# Rule identifiers and the rule name of the sample document.
+RULE_IDS = {"grunnlag": "Grunnlag.v1", "minsteinntekt": "Minsteinntekt.v1",
+            "periode": "Periode.v1", "sats": "Sats.v1"}
+BEREGNINGSREGEL = "ArbeidsinntektSiste12"
+#: stand-in values of our own: income limit for the minimum-income result,
+#: the text of an unknown income, working days per year for the daily rate
+MIN_INCOME = 150000
+UNKNOWN_INCOME = "n/a"
+WORKDAYS = 260
+
+
+def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One JSON document per order, shaped like the sample rule-evaluation document.
+
+    Income periods are the order's line items (price as a decimal string,
+    ship month as the last month of a 12-month span). Orders without line
+    items get an empty period list and the income text ``n/a`` -- the input
+    that the decoders must flag. Line items are aggregated per order before
+    the join (partial aggregation; a document's list is bounded by its lines).
+
+    Output: (o_orderkey, o_orderstatus, o_orderdate, payload).
+    """
+    from ..functions.decode import ulid_of_time
+
+    price = F.col("l_extendedprice").cast("decimal(20,2)")
+    period = F.struct(
+        price.cast("string").alias("inntekt"),
+        F.col("l_linenumber").alias("periode"),
+        F.struct(F.date_format("l_shipdate", "yyyy-MM").alias("sisteMåned"),
+                 F.date_format(F.add_months(F.to_date("l_shipdate"), -11), "yyyy-MM").alias("førsteMåned")
+                 ).alias("inntektsPeriode"),
+        (F.col("l_returnflag") == "R").alias("inneholderFangstOgFisk"),
+    )
+    lines = (lineitem.groupBy("l_orderkey")
+                     .agg(F.collect_list(period).alias("perioder"), F.sum(price).alias("sum_inntekt")))
+    lines = lines.withColumn("perioder", F.array_sort(
+        "perioder", lambda a, b: (a["periode"] - b["periode"]).cast("int")))
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    key, ts = F.col("o_orderkey"), F.col("o_orderdate")
+    income = F.col("sum_inntekt").cast("decimal(20,2)").cast("string")
+    income_txt = F.coalesce(income, F.lit(UNKNOWN_INCOME))
+    periods = F.coalesce(F.col("perioder"), F.array().cast(f"array<{_period_ddl()}>"))
+    meets = F.col("sum_inntekt") >= F.lit(MIN_INCOME)
+    dagsats = F.floor(F.col("o_totalprice") / F.lit(float(WORKDAYS))).cast("int")
+
+    def uid(k: int):
+        return ulid_of_time(ts, key * F.lit(10) + F.lit(k))
+
+    doc = F.struct(
+        uid(0).alias("id"),
+        ulid_of_time(ts, F.col("o_custkey")).alias("behovId"),
+        F.struct(F.lpad(F.col("o_custkey").cast("string"), 13, "0").alias("aktorId"),
+                 key.alias("vedtakId"),
+                 F.to_date(ts).alias("beregningsdato"),
+                 uid(1).alias("inntektsId"),
+                 (F.col("o_orderpriority") == "1-URGENT").alias("inntektAvvik"),
+                 (F.col("o_orderstatus") == "F").alias("inntektManueltRedigert"),
+                 (F.col("o_custkey") % 4).cast("int").alias("antallBarn")).alias("faktum"),
+        F.struct(income_txt.alias("avkortet"), income_txt.alias("uavkortet"),
+                 uid(2).alias("sporingsId"), F.lit(False).alias("harAvkortet"),
+                 uid(3).alias("subsumsjonsId"), F.lit(BEREGNINGSREGEL).alias("beregningsregel"),
+                 F.lit(RULE_IDS["grunnlag"]).alias("regelIdentifikator"),
+                 periods.alias("grunnlagInntektsPerioder")).alias("grunnlagResultat"),
+        F.struct(uid(4).alias("sporingsId"), uid(5).alias("subsumsjonsId"),
+                 F.lit(RULE_IDS["minsteinntekt"]).alias("regelIdentifikator"),
+                 meets.alias("oppfyllerMinsteinntekt"),
+                 F.transform(periods, lambda x: F.struct(x["inntekt"].alias("andel"), x["inntekt"].alias("inntekt"),
+                                                         x["periode"].alias("periode"),
+                                                         x["inntektsPeriode"].alias("inntektsPeriode"),
+                                                         x["inneholderFangstOgFisk"].alias("inneholderFangstOgFisk"))
+                             ).alias("minsteinntektInntektsPerioder")).alias("minsteinntektResultat"),
+        F.struct(uid(6).alias("sporingsId"), uid(7).alias("subsumsjonsId"),
+                 F.when(meets, F.lit(52)).otherwise(F.lit(26)).alias("periodeAntallUker"),
+                 F.lit(RULE_IDS["periode"]).alias("regelIdentifikator")).alias("periodeResultat"),
+        F.struct(dagsats.alias("dagsats"), (dagsats * 5).alias("ukesats"),
+                 uid(8).alias("sporingsId"), uid(9).alias("subsumsjonsId"),
+                 F.lit(RULE_IDS["sats"]).alias("regelIdentifikator"),
+                 F.lit(False).alias("benyttet90ProsentRegel")).alias("satsResultat"),
+    )
+    return o.select("o_orderkey", "o_orderstatus", "o_orderdate", F.to_json(doc).alias("payload"))
+
+
+def _period_ddl() -> str:
+    from ..schemas import PERIOD_DDL
+    return PERIOD_DDL
+
+
+def sql_ulid(ms_sql: str, seed_sql: str) -> str:
+    """DuckDB text of a ULID: 10 base-32 digits of the ms time, 16 of the seed."""
+    alpha = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
+    head = (f"array_to_string(list_transform(range(9, -1, -1), "
+            f"lambda i: substr('{alpha}', CAST((({ms_sql}) >> (5 * i)) & 31 AS INTEGER) + 1, 1)), '')")
+    tail = (f"array_to_string(list_transform(range(12, -1, -1), "
+            f"lambda i: substr('{alpha}', CAST((({seed_sql}) >> (5 * i)) & 31 AS INTEGER) + 1, 1)), '')")
+    return f"({head} || '000' || {tail})"
+
+
+def sql_ulid_decode(u_sql: str) -> str:
+    """DuckDB: ms time of a ULID (first 10 characters)."""
+    alpha = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
+    return (f"CAST(list_sum(list_transform(range(10), lambda i: CAST(strpos('{alpha}', "
+            f"substr(translate(upper({u_sql}), 'ILO', '110'), i + 1, 1)) - 1 AS BIGINT) << (5 * (9 - i)))) AS BIGINT)")
