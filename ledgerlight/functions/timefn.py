@@ -64,3 +64,8 @@ def instant_to_ntz(ts: Column | str) -> Column:
     """``TIMESTAMP`` -> NTZ wall clock in UTC, zone free (inverse of :func:`as_instant`)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return from_epoch_micros(F.unix_micros(c))
+
+
+def ntz_literal(text: str) -> Column:
+    """A wall-clock timestamp literal, independent of the session zone."""
+    return F.to_timestamp_ntz(F.lit(text))

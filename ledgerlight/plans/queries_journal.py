@@ -1 +1,117 @@
-"""Queries (filled in below)."""
+"""Journal queries: latest version, lookup, finalise, outbox, dead letters, retries,
+run counters (W4 J3 T3 T4 T5 T6 S8).
+
+Stand-in journal: one ``orders`` row per entry, ``'P'`` = provisional; an
+entry's decision is ready when its last line item has shipped by the cutoff.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.timefn import ntz_literal
+from ..operators import documents, journal
+from ..schemas import CORRUPT
+from ..functions import decode as D
+from . import standins
+from .catalog import register, table
+
+CUTOFF = "1998-01-01 00:00:00"
+TASK_KIND = "journal-finalised"
+MAX_ATTEMPTS, BACKOFF = 3, "30d"
+
+
+@register("latest_per_key", "W4", """
+SELECT user_id, event_id, ts, event_type, value
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_latest_per_key(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return journal.latest_per_key(ev, "user_id", ["ts", "event_id"])
+
+
+@register("enrich_left", "J3", """
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, c.c_name, c.c_nationkey, c.c_mktsegment
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_enrich_left(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return journal.enrich_left(o, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey",
+                               ["c_name", "c_nationkey", "c_mktsegment"])
+
+
+SQL_FINALISE = f"""
+WITH latest AS (SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders
+                QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1),
+l AS (SELECT l_orderkey, max(l_shipdate) AS d, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+fin AS (
+  SELECT p.o_orderkey, p.o_orderdate,
+         CASE WHEN l.d <= TIMESTAMP '{CUTOFF}' THEN l.d END AS decided_at,
+         COALESCE(l.n, 0) AS n_parts,
+         CASE WHEN l.d <= TIMESTAMP '{CUTOFF}' THEN 'final' ELSE 'waiting' END AS outcome,
+         CASE WHEN l.d <= TIMESTAMP '{CUTOFF}' THEN 'F' ELSE 'P' END AS new_status
+  FROM latest p LEFT JOIN l ON p.o_orderkey = l.l_orderkey
+  WHERE p.o_orderstatus = 'P')"""
+
+
+def _finalised(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    dec = journal.decisions_from_lines(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_shipdate")
+    return journal.finalise(o, dec, ntz_literal(CUTOFF), key="o_orderkey", status="o_orderstatus",
+                            version="o_orderdate")
+
+
+@register("finalise", "T3 W4", SQL_FINALISE + " SELECT * FROM fin")
+def q_finalise(spark, sf_dir):
+    return _finalised(spark, sf_dir)
+
+
+@register("task_outbox", "T4", SQL_FINALISE + f"""
+SELECT sha256(CAST(o_orderkey AS VARCHAR) || '|' || '{TASK_KIND}') AS task_id, o_orderkey,
+       '{TASK_KIND}' AS kind, decided_at AS created_at
+FROM fin WHERE outcome = 'final'""")
+def q_task_outbox(spark, sf_dir):
+    return journal.task_outbox(_finalised(spark, sf_dir), "o_orderkey", TASK_KIND, "decided_at")
+
+
+SQL_DEAD = f"""
+WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
+           FROM lineitem GROUP BY l_orderkey),
+dl AS (
+  SELECT o.o_orderkey,
+         NULLIF(concat_ws(',', CASE WHEN l.s IS NULL THEN 'bad_amount' END,
+                               CASE WHEN COALESCE(l.n, 0) = 0 THEN 'no_periods' END), '') AS error,
+         1 AS attempt, o.o_orderdate AS failed_at
+  FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
+  WHERE o.o_orderstatus = 'P')"""
+
+
+def _dead_letters(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == journal.PROVISIONAL)
+    docs = documents.decode_documents(standins.rule_documents(o, table(spark, sf_dir, "lineitem")))
+    checks = [("corrupt", F.col("doc")[CORRUPT].isNotNull()),
+              ("bad_amount", D.decimal_is_bad(F.col("doc.grunnlagResultat.avkortet"))),
+              ("no_periods", F.coalesce(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"), F.lit(0)) == 0)]
+    _, bad = journal.split_outcome(docs, checks)
+    return bad.select("o_orderkey", "error", F.lit(1).alias("attempt"), F.col("o_orderdate").alias("failed_at"))
+
+
+@register("dead_letter", "T5 X3", SQL_DEAD + " SELECT * FROM dl WHERE error IS NOT NULL")
+def q_dead_letter(spark, sf_dir):
+    return _dead_letters(spark, sf_dir)
+
+
+@register("retry_due", "T6", SQL_DEAD + f"""
+SELECT *, failed_at + INTERVAL (30 * 86400 * pow(2, attempt - 1)) SECOND AS due_at, attempt + 1 AS next_attempt
+FROM dl
+WHERE error IS NOT NULL AND attempt < {MAX_ATTEMPTS}
+  AND failed_at + INTERVAL (30 * 86400 * pow(2, attempt - 1)) SECOND <= TIMESTAMP '{CUTOFF}'""")
+def q_retry_due(spark, sf_dir):
+    return journal.retry_due(_dead_letters(spark, sf_dir), ntz_literal(CUTOFF), MAX_ATTEMPTS, BACKOFF)
+
+
+@register("observe_counts", "S8", SQL_FINALISE + " SELECT * FROM fin")
+def q_observe_counts(spark, sf_dir):
+    from ..sources.sinks import observe_run
+    df, _ = observe_run(_finalised(spark, sf_dir), "finalise",
+                        final=F.col("outcome") == "final", waiting=F.col("outcome") == "waiting")
+    return df

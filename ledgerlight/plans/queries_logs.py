@@ -1 +1,64 @@
-"""Queries (filled in below)."""
+"""Log routing queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.levels import LEVEL_ORDINAL
+from ..operators import routing
+from . import standins
+from .catalog import register, table
+
+
+def _routed(spark, sf_dir):
+    msgs = standins.log_messages(table(spark, sf_dir, "events"))
+    return routing.route_logs(msgs.select("event_id", "ts", "logger", "level", "message"))
+
+
+def _sql_config() -> str:
+    rows = []
+    for r in routing.DEFAULT_ROUTES:
+        lvl = LEVEL_ORDINAL[r.level] if r.level else "NULL"
+        sinks = r.sinks or (None,)
+        for s in sinks:
+            rows.append(f"('{r.logger}', {lvl}, {str(r.additive).upper()}, {repr(s) if s else 'NULL'})")
+    return ", ".join(rows)
+
+
+_LEVEL_CASE = "CASE level " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in LEVEL_ORDINAL.items()) + " END"
+
+# Oracle: the theta join of every event with all configured ancestors, the
+# nearest level by arg_max over name length, the additive cut by the longest
+# non-additive ancestor.
+SQL_ROUTE = f"WITH msgs AS ({standins.sql_log_messages()})" + f""",
+cfg(name, lvl, additive, sink) AS (VALUES {_sql_config()}),
+anc AS (SELECT m.event_id, m.ts, m.logger, m.level, m.message, c.name, c.lvl, c.additive, c.sink
+        FROM msgs m JOIN cfg c
+          ON c.name = '' OR m.logger = c.name OR starts_with(m.logger, c.name || '.')),
+eff AS (SELECT event_id, arg_max(lvl, length(name)) FILTER (WHERE lvl IS NOT NULL) AS eff_lvl,
+               max(length(name)) FILTER (WHERE NOT additive) AS cut
+        FROM anc GROUP BY event_id),
+routed AS (
+  SELECT DISTINCT a.event_id, a.ts, a.logger, a.level, a.message, a.sink
+  FROM anc a JOIN eff e USING (event_id)
+  WHERE a.sink IS NOT NULL AND length(a.name) >= COALESCE(e.cut, -1)
+    AND {_LEVEL_CASE.replace('level', 'a.level', 1)} >= e.eff_lvl)"""
+
+
+@register("log_route", "J2 F5 X11 S6", SQL_ROUTE + " SELECT event_id, logger, level, sink FROM routed")
+def q_log_route(spark, sf_dir):
+    return _routed(spark, sf_dir).select("event_id", "logger", "level", "sink")
+
+
+@register("log_to_json", "X2 S5", SQL_ROUTE + """
+SELECT event_id, sink,
+       CAST(json_object('@timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'level', level,
+                        'logger_name', logger, 'message', message) AS VARCHAR) AS value
+FROM routed""")
+def q_log_to_json(spark, sf_dir):
+    r = _routed(spark, sf_dir)
+    r = r.select("event_id", "sink",
+                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("@timestamp"),
+                 "level", F.col("logger").alias("logger_name"), "message")
+    return r.select("event_id", "sink",
+                    F.to_json(F.struct("@timestamp", "level", "logger_name", "message")).alias("value"))
