@@ -1 +1,58 @@
-"""Queries (filled in below)."""
+"""Streaming queries (T1 T2 S1 + T3): the stream forms must equal their batch forms,
+so they share the batch oracles.
+
+Each query runs its stream to the end of the (bounded) input with an
+``availableNow`` trigger, under a fresh folder below the session's
+``spark.checkpoint.dir``, then returns the stream's result table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.timefn import ntz_literal
+from ..operators import journal, metrics
+from ..schemas import EVENTS_SCHEMA, ORDERS_SCHEMA
+from ..session import scratch_path
+from ..sources.streams import file_stream
+from ..streaming import alerts as salerts
+from ..streaming import journal as sjournal
+from . import queries_alerts as qa
+from . import queries_journal as qj
+from . import standins
+from .catalog import register, table
+
+#: watermark delay: the bounded test stream arrives in order
+DELAY = "1h"
+
+
+def _stream_ticks(spark, sf_dir):
+    events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
+    msgs = metrics.match_labels(standins.log_messages(events), log_app=qa.APP)
+    agg = salerts.error_counts(msgs, qa.KEYS, qa.WINDOW, qa.STEP, DELAY, F.col("log_level") == "Error")
+    root = scratch_path(spark, "streams", "error_ratio")
+    salerts.run_update_stream(agg, root + "/ticks", root + "/checkpoint")
+    return salerts.current_ticks(spark, root + "/ticks", qa.KEYS)
+
+
+@register("stream_error_ratio", "T1 A3 F4 F3", qa.SQL_ERROR_COUNTS + " SELECT * FROM ratio")
+def q_stream_error_ratio(spark, sf_dir):
+    return salerts.error_ratio_from_ticks(_stream_ticks(spark, sf_dir), qa.THRESHOLD)
+
+
+@register("stream_sustained_for", "T2 W3", qa.SQL_SUSTAINED)
+def q_stream_sustained_for(spark, sf_dir):
+    ratio = salerts.error_ratio_from_ticks(_stream_ticks(spark, sf_dir), qa.THRESHOLD)
+    return salerts.held_from_ticks(ratio, qa.KEYS, qa.HOLD, qa.STEP) \
+        .select(*qa.KEYS, "start", "fires_at", "error_pct")
+
+
+@register("stream_finalise", "S1 T3 T4", qj.SQL_FINALISE + " SELECT * FROM fin")
+def q_stream_finalise(spark, sf_dir):
+    entries = file_stream(spark, sf_dir, ORDERS_SCHEMA, glob="orders.parquet", max_files_per_trigger=1)
+    dec = journal.decisions_from_lines(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_shipdate")
+    root = scratch_path(spark, "streams", "finalise")
+    sjournal.run_finalise_stream(spark, entries, dec, ntz_literal(qj.CUTOFF), root, root + "/checkpoint",
+                                 key="o_orderkey", status="o_orderstatus", version="o_orderdate",
+                                 task_kind=qj.TASK_KIND)
+    return sjournal.finalised_state(spark, root, "o_orderkey")
