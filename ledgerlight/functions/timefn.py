@@ -38,9 +38,17 @@ def interval_text(duration: str | int) -> str:
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of a wall-clock NTZ timestamp."""
+    """Microseconds since 1970-01-01 of a wall-clock NTZ timestamp.
+
+    Built from the calendar date and the time of day, which are read from an
+    NTZ value without any zone (``timestampdiff`` would cast through the
+    session zone and be off by DST shifts outside UTC).
+    """
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.expr(_NTZ_EPOCH), c)
+    days = F.unix_date(c.cast("date")).cast("bigint")
+    secs = F.hour(c).cast("bigint") * 3600 + F.minute(c).cast("bigint") * 60
+    micros = (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint")
+    return days * F.lit(86_400_000_000) + secs * F.lit(1_000_000) + micros
 
 
 def from_epoch_micros(us: Column | str) -> Column:
@@ -50,9 +58,10 @@ def from_epoch_micros(us: Column | str) -> Column:
 
 
 def epoch_millis(ts: Column | str) -> Column:
-    """Whole milliseconds since the epoch (truncated, integer arithmetic)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MILLISECOND", F.expr(_NTZ_EPOCH), c)
+    """Whole milliseconds since the epoch (floor, integer arithmetic)."""
+    us = epoch_micros(ts)
+    # the quotient is an exact integer below 2^53, so the double division is exact
+    return ((us - F.pmod(us, F.lit(1000))) / F.lit(1000)).cast("bigint")
 
 
 def as_instant(ts: Column | str) -> Column:
