@@ -28,11 +28,12 @@ from . import slicing
 
 
 def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
-              ts: str = "tick", slice_factor: int = 16) -> DataFrame:
+              ts: str = "tick", slice_seconds: int | None = None) -> DataFrame:
     """Rows of ``ticks`` at which a held condition fires, with ``start`` and ``fires_at``.
 
     Output: the input columns of the firing tick plus ``start`` (first tick of
     the episode) and ``fires_at`` (= the tick). Requires one row per series and tick.
+    ``slice_seconds`` overrides the slice length (default: 16 look-backs, at least a day).
     """
     hold_us = seconds(hold) * 1_000_000
     step_us = seconds(step) * 1_000_000
@@ -40,7 +41,8 @@ def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
         raise ValueError("step must be > 0 and hold >= 0")
     lookback = hold_us + 2 * step_us
     df = ticks.withColumn("__t", epoch_micros(ts))
-    df = slicing.add_time_slices(df, "__t", lookback, slicing.slice_length_us(lookback, slice_factor))
+    slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(lookback)
+    df = slicing.add_time_slices(df, "__t", lookback, slice_us)
     by_time = Window.partitionBy(*slicing.sliced_partition(*series)).orderBy("__t")
 
     df = df.withColumn("__brk", (F.count(F.lit(1)).over(by_time.rangeBetween(-step_us, -1)) == 0)

@@ -110,7 +110,7 @@ def error_ratio_join(msgs: DataFrame, keys: Sequence[str], window: str, step: st
 
 def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
                      ts: str = "ts", value: str = "value", out: str = "increase",
-                     slice_factor: int = 16) -> DataFrame:
+                     slice_seconds: int | None = None) -> DataFrame:
     """Reset-corrected increase of a counter over ``(t - window, t]`` at every sample.
 
     ``d_i = v_i - v_{i-1}`` when non-negative, else ``v_i`` (a reset restarts at
@@ -119,11 +119,12 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
 
     The frame is bounded, so the series is split into time slices (see
     :mod:`slicing`) and a hot series is processed by many tasks.
+    ``slice_seconds`` overrides the slice length (default: 16 frames, at least a day).
     """
     w_us = seconds(window) * 1_000_000
     if w_us <= 0:
         raise ValueError("window must be positive")
-    slice_us = slicing.slice_length_us(w_us, slice_factor)
+    slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(w_us)
     df = samples.withColumn("__t", epoch_micros(ts))
     df = slicing.add_time_slices(df, "__t", w_us, slice_us)
     part = slicing.sliced_partition(*series)

@@ -24,7 +24,8 @@ def _app_msgs(spark, sf_dir):
     return metrics.match_labels(_msgs(spark, sf_dir), log_app=APP)
 
 
-_IS_ERROR = F.col("log_level") == "Error"
+def _is_error():
+    return F.col("log_level") == "Error"
 
 SQL_MSGS = f"WITH msgs AS ({standins.sql_log_messages()})"
 
@@ -47,13 +48,13 @@ ratio AS (
 
 @register("error_ratio", "A3 F1 F3 F4 J1'", SQL_ERROR_COUNTS + " SELECT * FROM ratio")
 def q_error_ratio(spark, sf_dir):
-    return metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _IS_ERROR, THRESHOLD)
+    return metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
 
 
 # The oracle of the join form is the one-pass form: J1 must equal J1'.
 @register("error_ratio_join", "J1 A1", SQL_ERROR_COUNTS + " SELECT * FROM ratio")
 def q_error_ratio_join(spark, sf_dir):
-    return metrics.error_ratio_join(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _IS_ERROR, THRESHOLD)
+    return metrics.error_ratio_join(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
 
 
 SQL_SUSTAINED = SQL_ERROR_COUNTS + """,
@@ -70,7 +71,7 @@ GROUP BY log_app, log_namespace, island, start"""
 
 @register("sustained_for", "W3 F3", SQL_SUSTAINED)
 def q_sustained_for(spark, sf_dir):
-    ratio = metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _IS_ERROR, THRESHOLD)
+    ratio = metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
     return holds.sustained(ratio, KEYS, HOLD, STEP, ts="tick") \
         .select(*KEYS, "start", "fires_at", "error_pct")
 
