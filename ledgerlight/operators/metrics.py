@@ -58,14 +58,50 @@ def percent_share(num: Column | str, den: Column | str) -> Column:
 
 # --------------------------------------------------------------------------- A3 / J1' / J1
 
+def pane_counts(msgs: DataFrame, keys: Sequence[str], step: str, aggs: Mapping[str, Column],
+                ts: str = "ts") -> DataFrame:
+    """Tumbling panes of ``step``: (keys, ``pane_end``, aggs...).
+
+    The one pass over raw rows; a hash aggregate with a map-side partial
+    step, so only (keys x panes) rows per map task reach the shuffle.
+    """
+    p = F.window(ts, interval_text(step))
+    return (msgs.groupBy(p.alias("__p"), *keys)
+                .agg(*[c.alias(name) for name, c in aggs.items()])
+                .select(*keys, F.col("__p.end").alias("pane_end"), *aggs))
+
+
+def slide_panes(panes: DataFrame, keys: Sequence[str], window: str, step: str,
+                sums: Sequence[str]) -> DataFrame:
+    """Sliding windows from step panes: (keys, ``tick``, summed columns).
+
+    The window ending at ``tick`` is the union of the ``window / step`` panes
+    ending at ``tick - i * step``; each pane is sent to those ticks and summed.
+    Only the (small) pane table is expanded, never the raw rows.
+    """
+    w_s, s_s = seconds(window), seconds(step)
+    if s_s <= 0 or w_s % s_s:
+        raise ValueError("window must be a positive multiple of step")
+    k = w_s // s_s
+    ticks = F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    out = panes.select(*keys, *sums, ticks.alias("__i"), "pane_end")
+    out = out.withColumn("tick", F.timestamp_add("SECOND", F.col("__i") * F.lit(s_s), F.col("pane_end")))
+    return out.groupBy(*keys, "tick").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def windowed_counts(msgs: DataFrame, keys: Sequence[str], window: str, step: str,
                     error_cond: Column, ts: str = "ts") -> DataFrame:
     """Per (keys, tick): ``total`` messages and ``errors`` in ``[tick - window, tick)``.
 
-    One sliding ``window()`` aggregation: each event expands into
-    ``window / step`` panes, the partial aggregate collapses them per map task,
-    and only (keys x ticks) rows cross the shuffle.
+    When ``window`` is a multiple of ``step`` (the usual case) the raw rows are
+    aggregated once into step panes and the windows are summed from panes;
+    otherwise one sliding ``window()`` aggregation expands every row into
+    its ``ceil(window / step)`` windows before the partial aggregate.
     """
+    w_s, s_s = seconds(window), seconds(step)
+    if s_s > 0 and w_s % s_s == 0:
+        panes = pane_counts(msgs, keys, step, {"total": F.count(F.lit(1)), "errors": F.count_if(error_cond)}, ts)
+        return slide_panes(panes, keys, window, step, ["errors", "total"]).select(*keys, "tick", "errors", "total")
     w = F.window(ts, interval_text(window), interval_text(step))
     return (msgs.groupBy(w.alias("__w"), *keys)
                 .agg(F.count(F.lit(1)).alias("total"),

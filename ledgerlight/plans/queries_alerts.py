@@ -80,7 +80,7 @@ SQL_REPLICAS = SQL_MSGS + f", g AS ({standins.sql_replica_gauge()})"
 
 
 def _replicas(spark, sf_dir):
-    return standins.replica_gauge(_msgs(spark, sf_dir))
+    return standins.replica_gauge(standins.app_panes(standins.message_panes(_msgs(spark, sf_dir))))
 
 
 @register("label_match", "F1 F2 S4", SQL_REPLICAS + f"""
@@ -118,7 +118,7 @@ inc AS (
 
 
 def _counter(spark, sf_dir):
-    return standins.message_counter(_msgs(spark, sf_dir))
+    return standins.message_counter(standins.message_panes(_msgs(spark, sf_dir)))
 
 
 @register("counter_increase", "W1 W2", SQL_INCREASE + " SELECT * FROM inc")

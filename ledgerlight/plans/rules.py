@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.templates import labels_text, render
+from ..functions.timefn import seconds
 from ..operators import holds, metrics
 from . import standins
 
@@ -41,15 +42,27 @@ DEFAULTS = {"down": {"threshold": 0.0, "hold": "2m"},
 
 @dataclass(frozen=True)
 class MetricInputs:
-    """The frames the rules read, derived once and shared by all rules."""
+    """The frames the rules read, all derived from one pane aggregate of the
+    messages, so the whole rule set scans the events once."""
     messages: DataFrame
+    apps: DataFrame          # hourly (log_app, log_namespace, pane_end, total, errors, warns)
     replicas: DataFrame
     selftests: DataFrame
 
     @staticmethod
-    def from_events(events: DataFrame) -> "MetricInputs":
+    def from_events(events: DataFrame, materialize: bool = True) -> "MetricInputs":
+        """``materialize``: write the pane table once to the session's checkpoint
+        folder (reliable ``checkpoint``, not a local one). Every rule then reads
+        that small table, so the events are scanned once however many rules
+        run -- Spark does not reuse the pane exchange across the union branches
+        under AQE, and a lost executor no longer forces a rescan."""
         msgs = standins.log_messages(events)
-        return MetricInputs(msgs, standins.replica_gauge(msgs), standins.selftest_gauge(msgs))
+        apps = standins.app_panes(standins.message_panes(msgs))
+        if materialize:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(apps.sparkSession)
+            apps = apps.checkpoint(eager=True)
+        return MetricInputs(msgs, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps))
 
 
 @dataclass(frozen=True)
@@ -78,11 +91,21 @@ def replicas_down(inp: MetricInputs, p: RuleParams) -> DataFrame:
 
 
 def high_error_share(inp: MetricInputs, p: RuleParams) -> DataFrame:
-    """``100 * sum by(app, ns)(rate(errors[w])) / sum by(app, ns)(rate(all[w])) > threshold``."""
-    msgs = metrics.match_labels(inp.messages, log_app=p.app)
-    r = metrics.error_ratio(msgs, ["log_app", "log_namespace"], p.window, p.step,
-                            F.col("log_level") == "Error", p.threshold)
-    return r.withColumnRenamed("error_pct", "value").drop("errors", "total")
+    """``100 * sum by(app, ns)(rate(errors[w])) / sum by(app, ns)(rate(all[w])) > threshold``.
+
+    With the evaluation step equal to the pane step the windows are summed
+    from the shared panes; otherwise from the raw messages.
+    """
+    keys = ["log_app", "log_namespace"]
+    if seconds(p.step) == seconds(standins.PANE) and seconds(p.window) % seconds(p.step) == 0:
+        apps = metrics.match_labels(inp.apps, log_app=p.app)
+        counts = metrics.slide_panes(apps, keys, p.window, p.step, ["errors", "total"])
+        r = metrics.above(counts.withColumn("error_pct", metrics.percent_share("errors", "total")),
+                          "error_pct", p.threshold)
+    else:
+        msgs = metrics.match_labels(inp.messages, log_app=p.app)
+        r = metrics.error_ratio(msgs, keys, p.window, p.step, F.col("log_level") == "Error", p.threshold)
+    return r.select(*keys, "tick", F.col("error_pct").alias("value"))
 
 
 def selftest_failing(inp: MetricInputs, p: RuleParams) -> DataFrame:

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timefn import seconds
+from ..operators import metrics
 from ..operators.routing import DEFAULT_ROUTES
 
 N_APPS = 3
@@ -70,13 +72,28 @@ def log_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def _hourly(msgs: DataFrame, keys: list[str], **aggs) -> DataFrame:
-    hour = F.date_trunc("hour", F.col("ts"))
-    return (msgs.groupBy(*keys, hour.alias("__hour"))
-                .agg(*[c.alias(name) for name, c in aggs.items()]))
+#: step of the stand-in metric samples (one scrape per hour)
+PANE = "1h"
 
 
-def message_counter(msgs: DataFrame) -> DataFrame:
+def message_panes(msgs: DataFrame) -> DataFrame:
+    """The one aggregation of the raw messages: hourly counts per
+    (log_app, log_namespace, log_level) -> (..., pane_end, n). Every metric
+    stand-in below is derived from this small table, so a plan that needs
+    several of them still scans the messages once (the pane exchange is reused)."""
+    return metrics.pane_counts(msgs, ["log_app", "log_namespace", "log_level"], PANE, {"n": F.count(F.lit(1))})
+
+
+def app_panes(panes: DataFrame) -> DataFrame:
+    """Hourly (log_app, log_namespace, pane_end, total, errors, warns)."""
+    n = F.col("n")
+    return panes.groupBy("log_app", "log_namespace", "pane_end").agg(
+        F.sum(n).alias("total"),
+        F.sum(F.when(F.col("log_level") == "Error", n).otherwise(0)).alias("errors"),
+        F.sum(F.when(F.col("log_level") == "Warn", n).otherwise(0)).alias("warns"))
+
+
+def message_counter(panes: DataFrame) -> DataFrame:
     """``logd_messages_total``: (log_app, log_namespace, log_level, ts, value).
 
     A sample at the end of every hour with messages; the value counts the
@@ -84,32 +101,27 @@ def message_counter(msgs: DataFrame) -> DataFrame:
     The running sum is partitioned by (series, day): at most 24 rows each.
     """
     keys = ["log_app", "log_namespace", "log_level"]
-    hourly = _hourly(msgs, keys, n=F.count(F.lit(1)))
-    day = Window.partitionBy(*keys, F.to_date("__hour")).orderBy("__hour") \
+    start = F.timestamp_add("SECOND", F.lit(-seconds(PANE)), F.col("pane_end"))
+    day = Window.partitionBy(*keys, F.to_date(start)).orderBy("pane_end") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    return hourly.select(*keys,
-                         F.timestamp_add("HOUR", F.lit(1), F.col("__hour")).alias("ts"),
-                         F.sum("n").over(day).cast("double").alias("value"))
+    return panes.select(*keys, F.col("pane_end").alias("ts"), F.sum("n").over(day).cast("double").alias("value"))
 
 
-def replica_gauge(msgs: DataFrame) -> DataFrame:
-    """``kube_deployment_status_replicas_unavailable``: (deployment, namespace, job, ts, value)."""
-    hourly = _hourly(msgs, ["log_app", "log_namespace"],
-                     value=F.count_if(F.col("level") == "ERROR").cast("double"))
-    return hourly.select(
+def replica_gauge(apps: DataFrame) -> DataFrame:
+    """``kube_deployment_status_replicas_unavailable``: (deployment, namespace, job, ts, value)
+    = ERROR messages of the hour."""
+    return apps.select(
         F.col("log_app").alias("deployment"), F.col("log_namespace").alias("namespace"),
         F.when(F.col("log_namespace") == OTHER_JOB_NAMESPACE, F.lit(OTHER_JOB))
          .otherwise(F.lit(SERVICE_JOB)).alias("job"),
-        F.timestamp_add("HOUR", F.lit(1), F.col("__hour")).alias("ts"), "value")
+        F.col("pane_end").alias("ts"), F.col("errors").cast("double").alias("value"))
 
 
-def selftest_gauge(msgs: DataFrame) -> DataFrame:
-    """``selftests_aggregate_result_status``: (app, kubernetes_namespace, ts, value)."""
-    hourly = _hourly(msgs, ["log_app", "log_namespace"],
-                     value=F.count_if(F.col("level") == "WARN").cast("double"))
-    return hourly.select(F.col("log_app").alias("app"),
-                         F.col("log_namespace").alias("kubernetes_namespace"),
-                         F.timestamp_add("HOUR", F.lit(1), F.col("__hour")).alias("ts"), "value")
+def selftest_gauge(apps: DataFrame) -> DataFrame:
+    """``selftests_aggregate_result_status``: (app, kubernetes_namespace, ts, value)
+    = WARN messages of the hour."""
+    return apps.select(F.col("log_app").alias("app"), F.col("log_namespace").alias("kubernetes_namespace"),
+                       F.col("pane_end").alias("ts"), F.col("warns").cast("double").alias("value"))
 
 
 # ---------------------------------------------------------------- SQL forms (oracle)
