@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decode as D
-from ..schemas import CORRUPT, DOCUMENT_DDL_PERMISSIVE
+from ..schemas import CORRUPT, DOCUMENT_DDL_PERMISSIVE, document_ddl
 
 
-def decode_documents(df: DataFrame, text: str = "payload", out: str = "doc") -> DataFrame:
-    """JSON text -> struct column ``doc``."""
-    return df.withColumn(out, D.parse_json(text, DOCUMENT_DDL_PERMISSIVE))
+def decode_documents(df: DataFrame, text: str = "payload", out: str = "doc",
+                     fields: tuple[str, ...] | None = None) -> DataFrame:
+    """JSON text -> struct column ``doc``.
+
+    ``fields`` restricts parsing to those top-level fields (Spark does not
+    prune a ``from_json`` schema that carries a corrupt-record column).
+    """
+    ddl = DOCUMENT_DDL_PERMISSIVE if fields is None else document_ddl(fields)
+    return df.withColumn(out, D.parse_json(text, ddl))
 
 
 def flatten_document(df: DataFrame, doc: str = "doc", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -50,9 +50,8 @@ def q_year_month(spark, sf_dir):
                      D.months_inclusive("ym_first", "ym_last").alias("n_maaneder"))
 
 
-def _docs(spark, sf_dir):
-    d = standins.rule_documents(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    return documents.decode_documents(d)
+def _docs(spark, sf_dir, fields=None):
+    return documents.decode_documents(standins.payload_table(spark, sf_dir), fields=fields)
 
 
 SQL_DOC_BASE = """
@@ -93,7 +92,7 @@ SELECT o_orderkey AS vedtak_id,
        s IS NULL AS avkortet_bad
 FROM d""")
 def q_decimal_parse(spark, sf_dir):
-    d = _docs(spark, sf_dir)
+    d = _docs(spark, sf_dir, fields=("faktum", "grunnlagResultat"))
     raw = F.col("doc.grunnlagResultat.avkortet")
     return d.select(F.col("doc.faktum.vedtakId").alias("vedtak_id"), raw.alias("avkortet_raw"),
                     D.decimal_or_null(raw).alias("avkortet"), D.decimal_is_bad(raw).alias("avkortet_bad"))
@@ -109,4 +108,4 @@ SELECT o.o_orderkey AS vedtak_id, l.l_linenumber AS periode,
        l.l_returnflag = 'R' AS fangst_og_fisk
 FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
 def q_explode_periods(spark, sf_dir):
-    return documents.explode_periods(_docs(spark, sf_dir))
+    return documents.explode_periods(_docs(spark, sf_dir, fields=("faktum", "grunnlagResultat")))

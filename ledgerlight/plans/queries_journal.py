@@ -86,8 +86,8 @@ dl AS (
 
 
 def _dead_letters(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == journal.PROVISIONAL)
-    docs = documents.decode_documents(standins.rule_documents(o, table(spark, sf_dir, "lineitem")))
+    payloads = standins.payload_table(spark, sf_dir).filter(F.col("o_orderstatus") == journal.PROVISIONAL)
+    docs = documents.decode_documents(payloads, fields=("grunnlagResultat",))
     checks = [("corrupt", F.col("doc")[CORRUPT].isNotNull()),
               ("bad_amount", D.decimal_is_bad(F.col("doc.grunnlagResultat.avkortet"))),
               ("no_periods", F.coalesce(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"), F.lit(0)) == 0)]

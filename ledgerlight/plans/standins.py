@@ -273,3 +273,30 @@ def sql_ulid_decode(u_sql: str) -> str:
     alpha = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
     return (f"CAST(list_sum(list_transform(range(10), lambda i: CAST(strpos('{alpha}', "
             f"substr(translate(upper({u_sql}), 'ILO', '110'), i + 1, 1)) - 1 AS BIGINT) << (5 * (9 - i)))) AS BIGINT)")
+
+
+_PAYLOAD_TABLES: dict[tuple[str, str], str] = {}
+
+
+def payload_table(spark, sf_dir: str) -> DataFrame:
+    """The journal payload table: :func:`rule_documents` of the driver tables.
+
+    In production this is the pipeline's input (JSON records landed from the
+    stream). Here it is derived once per Spark application and scale factor and
+    written as Parquet below ``spark.checkpoint.dir``; every decoding query then
+    reads it -- with ``o_orderstatus`` filters pushed into the scan -- and does
+    its own parsing.
+    """
+    import os
+
+    from ..session import scratch_path
+    from ..sources.tables import read_table
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _PAYLOAD_TABLES.get(key)
+    if path is None:
+        path = scratch_path(spark, "standins", "payloads")
+        docs = rule_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+        docs.write.mode("overwrite").parquet(path)
+        _PAYLOAD_TABLES[key] = path
+    return spark.read.parquet(path)

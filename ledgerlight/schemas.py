@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: the column that keeps unparsable text (PERMISSIVE parsing)
+CORRUPT = "_corrupt_record"
+
 PERIOD_DDL = ("struct<inntekt: string, periode: int, "
               "inntektsPeriode: struct<`sisteMåned`: string, `førsteMåned`: string>, "
               "inneholderFangstOgFisk: boolean>")
@@ -17,24 +20,41 @@ MIN_PERIOD_DDL = ("struct<andel: string, inntekt: string, periode: int, "
                   "inntektsPeriode: struct<`sisteMåned`: string, `førsteMåned`: string>, "
                   "inneholderFangstOgFisk: boolean>")
 
-DOCUMENT_DDL = (
-    "id string, behovId string, "
-    "faktum struct<aktorId: string, vedtakId: bigint, beregningsdato: date, inntektsId: string, "
-    "inntektAvvik: boolean, inntektManueltRedigert: boolean, antallBarn: int>, "
-    "grunnlagResultat struct<avkortet: string, uavkortet: string, sporingsId: string, harAvkortet: boolean, "
-    "subsumsjonsId: string, beregningsregel: string, regelIdentifikator: string, "
-    f"grunnlagInntektsPerioder: array<{PERIOD_DDL}>>, "
-    "minsteinntektResultat struct<sporingsId: string, subsumsjonsId: string, regelIdentifikator: string, "
-    f"oppfyllerMinsteinntekt: boolean, minsteinntektInntektsPerioder: array<{MIN_PERIOD_DDL}>>, "
-    "periodeResultat struct<sporingsId: string, subsumsjonsId: string, periodeAntallUker: int, "
-    "regelIdentifikator: string>, "
-    "satsResultat struct<dagsats: int, ukesats: int, sporingsId: string, subsumsjonsId: string, "
-    "regelIdentifikator: string, benyttet90ProsentRegel: boolean>"
-)
+#: top-level fields of the document, in document order
+DOCUMENT_FIELDS = {
+    "id": "string",
+    "behovId": "string",
+    "faktum": ("struct<aktorId: string, vedtakId: bigint, beregningsdato: date, inntektsId: string, "
+               "inntektAvvik: boolean, inntektManueltRedigert: boolean, antallBarn: int>"),
+    "grunnlagResultat": ("struct<avkortet: string, uavkortet: string, sporingsId: string, harAvkortet: boolean, "
+                         "subsumsjonsId: string, beregningsregel: string, regelIdentifikator: string, "
+                         f"grunnlagInntektsPerioder: array<{PERIOD_DDL}>>"),
+    "minsteinntektResultat": ("struct<sporingsId: string, subsumsjonsId: string, regelIdentifikator: string, "
+                              "oppfyllerMinsteinntekt: boolean, "
+                              f"minsteinntektInntektsPerioder: array<{MIN_PERIOD_DDL}>>"),
+    "periodeResultat": ("struct<sporingsId: string, subsumsjonsId: string, periodeAntallUker: int, "
+                        "regelIdentifikator: string>"),
+    "satsResultat": ("struct<dagsats: int, ukesats: int, sporingsId: string, subsumsjonsId: string, "
+                     "regelIdentifikator: string, benyttet90ProsentRegel: boolean>"),
+}
+DOCUMENT_DDL = ", ".join(f"{k} {v}" for k, v in DOCUMENT_FIELDS.items())
 
-#: the document schema plus the column that keeps unparsable text (PERMISSIVE)
-CORRUPT = "_corrupt_record"
-DOCUMENT_DDL_PERMISSIVE = DOCUMENT_DDL + f", {CORRUPT} string"
+
+def document_ddl(fields=None, corrupt: bool = True) -> str:
+    """DDL of the document restricted to some top-level ``fields`` (all by default).
+
+    Parsing only what a plan reads saves most of the JSON work; fields left
+    out are not type-checked.
+    """
+    keep = [f for f in DOCUMENT_FIELDS if fields is None or f in fields]
+    unknown = set(fields or ()) - set(DOCUMENT_FIELDS)
+    if unknown:
+        raise ValueError(f"unknown document fields: {sorted(unknown)}")
+    ddl = ", ".join(f"{k} {DOCUMENT_FIELDS[k]}" for k in keep)
+    return ddl + (f", {CORRUPT} string" if corrupt else "")
+
+
+DOCUMENT_DDL_PERMISSIVE = document_ddl()
 
 #: the small JSON object in ``events.props``
 PROPS_DDL = f"k int, {CORRUPT} string"
