@@ -88,15 +88,25 @@ def ulid_time(ulid: Column | str) -> Column:
     return from_epoch_micros(ulid_millis(ulid) * F.lit(1000))
 
 
-def ulid_encode(millis: Column, seed: Column) -> Column:
-    """A ULID with the given ms time; the 80-bit tail is the non-negative ``seed`` in base 32.
+def _base32(n: Column, width: int) -> Column:
+    return F.lpad(F.translate(F.conv(n.cast("string"), 10, 32), _CONV_LETTERS, _CROCK_LETTERS), width, "0")
 
-    (Real ULIDs carry random bits there; a deterministic tail keeps re-runs
-    identical.)
-    """
-    head = F.lpad(F.translate(F.conv(millis.cast("string"), 10, 32), _CONV_LETTERS, _CROCK_LETTERS), 10, "0")
-    tail = F.lpad(F.translate(F.conv(seed.cast("string"), 10, 32), _CONV_LETTERS, _CROCK_LETTERS), 16, "0")
-    return F.concat(head, tail)
+
+def ulid_head(millis: Column) -> Column:
+    """The 10-character time part of a ULID."""
+    return _base32(millis, 10)
+
+
+def ulid_with_head(head: Column, seed: Column) -> Column:
+    """A ULID from a precomputed time part; the 80-bit tail is the non-negative
+    ``seed`` in base 32. (Real ULIDs carry random bits there; a deterministic
+    tail keeps re-runs identical.) Several ids of one row share one head."""
+    return F.concat(head, _base32(seed, 16))
+
+
+def ulid_encode(millis: Column, seed: Column) -> Column:
+    """A ULID with the given ms time and tail ``seed``."""
+    return ulid_with_head(ulid_head(millis), seed)
 
 
 def ulid_of_time(ts: Column | str, seed: Column) -> Column:

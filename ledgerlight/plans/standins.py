@@ -193,7 +193,8 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     Output: (o_orderkey, o_orderstatus, o_orderdate, payload).
     """
-    from ..functions.decode import ulid_of_time
+    from ..functions.decode import ulid_head, ulid_with_head
+    from ..functions.timefn import epoch_millis
 
     price = F.col("l_extendedprice").cast("decimal(20,2)")
     period = F.struct(
@@ -209,7 +210,9 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     lines = lines.withColumn("perioder", F.array_sort(
         "perioder", lambda a, b: (a["periode"] - b["periode"]).cast("int")))
     o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    key, ts = F.col("o_orderkey"), F.col("o_orderdate")
+    # every id of a document has the same time part: compute it once per row
+    o = o.withColumn("__head", ulid_head(epoch_millis("o_orderdate")))
+    key, ts, head = F.col("o_orderkey"), F.col("o_orderdate"), F.col("__head")
     income = F.col("sum_inntekt").cast("decimal(20,2)").cast("string")
     income_txt = F.coalesce(income, F.lit(UNKNOWN_INCOME))
     periods = F.coalesce(F.col("perioder"), F.array().cast(f"array<{_period_ddl()}>"))
@@ -217,11 +220,11 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     dagsats = F.floor(F.col("o_totalprice") / F.lit(float(WORKDAYS))).cast("int")
 
     def uid(k: int):
-        return ulid_of_time(ts, key * F.lit(10) + F.lit(k))
+        return ulid_with_head(head, key * F.lit(10) + F.lit(k))
 
     doc = F.struct(
         uid(0).alias("id"),
-        ulid_of_time(ts, F.col("o_custkey")).alias("behovId"),
+        ulid_with_head(head, F.col("o_custkey")).alias("behovId"),
         F.struct(F.lpad(F.col("o_custkey").cast("string"), 13, "0").alias("aktorId"),
                  key.alias("vedtakId"),
                  F.to_date(ts).alias("beregningsdato"),
