@@ -42,9 +42,12 @@ def q_stream_error_ratio(spark, sf_dir):
 
 @register("stream_sustained_for", "T2 W3", qa.SQL_SUSTAINED)
 def q_stream_sustained_for(spark, sf_dir):
-    ratio = salerts.error_ratio_from_ticks(_stream_ticks(spark, sf_dir), qa.THRESHOLD)
-    return salerts.held_from_ticks(ratio, qa.KEYS, qa.HOLD, qa.STEP) \
-        .select(*qa.KEYS, "start", "fires_at", "error_pct")
+    events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
+    msgs = metrics.match_labels(standins.log_messages(events), log_app=qa.APP)
+    agg = salerts.error_counts(msgs, qa.KEYS, qa.WINDOW, qa.STEP, DELAY, F.col("log_level") == "Error")
+    fired = salerts.run_alert_stream(spark, agg, scratch_path(spark, "streams", "sustained"), qa.KEYS,
+                                     step=qa.STEP, delay=DELAY, threshold=qa.THRESHOLD, hold=qa.HOLD)
+    return fired.select(*qa.KEYS, "start", "fires_at", "error_pct")
 
 
 @register("stream_finalise", "S1 T3 T4", qj.SQL_FINALISE + " SELECT * FROM fin")

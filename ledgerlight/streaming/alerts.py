@@ -7,9 +7,13 @@ emits the windows it changed. A ``foreachBatch`` writer stores each batch
 under its batch id (overwrite = idempotent on replay); the current value of
 a window is the one from its latest batch.
 
-T2 -- the held condition: :func:`ledgerlight.operators.holds.sustained` over
-the closed ticks of that table. A window is closed once the watermark has
-passed its end; at the end of a bounded input every window is closed.
+T2 -- the held condition, evaluated incrementally (:func:`run_alert_stream`):
+after each micro-batch the windows the watermark has closed are final, and
+:func:`ledgerlight.operators.holds.sustained` runs over the newly closed ticks
+plus a bounded look-back (``hold + 2 * step``); the firings are written under
+the batch id. A window ending at ``E`` is closed once ``max event time -
+delay >= E`` (late rows for it are dropped by Spark from then on). At the end
+of a bounded input every window is closed (``flush``).
 """
 
 from __future__ import annotations
@@ -26,21 +30,27 @@ from ..sources.sinks import read_batches, write_batch
 
 def error_counts(stream: DataFrame, keys: Sequence[str], window: str, step: str, delay: str,
                  error_cond: Column, ts: str = "ts") -> DataFrame:
-    """Streaming (keys, tick, errors, total) with a watermark of ``delay``."""
+    """Streaming (keys, tick, errors, total, max_et) with a watermark of ``delay``.
+
+    ``max_et`` (latest event time in the window) lets a batch writer know how
+    far the watermark has moved without asking the running query.
+    """
     s = stream.withColumn("__et", as_instant(ts)).withWatermark("__et", interval_text(delay))
     w = F.window("__et", interval_text(window), interval_text(step))
     return (s.groupBy(w.alias("__w"), *keys)
-             .agg(F.count(F.lit(1)).alias("total"), F.count_if(error_cond).alias("errors"))
-             .select(*keys, instant_to_ntz(F.col("__w.end")).alias("tick"), "errors", "total"))
+             .agg(F.count(F.lit(1)).alias("total"), F.count_if(error_cond).alias("errors"),
+                  F.max(F.col(ts)).alias("max_et"))
+             .select(*keys, instant_to_ntz(F.col("__w.end")).alias("tick"), "errors", "total", "max_et"))
 
 
 def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available_now: bool = True,
-                      timeout_s: float | None = None):
-    """Run an aggregating stream in update mode into batch folders under ``sink_root``."""
+                      timeout_s: float | None = None, writer_fn=None):
+    """Run an aggregating stream in update mode into batch folders under ``sink_root``
+    (or through ``writer_fn(batch_df, batch_id)``)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(batch_df, sink_root, batch_id)
 
-    writer = (agg.writeStream.outputMode("update").foreachBatch(write)
+    writer = (agg.writeStream.outputMode("update").foreachBatch(writer_fn or write)
                  .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     q = writer.start()
@@ -49,17 +59,72 @@ def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available
     return q
 
 
-def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str]) -> DataFrame:
+def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batches: DataFrame | None = None
+                  ) -> DataFrame:
     """Latest value of every (keys, tick) over all batch outputs."""
-    b = read_batches(spark, sink_root)
+    b = read_batches(spark, sink_root) if batches is None else batches
     from ..operators.journal import latest_per_key
-    return latest_per_key(b, [*keys, "tick"], "batch").drop("batch")
+    return latest_per_key(b, [*keys, "tick"], "batch").drop("batch", "max_et")
+
+
+def _closed_until(batches: DataFrame, batch_id: int | None, delay_s: int):
+    """Windows closed before and after ``batch_id`` (``max event time - delay``):
+    one aggregate row read on the driver. ``batch_id`` None = after all batches."""
+    import datetime as dt
+    upto = F.lit(True) if batch_id is None else F.col("batch") <= F.lit(int(batch_id))
+    before = F.lit(False) if batch_id is None else F.col("batch") < F.lit(int(batch_id))
+    row = batches.agg(F.max(F.when(before, F.col("max_et"))).alias("prev"),
+                      F.max(F.when(upto, F.col("max_et"))).alias("now")).first()
+
+    def shift(t):
+        return None if t is None else t - dt.timedelta(seconds=delay_s)
+    return shift(row["prev"]), shift(row["now"])
+
+
+def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Sequence[str], *,
+                     step: str, delay: str, threshold: float, hold: str, flush: bool = True,
+                     timeout_s: float | None = None) -> DataFrame:
+    """T1 + T2 on a stream: ticks under ``root/ticks``, firings under ``root/fired``.
+
+    Returns all firings (after the optional end-of-input flush).
+    """
+    import datetime as dt
+    import os
+
+    from ..functions.timefn import seconds
+    ticks_root, fired_root = os.path.join(root, "ticks"), os.path.join(root, "fired")
+    delay_s = seconds(delay)
+    lookback = dt.timedelta(seconds=seconds(hold) + 2 * seconds(step))
+
+    def evaluate(batches: DataFrame, lo, hi) -> DataFrame:
+        rng = F.col("tick") <= F.lit(hi) if hi is not None else F.lit(True)
+        if lo is not None:
+            rng = rng & (F.col("tick") > F.lit(lo - lookback))
+        ticks = current_ticks(spark, ticks_root, keys, batches.filter(rng))
+        fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
+        return fired.filter(F.col("fires_at") > F.lit(lo)) if lo is not None else fired
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        write_batch(batch_df, ticks_root, batch_id)
+        batches = read_batches(spark, ticks_root).filter(F.col("batch") <= F.lit(int(batch_id)))
+        prev, now = _closed_until(batches, batch_id, delay_s)
+        if now is not None and (prev is None or now > prev):
+            write_batch(evaluate(batches, prev, now), fired_root, batch_id)
+
+    run_update_stream(agg, ticks_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
+                      writer_fn=process)
+    if flush:
+        batches = read_batches(spark, ticks_root)
+        _, now = _closed_until(batches, None, delay_s)
+        evaluate(batches, now, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
+    return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")
 
 
 def error_ratio_from_ticks(ticks: DataFrame, threshold: float) -> DataFrame:
-    r = ticks.withColumn("error_pct", metrics.percent_share("errors", "total"))
+    r = ticks.drop("max_et").withColumn("error_pct", metrics.percent_share("errors", "total"))
     return metrics.above(r, "error_pct", threshold).select(
-        *[c for c in ticks.columns if c not in ("errors", "total", "tick")], "tick", "errors", "total", "error_pct")
+        *[c for c in ticks.columns if c not in ("errors", "total", "tick", "max_et")],
+        "tick", "errors", "total", "error_pct")
 
 
 def held_from_ticks(ratio: DataFrame, keys: Sequence[str], hold: str, step: str,
