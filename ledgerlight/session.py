@@ -36,6 +36,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
+    # results do not depend on the zone (see functions.timefn); UTC only keeps logs readable
+    if extra and "spark.sql.session.timeZone" in extra:
+        conf.pop("spark.sql.session.timeZone")
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefn import as_instant, instant_to_ntz, interval_text
+from ..functions.timefn import as_instant, instant_to_ntz, interval_text, ntz_literal
 from ..operators import holds, metrics
 from ..sources.sinks import read_batches, write_batch
 
@@ -96,13 +96,16 @@ def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Seque
     delay_s = seconds(delay)
     lookback = dt.timedelta(seconds=seconds(hold) + 2 * seconds(step))
 
+    def at(t: dt.datetime):
+        return ntz_literal(t.isoformat(sep=" "))        # wall clock, no session zone involved
+
     def evaluate(batches: DataFrame, lo, hi) -> DataFrame:
-        rng = F.col("tick") <= F.lit(hi) if hi is not None else F.lit(True)
+        rng = F.col("tick") <= at(hi) if hi is not None else F.lit(True)
         if lo is not None:
-            rng = rng & (F.col("tick") > F.lit(lo - lookback))
+            rng = rng & (F.col("tick") > at(lo - lookback))
         ticks = current_ticks(spark, ticks_root, keys, batches.filter(rng))
         fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
-        return fired.filter(F.col("fires_at") > F.lit(lo)) if lo is not None else fired
+        return fired.filter(F.col("fires_at") > at(lo)) if lo is not None else fired
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(batch_df, ticks_root, batch_id)

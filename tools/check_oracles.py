@@ -20,7 +20,10 @@ from oracle import compare, duck  # noqa: E402
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
+    extra = {"spark.driver.memory": "8g"}
+    if os.environ.get("CHECK_TZ"):            # results must not depend on the session zone
+        extra["spark.sql.session.timeZone"] = os.environ["CHECK_TZ"]
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf_dir)
     reg = load_all()
     bad = 0
