@@ -2,50 +2,50 @@
 
 Each micro-batch of journal entries is finalised against the decision table
 (a stream-static left join) and against the keys already final in earlier
-batches (anti join), then written under its batch id with overwrite. A
-replayed batch therefore rewrites exactly its own output: reading "already
-final" excludes the batch being (re)written, so nothing is lost or doubled.
-Tasks for the newly final entries are written the same way (outbox).
+batches (anti join with a compacted key ledger), then written under its
+batch id with overwrite. A replayed batch therefore rewrites exactly its own
+output: "already final" only covers batches before it, so nothing is lost or
+doubled. Tasks for the newly final entries are written the same way (outbox).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import journal
 from ..sources.sinks import read_batches, write_batch
-
-
-def _earlier_batches(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    try:
-        return read_batches(spark, root).filter(F.col("batch") < F.lit(int(batch_id)))
-    except AnalysisException:
-        return None
+from .ledger import KeyLedger
 
 
 def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: DataFrame, cutoff, root: str,
                         checkpoint: str, *, key: str, status: str, version: str, task_kind: str,
-                        timeout_s: float | None = None):
-    """Start (and, for a bounded source, finish) the finalising stream under ``root``."""
+                        timeout_s: float | None = None, compact_every: int = 20):
+    """Start (and, for a bounded source, finish) the finalising stream under ``root``.
+
+    Keys already final and task ids already issued are kept in two
+    :class:`KeyLedger` s, so a micro-batch reads a snapshot plus at most
+    ``compact_every`` recent folders, never the stream's whole history.
+    """
     final_root = os.path.join(root, "finalised")
     outbox_root = os.path.join(root, "outbox")
+    finals = KeyLedger(spark, os.path.join(root, "final_keys"), key, compact_every)
+    issued = KeyLedger(spark, os.path.join(root, "task_ids"), "task_id", compact_every)
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        earlier = _earlier_batches(spark, final_root, batch_id)
-        done = None if earlier is None else earlier.filter(F.col("outcome") == "final").select(key)
         res = journal.finalise(batch_df, decisions, cutoff, key=key, status=status, version=version,
-                               already_final=done)
+                               already_final=finals.keys_before(batch_id))
         res = res.persist()
         try:
             write_batch(res, final_root, batch_id)
-            earlier_tasks = _earlier_batches(spark, outbox_root, batch_id)
-            write_batch(journal.task_outbox(res, key, task_kind, "decided_at",
-                                            existing=None if earlier_tasks is None else earlier_tasks.drop("batch")),
-                        outbox_root, batch_id)
+            finals.record(res.filter(F.col("outcome") == "final"), batch_id)
+            tasks = journal.task_outbox(res, key, task_kind, "decided_at", existing=issued.keys_before(batch_id))
+            tasks = tasks.persist()
+            write_batch(tasks, outbox_root, batch_id)
+            issued.record(tasks, batch_id)
+            tasks.unpersist()
         finally:
             res.unpersist()
 
