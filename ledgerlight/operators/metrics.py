@@ -26,6 +26,21 @@ from ..functions.timefn import epoch_micros, interval_text, seconds
 from . import slicing
 
 
+# --------------------------------------------------------------------------- S4 samples
+
+def series_frame(samples: DataFrame, metric: str, labels: Sequence[str], *, name_col: str = "metric",
+                 labels_col: str = "labels", ts: str = "ts", value: str = "value") -> DataFrame:
+    """Long metric samples ``(metric, labels map, ts, value)`` -> one metric's
+    series with one column per used label: ``(labels..., ts, value)``.
+
+    The metric-name equality reaches the Parquet scan as a pushed filter; the
+    label map is read once per row (``element_at``), never exploded.
+    """
+    m = F.col(labels_col)
+    return samples.filter(F.col(name_col) == F.lit(metric)).select(
+        *[F.element_at(m, F.lit(l)).alias(l) for l in labels], ts, value)
+
+
 # --------------------------------------------------------------------------- F1 F2 F3 F4
 
 def match_labels(df: DataFrame, matchers: Mapping[str, str] | None = None, **kw: str) -> DataFrame:

@@ -67,6 +67,16 @@ JOURNAL_SCHEMA = T.StructType([
     T.StructField("payload", T.StringType()),
 ])
 
+JOURNAL_DDL = f"key bigint, status string, version timestamp_ntz, payload string, {CORRUPT} string"
+
+#: long metric samples (FIXTURES 2): one row per (metric, label set, time)
+SAMPLES_SCHEMA = T.StructType([
+    T.StructField("metric", T.StringType()),
+    T.StructField("labels", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("value", T.DoubleType()),
+])
+
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
