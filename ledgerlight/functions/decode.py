@@ -104,6 +104,12 @@ def ulid_with_head(head: Column, seed: Column) -> Column:
     return F.concat(head, _base32(seed, 16))
 
 
+def ulid_with_parts(head: Column, hi: Column, lo: Column) -> Column:
+    """A ULID whose 80-bit tail is two non-negative numbers: ``hi`` (< 2^45,
+    9 digits) and ``lo`` (< 2^35, 7 digits)."""
+    return F.concat(head, _base32(hi, 9), _base32(lo, 7))
+
+
 def ulid_encode(millis: Column, seed: Column) -> Column:
     """A ULID with the given ms time and tail ``seed``."""
     return ulid_with_head(ulid_head(millis), seed)

@@ -54,17 +54,19 @@ def _docs(spark, sf_dir, fields=None):
     return documents.decode_documents(standins.payload_table(spark, sf_dir), fields=fields)
 
 
+# One document per order: no order of the driver data exceeds PERIODS_PER_DOCUMENT lines
+# (only such orders are split, by a hash salt this SQL does not reproduce).
 SQL_DOC_BASE = """
-WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
+WITH l AS (SELECT l_orderkey, 0 AS chunk, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
            FROM lineitem GROUP BY l_orderkey),
-d AS (SELECT o.*, l.s, l.n FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
+d AS (SELECT o.*, COALESCE(l.chunk, 0) AS chunk, l.s, l.n FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
 
 _DAGSATS = f"CAST(floor(o_totalprice / {float(standins.WORKDAYS)}) AS INTEGER)"
 
 
 @register("flatten_doc", "F6 X6 X7 X9 X3 S3", SQL_DOC_BASE + f"""
-SELECT {standins.sql_ulid('(epoch_us(o_orderdate) // 1000)', 'o_orderkey * 10')} AS id,
-       {standins.sql_ulid('(epoch_us(o_orderdate) // 1000)', 'o_custkey')} AS behov_id,
+SELECT {standins.sql_ulid_parts('(epoch_us(o_orderdate) // 1000)', 'o_orderkey * 10', 'chunk')} AS id,
+       {standins.sql_ulid_parts('(epoch_us(o_orderdate) // 1000)', 'o_custkey', '0')} AS behov_id,
        make_timestamp((epoch_us(o_orderdate) // 1000) * 1000) AS created_at,
        lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS aktor_id,
        o_orderkey AS vedtak_id,

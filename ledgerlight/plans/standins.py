@@ -182,18 +182,52 @@ UNKNOWN_INCOME = "n/a"
 WORKDAYS = 260
 
 
+#: at most this many income periods per document: an entry with more line
+#: items is spread over several documents (no line is dropped), so no single
+#: row or task ever holds an unbounded list
+PERIODS_PER_DOCUMENT = 16
+#: rows per salt when the lines of one oversized entry are ranked
+SALT_ROWS = 65536
+
+
+def _line_chunks(lineitem: DataFrame) -> DataFrame:
+    """lineitem + ``chunk``: lines of one order in groups of <= PERIODS_PER_DOCUMENT.
+
+    Orders within the limit (all of them in TPC-H-like data) keep chunk 0 and
+    need no ranking. Only oversized orders -- found by a partial-aggregated
+    count, joined back (AQE broadcasts the list when it is small) -- are
+    salted into buckets of about SALT_ROWS rows, ranked inside (order, salt),
+    and cut into chunks. A hot order is thus spread over many tasks.
+    """
+    per = PERIODS_PER_DOCUMENT
+    big = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+                   .filter(F.col("__n") > F.lit(per)))
+    tagged = lineitem.join(big, "l_orderkey", "left")
+    small = tagged.filter(F.col("__n").isNull()).withColumn("chunk", F.lit(0).cast("bigint"))
+    cols = [c for c in lineitem.columns if c != "l_orderkey"]
+    salt = F.pmod(F.xxhash64(*cols), F.ceil(F.col("__n") / F.lit(SALT_ROWS)))
+    rank = F.row_number().over(Window.partitionBy("l_orderkey", "__salt").orderBy(*cols))
+    large = (tagged.filter(F.col("__n").isNotNull()).withColumn("__salt", salt)
+                   # chunk = salt * 2^13 + index in the salt (a salt holds ~SALT_ROWS rows)
+                   .withColumn("chunk", F.col("__salt") * F.lit(1 << 13) + F.floor((rank - 1) / F.lit(per)))
+                   .drop("__salt"))
+    return small.unionByName(large).drop("__n")
+
+
 def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One JSON document per order, shaped like the sample rule-evaluation document.
+    """JSON documents shaped like the sample rule-evaluation document, one per
+    order and chunk of at most :data:`PERIODS_PER_DOCUMENT` line items.
 
     Income periods are the order's line items (price as a decimal string,
     ship month as the last month of a 12-month span). Orders without line
-    items get an empty period list and the income text ``n/a`` -- the input
-    that the decoders must flag. Line items are aggregated per order before
-    the join (partial aggregation; a document's list is bounded by its lines).
+    items get one document with an empty period list and the income text
+    ``n/a`` -- the input the decoders must flag. Line items are grouped by
+    (order, chunk) before the join, so even an order holding a third of all
+    lines is spread over many bounded groups.
 
-    Output: (o_orderkey, o_orderstatus, o_orderdate, payload).
+    Output: (o_orderkey, chunk, o_orderstatus, o_orderdate, payload).
     """
-    from ..functions.decode import ulid_head, ulid_with_head
+    from ..functions.decode import ulid_head, ulid_with_parts
     from ..functions.timefn import epoch_millis
 
     price = F.col("l_extendedprice").cast("decimal(20,2)")
@@ -205,14 +239,15 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                  ).alias("inntektsPeriode"),
         (F.col("l_returnflag") == "R").alias("inneholderFangstOgFisk"),
     )
-    lines = (lineitem.groupBy("l_orderkey")
+    lines = (_line_chunks(lineitem).groupBy("l_orderkey", "chunk")
                      .agg(F.collect_list(period).alias("perioder"), F.sum(price).alias("sum_inntekt")))
     lines = lines.withColumn("perioder", F.array_sort(
         "perioder", lambda a, b: (a["periode"] - b["periode"]).cast("int")))
-    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left") \
+        .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0)).cast("bigint"))
     # every id of a document has the same time part: compute it once per row
     o = o.withColumn("__head", ulid_head(epoch_millis("o_orderdate")))
-    key, ts, head = F.col("o_orderkey"), F.col("o_orderdate"), F.col("__head")
+    key, ts, head, part = F.col("o_orderkey"), F.col("o_orderdate"), F.col("__head"), F.col("chunk")
     income = F.col("sum_inntekt").cast("decimal(20,2)").cast("string")
     income_txt = F.coalesce(income, F.lit(UNKNOWN_INCOME))
     periods = F.coalesce(F.col("perioder"), F.array().cast(f"array<{_period_ddl()}>"))
@@ -220,11 +255,11 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     dagsats = F.floor(F.col("o_totalprice") / F.lit(float(WORKDAYS))).cast("int")
 
     def uid(k: int):
-        return ulid_with_head(head, key * F.lit(10) + F.lit(k))
+        return ulid_with_parts(head, key * F.lit(10) + F.lit(k), part)
 
     doc = F.struct(
         uid(0).alias("id"),
-        ulid_with_head(head, F.col("o_custkey")).alias("behovId"),
+        ulid_with_parts(head, F.col("o_custkey"), F.lit(0)).alias("behovId"),
         F.struct(F.lpad(F.col("o_custkey").cast("string"), 13, "0").alias("aktorId"),
                  key.alias("vedtakId"),
                  F.to_date(ts).alias("beregningsdato"),
@@ -253,7 +288,7 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                  F.lit(RULE_IDS["sats"]).alias("regelIdentifikator"),
                  F.lit(False).alias("benyttet90ProsentRegel")).alias("satsResultat"),
     )
-    return o.select("o_orderkey", "o_orderstatus", "o_orderdate", F.to_json(doc).alias("payload"))
+    return o.select("o_orderkey", "chunk", "o_orderstatus", "o_orderdate", F.to_json(doc).alias("payload"))
 
 
 def _period_ddl() -> str:
@@ -271,6 +306,16 @@ def sql_ulid(ms_sql: str, seed_sql: str) -> str:
     return f"({head} || '000' || {tail})"
 
 
+def sql_ulid_parts(ms_sql: str, hi_sql: str, lo_sql: str) -> str:
+    """DuckDB text of a ULID with a two-number tail (see ``ulid_with_parts``)."""
+    alpha = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
+
+    def digits(v: str, n: int) -> str:
+        return (f"array_to_string(list_transform(range({n - 1}, -1, -1), "
+                f"lambda i: substr('{alpha}', CAST((({v}) >> (5 * i)) & 31 AS INTEGER) + 1, 1)), '')")
+    return f"({digits(ms_sql, 10)} || {digits(hi_sql, 9)} || {digits(lo_sql, 7)})"
+
+
 def sql_ulid_decode(u_sql: str) -> str:
     """DuckDB: ms time of a ULID (first 10 characters)."""
     alpha = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"

@@ -129,3 +129,23 @@ def test_templates(spark):
     df = spark.createDataFrame([("a", "n"), ("b", None)], "app string, ns string")
     assert [r.x for r in df.select(render(t).alias("x")).collect()] == ["Sjekk a i n!", "Sjekk b i !"]
     assert df.select(render(None).alias("x")).first().x is None
+
+
+def test_documents_split_long_period_lists_without_losing_lines(spark, monkeypatch):
+    import os
+
+    from ledgerlight.plans import standins
+    from conftest import SF001
+    monkeypatch.setattr(standins, "PERIODS_PER_DOCUMENT", 3)
+    monkeypatch.setattr(standins, "SALT_ROWS", 4)          # several salts per oversized order
+    o = spark.read.parquet(os.path.join(SF001, "orders.parquet"))
+    li = spark.read.parquet(os.path.join(SF001, "lineitem.parquet"))
+    docs = documents.decode_documents(standins.rule_documents(o, li))
+    n_lines = li.groupBy("l_orderkey").count()
+    small = n_lines.filter("count <= 3").count()
+    n_empty = o.join(li, o.o_orderkey == li.l_orderkey, "left_anti").count()
+    assert docs.count() >= small + n_empty + n_lines.filter("count > 3").count()
+    assert docs.select(F.max(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"))).first()[0] <= 3
+    periods = documents.explode_periods(docs)
+    assert periods.filter(F.col("periode").isNotNull()).count() == li.count()
+    assert docs.select("doc.id").distinct().count() == docs.count()          # ids stay unique
