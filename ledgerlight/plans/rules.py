@@ -12,7 +12,7 @@ never spliced into SQL text.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +81,6 @@ class RuleParams:
     threshold: float = 0.0
     hold: str = "0s"
     window: str = "3m"
-    extra: dict = field(default_factory=dict)
 
 
 def replicas_down(inp: MetricInputs, p: RuleParams) -> DataFrame:

@@ -149,3 +149,8 @@ def test_documents_split_long_period_lists_without_losing_lines(spark, monkeypat
     periods = documents.explode_periods(docs)
     assert periods.filter(F.col("periode").isNotNull()).count() == li.count()
     assert docs.select("doc.id").distinct().count() == docs.count()          # ids stay unique
+
+
+def test_iso_date(spark):
+    df = spark.createDataFrame([("2019-05-08",), ("2019-02-30",), ("08.05.2019",)], "t string")
+    assert [r.d for r in df.select(D.iso_date("t").alias("d")).collect()] == [dt.date(2019, 5, 8), None, None]

@@ -80,3 +80,18 @@ def test_observe_run_counts_alongside_the_action(spark):
     df, obs = observe_run(_finalise(spark), "finalise", final=F.col("outcome") == "final")
     assert df.count() == 3
     assert obs.get == {"rows": 3, "final": 1}
+
+
+def test_alert_sink_round_trip(spark):
+    import os
+    from ledgerlight.plans import rules
+    from ledgerlight.session import scratch_path
+    from ledgerlight.sources.sinks import write_alerts
+    from conftest import SF001
+    inp = rules.MetricInputs.from_events(spark.read.parquet(os.path.join(SF001, "events.parquet")), materialize=False)
+    alerts = rules.alerts_all(inp, rules.params_for("app-0", errors={"window": "3h", "threshold": 25.0, "hold": "3h"}))
+    path = scratch_path(spark, "test", "alerts")
+    write_alerts(alerts, path)
+    back = spark.read.parquet(path)
+    assert back.columns == rules.ALERT_COLUMNS
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, alerts.collect()))
