@@ -67,59 +67,65 @@ def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batc
     return latest_per_key(b, [*keys, "tick"], "batch").drop("batch", "max_et")
 
 
-def _closed_until(batches: DataFrame, batch_id: int | None, delay_s: int):
-    """Windows closed before and after ``batch_id`` (``max event time - delay``):
-    one aggregate row read on the driver. ``batch_id`` None = after all batches."""
-    import datetime as dt
-    upto = F.lit(True) if batch_id is None else F.col("batch") <= F.lit(int(batch_id))
-    before = F.lit(False) if batch_id is None else F.col("batch") < F.lit(int(batch_id))
-    row = batches.agg(F.max(F.when(before, F.col("max_et"))).alias("prev"),
-                      F.max(F.when(upto, F.col("max_et"))).alias("now")).first()
-
-    def shift(t):
-        return None if t is None else t - dt.timedelta(seconds=delay_s)
-    return shift(row["prev"]), shift(row["now"])
-
-
 def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Sequence[str], *,
                      step: str, delay: str, threshold: float, hold: str, flush: bool = True,
-                     timeout_s: float | None = None) -> DataFrame:
+                     compact_every: int = 20, timeout_s: float | None = None) -> DataFrame:
     """T1 + T2 on a stream: ticks under ``root/ticks``, firings under ``root/fired``.
 
+    Per micro-batch: record the changed windows in a :class:`RowLedger`, move
+    the closed mark to ``max event time - delay``, and evaluate the held
+    condition for the ticks closed since the previous batch (plus the
+    ``hold + 2 * step`` look-back), writing the firings under the batch id.
     Returns all firings (after the optional end-of-input flush).
     """
     import datetime as dt
     import os
 
     from ..functions.timefn import seconds
+    from .ledger import RowLedger
+
     ticks_root, fired_root = os.path.join(root, "ticks"), os.path.join(root, "fired")
-    delay_s = seconds(delay)
+    delay = dt.timedelta(seconds=seconds(delay))
     lookback = dt.timedelta(seconds=seconds(hold) + 2 * seconds(step))
+    ledger = RowLedger(spark, ticks_root, [*keys, "tick"], compact_every)
 
     def at(t: dt.datetime):
         return ntz_literal(t.isoformat(sep=" "))        # wall clock, no session zone involved
 
-    def evaluate(batches: DataFrame, lo, hi) -> DataFrame:
-        rng = F.col("tick") <= at(hi) if hi is not None else F.lit(True)
-        if lo is not None:
-            rng = rng & (F.col("tick") > at(lo - lookback))
-        ticks = current_ticks(spark, ticks_root, keys, batches.filter(rng))
+    def fire(ticks: DataFrame, lo, hi) -> DataFrame:
+        """Firings with ``lo < fires_at <= hi`` from ticks covering ``(lo - lookback, hi]``."""
         fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
+        if hi is not None:
+            fired = fired.filter(F.col("fires_at") <= at(hi))
         return fired.filter(F.col("fires_at") > at(lo)) if lo is not None else fired
 
+    def tick_range(lo, hi):
+        cond = F.col("tick") <= at(hi) if hi is not None else F.lit(True)
+        return cond & (F.col("tick") > at(lo - lookback)) if lo is not None else cond
+
+    def max_et(df: DataFrame | None):
+        return None if df is None else df.agg(F.max("max_et")).first()[0]
+
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        write_batch(batch_df, ticks_root, batch_id)
-        batches = read_batches(spark, ticks_root).filter(F.col("batch") <= F.lit(int(batch_id)))
-        prev, now = _closed_until(batches, batch_id, delay_s)
+        prev_max = max_et(ledger.rows_before(batch_id))
+        marks = [m for m in (prev_max, max_et(batch_df)) if m is not None]
+        prev = None if prev_max is None else prev_max - delay
+        now = None if not marks else max(marks) - delay
+        # keep what this batch's and every later evaluation reads: ticks after prev - lookback
+        ledger.record(batch_df, batch_id, retain=None if prev is None else F.col("tick") > at(prev - lookback))
         if now is not None and (prev is None or now > prev):
-            write_batch(evaluate(batches, prev, now), fired_root, batch_id)
+            ticks = ledger.rows_before(batch_id + 1, where=tick_range(prev, now))
+            if ticks is not None:
+                write_batch(fire(ticks, prev, now), fired_root, batch_id)
 
     run_update_stream(agg, ticks_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                       writer_fn=process)
-    if flush:
-        batches = read_batches(spark, ticks_root)
-        _, now = _closed_until(batches, None, delay_s)
-        evaluate(batches, now, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
+    if flush:                                   # end of a bounded input closes every window
+        history = read_batches(spark, ticks_root)
+        last = history.agg(F.max("max_et")).first()[0]
+        closed = None if last is None else last - delay
+        fire(current_ticks(spark, ticks_root, keys, history), closed, None) \
+            .write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
     return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")
 
 

@@ -64,3 +64,74 @@ class KeyLedger:
                 upto = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
                 upto.distinct().write.mode("overwrite").parquet(
                     os.path.join(self.root, "snapshot", f"upto={batch_id}"))
+
+
+class RowLedger(KeyLedger):
+    """Latest row per key across micro-batches, with pruned periodic snapshots.
+
+    ``rows_before(N)`` = latest version per key among the snapshot below ``N``
+    and the (at most ``compact_every``) batch folders after it. A snapshot
+    keeps only rows that satisfy ``retain`` at the time it is written (for
+    example ticks not yet beyond the look-back of closed windows), so it stays
+    as small as the live state instead of growing with the stream's history.
+    """
+
+    def _versions(self, batch_id: int) -> DataFrame | None:
+        from pyspark.sql import functions as F
+        snap = self._snapshot_before(batch_id)
+        frames = []
+        if snap is not None:
+            try:
+                frames.append(self.spark.read.parquet(os.path.join(self.root, "snapshot", f"upto={snap}")))
+            except AnalysisException:
+                pass
+        start = (snap + 1) if snap is not None else 0
+        recent = [os.path.join(self.root, f"batch={i}") for i in range(start, batch_id)]
+        if recent:
+            try:
+                frames.append(self.spark.read.option("basePath", self.root).parquet(*recent)
+                              .withColumn("batch", F.col("batch").cast("bigint")))
+            except AnalysisException:      # only empty batches so far
+                pass
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def rows_before(self, batch_id: int, where=None) -> DataFrame | None:
+        from ..operators.journal import latest_per_key
+        v = self._versions(batch_id)
+        if v is None:
+            return None
+        if where is not None:
+            v = v.filter(where)
+        return latest_per_key(v, self.key, "batch").drop("batch")
+
+    def record(self, rows: DataFrame, batch_id: int, retain=None) -> None:
+        from pyspark.sql import functions as F
+        write_batch(rows, self.root, batch_id)
+        if batch_id % self.k == self.k - 1:
+            v = self._versions_upto(batch_id)
+            if v is None:
+                return
+            from ..operators.journal import latest_per_key
+            snap = latest_per_key(v, self.key, "batch").drop("batch")
+            if retain is not None:
+                snap = snap.filter(retain)
+            snap.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite") \
+                .parquet(os.path.join(self.root, "snapshot", f"upto={batch_id}"))
+
+    def _versions_upto(self, batch_id: int) -> DataFrame | None:
+        """Versions of batches <= batch_id from the previous snapshot on."""
+        from pyspark.sql import functions as F
+        before = self._versions(batch_id)
+        try:
+            cur = self.spark.read.option("basePath", self.root).parquet(
+                os.path.join(self.root, f"batch={batch_id}")).withColumn("batch", F.col("batch").cast("bigint"))
+        except AnalysisException:
+            cur = None
+        if before is None:
+            return cur
+        return before if cur is None else before.unionByName(cur)
