@@ -44,9 +44,10 @@ def q_stream_error_ratio(spark, sf_dir):
 def q_stream_sustained_for(spark, sf_dir):
     events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
     msgs = metrics.match_labels(standins.log_messages(events), log_app=qa.APP)
-    agg = salerts.error_counts(msgs, qa.KEYS, qa.WINDOW, qa.STEP, DELAY, F.col("log_level") == "Error")
-    fired = salerts.run_alert_stream(spark, agg, scratch_path(spark, "streams", "sustained"), qa.KEYS,
-                                     step=qa.STEP, delay=DELAY, threshold=qa.THRESHOLD, hold=qa.HOLD)
+    panes = salerts.error_panes(msgs, qa.KEYS, qa.STEP, DELAY, F.col("log_level") == "Error")
+    fired = salerts.run_alert_stream(spark, panes, scratch_path(spark, "streams", "sustained"), qa.KEYS,
+                                     window=qa.WINDOW, step=qa.STEP, delay=DELAY, threshold=qa.THRESHOLD,
+                                     hold=qa.HOLD)
     return fired.select(*qa.KEYS, "start", "fires_at", "error_pct")
 
 

@@ -8,7 +8,9 @@ under its batch id (overwrite = idempotent on replay); the current value of
 a window is the one from its latest batch.
 
 T2 -- the held condition, evaluated incrementally (:func:`run_alert_stream`):
-after each micro-batch the windows the watermark has closed are final, and
+the stream keeps tumbling *panes* of ``step`` in state (one entry per pane,
+not ``window / step`` windows per event); after each micro-batch the windows
+the watermark has closed are final, they are summed from their panes, and
 :func:`ledgerlight.operators.holds.sustained` runs over the newly closed ticks
 plus a bounded look-back (``hold + 2 * step``); the firings are written under
 the batch id. A window ending at ``E`` is closed once ``max event time -
@@ -43,6 +45,21 @@ def error_counts(stream: DataFrame, keys: Sequence[str], window: str, step: str,
              .select(*keys, instant_to_ntz(F.col("__w.end")).alias("tick"), "errors", "total", "max_et"))
 
 
+def error_panes(stream: DataFrame, keys: Sequence[str], step: str, delay: str,
+                error_cond: Column, ts: str = "ts") -> DataFrame:
+    """Streaming tumbling panes (keys, pane_end, errors, total, max_et).
+
+    State holds one entry per pane instead of ``window / step`` overlapping
+    windows per event; windows are summed from panes when evaluated.
+    """
+    s = stream.withColumn("__et", as_instant(ts)).withWatermark("__et", interval_text(delay))
+    p = F.window("__et", interval_text(step))
+    return (s.groupBy(p.alias("__p"), *keys)
+             .agg(F.count(F.lit(1)).alias("total"), F.count_if(error_cond).alias("errors"),
+                  F.max(F.col(ts)).alias("max_et"))
+             .select(*keys, instant_to_ntz(F.col("__p.end")).alias("pane_end"), "errors", "total", "max_et"))
+
+
 def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available_now: bool = True,
                       timeout_s: float | None = None, writer_fn=None):
     """Run an aggregating stream in update mode into batch folders under ``sink_root``
@@ -67,16 +84,18 @@ def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batc
     return latest_per_key(b, [*keys, "tick"], "batch").drop("batch", "max_et")
 
 
-def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Sequence[str], *,
-                     step: str, delay: str, threshold: float, hold: str, flush: bool = True,
+def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Sequence[str], *,
+                     window: str, step: str, delay: str, threshold: float, hold: str, flush: bool = True,
                      compact_every: int = 20, timeout_s: float | None = None) -> DataFrame:
-    """T1 + T2 on a stream: ticks under ``root/ticks``, firings under ``root/fired``.
-
-    Per micro-batch: record the changed windows in a :class:`RowLedger`, move
-    the closed mark to ``max event time - delay``, and evaluate the held
-    condition for the ticks closed since the previous batch (plus the
-    ``hold + 2 * step`` look-back), writing the firings under the batch id.
-    Returns all firings (after the optional end-of-input flush).
+    """T1 + T2 on a stream of :func:`error_panes`: panes under ``root/panes``,
+    firings under ``root/fired``.
+
+    Per micro-batch: record the changed panes in a :class:`RowLedger`, move the
+    closed mark to ``max event time - delay``, sum the windows from the panes
+    they cover and evaluate the held condition for the ticks closed since the
+    previous batch (plus the ``hold + 2 * step`` look-back), writing the
+    firings under the batch id. Returns all firings (after the optional
+    end-of-input flush).
     """
     import datetime as dt
     import os
@@ -84,24 +103,29 @@ def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Seque
     from ..functions.timefn import seconds
     from .ledger import RowLedger
 
-    ticks_root, fired_root = os.path.join(root, "ticks"), os.path.join(root, "fired")
-    delay = dt.timedelta(seconds=seconds(delay))
+    panes_root, fired_root = os.path.join(root, "panes"), os.path.join(root, "fired")
+    delay_td = dt.timedelta(seconds=seconds(delay))
     lookback = dt.timedelta(seconds=seconds(hold) + 2 * seconds(step))
-    ledger = RowLedger(spark, ticks_root, [*keys, "tick"], compact_every)
+    span = dt.timedelta(seconds=seconds(window))
+    ledger = RowLedger(spark, panes_root, [*keys, "pane_end"], compact_every)
 
     def at(t: dt.datetime):
         return ntz_literal(t.isoformat(sep=" "))        # wall clock, no session zone involved
 
-    def fire(ticks: DataFrame, lo, hi) -> DataFrame:
-        """Firings with ``lo < fires_at <= hi`` from ticks covering ``(lo - lookback, hi]``."""
-        fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
+    def fire(pane_rows: DataFrame, lo, hi) -> DataFrame:
+        """Firings with ``lo < fires_at <= hi`` from panes covering the windows
+        that end in ``(lo - lookback, hi]``."""
+        ticks = metrics.slide_panes(pane_rows, keys, window, step, ["errors", "total"])
+        if lo is not None:                     # earlier windows may miss panes: drop them
+            ticks = ticks.filter(F.col("tick") > at(lo - lookback))
         if hi is not None:
-            fired = fired.filter(F.col("fires_at") <= at(hi))
+            ticks = ticks.filter(F.col("tick") <= at(hi))
+        fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
         return fired.filter(F.col("fires_at") > at(lo)) if lo is not None else fired
 
-    def tick_range(lo, hi):
-        cond = F.col("tick") <= at(hi) if hi is not None else F.lit(True)
-        return cond & (F.col("tick") > at(lo - lookback)) if lo is not None else cond
+    def pane_range(lo, hi):
+        cond = F.col("pane_end") <= at(hi) if hi is not None else F.lit(True)
+        return cond & (F.col("pane_end") > at(lo - lookback - span)) if lo is not None else cond
 
     def max_et(df: DataFrame | None):
         return None if df is None else df.agg(F.max("max_et")).first()[0]
@@ -109,23 +133,25 @@ def run_alert_stream(spark: SparkSession, agg: DataFrame, root: str, keys: Seque
     def process(batch_df: DataFrame, batch_id: int) -> None:
         prev_max = max_et(ledger.rows_before(batch_id))
         marks = [m for m in (prev_max, max_et(batch_df)) if m is not None]
-        prev = None if prev_max is None else prev_max - delay
-        now = None if not marks else max(marks) - delay
-        # keep what this batch's and every later evaluation reads: ticks after prev - lookback
-        ledger.record(batch_df, batch_id, retain=None if prev is None else F.col("tick") > at(prev - lookback))
+        prev = None if prev_max is None else prev_max - delay_td
+        now = None if not marks else max(marks) - delay_td
+        # keep what this batch's and every later evaluation reads
+        ledger.record(batch_df, batch_id,
+                      retain=None if prev is None else F.col("pane_end") > at(prev - lookback - span))
         if now is not None and (prev is None or now > prev):
-            ticks = ledger.rows_before(batch_id + 1, where=tick_range(prev, now))
-            if ticks is not None:
-                write_batch(fire(ticks, prev, now), fired_root, batch_id)
+            rows = ledger.rows_before(batch_id + 1, where=pane_range(prev, now))
+            if rows is not None:
+                write_batch(fire(rows, prev, now), fired_root, batch_id)
 
-    run_update_stream(agg, ticks_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
+    run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                       writer_fn=process)
     if flush:                                   # end of a bounded input closes every window
-        history = read_batches(spark, ticks_root)
+        history = read_batches(spark, panes_root)
         last = history.agg(F.max("max_et")).first()[0]
-        closed = None if last is None else last - delay
-        fire(current_ticks(spark, ticks_root, keys, history), closed, None) \
-            .write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
+        closed = None if last is None else last - delay_td
+        from ..operators.journal import latest_per_key
+        every = latest_per_key(history, [*keys, "pane_end"], "batch").drop("batch")
+        fire(every, closed, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
     return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")
 
 

@@ -97,10 +97,10 @@ def test_alerts_fire_during_the_stream_and_equal_batch(spark):
     folder = scratch_path(spark, "test", "events_in2")
     _time_ordered_files(spark, os.path.join(SF01, "events.parquet"), folder, 5, "ts")
     stream = file_stream(spark, folder, EVENTS_SCHEMA, glob="*.parquet", max_files_per_trigger=1)
-    agg = salerts.error_counts(standins.log_messages(stream), KEYS, "3h", "1h", "1h", is_err())
+    panes = salerts.error_panes(standins.log_messages(stream), KEYS, "1h", "1h", is_err())
     root = scratch_path(spark, "test", "alert_stream")
-    fired = salerts.run_alert_stream(spark, agg, root, KEYS, step="1h", delay="1h", threshold=25.0, hold="3h",
-                                     compact_every=2)
+    fired = salerts.run_alert_stream(spark, panes, root, KEYS, window="3h", step="1h", delay="1h",
+                                     threshold=25.0, hold="3h", compact_every=2)
     got = sorted(map(tuple, fired.select(*KEYS, "start", "fires_at").collect()))
 
     batch_msgs = standins.log_messages(spark.read.parquet(os.path.join(SF01, "events.parquet")))
