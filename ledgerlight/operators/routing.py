@@ -89,6 +89,24 @@ def route_logs(events: DataFrame, routes: Sequence[Route] = DEFAULT_ROUTES,
     return passed.withColumn(sink, F.explode(sinks_case))
 
 
+def log_records(df: DataFrame, ts: str = "ts", message: str = "message", logger: str = "logger",
+                level: str = "level", out: str = "value") -> DataFrame:
+    """One structured JSON log line per row (X2, S5), in the encoder's layout:
+    ``@timestamp`` (ISO-8601, milliseconds, UTC offset), ``@version``,
+    ``message``, ``logger_name``, ``level``, ``level_value``.
+
+    ``ts`` is a wall-clock UTC ``TIMESTAMP_NTZ``; formatting it does not go
+    through the session zone.
+    """
+    from ..functions.levels import level_value
+    stamp = F.concat(F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
+    rec = F.struct(stamp.alias("@timestamp"), F.lit("1").alias("@version"), F.col(message).alias("message"),
+                   F.col(logger).alias("logger_name"), F.col(level).alias("level"),
+                   level_value(level).alias("level_value"))
+    keep = [c for c in df.columns if c not in (ts, message, logger, level)]
+    return df.select(*keep, F.to_json(rec).alias(out))
+
+
 def to_json_lines(df: DataFrame, columns: Sequence[str] | None = None, out: str = "value") -> DataFrame:
     """Struct -> one JSON text per row (X2); the columns keep their names as keys."""
     cols = list(columns or df.columns)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
-from ..functions.levels import LEVEL_ORDINAL
+from ..functions.levels import LEVEL_ORDINAL, LEVEL_VALUE
 from ..operators import routing
 from . import standins
 from .catalog import register, table
@@ -25,6 +24,7 @@ def _sql_config() -> str:
     return ", ".join(rows)
 
 
+_LEVEL_VALUE_CASE = " ".join(f"WHEN '{k}' THEN {v}" for k, v in LEVEL_VALUE.items())
 _LEVEL_CASE = "CASE level " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in LEVEL_ORDINAL.items()) + " END"
 
 # Oracle: the theta join of every event with all configured ancestors, the
@@ -50,15 +50,12 @@ def q_log_route(spark, sf_dir):
     return _routed(spark, sf_dir).select("event_id", "logger", "level", "sink")
 
 
-@register("log_to_json", "X2 S5", SQL_ROUTE + """
+@register("log_to_json", "X2 S5", SQL_ROUTE + f"""
 SELECT event_id, sink,
-       CAST(json_object('@timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'level', level,
-                        'logger_name', logger, 'message', message) AS VARCHAR) AS value
+       CAST(json_object('@timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '+00:00', '@version', '1',
+                        'message', message, 'logger_name', logger, 'level', level,
+                        'level_value', CASE level {_LEVEL_VALUE_CASE} END) AS VARCHAR) AS value
 FROM routed""")
 def q_log_to_json(spark, sf_dir):
     r = _routed(spark, sf_dir)
-    r = r.select("event_id", "sink",
-                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("@timestamp"),
-                 "level", F.col("logger").alias("logger_name"), "message")
-    return r.select("event_id", "sink",
-                    F.to_json(F.struct("@timestamp", "level", "logger_name", "message")).alias("value"))
+    return routing.log_records(r.select("event_id", "sink", "ts", "message", "logger", "level"))

@@ -64,3 +64,15 @@ def test_write_routed_logs_one_folder_per_sink(spark):
         got[sink] = [json.loads(x) for x in lines]
     assert got == {"secureLog": [{"id": 1, "logger": "tjenestekall", "level": "INFO"}],
                    "STDOUT_JSON": [{"id": 2, "logger": "other", "level": "ERROR"}]}
+
+
+def test_log_records_layout(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 678901), 'a "quoted" text', "x.y", "WARN")],
+                               "ts timestamp, message string, logger string, level string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    line = routing.log_records(df).first().value
+    assert line == ('{"@timestamp":"2024-01-02T03:04:05.678+00:00","@version":"1",'
+                    '"message":"a \\"quoted\\" text","logger_name":"x.y","level":"WARN","level_value":30000}')
+    assert json.loads(line)["message"] == 'a "quoted" text'
