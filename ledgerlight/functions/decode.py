@@ -60,7 +60,9 @@ def iso_date(text: Column | str) -> Column:
 
 
 def year_month(ts: Column | str) -> Column:
-    return F.date_format(_c(ts), "yyyy-MM")
+    """Date or timestamp -> ``yyyy-MM`` (no session zone involved)."""
+    from .timefn import year_month_text
+    return year_month_text(_c(ts))
 
 
 # ------------------------------------------------------------------ X7 ULID

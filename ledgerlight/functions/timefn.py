@@ -78,3 +78,19 @@ def instant_to_ntz(ts: Column | str) -> Column:
 def ntz_literal(text: str) -> Column:
     """A wall-clock timestamp literal, independent of the session zone."""
     return F.to_timestamp_ntz(F.lit(text))
+
+
+def iso_millis_utc(ts: Column | str) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSS+00:00`` of a wall-clock UTC NTZ timestamp,
+    built from its calendar parts (``date_format`` would go through the
+    session zone and shift times that fall in a DST gap there)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    ms = F.floor(F.extract(F.lit("SECOND"), c) * F.lit(1000)).cast("int")
+    return F.format_string("%sT%02d:%02d:%02d.%03d+00:00", c.cast("date").cast("string"),
+                           F.hour(c), F.minute(c), (ms / 1000).cast("int"), ms % 1000)
+
+
+def year_month_text(ts: Column | str) -> Column:
+    """``yyyy-MM`` of a date or NTZ timestamp, from its calendar parts."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.format_string("%04d-%02d", F.year(c), F.month(c))

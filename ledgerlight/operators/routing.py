@@ -99,7 +99,8 @@ def log_records(df: DataFrame, ts: str = "ts", message: str = "message", logger:
     through the session zone.
     """
     from ..functions.levels import level_value
-    stamp = F.concat(F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
+    from ..functions.timefn import iso_millis_utc
+    stamp = iso_millis_utc(ts)
     rec = F.struct(stamp.alias("@timestamp"), F.lit("1").alias("@version"), F.col(message).alias("message"),
                    F.col(logger).alias("logger_name"), F.col(level).alias("level"),
                    level_value(level).alias("level_value"))

@@ -227,15 +227,15 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     Output: (o_orderkey, chunk, o_orderstatus, o_orderdate, payload).
     """
-    from ..functions.decode import ulid_head, ulid_with_parts
+    from ..functions.decode import ulid_head, ulid_with_parts, year_month
     from ..functions.timefn import epoch_millis
 
     price = F.col("l_extendedprice").cast("decimal(20,2)")
     period = F.struct(
         price.cast("string").alias("inntekt"),
         F.col("l_linenumber").alias("periode"),
-        F.struct(F.date_format("l_shipdate", "yyyy-MM").alias("sisteMåned"),
-                 F.date_format(F.add_months(F.to_date("l_shipdate"), -11), "yyyy-MM").alias("førsteMåned")
+        F.struct(year_month("l_shipdate").alias("sisteMåned"),
+                 year_month(F.add_months(F.to_date("l_shipdate"), -11)).alias("førsteMåned")
                  ).alias("inntektsPeriode"),
         (F.col("l_returnflag") == "R").alias("inneholderFangstOgFisk"),
     )
