@@ -36,9 +36,11 @@ class Route:
     sinks: tuple[str, ...] = ()
 
 
-# The logging configuration to reproduce (two loggers and the root).
+# The shape of the logging configuration -- a library logger
+# turned up to DEBUG without sinks of its own (its name here is ours), the
+# service-call logger that writes only to the restricted sink, and the root.
 DEFAULT_ROUTES: tuple[Route, ...] = (
-    Route("no.nav.helse.rapids_rivers", level="DEBUG"),
+    Route("lib.stream", level="DEBUG"),
     Route("tjenestekall", level="DEBUG", additive=False, sinks=("secureLog",)),
     Route("", level="INFO", sinks=("STDOUT_JSON",)),
 )

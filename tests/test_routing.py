@@ -11,7 +11,7 @@ from ledgerlight.operators.routing import Route
 from ledgerlight.sources.sinks import write_routed_logs
 
 RESTRICTED = routing.DEFAULT_ROUTES[1]
-RAPIDS = routing.DEFAULT_ROUTES[0].logger
+LIBRARY = routing.DEFAULT_ROUTES[0].logger
 
 
 def routed(spark, rows, routes=routing.DEFAULT_ROUTES):
@@ -25,8 +25,8 @@ def routed(spark, rows, routes=routing.DEFAULT_ROUTES):
 
 def test_fixture_table(spark):
     rows = [(1, "tjenestekall", "DEBUG"), (2, "tjenestekall.soap", "INFO"), (3, "tjenestekallX", "INFO"),
-            (4, "a.b", "DEBUG"), (5, "a.b", "WARN"), (6, RAPIDS + ".x", "DEBUG"), (7, "tjenestekallX", "DEBUG"),
-            (8, "tjenestekall", "TRACE"), (9, RAPIDS, "TRACE")]
+            (4, "a.b", "DEBUG"), (5, "a.b", "WARN"), (6, LIBRARY + ".x", "DEBUG"), (7, "tjenestekallX", "DEBUG"),
+            (8, "tjenestekall", "TRACE"), (9, LIBRARY, "TRACE")]
     assert routed(spark, rows) == {
         1: {"secureLog"}, 2: {"secureLog"}, 3: {"STDOUT_JSON"}, 4: set(), 5: {"STDOUT_JSON"},
         6: {"STDOUT_JSON"}, 7: set(), 8: set(), 9: set()}
