@@ -49,6 +49,9 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
         finally:
             res.unpersist()
 
+    # run counters per micro-batch (S8): read back from q.recentProgress[i]["observedMetrics"]
+    entries = entries.observe("journal_in", F.count(F.lit(1)).alias("rows"),
+                              F.count_if(F.col(status) == F.lit(journal.PROVISIONAL)).alias("provisional"))
     q = (entries.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

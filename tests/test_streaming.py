@@ -125,3 +125,28 @@ def test_key_ledger_equals_union_of_earlier_batches(spark):
         got = led.keys_before(n)
         want = sorted(k for i, ks in batches.items() if i < n for k in ks)
         assert (sorted(r.k for r in got.distinct().collect()) if got is not None else []) == want, n
+
+
+def test_stream_counters_and_stream_static_lookup(spark):
+    folder = scratch_path(spark, "test", "orders_in3")
+    _time_ordered_files(spark, os.path.join(SF01, "orders.parquet"), folder, 2, "o_orderdate")
+    lines = spark.read.parquet(os.path.join(SF01, "lineitem.parquet"))
+    dec = journal.decisions_from_lines(lines, "l_orderkey", "l_shipdate")
+    root = scratch_path(spark, "test", "fin3")
+    stream = file_stream(spark, folder, ORDERS_SCHEMA, glob="*.parquet", max_files_per_trigger=1)
+    q = sjournal.run_finalise_stream(spark, stream, dec, ntz_literal("1998-01-01 00:00:00"), root, root + "/cp",
+                                     key="o_orderkey", status="o_orderstatus", version="o_orderdate", task_kind="t")
+    seen = [p["observedMetrics"]["journal_in"] for p in q.recentProgress if p.get("observedMetrics")]
+    orders = spark.read.parquet(os.path.join(SF01, "orders.parquet"))
+    assert sum(m["rows"] for m in seen) == orders.count()
+    assert sum(m["provisional"] for m in seen) == orders.filter("o_orderstatus = 'P'").count()
+
+    # J3 on a stream: stream-static left join, every entry kept
+    out = scratch_path(spark, "test", "enriched")
+    stream = file_stream(spark, folder, ORDERS_SCHEMA, glob="*.parquet", max_files_per_trigger=1)
+    customers = spark.read.parquet(os.path.join(SF01, "customer.parquet"))
+    enriched = journal.enrich_left(stream, customers, "o_custkey", "c_custkey", ["c_mktsegment"])
+    (enriched.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "_cp")
+     .trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.parquet(out)
+    assert got.count() == orders.count() and got.filter("c_mktsegment IS NULL").count() == 0
