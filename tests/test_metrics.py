@@ -126,3 +126,22 @@ def test_sum_by_drops_other_labels(spark):
              "app string, lvl string, ts timestamp, value double")
     got = sorted((r.app, r.value) for r in metrics.sum_by(df, ["app"], "value").collect())
     assert got == [("a", 3.0), ("b", 4.0)]
+
+
+def test_hot_series_is_split_across_slices(spark):
+    """One series holding most rows is processed as many (series, slice) groups."""
+    from ledgerlight.functions.timefn import epoch_micros
+    from ledgerlight.operators import slicing
+    rows = [("hot", ts(i * 7), float(i)) for i in range(3000)]            # ~2 weeks of samples
+    rows += [("cold", ts(i * 600), float(i)) for i in range(20)]
+    df = ntz(spark, rows, "series string, ts timestamp, value double")
+    w_us = 3 * 3600 * 1_000_000
+    sliced = slicing.add_time_slices(df.withColumn("__t", epoch_micros("ts")), "__t", w_us,
+                                     slicing.slice_length_us(w_us))
+    groups = sliced.filter("series = 'hot'").groupBy(slicing.SLICE).count().collect()
+    assert len(groups) >= 7                                             # ~15 days in 2-day slices, not one task
+    assert max(g["count"] for g in groups) < 0.2 * 3000
+    copies = sliced.count() - df.count()
+    assert copies < 0.2 * df.count()                                    # few copied rows
+    got = {(r.series, r.ts): r.increase for r in metrics.counter_increase(df, ["series"], "3h").collect()}
+    assert got == brute_increase(rows, 3 * 3600)
