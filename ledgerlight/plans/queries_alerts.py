@@ -208,3 +208,27 @@ UNION ALL
 def q_alerts_all(spark, sf_dir):
     inp = rules.MetricInputs.from_events(table(spark, sf_dir, "events"))
     return rules.alerts_all(inp, _rule_params())
+
+
+# Rule 2 exactly as written, over the message counter:
+# 100 * sum by(app, ns)(rate(c{app, level="Error"}[w])) / sum by(app, ns)(rate(c{app}[w])) > threshold.
+# Both rates share the divisor w, which cancels: the share is taken from sums of
+# increases (exact). A zero total gives null, never NaN, so it never fires.
+# Spark side: one conditional aggregate (one pass, as J1'); the oracle is the join.
+@register("error_ratio_rate", "J1 A1 A2 F4 F3 W2", SQL_INCREASE + f""",
+num AS (SELECT log_app, log_namespace, ts, sum(increase) AS err_inc FROM inc
+        WHERE increase IS NOT NULL AND log_app = '{APP}' AND log_level = 'Error' GROUP BY log_app, log_namespace, ts),
+den AS (SELECT log_app, log_namespace, ts, sum(increase) AS all_inc FROM inc
+        WHERE increase IS NOT NULL AND log_app = '{APP}' GROUP BY log_app, log_namespace, ts)
+SELECT n.log_app, n.log_namespace, n.ts, n.err_inc, d.all_inc,
+       CAST(100 AS DOUBLE) * n.err_inc / NULLIF(d.all_inc, 0) AS error_pct
+FROM num n JOIN den d ON n.log_app = d.log_app AND n.log_namespace = d.log_namespace AND n.ts = d.ts
+WHERE CAST(100 AS DOUBLE) * n.err_inc / NULLIF(d.all_inc, 0) > {THRESHOLD}""")
+def q_error_ratio_rate(spark, sf_dir):
+    c = metrics.match_labels(_counter(spark, sf_dir), log_app=APP)
+    inc = metrics.counter_increase(c, CKEYS, WINDOW).filter(F.col("increase").isNotNull())
+    sums = inc.groupBy(*KEYS, "ts").agg(
+        F.sum(F.when(F.col("log_level") == "Error", F.col("increase"))).alias("err_inc"),
+        F.sum("increase").alias("all_inc"))
+    return metrics.above(sums.withColumn("error_pct", metrics.percent_share("err_inc", "all_inc")),
+                         "error_pct", THRESHOLD)
