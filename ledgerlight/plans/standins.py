@@ -345,6 +345,6 @@ def payload_table(spark, sf_dir: str) -> DataFrame:
     if path is None:
         path = scratch_path(spark, "standins", "payloads")
         docs = rule_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
-        docs.write.mode("overwrite").parquet(path)
+        docs.write.mode("overwrite").option("compression", "zstd").parquet(path)
         _PAYLOAD_TABLES[key] = path
     return spark.read.parquet(path)
