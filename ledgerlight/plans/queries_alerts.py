@@ -20,8 +20,9 @@ def _msgs(spark, sf_dir):
     return standins.log_messages(table(spark, sf_dir, "events"))
 
 
-def _app_msgs(spark, sf_dir):
-    return metrics.match_labels(_msgs(spark, sf_dir), log_app=APP)
+# The error-share, held-condition and counter queries evaluate every app at once
+# (log_app is a grouping label), so they read the whole events table; the app
+# matcher of the rule set itself is exercised by alerts_all and label_match.
 
 
 def _is_error():
@@ -30,7 +31,7 @@ def _is_error():
 SQL_MSGS = f"WITH msgs AS ({standins.sql_log_messages()})"
 
 SQL_ERROR_COUNTS = SQL_MSGS + f""",
-m AS (SELECT * FROM msgs WHERE log_app = '{APP}'),
+m AS (SELECT * FROM msgs),
 ticks AS (SELECT DISTINCT log_app, log_namespace, date_trunc('hour', ts) + to_hours(k) AS tick
           FROM m, range(1, 4) r(k)),
 counts AS (
@@ -48,13 +49,13 @@ ratio AS (
 
 @register("error_ratio", "A3 F1 F3 F4 J1'", SQL_ERROR_COUNTS + " SELECT * FROM ratio")
 def q_error_ratio(spark, sf_dir):
-    return metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
+    return metrics.error_ratio(_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
 
 
 # The oracle of the join form is the one-pass form: J1 must equal J1'.
 @register("error_ratio_join", "J1 A1", SQL_ERROR_COUNTS + " SELECT * FROM ratio")
 def q_error_ratio_join(spark, sf_dir):
-    return metrics.error_ratio_join(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
+    return metrics.error_ratio_join(_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
 
 
 SQL_SUSTAINED = SQL_ERROR_COUNTS + """,
@@ -71,7 +72,7 @@ GROUP BY log_app, log_namespace, island, start"""
 
 @register("sustained_for", "W3 F3", SQL_SUSTAINED)
 def q_sustained_for(spark, sf_dir):
-    ratio = metrics.error_ratio(_app_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
+    ratio = metrics.error_ratio(_msgs(spark, sf_dir), KEYS, WINDOW, STEP, _is_error(), THRESHOLD)
     return holds.sustained(ratio, KEYS, HOLD, STEP, ts="tick") \
         .select(*KEYS, "start", "fires_at", "error_pct")
 
@@ -135,13 +136,12 @@ def q_counter_rate(spark, sf_dir):
 # sum by (app, ns) (rate(c{app}[w])): series with fewer than two samples have
 # no rate and drop out before the sum. Every rate of a group shares the
 # divisor w, so the sum is taken over increases and divided once (exact).
-@register("sum_by", "A1 A2", SQL_INCREASE + f"""
+@register("sum_by", "A1 A2", SQL_INCREASE + """
 SELECT log_app, log_namespace, ts, sum(increase) / 10800.0 AS rate
-FROM inc WHERE increase IS NOT NULL AND log_app = '{APP}'
+FROM inc WHERE increase IS NOT NULL
 GROUP BY log_app, log_namespace, ts""")
 def q_sum_by(spark, sf_dir):
-    c = metrics.match_labels(_counter(spark, sf_dir), log_app=APP)
-    inc = metrics.counter_increase(c, CKEYS, WINDOW).filter(F.col("increase").isNotNull())
+    inc = metrics.counter_increase(_counter(spark, sf_dir), CKEYS, WINDOW).filter(F.col("increase").isNotNull())
     s = metrics.sum_by(inc, KEYS, "increase", ts="ts")
     return s.select(*KEYS, "ts", (F.col("increase") / F.lit(10800.0)).alias("rate"))
 
@@ -192,7 +192,7 @@ rg AS ({standins.sql_replica_gauge()}),
 sg AS ({standins.sql_selftest_gauge()}),
 c1 AS (SELECT deployment, namespace, job, ts AS tick, value FROM rg
        WHERE deployment = '{APP}' AND job = '{standins.SERVICE_JOB}' AND value > 0),
-c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM ratio),
+c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM ratio WHERE log_app = '{APP}'),
 c3 AS (SELECT app, kubernetes_namespace, ts AS tick, value FROM sg WHERE app = '{APP}' AND value > 0),
 a1 AS {_sql_islands('c1', ['deployment', 'namespace', 'job'], 'INTERVAL 2 MINUTE', 'value')},
 a2 AS {_sql_islands('c2', ['log_app', 'log_namespace'], 'INTERVAL 3 HOUR', 'error_pct')},
@@ -217,16 +217,15 @@ def q_alerts_all(spark, sf_dir):
 # Spark side: one conditional aggregate (one pass, as J1'); the oracle is the join.
 @register("error_ratio_rate", "J1 A1 A2 F4 F3 W2", SQL_INCREASE + f""",
 num AS (SELECT log_app, log_namespace, ts, sum(increase) AS err_inc FROM inc
-        WHERE increase IS NOT NULL AND log_app = '{APP}' AND log_level = 'Error' GROUP BY log_app, log_namespace, ts),
+        WHERE increase IS NOT NULL AND log_level = 'Error' GROUP BY log_app, log_namespace, ts),
 den AS (SELECT log_app, log_namespace, ts, sum(increase) AS all_inc FROM inc
-        WHERE increase IS NOT NULL AND log_app = '{APP}' GROUP BY log_app, log_namespace, ts)
+        WHERE increase IS NOT NULL GROUP BY log_app, log_namespace, ts)
 SELECT n.log_app, n.log_namespace, n.ts, n.err_inc, d.all_inc,
        CAST(100 AS DOUBLE) * n.err_inc / NULLIF(d.all_inc, 0) AS error_pct
 FROM num n JOIN den d ON n.log_app = d.log_app AND n.log_namespace = d.log_namespace AND n.ts = d.ts
 WHERE CAST(100 AS DOUBLE) * n.err_inc / NULLIF(d.all_inc, 0) > {THRESHOLD}""")
 def q_error_ratio_rate(spark, sf_dir):
-    c = metrics.match_labels(_counter(spark, sf_dir), log_app=APP)
-    inc = metrics.counter_increase(c, CKEYS, WINDOW).filter(F.col("increase").isNotNull())
+    inc = metrics.counter_increase(_counter(spark, sf_dir), CKEYS, WINDOW).filter(F.col("increase").isNotNull())
     sums = inc.groupBy(*KEYS, "ts").agg(
         F.sum(F.when(F.col("log_level") == "Error", F.col("increase"))).alias("err_inc"),
         F.sum("increase").alias("all_inc"))
