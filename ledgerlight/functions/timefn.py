@@ -86,11 +86,15 @@ def iso_millis_utc(ts: Column | str) -> Column:
     session zone and shift times that fall in a DST gap there)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     ms = F.floor(F.extract(F.lit("SECOND"), c) * F.lit(1000)).cast("int")
-    return F.format_string("%sT%02d:%02d:%02d.%03d+00:00", c.cast("date").cast("string"),
-                           F.hour(c), F.minute(c), (ms / 1000).cast("int"), ms % 1000)
+
+    def two(x: Column, n: int = 2) -> Column:
+        return F.lpad(x.cast("string"), n, "0")
+    return F.concat(c.cast("date").cast("string"), F.lit("T"), two(F.hour(c)), F.lit(":"), two(F.minute(c)),
+                    F.lit(":"), two((ms / 1000).cast("int")), F.lit("."), two(ms % 1000, 3), F.lit("+00:00"))
 
 
 def year_month_text(ts: Column | str) -> Column:
-    """``yyyy-MM`` of a date or NTZ timestamp, from its calendar parts."""
+    """``yyyy-MM`` of a date or NTZ timestamp: the first seven characters of its
+    calendar date as text (a date cast, no session zone)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.format_string("%04d-%02d", F.year(c), F.month(c))
+    return F.substring(c.cast("date").cast("string"), 1, 7)

@@ -131,13 +131,17 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
         return None if df is None else df.agg(F.max("max_et")).first()[0]
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        prev_max = max_et(ledger.rows_before(batch_id))
-        marks = [m for m in (prev_max, max_et(batch_df)) if m is not None]
-        prev = None if prev_max is None else prev_max - delay_td
-        now = None if not marks else max(marks) - delay_td
-        # keep what this batch's and every later evaluation reads
-        ledger.record(batch_df, batch_id,
-                      retain=None if prev is None else F.col("pane_end") > at(prev - lookback - span))
+        batch_df = batch_df.persist()          # the micro-batch plan (with its state) runs once
+        try:
+            prev_max = max_et(ledger.versions_before(batch_id))   # max over versions = max over latest
+            marks = [m for m in (prev_max, max_et(batch_df)) if m is not None]
+            prev = None if prev_max is None else prev_max - delay_td
+            now = None if not marks else max(marks) - delay_td
+            # keep what this batch's and every later evaluation reads
+            ledger.record(batch_df, batch_id,
+                          retain=None if prev is None else F.col("pane_end") > at(prev - lookback - span))
+        finally:
+            batch_df.unpersist()
         if now is not None and (prev is None or now > prev):
             rows = ledger.rows_before(batch_id + 1, where=pane_range(prev, now))
             if rows is not None:

@@ -76,6 +76,11 @@ class RowLedger(KeyLedger):
     as small as the live state instead of growing with the stream's history.
     """
 
+    def versions_before(self, batch_id: int) -> DataFrame | None:
+        """Every stored version (snapshot rows and recent batches) below ``batch_id``,
+        with its ``batch``; for aggregates that do not need the latest version."""
+        return self._versions(batch_id)
+
     def _versions(self, batch_id: int) -> DataFrame | None:
         from pyspark.sql import functions as F
         snap = self._snapshot_before(batch_id)
