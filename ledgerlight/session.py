@@ -67,8 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, S3, ...)")
-        d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
+        # spark.checkpoint.dir is a core setting and cannot change at run time;
+        # the context's checkpoint folder can
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        return spark.sparkContext.getCheckpointDir()
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

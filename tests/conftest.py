@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,11 +12,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerlight.session import build_session
-    extra = {}
-    # a private scratch folder only where the session names none (tests)
-    extra["spark.driver.memory"] = "8g"
+    extra = {"spark.driver.memory": "8g"}
+    # build_session keeps the session's spark.checkpoint.dir; only where it is
+    # unset (local mode) does it pick a private folder
     s = build_session("local[8]", shuffle_partitions=8, app_name="ledgerlight-tests", extra=extra)
-    if not (s.conf.get("spark.checkpoint.dir", None)):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield s
     s.stop()
