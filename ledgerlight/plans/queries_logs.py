@@ -50,12 +50,15 @@ def q_log_route(spark, sf_dir):
     return _routed(spark, sf_dir).select("event_id", "logger", "level", "sink")
 
 
-@register("log_to_json", "X2 S5", SQL_ROUTE + f"""
+SQL_LOG_JSON = f"""
 SELECT event_id, sink,
        CAST(json_object('@timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '+00:00', '@version', '1',
                         'message', message, 'logger_name', logger, 'level', level,
                         'level_value', CASE level {_LEVEL_VALUE_CASE} END) AS VARCHAR) AS value
-FROM routed""")
+FROM routed"""
+
+
+@register("log_to_json", "X2 S5", SQL_ROUTE + SQL_LOG_JSON)
 def q_log_to_json(spark, sf_dir):
     r = _routed(spark, sf_dir)
     return routing.log_records(r.select("event_id", "sink", "ts", "message", "logger", "level"))

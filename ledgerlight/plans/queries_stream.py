@@ -17,8 +17,10 @@ from ..session import scratch_path
 from ..sources.streams import file_stream
 from ..streaming import alerts as salerts
 from ..streaming import journal as sjournal
+from ..streaming import logs as slogs
 from . import queries_alerts as qa
 from . import queries_journal as qj
+from . import queries_logs as ql
 from . import standins
 from .catalog import register, table
 
@@ -60,3 +62,11 @@ def q_stream_finalise(spark, sf_dir):
                                  key="o_orderkey", status="o_orderstatus", version="o_orderdate",
                                  task_kind=qj.TASK_KIND)
     return sjournal.finalised_state(spark, root, "o_orderkey")
+
+
+@register("stream_log_to_json", "S5 S6 J2 F5 X2 (stream)", ql.SQL_ROUTE + ql.SQL_LOG_JSON)
+def q_stream_log_to_json(spark, sf_dir):
+    events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
+    root = scratch_path(spark, "streams", "logs")
+    slogs.run_routing_stream(standins.log_messages(events), root + "/out", root + "/checkpoint")
+    return spark.read.parquet(root + "/out").select("event_id", "sink", "value")
