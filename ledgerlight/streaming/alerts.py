@@ -61,15 +61,17 @@ def error_panes(stream: DataFrame, keys: Sequence[str], step: str, delay: str,
 
 
 def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available_now: bool = True,
-                      timeout_s: float | None = None, writer_fn=None):
+                      timeout_s: float | None = None, writer_fn=None, interval: str = "10 seconds"):
     """Run an aggregating stream in update mode into batch folders under ``sink_root``
-    (or through ``writer_fn(batch_df, batch_id)``)."""
+    (or through ``writer_fn(batch_df, batch_id)``). ``available_now`` processes
+    what is there and returns when done; otherwise the query keeps running with
+    a processing-time trigger of ``interval`` and is returned at once."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(batch_df, sink_root, batch_id)
 
     writer = (agg.writeStream.outputMode("update").foreachBatch(writer_fn or write)
                  .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     q = writer.start()
     if available_now:
         q.awaitTermination(timeout_s)
@@ -86,7 +88,8 @@ def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batc
 
 def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Sequence[str], *,
                      window: str, step: str, delay: str, threshold: float, hold: str, flush: bool = True,
-                     compact_every: int = 20, timeout_s: float | None = None) -> DataFrame:
+                     compact_every: int = 20, timeout_s: float | None = None,
+                     available_now: bool = True, interval: str = "10 seconds"):
     """T1 + T2 on a stream of :func:`error_panes`: panes under ``root/panes``,
     firings under ``root/fired``.
 
@@ -95,7 +98,9 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
     they cover and evaluate the held condition for the ticks closed since the
     previous batch (plus the ``hold + 2 * step`` look-back), writing the
     firings under the batch id. Returns all firings (after the optional
-    end-of-input flush).
+    end-of-input flush); with ``available_now=False`` the query keeps running
+    and the running ``StreamingQuery`` is returned instead (firings keep
+    arriving under ``root/fired``).
     """
     import datetime as dt
     import os
@@ -147,8 +152,10 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
             if rows is not None:
                 write_batch(fire(rows, prev, now), fired_root, batch_id)
 
-    run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
-                      writer_fn=process)
+    q = run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
+                          writer_fn=process, available_now=available_now, interval=interval)
+    if not available_now:
+        return q
     if flush:                                   # end of a bounded input closes every window
         history = read_batches(spark, panes_root)
         last = history.agg(F.max("max_et")).first()[0]

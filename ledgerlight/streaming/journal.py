@@ -22,8 +22,10 @@ from .ledger import KeyLedger
 
 def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: DataFrame, cutoff, root: str,
                         checkpoint: str, *, key: str, status: str, version: str, task_kind: str,
-                        timeout_s: float | None = None, compact_every: int = 20):
-    """Start (and, for a bounded source, finish) the finalising stream under ``root``.
+                        timeout_s: float | None = None, compact_every: int = 20,
+                        available_now: bool = True, interval: str = "10 seconds"):
+    """Start (and, with ``available_now``, finish) the finalising stream under ``root``;
+    otherwise it keeps running with a processing-time trigger of ``interval``.
 
     Keys already final and task ids already issued are kept in two
     :class:`KeyLedger` s, so a micro-batch reads a snapshot plus at most
@@ -52,9 +54,10 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
     # run counters per micro-batch (S8): read back from q.recentProgress[i]["observedMetrics"]
     entries = entries.observe("journal_in", F.count(F.lit(1)).alias("rows"),
                               F.count_if(F.col(status) == F.lit(journal.PROVISIONAL)).alias("provisional"))
-    q = (entries.writeStream.foreachBatch(process)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    writer = entries.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    if not available_now:
+        return writer.trigger(processingTime=interval).start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     return q
 

@@ -150,3 +150,26 @@ def test_stream_counters_and_stream_static_lookup(spark):
      .trigger(availableNow=True).start().awaitTermination())
     got = spark.read.parquet(out)
     assert got.count() == orders.count() and got.filter("c_mktsegment IS NULL").count() == 0
+
+
+def test_continuous_finalise_stream_picks_up_new_files(spark):
+    """A running (processing-time) stream finalises files as they arrive."""
+    folder = scratch_path(spark, "test", "orders_live")
+    os.makedirs(folder, exist_ok=True)
+    orders = spark.read.parquet(os.path.join(SF01, "orders.parquet"))
+    lines = spark.read.parquet(os.path.join(SF01, "lineitem.parquet"))
+    dec = journal.decisions_from_lines(lines, "l_orderkey", "l_shipdate")
+    root = scratch_path(spark, "test", "fin_live")
+    orders.filter("o_orderkey % 2 = 0").write.parquet(os.path.join(folder, "a"))
+    stream = file_stream(spark, os.path.join(folder, "*"), ORDERS_SCHEMA)
+    q = sjournal.run_finalise_stream(spark, stream, dec, ntz_literal("1998-01-01 00:00:00"), root, root + "/cp",
+                                     key="o_orderkey", status="o_orderstatus", version="o_orderdate",
+                                     task_kind="t", available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+        orders.filter("o_orderkey % 2 = 1").write.parquet(os.path.join(folder, "b"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    state = sjournal.finalised_state(spark, root, "o_orderkey")
+    assert state.count() == orders.filter("o_orderstatus = 'P'").count()
