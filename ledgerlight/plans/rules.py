@@ -45,9 +45,20 @@ class MetricInputs:
     """The frames the rules read, all derived from one pane aggregate of the
     messages, so the whole rule set scans the events once."""
     messages: DataFrame
-    apps: DataFrame          # hourly (log_app, log_namespace, pane_end, total, errors, warns)
+    apps: DataFrame          # per pane (log_app, log_namespace, pane_end, total, errors, warns)
     replicas: DataFrame
     selftests: DataFrame
+    pane_step: str = standins.PANE
+
+    @staticmethod
+    def from_messages(messages: DataFrame, step: str = standins.PANE, materialize: bool = True) -> "MetricInputs":
+        """Inputs from a log-message table (ts, log_app, log_namespace, log_level, level, ...)."""
+        apps = standins.app_panes(standins.message_panes(messages, step))
+        if materialize:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(apps.sparkSession)
+            apps = apps.checkpoint(eager=True)
+        return MetricInputs(messages, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps), step)
 
     @staticmethod
     def from_events(events: DataFrame, materialize: bool = True) -> "MetricInputs":
@@ -56,13 +67,7 @@ class MetricInputs:
         that small table, so the events are scanned once however many rules
         run -- Spark does not reuse the pane exchange across the union branches
         under AQE, and a lost executor no longer forces a rescan."""
-        msgs = standins.log_messages(events)
-        apps = standins.app_panes(standins.message_panes(msgs))
-        if materialize:
-            from ..session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(apps.sparkSession)
-            apps = apps.checkpoint(eager=True)
-        return MetricInputs(msgs, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps))
+        return MetricInputs.from_messages(standins.log_messages(events), materialize=materialize)
 
 
 @dataclass(frozen=True)
@@ -96,7 +101,7 @@ def high_error_share(inp: MetricInputs, p: RuleParams) -> DataFrame:
     from the shared panes; otherwise from the raw messages.
     """
     keys = ["log_app", "log_namespace"]
-    if seconds(p.step) == seconds(standins.PANE) and seconds(p.window) % seconds(p.step) == 0:
+    if seconds(p.step) == seconds(inp.pane_step) and seconds(p.window) % seconds(p.step) == 0:
         apps = metrics.match_labels(inp.apps, log_app=p.app)
         counts = metrics.slide_panes(apps, keys, p.window, p.step, ["errors", "total"])
         r = metrics.above(counts.withColumn("error_pct", metrics.percent_share("errors", "total")),

@@ -76,12 +76,12 @@ def log_messages(events: DataFrame) -> DataFrame:
 PANE = "1h"
 
 
-def message_panes(msgs: DataFrame) -> DataFrame:
-    """The one aggregation of the raw messages: hourly counts per
+def message_panes(msgs: DataFrame, step: str = PANE) -> DataFrame:
+    """The one aggregation of the raw messages: counts per ``step`` pane and
     (log_app, log_namespace, log_level) -> (..., pane_end, n). Every metric
     stand-in below is derived from this small table, so a plan that needs
-    several of them still scans the messages once (the pane exchange is reused)."""
-    return metrics.pane_counts(msgs, ["log_app", "log_namespace", "log_level"], PANE, {"n": F.count(F.lit(1))})
+    several of them scans the messages once."""
+    return metrics.pane_counts(msgs, ["log_app", "log_namespace", "log_level"], step, {"n": F.count(F.lit(1))})
 
 
 def app_panes(panes: DataFrame) -> DataFrame:
