@@ -145,3 +145,20 @@ def test_hot_series_is_split_across_slices(spark):
     assert copies < 0.2 * df.count()                                    # few copied rows
     got = {(r.series, r.ts): r.increase for r in metrics.counter_increase(df, ["series"], "3h").collect()}
     assert got == brute_increase(rows, 3 * 3600)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.floats(0, 1440), st.sampled_from("ab"), st.booleans()), min_size=1, max_size=80),
+       st.sampled_from([(60, 20), (30, 30), (90, 15)]))
+def test_pane_windows_equal_sliding_window_aggregation(spark, raw, ws):
+    """Windows summed from step panes == Spark's sliding window() over the raw rows."""
+    window_m, step_m = ws
+    rows = [(ts(x), a, "Error" if e else "Info") for x, a, e in raw]
+    m = _msgs(spark, rows)
+    is_err = F.col("lvl") == "Error"
+    got = metrics.windowed_counts(m, ["app"], f"{window_m}m", f"{step_m}m", is_err)
+    w = F.window("ts", f"{window_m} minutes", f"{step_m} minutes")
+    want = (m.groupBy(w.alias("w"), "app").agg(F.count_if(is_err).alias("errors"), F.count(F.lit(1)).alias("total"))
+             .select("app", F.col("w.end").alias("tick"), "errors", "total"))
+    assert sorted(map(tuple, got.select("app", "tick", "errors", "total").collect())) == \
+        sorted(map(tuple, want.collect()))
