@@ -54,11 +54,22 @@ def _docs(spark, sf_dir, fields=None):
     return documents.decode_documents(standins.payload_table(spark, sf_dir), fields=fields)
 
 
-# One document per order: no order of the driver data exceeds PERIODS_PER_DOCUMENT lines
-# (only such orders are split, by a hash salt this SQL does not reproduce).
-SQL_DOC_BASE = """
-WITH l AS (SELECT l_orderkey, 0 AS chunk, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
-           FROM lineitem GROUP BY l_orderkey),
+# Documents per (order, chunk): an order with more than PERIODS_PER_DOCUMENT lines is cut
+# into chunks of that size after ranking its lines by every other column (nulls first).
+# Below SALT_ROWS lines an order has a single salt, so this SQL gives the same chunks;
+# the driver tables stay far below that.
+_LINE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in (
+    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate"))
+SQL_DOC_BASE = f"""
+WITH ln AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS cnt,
+                   row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS rk
+            FROM lineitem),
+l AS (SELECT l_orderkey,
+             CASE WHEN cnt > {standins.PERIODS_PER_DOCUMENT} THEN (rk - 1) // {standins.PERIODS_PER_DOCUMENT}
+                  ELSE 0 END AS chunk,
+             sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
+      FROM ln GROUP BY ALL),
 d AS (SELECT o.*, COALESCE(l.chunk, 0) AS chunk, l.s, l.n FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
 
 _DAGSATS = f"CAST(floor(o_totalprice / {float(standins.WORKDAYS)}) AS INTEGER)"
