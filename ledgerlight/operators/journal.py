@@ -102,21 +102,32 @@ def task_outbox(finalised: DataFrame, key: str, kind: str, created_at: str,
     return tasks
 
 
+def tag_outcome(df: DataFrame, checks: Sequence[tuple[str, Column]], error: str = "error") -> DataFrame:
+    """Add ``error``: the names of the failed ``(name, failed_condition)`` checks,
+    comma separated, or null when all pass."""
+    failed = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in checks])
+    return df.withColumn(error, F.nullif(failed, F.lit("")))
+
+
 def split_outcome(df: DataFrame, checks: Sequence[tuple[str, Column]], error: str = "error"
                   ) -> tuple[DataFrame, DataFrame]:
-    """Split rows by a list of ``(name, failed_condition)`` checks (T5).
+    """Split rows by a list of ``(name, failed_condition)`` checks (T5): ``(ok, error)``.
 
-    ``error`` lists the names of the failed checks (comma separated); rows
-    with none are ok. Both halves come from one projected frame: cache it (or
-    run both writes in one ``foreachBatch``) to scan the input once.
+    Both halves come from one projected frame; to write both in one pass use
+    :func:`ledgerlight.sources.sinks.write_outcomes` (partitioned by outcome).
     """
-    failed = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in checks])
-    tagged = df.withColumn(error, F.nullif(failed, F.lit("")))
+    tagged = tag_outcome(df, checks, error)
     ok = tagged.filter(F.col(error).isNull()).drop(error)
     bad = tagged.filter(F.col(error).isNotNull())
     return ok, bad
 
 
+def _due_at(attempt: str, failed_at: str, backoff: str) -> Column:
+    from ..functions.timefn import seconds
+    wait_s = F.lit(seconds(backoff)) * F.pow(F.lit(2), F.col(attempt) - 1).cast("bigint")
+    return F.timestamp_add("SECOND", wait_s, F.col(failed_at))
+
+
 def retry_due(dead: DataFrame, now, max_attempts: int, backoff: str,
               attempt: str = "attempt", failed_at: str = "failed_at") -> DataFrame:
     """Dead letters due for another attempt at ``now``.
@@ -126,9 +137,27 @@ def retry_due(dead: DataFrame, now, max_attempts: int, backoff: str,
     carries ``next_attempt``. No sleeping on executors: the next run picks up
     whatever is due.
     """
-    from ..functions.timefn import seconds
-    wait_s = F.lit(seconds(backoff)) * F.pow(F.lit(2), F.col(attempt) - 1).cast("bigint")
-    due_at = F.timestamp_add("SECOND", wait_s, F.col(failed_at))
-    return (dead.withColumn("due_at", due_at)
+    return (dead.withColumn("due_at", _due_at(attempt, failed_at, backoff))
                 .filter((F.col(attempt) < F.lit(max_attempts)) & (F.col("due_at") <= F.lit(now)))
                 .withColumn("next_attempt", F.col(attempt) + 1))
+
+
+def retry_round(dead: DataFrame, checks: Sequence[tuple[str, Column]], now, max_attempts: int, backoff: str,
+                attempt: str = "attempt", failed_at: str = "failed_at", error: str = "error"
+                ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One retry pass over a dead-letter table (T6): ``(recovered, dead_next, parked)``.
+
+    Due rows are checked again with the same ``checks``: those that pass are
+    recovered; those that still fail stay dead with ``attempt + 1`` and
+    ``failed_at = now``. Rows not yet due stay as they are; rows that used
+    their last attempt are ``parked`` for manual handling (kept, never
+    dropped). Only filters and projections: no join, no shuffle.
+    """
+    cols = dead.columns
+    tagged = dead.withColumn("__due", (F.col(attempt) < F.lit(max_attempts))
+                             & (_due_at(attempt, failed_at, backoff) <= F.lit(now)))
+    parked = tagged.filter(F.col(attempt) >= F.lit(max_attempts)).select(*cols)
+    waiting = tagged.filter((F.col(attempt) < F.lit(max_attempts)) & ~F.col("__due")).select(*cols)
+    ok, bad = split_outcome(tagged.filter(F.col("__due")).drop("__due", error), checks, error)
+    again = (bad.withColumn(attempt, F.col(attempt) + 1).withColumn(failed_at, F.lit(now)).select(*cols))
+    return ok, waiting.unionByName(again), parked

@@ -62,3 +62,15 @@ def observe_run(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame,
     obs = Observation(name)
     aggs = [F.count(F.lit(1)).alias("rows")] + [F.count_if(c).alias(k) for k, c in counts.items()]
     return df.observe(obs, *aggs), obs
+
+
+def write_outcomes(df: DataFrame, checks, root: str, error: str = "error", mode: str = "append") -> None:
+    """T5 sink: the ok half and the dead-letter half in one pass over ``df``.
+
+    One write partitioned by ``outcome`` (``root/outcome=ok`` and
+    ``root/outcome=dead``): no cache and no second scan, and the dead half keeps
+    the names of its failed checks in ``error``.
+    """
+    from ..operators.journal import tag_outcome
+    out = tag_outcome(df, checks, error).withColumn("outcome", F.when(F.col(error).isNull(), F.lit("ok")).otherwise(F.lit("dead")))
+    out.write.mode(mode).partitionBy("outcome").parquet(root)

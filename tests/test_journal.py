@@ -112,3 +112,30 @@ def test_rule_set_from_a_message_table_at_a_short_step(spark):
     raw = rules.MetricInputs(msgs, inp.apps, inp.replicas, inp.selftests, pane_step="1h")
     b = rules.high_error_share(raw, params["errors"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_retry_round_recovers_requeues_and_parks(spark):
+    rows = [(1, "7", 1, D0), (2, "x", 1, D0), (3, "x", 3, D0), (4, "x", 1, D0 + dt.timedelta(days=5))]
+    dead = spark.createDataFrame([(k, a, n, t, "bad_amount") for k, a, n, t in rows],
+                                 "key int, amount string, attempt int, failed_at timestamp, error string") \
+        .withColumn("failed_at", F.col("failed_at").cast("timestamp_ntz"))
+    checks = [("bad_amount", F.col("amount").try_cast("int").isNull())]
+    now = ntz_literal("2024-01-03 00:00:00")
+    recovered, dead_next, parked = journal.retry_round(dead, checks, now, 3, "1d")
+    assert [r.key for r in recovered.collect()] == [1]
+    nxt = {r.key: (r.attempt, r.failed_at, r.error) for r in dead_next.collect()}
+    assert nxt == {2: (2, dt.datetime(2024, 1, 3), "bad_amount"), 4: (1, D0 + dt.timedelta(days=5), "bad_amount")}
+    assert [r.key for r in parked.collect()] == [3]
+    assert recovered.count() + dead_next.count() + parked.count() == dead.count()     # nothing lost
+
+
+def test_write_outcomes_one_pass_two_folders(spark):
+    from ledgerlight.session import scratch_path
+    from ledgerlight.sources.sinks import write_outcomes
+    df = spark.createDataFrame([(1, "5"), (2, "x"), (3, None)], "key int, amount string")
+    root = scratch_path(spark, "test", "outcomes")
+    write_outcomes(df, [("bad_amount", F.col("amount").isNotNull() & F.col("amount").try_cast("int").isNull()),
+                        ("missing", F.col("amount").isNull())], root)
+    back = spark.read.parquet(root)
+    assert sorted((r.key, r.outcome, r.error) for r in back.collect()) == [
+        (1, "ok", None), (2, "dead", "bad_amount"), (3, "dead", "missing")]
