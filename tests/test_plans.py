@@ -97,3 +97,18 @@ def test_hot_key_in_lookup_join_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(rows) == n and sum(r.name == "c7" for r in rows) == n // 3 + (1 if 7 % 3 else 0)
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_finalise_join_reuses_the_aggregates_partitioning(spark):
+    """Both join inputs are aggregated by the entry key, so the sort-merge join
+    adds no shuffle of its own (two exchanges in total, one per aggregate)."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = REG["finalise"].build(spark, SF001)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 2
