@@ -29,7 +29,8 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
     """Kafka records ``(key, value, topic, partition, offset, timestamp)``.
 
     Needs the ``spark-sql-kafka`` package on the classpath (not bundled
-    here); the reader is only built, so a missing connector fails at start.
+    here); without it ``load()`` raises Spark's "Failed to find data source:
+    kafka" at once.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
