@@ -41,6 +41,26 @@ def render(template: str | None) -> Column:
     return F.concat(*cols) if len(cols) > 1 else cols[0]
 
 
+def render_from_map(template: str | None, labels: Column | str) -> Column:
+    """Like :func:`render`, reading placeholders from a ``map<string,string>`` column."""
+    m = F.col(labels) if isinstance(labels, str) else labels
+    if template is None:
+        return F.lit(None).cast("string")
+    cols = [F.lit(v) if kind == "text" else F.coalesce(F.element_at(m, F.lit(v)), F.lit(""))
+            for kind, v in template_parts(template)]
+    if not cols:
+        return F.lit("")
+    return F.concat(*cols) if len(cols) > 1 else cols[0]
+
+
+def labels_map(labels: list[str]) -> Column:
+    """Label columns -> ``map<string,string>`` (keys sorted)."""
+    pairs = []
+    for k in sorted(labels):
+        pairs += [F.lit(k), F.col(k).cast("string")]
+    return F.create_map(*pairs)
+
+
 def labels_text(labels: list[str]) -> Column:
     """Canonical label set text ``k1=v1,k2=v2`` with keys sorted."""
     return F.concat_ws(",", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("")))

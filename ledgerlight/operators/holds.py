@@ -9,11 +9,15 @@ Classic gaps-and-islands needs a running sum from the start of the series,
 i.e. one task per series. Everything here is a *bounded* range frame instead,
 so the series can be cut into time slices (hot series spread over tasks):
 
-* ``brk(u)``  no tick in ``[u - step, u)``            (u starts an episode)
-* ``held(t)`` no ``brk`` in ``(t - hold, t]``         (t - start >= hold)
-* ``start(t)``latest ``brk`` in ``[t - hold - step, t]`` (exact when t fires)
-* fires at ``t`` when ``held(t)`` and the previous tick ``p`` has
-  ``p - start < hold`` (for ``hold = 0``: when ``brk(t)``)
+* ``brk(u)``   no tick in ``[u - step, u)``                 (u starts an episode)
+* ``last(t)``  latest ``brk`` in ``[t - H - step, t]``       (H = the largest hold)
+* fires at ``t`` when ``t - last >= hold`` and the previous tick ``p`` has
+  ``p - last < hold`` (for ``hold = 0``: when ``brk(t)``); ``start = last``.
+  No ``last`` in the frame means the episode began more than ``H + step``
+  ago, so it was already held at ``p`` and does not fire again.
+
+Because the hold enters only as a comparison, it may differ per row: rules
+with different ``for`` durations share one pass (frames sized by the largest).
 """
 
 from __future__ import annotations
@@ -28,41 +32,39 @@ from . import slicing
 
 
 def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
-              ts: str = "tick", slice_seconds: int | None = None) -> DataFrame:
+              ts: str = "tick", slice_seconds: int | None = None, hold_col: str | None = None) -> DataFrame:
     """Rows of ``ticks`` at which a held condition fires, with ``start`` and ``fires_at``.
 
     Output: the input columns of the firing tick plus ``start`` (first tick of
     the episode) and ``fires_at`` (= the tick). Requires one row per series and tick.
-    ``slice_seconds`` overrides the slice length (default: 16 look-backs, at least a day).
+    ``hold_col`` (seconds, per row) lets series with different holds share one
+    pass; ``hold`` is then the largest of them. ``slice_seconds`` overrides the
+    slice length (default: 16 look-backs, at least a day).
     """
     hold_us = seconds(hold) * 1_000_000
     step_us = seconds(step) * 1_000_000
     if step_us <= 0 or hold_us < 0:
         raise ValueError("step must be > 0 and hold >= 0")
     lookback = hold_us + 2 * step_us
+    h = F.col(hold_col).cast("bigint") * F.lit(1_000_000) if hold_col else F.lit(hold_us)
     df = ticks.withColumn("__t", epoch_micros(ts))
     slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(lookback)
     df = slicing.add_time_slices(df, "__t", lookback, slice_us)
     by_time = Window.partitionBy(*slicing.sliced_partition(*series)).orderBy("__t")
 
-    df = df.withColumn("__brk", (F.count(F.lit(1)).over(by_time.rangeBetween(-step_us, -1)) == 0)
-                       .cast("int"))
-    if hold_us == 0:
-        fires = F.col("__brk") == 1
-        start = F.col("__t")
-    else:
-        held = F.sum("__brk").over(by_time.rangeBetween(-(hold_us - 1), 0)) == 0
-        start = F.max(F.when(F.col("__brk") == 1, F.col("__t"))).over(
-            by_time.rangeBetween(-(hold_us + step_us), 0))
-        prev = F.lag("__t").over(by_time)
-        df = df.withColumn("__held", held).withColumn("__start", start).withColumn("__prev", prev)
-        fires = (F.col("__held") & F.col("__start").isNotNull()
-                 & ((F.col("__prev") - F.col("__start")) < F.lit(hold_us)))
-        start = F.col("__start")
-    out = (df.withColumn("__fires", fires)
-             .withColumn("__s", start)
+    # brk: no tick in [t - step, t) -- t opens an episode
+    df = df.withColumn("__brk", F.count(F.lit(1)).over(by_time.rangeBetween(-step_us, -1)) == 0)
+    # the latest episode start at or before t, if within the largest hold (+ one step)
+    last = F.max(F.when(F.col("__brk"), F.col("__t"))).over(by_time.rangeBetween(-(hold_us + step_us), 0))
+    df = df.withColumn("__last", last).withColumn("__prev", F.lag("__t").over(by_time))
+    # held at t: t - start >= hold; first such tick: the previous tick was not held yet.
+    # An episode older than the look-back has no __last and was held already.
+    fires = F.when(h == 0, F.col("__brk")).otherwise(
+        F.col("__last").isNotNull() & ((F.col("__t") - F.col("__last")) >= h)
+        & ((F.col("__prev") - F.col("__last")) < h))
+    start = F.when(h == 0, F.col("__t")).otherwise(F.col("__last"))
+    out = (df.withColumn("__fires", fires).withColumn("__s", start)
              .filter(F.col(slicing.OWN) & F.col("__fires")))
     out = out.withColumn("start", F.timestamp_add("MICROSECOND", F.col("__s") - F.col("__t"), F.col(ts)))
     out = out.withColumn("fires_at", F.col(ts))
-    return out.drop("__t", "__brk", "__held", "__start", "__prev", "__fires", "__s",
-                    slicing.SLICE, slicing.OWN)
+    return out.drop("__t", "__brk", "__last", "__prev", "__fires", "__s", slicing.SLICE, slicing.OWN)

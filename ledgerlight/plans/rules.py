@@ -17,7 +17,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.templates import labels_text, render
+from ..functions.templates import labels_map, labels_text, render, render_from_map
 from ..functions.timefn import seconds
 from ..operators import holds, metrics
 from . import standins
@@ -138,8 +138,42 @@ def fired(rule: Rule, inp: MetricInputs, params: RuleParams) -> DataFrame:
 
 def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
                rules: Sequence[str] | None = None) -> DataFrame:
-    """Every rule of the set -> one alert list."""
-    frames = [fired(RULES[name], inp, params[name]) for name in (rules or RULES)]
+    """Every rule of the set -> one alert list.
+
+    The condition ticks of all rules are unioned first, keyed by (rule, label
+    text) with the labels carried as a map, so one held-condition pass (one
+    shuffle) serves any number of rules; the texts are rendered from the map.
+    Each row carries its rule's hold, so rules with different ``for``
+    durations share the pass; only rules with a different evaluation step
+    need a pass of their own.
+    """
+    names = list(rules or RULES)
+    groups: dict[int, list[str]] = {}
+    for name in names:
+        groups.setdefault(seconds(params[name].step), []).append(name)
+    frames = []
+    for step_s, members in groups.items():
+        ticks = None
+        for name in members:
+            rule = RULES[name]
+            t = rule.condition(inp, params[name]).select(
+                F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
+                labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
+                F.lit(seconds(params[name].hold)).alias("__hold"))
+            ticks = t if ticks is None else ticks.unionByName(t)
+        max_hold = max(seconds(params[name].hold) for name in members)
+        firing = holds.sustained(ticks, ["__rule", "labels"], f"{max_hold}s", f"{step_s}s", ts="tick",
+                                 hold_col="__hold")
+        alert = action = description = None
+        for name in members:
+            rule, is_rule = RULES[name], F.col("__rule") == F.lit(name)
+            alert = (F.when(is_rule, F.lit(rule.alert)) if alert is None else alert.when(is_rule, F.lit(rule.alert)))
+            a = render_from_map(rule.action, "__lbl")
+            d = render_from_map(rule.description, "__lbl")
+            action = F.when(is_rule, a) if action is None else action.when(is_rule, a)
+            description = F.when(is_rule, d) if description is None else description.when(is_rule, d)
+        frames.append(firing.select(alert.alias("alert"), "labels", "start", "fires_at", "value",
+                                    action.alias("action"), description.alias("description")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -79,3 +79,19 @@ def test_matches_brute_force_on_irregular_ticks(spark, raw, hold_s, step_s, slic
     rows = sorted({(s, m(x / 2), 1.0) for s, x in raw})   # half-minute grid, irregular gaps
     got = fired(spark, rows, f"{hold_s}s", f"{step_s}s", slice_seconds=slice_s) if rows else []
     assert got == brute(rows, hold_s, step_s)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 300)), max_size=80),
+       st.sampled_from([0, 60, 150]), st.sampled_from([60, 300, 90]), st.sampled_from([None, 600]))
+def test_per_row_holds_in_one_pass(spark, raw, hold_a, hold_b, slice_s):
+    """Series with different holds evaluated together equal each evaluated alone."""
+    rows = sorted({(s, m(x / 2), 1.0) for s, x in raw})
+    if not rows:
+        return
+    holds_by = {"a": hold_a, "b": hold_b}
+    df = frame(spark, rows).withColumn("h", F.when(F.col("s") == "a", hold_a).otherwise(hold_b))
+    out = holds.sustained(df, ["s"], f"{max(hold_a, hold_b)}s", "60s", slice_seconds=slice_s, hold_col="h")
+    got = sorted((r.s, r.start, r.fires_at) for r in out.collect())
+    want = sorted(x for s in "ab" for x in brute([r for r in rows if r[0] == s], holds_by[s], 60))
+    assert got == want
