@@ -34,7 +34,7 @@ def _stream_ticks(spark, sf_dir):
     agg = salerts.error_counts(msgs, qa.KEYS, qa.WINDOW, qa.STEP, DELAY, F.col("log_level") == "Error")
     root = scratch_path(spark, "streams", "error_ratio")
     salerts.run_update_stream(agg, root + "/ticks", root + "/checkpoint")
-    return salerts.current_ticks(spark, root + "/ticks", qa.KEYS)
+    return salerts.current_ticks(spark, root + "/ticks", qa.KEYS, schema=agg.schema)
 
 
 @register("stream_error_ratio", "T1 A3 F4 F3", qa.SQL_ERROR_COUNTS + " SELECT * FROM ratio")
@@ -61,12 +61,15 @@ def q_stream_finalise(spark, sf_dir):
     sjournal.run_finalise_stream(spark, entries, dec, ntz_literal(qj.CUTOFF), root, root + "/checkpoint",
                                  key="o_orderkey", status="o_orderstatus", version="o_orderdate",
                                  task_kind=qj.TASK_KIND)
-    return sjournal.finalised_state(spark, root, "o_orderkey")
+    out_schema = journal.finalise(spark.createDataFrame([], ORDERS_SCHEMA), dec, ntz_literal(qj.CUTOFF),
+                                  key="o_orderkey", status="o_orderstatus", version="o_orderdate").schema
+    return sjournal.finalised_state(spark, root, "o_orderkey", schema=out_schema)
 
 
 @register("stream_log_to_json", "S5 S6 J2 F5 X2 (stream)", ql.SQL_ROUTE + ql.SQL_LOG_JSON)
 def q_stream_log_to_json(spark, sf_dir):
     events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
     root = scratch_path(spark, "streams", "logs")
-    slogs.run_routing_stream(standins.log_messages(events), root + "/out", root + "/checkpoint")
-    return spark.read.parquet(root + "/out").select("event_id", "sink", "value")
+    msgs = standins.log_messages(events)
+    slogs.run_routing_stream(msgs, root + "/out", root + "/checkpoint")
+    return slogs.read_routed(spark, root + "/out", msgs).select("event_id", "sink", "value")

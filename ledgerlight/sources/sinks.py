@@ -45,11 +45,19 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> str:
 
 
 def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """All micro-batch outputs with their ``batch`` id (from the folder name)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.option("basePath", root).parquet(os.path.join(root, "batch=*"))
+    """All micro-batch outputs with their ``batch`` id (from the folder name).
+
+    A stream that saw no data wrote no batch: with ``schema`` (the batch
+    rows' schema) that reads as an empty frame instead of an error.
+    """
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    try:
+        return spark.read.option("basePath", root).parquet(os.path.join(root, "batch=*"))
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("batch", IntegerType())]))
 
 
 def observe_run(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:

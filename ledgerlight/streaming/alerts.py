@@ -78,10 +78,11 @@ def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available
     return q
 
 
-def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batches: DataFrame | None = None
-                  ) -> DataFrame:
-    """Latest value of every (keys, tick) over all batch outputs."""
-    b = read_batches(spark, sink_root) if batches is None else batches
+def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batches: DataFrame | None = None,
+                  schema=None) -> DataFrame:
+    """Latest value of every (keys, tick) over all batch outputs (``schema``: the
+    stream's row schema, for a stream that wrote nothing)."""
+    b = read_batches(spark, sink_root, schema) if batches is None else batches
     from ..operators.journal import latest_per_key
     return latest_per_key(b, [*keys, "tick"], "batch").drop("batch", "max_et")
 
@@ -157,7 +158,7 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
     if not available_now:
         return q
     if flush:                                   # end of a bounded input closes every window
-        history = read_batches(spark, panes_root)
+        history = read_batches(spark, panes_root, panes.schema)
         last = history.agg(F.max("max_et")).first()[0]
         closed = None if last is None else last - delay_td
         from ..operators.journal import latest_per_key

@@ -62,7 +62,8 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
     return q
 
 
-def finalised_state(spark: SparkSession, root: str, key: str) -> DataFrame:
-    """Current outcome per key: the row from the latest batch that touched it."""
-    b = read_batches(spark, os.path.join(root, "finalised"))
+def finalised_state(spark: SparkSession, root: str, key: str, schema=None) -> DataFrame:
+    """Current outcome per key: the row from the latest batch that touched it
+    (``schema``: the finalise output schema, for a stream that wrote nothing)."""
+    b = read_batches(spark, os.path.join(root, "finalised"), schema)
     return journal.latest_per_key(b, key, "batch").drop("batch")

@@ -28,3 +28,14 @@ def run_routing_stream(messages: DataFrame, out_root: str, checkpoint: str,
          .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     return q
+
+
+def read_routed(spark, out_root: str, messages: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:
+    """What :func:`run_routing_stream` wrote; empty (same schema) when no data ever arrived."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(out_root)
+    except AnalysisException:
+        routed = routing.log_records(routing.route_logs(
+            messages.select(*keep, "ts", "logger", "level", "message"), routing.DEFAULT_ROUTES))
+        return spark.createDataFrame([], routed.schema)
