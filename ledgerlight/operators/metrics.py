@@ -81,7 +81,8 @@ def pane_counts(msgs: DataFrame, keys: Sequence[str], step: str, aggs: Mapping[s
     step, so only (keys x panes) rows per map task reach the shuffle.
     """
     p = F.window(ts, interval_text(step))
-    return (msgs.groupBy(p.alias("__p"), *keys)
+    # a row without event time belongs to no window (window() would give it a null one)
+    return (msgs.filter(F.col(ts).isNotNull()).groupBy(p.alias("__p"), *keys)
                 .agg(*[c.alias(name) for name, c in aggs.items()])
                 .select(*keys, F.col("__p.end").alias("pane_end"), *aggs))
 
@@ -118,7 +119,7 @@ def windowed_counts(msgs: DataFrame, keys: Sequence[str], window: str, step: str
         panes = pane_counts(msgs, keys, step, {"total": F.count(F.lit(1)), "errors": F.count_if(error_cond)}, ts)
         return slide_panes(panes, keys, window, step, ["errors", "total"]).select(*keys, "tick", "errors", "total")
     w = F.window(ts, interval_text(window), interval_text(step))
-    return (msgs.groupBy(w.alias("__w"), *keys)
+    return (msgs.filter(F.col(ts).isNotNull()).groupBy(w.alias("__w"), *keys)
                 .agg(F.count(F.lit(1)).alias("total"),
                      F.count_if(error_cond).alias("errors"))
                 .select(*keys, F.col("__w.end").alias("tick"), "errors", "total"))
@@ -147,6 +148,7 @@ def error_ratio_join(msgs: DataFrame, keys: Sequence[str], window: str, step: st
     broadcast hash join when one side is small at run time.
     """
     w = F.window(ts, interval_text(window), interval_text(step))
+    msgs = msgs.filter(F.col(ts).isNotNull())
     num = (msgs.filter(error_cond).groupBy(w.alias("__w"), *keys)
                .agg(F.count(F.lit(1)).alias("errors"))
                .select(*keys, F.col("__w.end").alias("tick"), "errors"))

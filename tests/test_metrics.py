@@ -162,3 +162,20 @@ def test_pane_windows_equal_sliding_window_aggregation(spark, raw, ws):
              .select("app", F.col("w.end").alias("tick"), "errors", "total"))
     assert sorted(map(tuple, got.select("app", "tick", "errors", "total").collect())) == \
         sorted(map(tuple, want.collect()))
+
+
+def test_rows_without_time_or_labels(spark):
+    """No event time: in no window. Null labels: a series of their own. Never an error."""
+    rows = [(ts(10), "a", "Error"), (None, "a", "Error"), (ts(20), None, "Info"), (ts(30), "a", None)]
+    m = _msgs(spark, rows)
+    is_err = F.col("lvl") == "Error"
+    for step in ("1h", "20m"):          # pane path (window a multiple of step)
+        got = sorted(((r.app or ""), r.tick, r.errors, r.total)
+                     for r in metrics.windowed_counts(m, ["app"], "1h", step, is_err).collect()
+                     if r.tick == ts(60))
+        assert got == [("", ts(60), 0, 1), ("a", ts(60), 1, 2)]
+    direct = metrics.windowed_counts(m, ["app"], "45m", "30m", is_err).collect()   # direct window() path
+    assert direct and all(r.tick is not None for r in direct)
+    assert sum(r.total for r in direct) == 3 * 2          # each timed row lies in two 45m/30m windows
+    j = metrics.error_ratio_join(m, ["app"], "1h", "1h", is_err, 0.0).collect()
+    assert [(r.app, r.errors, r.total) for r in j] == [("a", 1, 2)]
