@@ -47,7 +47,7 @@ def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
         raise ValueError("step must be > 0 and hold >= 0")
     lookback = hold_us + 2 * step_us
     h = F.col(hold_col).cast("bigint") * F.lit(1_000_000) if hold_col else F.lit(hold_us)
-    df = ticks.withColumn("__t", epoch_micros(ts))
+    df = ticks.filter(F.col(ts).isNotNull()).withColumn("__t", epoch_micros(ts))
     slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(lookback)
     df = slicing.add_time_slices(df, "__t", lookback, slice_us)
     by_time = Window.partitionBy(*slicing.sliced_partition(*series)).orderBy("__t")

@@ -169,6 +169,7 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
     ``d_i = v_i - v_{i-1}`` when non-negative, else ``v_i`` (a reset restarts at
     zero); ``increase(t) = sum(d) - first(d)`` over the frame, i.e. the sum of
     the steps whose both ends lie inside it. Fewer than two samples -> null.
+    Rows without time or value are not samples and are left out.
 
     The frame is bounded, so the series is split into time slices (see
     :mod:`slicing`) and a hot series is processed by many tasks.
@@ -178,7 +179,8 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
     if w_us <= 0:
         raise ValueError("window must be positive")
     slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(w_us)
-    df = samples.withColumn("__t", epoch_micros(ts))
+    # a sample needs a time and a value; anything else is not a sample
+    df = samples.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).withColumn("__t", epoch_micros(ts))
     df = slicing.add_time_slices(df, "__t", w_us, slice_us)
     part = slicing.sliced_partition(*series)
     by_time = Window.partitionBy(*part).orderBy("__t")

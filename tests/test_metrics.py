@@ -182,3 +182,10 @@ def test_rows_without_time_or_labels(spark):
     assert sum(r.total for r in direct) == expect
     j = metrics.error_ratio_join(m, ["app"], "1h", "1h", is_err, 0.0).collect()
     assert [(r.app, r.errors, r.total) for r in j] == [("a", 1, 2)]
+
+
+def test_counter_samples_without_value_are_left_out(spark):
+    rows = [("s", ts(0), 1.0), ("s", ts(1), None), ("s", ts(2), 4.0), ("s", None, 9.0)]
+    df = ntz(spark, rows, "series string, ts timestamp, value double")
+    got = {r.ts: r.increase for r in metrics.counter_increase(df, ["series"], "5m").collect()}
+    assert got == {ts(0): None, ts(2): 3.0}
