@@ -31,7 +31,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="ledgerlight-bench",
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="ledgerlight-bench",
                           extra={"spark.driver.memory": "16g"})
     reg = load_all()
     names = [n for n in reg if not only or n in only]
