@@ -109,8 +109,3 @@ def log_records(df: DataFrame, ts: str = "ts", message: str = "message", logger:
     keep = [c for c in df.columns if c not in (ts, message, logger, level)]
     return df.select(*keep, F.to_json(rec).alias(out))
 
-
-def to_json_lines(df: DataFrame, columns: Sequence[str] | None = None, out: str = "value") -> DataFrame:
-    """Struct -> one JSON text per row (X2); the columns keep their names as keys."""
-    cols = list(columns or df.columns)
-    return df.select(F.to_json(F.struct(*cols)).alias(out))

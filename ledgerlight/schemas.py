@@ -59,14 +59,7 @@ DOCUMENT_DDL_PERMISSIVE = document_ddl()
 #: the small JSON object in ``events.props``
 PROPS_DDL = f"k int, {CORRUPT} string"
 
-#: journal entry (generic stand-in: the record schema of the stream is absent)
-JOURNAL_SCHEMA = T.StructType([
-    T.StructField("key", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("version", T.TimestampNTZType()),
-    T.StructField("payload", T.StringType()),
-])
-
+#: journal entry as JSON (generic stand-in: the record schema of the stream is absent)
 JOURNAL_DDL = f"key bigint, status string, version timestamp_ntz, payload string, {CORRUPT} string"
 
 #: long metric samples (FIXTURES 2): one row per (metric, label set, time)

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.routing import to_json_lines
 
 
 def write_routed_logs(routed: DataFrame, path: str, columns: Sequence[str], sink: str = "sink",
@@ -28,10 +27,6 @@ def write_routed_logs(routed: DataFrame, path: str, columns: Sequence[str], sink
     out.write.mode(mode).partitionBy(sink).text(path)
 
 
-def write_json_lines(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "append") -> None:
-    to_json_lines(df, columns).write.mode(mode).text(path)
-
-
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
     """Alert list -> Parquet table (S7); the chat delivery itself is outside Spark."""
     alerts.write.mode(mode).parquet(path)

@@ -174,9 +174,6 @@ def error_ratio_from_ticks(ticks: DataFrame, threshold: float) -> DataFrame:
         "tick", "errors", "total", "error_pct")
 
 
-def held_from_ticks(ratio: DataFrame, keys: Sequence[str], hold: str, step: str,
-                    closed_until: Column | None = None) -> DataFrame:
-    """Episodes of passing, *closed* ticks that held for ``hold``."""
-    if closed_until is not None:
-        ratio = ratio.filter(F.col("tick") <= closed_until)
+def held_from_ticks(ratio: DataFrame, keys: Sequence[str], hold: str, step: str) -> DataFrame:
+    """Episodes of passing ticks that held for ``hold``."""
     return holds.sustained(ratio, keys, hold, step, ts="tick")
