@@ -204,7 +204,7 @@ UNION ALL
 {_sql_alert('selftest', 'a3', ['app', 'kubernetes_namespace'], rules.RULES['selftest'])}"""
 
 
-@register("alerts_all", "U1 X10 S7 W3 F1-F4", SQL_ALERTS)
+@register("alerts_all", "U1 X10 S7 W3 F1-F4 F7", SQL_ALERTS)
 def q_alerts_all(spark, sf_dir):
     inp = rules.MetricInputs.from_events(table(spark, sf_dir, "events"))
     return rules.alerts_all(inp, _rule_params())
