@@ -18,10 +18,11 @@ from ..sources.streams import file_stream
 from ..streaming import alerts as salerts
 from ..streaming import journal as sjournal
 from ..streaming import logs as slogs
+from ..streaming import rules as srules
 from . import queries_alerts as qa
 from . import queries_journal as qj
 from . import queries_logs as ql
-from . import standins
+from . import rules, standins
 from .catalog import register, table
 
 #: watermark delay: the bounded test stream arrives in order
@@ -73,3 +74,11 @@ def q_stream_log_to_json(spark, sf_dir):
     msgs = standins.log_messages(events)
     slogs.run_routing_stream(msgs, root + "/out", root + "/checkpoint")
     return slogs.read_routed(spark, root + "/out", msgs).select("event_id", "sink", "value")
+
+
+@register("stream_alerts_all", "U1 T1 T2 W3 X10 S7 (stream)", qa.SQL_ALERTS)
+def q_stream_alerts_all(spark, sf_dir):
+    events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
+    fired = srules.run_rule_stream(spark, standins.log_messages(events), scratch_path(spark, "streams", "rules"),
+                                   qa._rule_params(), delay=DELAY, step=qa.STEP)
+    return fired.select(*rules.ALERT_COLUMNS)

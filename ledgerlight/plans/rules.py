@@ -137,7 +137,7 @@ def fired(rule: Rule, inp: MetricInputs, params: RuleParams) -> DataFrame:
 
 
 def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
-               rules: Sequence[str] | None = None) -> DataFrame:
+               rules: Sequence[str] | None = None, where=None) -> DataFrame:
     """Every rule of the set -> one alert list.
 
     The condition ticks of all rules are unioned first, keyed by (rule, label
@@ -145,7 +145,8 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
     shuffle) serves any number of rules; the texts are rendered from the map.
     Each row carries its rule's hold, so rules with different ``for``
     durations share the pass; only rules with a different evaluation step
-    need a pass of their own.
+    need a pass of their own. ``where`` (over ``tick``) bounds the condition
+    ticks first -- the incremental stream evaluates a recent range only.
     """
     names = list(rules or RULES)
     groups: dict[int, list[str]] = {}
@@ -160,6 +161,8 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
                 F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
                 labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
                 F.lit(seconds(params[name].hold)).alias("__hold"))
+            if where is not None:
+                t = t.filter(where)
             ticks = t if ticks is None else ticks.unionByName(t)
         max_hold = max(seconds(params[name].hold) for name in members)
         firing = holds.sustained(ticks, ["__rule", "labels"], f"{max_hold}s", f"{step_s}s", ts="tick",

@@ -87,51 +87,39 @@ def current_ticks(spark: SparkSession, sink_root: str, keys: Sequence[str], batc
     return latest_per_key(b, [*keys, "tick"], "batch").drop("batch", "max_et")
 
 
-def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Sequence[str], *,
-                     window: str, step: str, delay: str, threshold: float, hold: str, flush: bool = True,
-                     compact_every: int = 20, timeout_s: float | None = None,
-                     available_now: bool = True, interval: str = "10 seconds"):
-    """T1 + T2 on a stream of :func:`error_panes`: panes under ``root/panes``,
-    firings under ``root/fired``.
-
-    Per micro-batch: record the changed panes in a :class:`RowLedger`, move the
-    closed mark to ``max event time - delay``, sum the windows from the panes
-    they cover and evaluate the held condition for the ticks closed since the
-    previous batch (plus the ``hold + 2 * step`` look-back), writing the
-    firings under the batch id. Returns all firings (after the optional
-    end-of-input flush); with ``available_now=False`` the query keeps running
-    and the running ``StreamingQuery`` is returned instead (firings keep
-    arriving under ``root/fired``).
+def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys: Sequence[str], *,
+                    fire, span: str, lookback: str, delay: str, flush: bool = True, compact_every: int = 20,
+                    timeout_s: float | None = None, available_now: bool = True, interval: str = "10 seconds"):
+    """The incremental core of the alert streams.
+
+    ``panes`` is a streaming aggregate with ``pane_end`` and ``max_et`` per
+    (``pane_keys``, pane). Per micro-batch the changed panes go to a
+    :class:`RowLedger`; the closed mark moves to ``max event time - delay``;
+    ``fire(pane_rows, lo, hi)`` returns the firings with ``lo < fires_at <= hi``
+    from the panes of ``(lo - lookback - span, hi]`` and is written under the
+    batch id. ``span`` is the longest window summed from panes, ``lookback``
+    how far a firing decision looks back over ticks. Returns all firings (after
+    the optional end-of-input flush), or the running query when not
+    ``available_now``.
     """
     import datetime as dt
     import os
 
     from ..functions.timefn import seconds
+    from ..operators.journal import latest_per_key
     from .ledger import RowLedger
 
     panes_root, fired_root = os.path.join(root, "panes"), os.path.join(root, "fired")
     delay_td = dt.timedelta(seconds=seconds(delay))
-    lookback = dt.timedelta(seconds=seconds(hold) + 2 * seconds(step))
-    span = dt.timedelta(seconds=seconds(window))
-    ledger = RowLedger(spark, panes_root, [*keys, "pane_end"], compact_every)
+    reach = dt.timedelta(seconds=seconds(lookback) + seconds(span))
+    ledger = RowLedger(spark, panes_root, [*pane_keys, "pane_end"], compact_every)
 
     def at(t: dt.datetime):
         return ntz_literal(t.isoformat(sep=" "))        # wall clock, no session zone involved
 
-    def fire(pane_rows: DataFrame, lo, hi) -> DataFrame:
-        """Firings with ``lo < fires_at <= hi`` from panes covering the windows
-        that end in ``(lo - lookback, hi]``."""
-        ticks = metrics.slide_panes(pane_rows, keys, window, step, ["errors", "total"])
-        if lo is not None:                     # earlier windows may miss panes: drop them
-            ticks = ticks.filter(F.col("tick") > at(lo - lookback))
-        if hi is not None:
-            ticks = ticks.filter(F.col("tick") <= at(hi))
-        fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
-        return fired.filter(F.col("fires_at") > at(lo)) if lo is not None else fired
-
     def pane_range(lo, hi):
         cond = F.col("pane_end") <= at(hi) if hi is not None else F.lit(True)
-        return cond & (F.col("pane_end") > at(lo - lookback - span)) if lo is not None else cond
+        return cond & (F.col("pane_end") > at(lo - reach)) if lo is not None else cond
 
     def max_et(df: DataFrame | None):
         return None if df is None else df.agg(F.max("max_et")).first()[0]
@@ -144,14 +132,13 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
             prev = None if prev_max is None else prev_max - delay_td
             now = None if not marks else max(marks) - delay_td
             # keep what this batch's and every later evaluation reads
-            ledger.record(batch_df, batch_id,
-                          retain=None if prev is None else F.col("pane_end") > at(prev - lookback - span))
+            ledger.record(batch_df, batch_id, retain=None if prev is None else F.col("pane_end") > at(prev - reach))
         finally:
             batch_df.unpersist()
         if now is not None and (prev is None or now > prev):
             rows = ledger.rows_before(batch_id + 1, where=pane_range(prev, now))
             if rows is not None:
-                write_batch(fire(rows, prev, now), fired_root, batch_id)
+                write_batch(fire(rows, None if prev is None else at(prev), at(now)), fired_root, batch_id)
 
     q = run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                           writer_fn=process, available_now=available_now, interval=interval)
@@ -160,13 +147,35 @@ def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Seq
     if flush:                                   # end of a bounded input closes every window
         history = read_batches(spark, panes_root, panes.schema)
         last = history.agg(F.max("max_et")).first()[0]
-        closed = None if last is None else last - delay_td
-        from ..operators.journal import latest_per_key
-        every = latest_per_key(history, [*keys, "pane_end"], "batch").drop("batch")
+        closed = None if last is None else at(last - delay_td)
+        every = latest_per_key(history, [*pane_keys, "pane_end"], "batch").drop("batch")
         fire(every, closed, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
     return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")
 
 
+def run_alert_stream(spark: SparkSession, panes: DataFrame, root: str, keys: Sequence[str], *,
+                     window: str, step: str, delay: str, threshold: float, hold: str, flush: bool = True,
+                     compact_every: int = 20, timeout_s: float | None = None,
+                     available_now: bool = True, interval: str = "10 seconds"):
+    """T1 + T2 on a stream of :func:`error_panes`: the error share summed from
+    panes, held for ``hold``; firings per micro-batch (see :func:`run_incremental`)."""
+    from ..functions.timefn import seconds
+    look = f"{seconds(hold) + 2 * seconds(step)}s"
+
+    def fire(pane_rows: DataFrame, lo, hi) -> DataFrame:
+        ticks = metrics.slide_panes(pane_rows, keys, window, step, ["errors", "total"])
+        if lo is not None:                     # earlier windows may miss panes: drop them
+            ticks = ticks.filter(F.col("tick") > F.timestamp_add("SECOND", F.lit(-seconds(look)), lo))
+        if hi is not None:
+            ticks = ticks.filter(F.col("tick") <= hi)
+        fired = held_from_ticks(error_ratio_from_ticks(ticks, threshold), keys, hold, step)
+        return fired.filter(F.col("fires_at") > lo) if lo is not None else fired
+
+    return run_incremental(spark, panes, root, keys, fire=fire, span=window, lookback=look, delay=delay,
+                           flush=flush, compact_every=compact_every, timeout_s=timeout_s,
+                           available_now=available_now, interval=interval)
+
+
 def error_ratio_from_ticks(ticks: DataFrame, threshold: float) -> DataFrame:
     r = ticks.drop("max_et").withColumn("error_pct", metrics.percent_share("errors", "total"))
     return metrics.above(r, "error_pct", threshold).select(

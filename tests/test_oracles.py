@@ -37,7 +37,7 @@ def test_entry_contract(spark):
     assert df.columns == ["alert", "labels", "start", "fires_at", "value", "action", "description"]
     assert df.count() >= 0
     qs, sqls = entry_module.queries(), entry_module.oracle_sql()
-    assert set(sqls) <= set(qs) and len(qs) >= 29
+    assert set(sqls) <= set(qs) and len(qs) >= 30
     # every oracle names its columns like the Spark query
     con = duck(SF001)
     for name, sql in sqls.items():

@@ -173,3 +173,20 @@ def test_continuous_finalise_stream_picks_up_new_files(spark):
         q.stop()
     state = sjournal.finalised_state(spark, root, "o_orderkey")
     assert state.count() == orders.filter("o_orderstatus = 'P'").count()
+
+
+def test_rule_set_stream_equals_batch_rule_set(spark):
+    from ledgerlight.plans import rules
+    from ledgerlight.streaming import rules as srules
+    folder = scratch_path(spark, "test", "events_rules")
+    _time_ordered_files(spark, os.path.join(SF01, "events.parquet"), folder, 5, "ts")
+    params = rules.params_for("app-0", step="1h", errors={"window": "3h", "threshold": 25.0, "hold": "3h"})
+    stream = file_stream(spark, folder, EVENTS_SCHEMA, glob="*.parquet", max_files_per_trigger=1)
+    root = scratch_path(spark, "test", "rule_stream")
+    got = srules.run_rule_stream(spark, standins.log_messages(stream), root, params, delay="1h", compact_every=2)
+    batch = rules.alerts_all(rules.MetricInputs.from_events(spark.read.parquet(os.path.join(SF01, "events.parquet"))),
+                             params)
+    cols = rules.ALERT_COLUMNS
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+    by_batch = read_batches(spark, os.path.join(root, "fired")).groupBy("batch").count().collect()
+    assert sum(r["count"] for r in by_batch if r["batch"] != "flush") > batch.count() // 2
