@@ -149,7 +149,8 @@ def q_sum_by(spark, sf_dir):
 # ------------------------------------------------------------------ the rule set
 
 def _rule_params():
-    return rules.params_for(APP, step=STEP,
+    # the rule set for every app at once (app=None): the whole events table, app kept as a label
+    return rules.params_for(None, step=STEP,
                             errors={"window": WINDOW, "threshold": THRESHOLD, "hold": HOLD})
 
 
@@ -191,9 +192,9 @@ SQL_ALERTS = SQL_ERROR_COUNTS + f""",
 rg AS ({standins.sql_replica_gauge()}),
 sg AS ({standins.sql_selftest_gauge()}),
 c1 AS (SELECT deployment, namespace, job, ts AS tick, value FROM rg
-       WHERE deployment = '{APP}' AND job = '{standins.SERVICE_JOB}' AND value > 0),
-c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM ratio WHERE log_app = '{APP}'),
-c3 AS (SELECT app, kubernetes_namespace, ts AS tick, value FROM sg WHERE app = '{APP}' AND value > 0),
+       WHERE job = '{standins.SERVICE_JOB}' AND value > 0),
+c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM ratio),
+c3 AS (SELECT app, kubernetes_namespace, ts AS tick, value FROM sg WHERE value > 0),
 a1 AS {_sql_islands('c1', ['deployment', 'namespace', 'job'], 'INTERVAL 2 MINUTE', 'value')},
 a2 AS {_sql_islands('c2', ['log_app', 'log_namespace'], 'INTERVAL 3 HOUR', 'error_pct')},
 a3 AS {_sql_islands('c3', ['app', 'kubernetes_namespace'], 'INTERVAL 1 MINUTE', 'value')}
@@ -204,7 +205,7 @@ UNION ALL
 {_sql_alert('selftest', 'a3', ['app', 'kubernetes_namespace'], rules.RULES['selftest'])}"""
 
 
-@register("alerts_all", "U1 X10 S7 W3 F1-F4 F7", SQL_ALERTS)
+@register("alerts_all", "U1 X10 S7 W3 F1-F4 F7", SQL_ALERTS)   # every app (fleet-wide)
 def q_alerts_all(spark, sf_dir):
     inp = rules.MetricInputs.from_events(table(spark, sf_dir, "events"))
     return rules.alerts_all(inp, _rule_params())

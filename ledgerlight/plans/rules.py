@@ -81,16 +81,20 @@ class Rule:
 
 @dataclass(frozen=True)
 class RuleParams:
-    app: str
+    app: str | None                  # None: every app at once (the app stays a label)
     step: str = "1h"
     threshold: float = 0.0
     hold: str = "0s"
     window: str = "3m"
 
 
+def _app(label: str, p: RuleParams) -> dict:
+    return {} if p.app is None else {label: p.app}
+
+
 def replicas_down(inp: MetricInputs, p: RuleParams) -> DataFrame:
     """``kube_deployment_status_replicas_unavailable{deployment=app, job=...} > threshold``."""
-    g = metrics.match_labels(inp.replicas, deployment=p.app, job=standins.SERVICE_JOB)
+    g = metrics.match_labels(inp.replicas, _app("deployment", p), job=standins.SERVICE_JOB)
     return metrics.above(g, "value", p.threshold).withColumnRenamed("ts", "tick")
 
 
@@ -102,19 +106,19 @@ def high_error_share(inp: MetricInputs, p: RuleParams) -> DataFrame:
     """
     keys = ["log_app", "log_namespace"]
     if seconds(p.step) == seconds(inp.pane_step) and seconds(p.window) % seconds(p.step) == 0:
-        apps = metrics.match_labels(inp.apps, log_app=p.app)
+        apps = metrics.match_labels(inp.apps, _app("log_app", p))
         counts = metrics.slide_panes(apps, keys, p.window, p.step, ["errors", "total"])
         r = metrics.above(counts.withColumn("error_pct", metrics.percent_share("errors", "total")),
                           "error_pct", p.threshold)
     else:
-        msgs = metrics.match_labels(inp.messages, log_app=p.app)
+        msgs = metrics.match_labels(inp.messages, _app("log_app", p))
         r = metrics.error_ratio(msgs, keys, p.window, p.step, F.col("log_level") == "Error", p.threshold)
     return r.select(*keys, "tick", F.col("error_pct").alias("value"))
 
 
 def selftest_failing(inp: MetricInputs, p: RuleParams) -> DataFrame:
     """``selftests_aggregate_result_status{app=app} > threshold``."""
-    g = metrics.match_labels(inp.selftests, app=p.app)
+    g = metrics.match_labels(inp.selftests, _app("app", p))
     return metrics.above(g, "value", p.threshold).withColumnRenamed("ts", "tick")
 
 
@@ -183,7 +187,7 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
     return out
 
 
-def params_for(app: str, step: str = "1h", **overrides: dict) -> dict[str, RuleParams]:
+def params_for(app: str | None, step: str = "1h", **overrides: dict) -> dict[str, RuleParams]:
     """Rule parameters: the rule set's defaults, then per-rule overrides."""
     out = {}
     for name, d in DEFAULTS.items():
