@@ -190,3 +190,27 @@ def test_rule_set_stream_equals_batch_rule_set(spark):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
     by_batch = read_batches(spark, os.path.join(root, "fired")).groupBy("batch").count().collect()
     assert sum(r["count"] for r in by_batch if r["batch"] != "flush") > batch.count() // 2
+
+
+def test_rule_set_stream_runs_continuously(spark):
+    """A running (processing-time) rule-set stream fires as files arrive, without a flush."""
+    from ledgerlight.plans import rules
+    from ledgerlight.streaming import rules as srules
+    folder = scratch_path(spark, "test", "events_live")
+    src = spark.read.parquet(os.path.join(SF01, "events.parquet"))
+    mid = src.selectExpr("percentile_approx(event_id, 0.5)").first()[0]
+    src.filter(f"event_id <= {mid}").write.parquet(os.path.join(folder, "a"))
+    params = rules.params_for(None, step="1h", errors={"window": "3h", "threshold": 25.0, "hold": "3h"})
+    root = scratch_path(spark, "test", "rules_live")
+    stream = file_stream(spark, os.path.join(folder, "*"), EVENTS_SCHEMA)
+    q = srules.run_rule_stream(spark, standins.log_messages(stream), root, params, delay="1h",
+                               available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+        first = read_batches(spark, os.path.join(root, "fired")).count()
+        src.filter(f"event_id > {mid}").write.parquet(os.path.join(folder, "b"))
+        q.processAllAvailable()
+        second = read_batches(spark, os.path.join(root, "fired")).count()
+    finally:
+        q.stop()
+    assert 0 < first < second
