@@ -9,10 +9,13 @@ Semantics (our reading of the alert expressions):
 * ``sum by (k) (v)``                 -> group on ``k`` per evaluation tick, other labels dropped
 * ``rate(c[w])``                     -> reset-corrected increase over ``(t - w, t]`` divided by ``w``
 * evaluation ticks of a raw event stream are ``window(ts, w, step)`` ends
-  (``[end - w, end)``)
+  (``[end - w, end)``); rows without event time are in no window
 
-All aggregations are hash aggregates with a map-side partial step, so a hot
-label set is collapsed inside each map task before the shuffle.
+Raw rows are aggregated once into ``step`` panes (``pane_counts``); sliding
+windows are summed from the panes (``slide_panes``), so only the small pane
+table is expanded ``w / step`` times. All aggregations are hash aggregates
+with a map-side partial step, so a hot label set is collapsed inside each map
+task before the shuffle.
 """
 
 from __future__ import annotations
