@@ -141,7 +141,7 @@ def fired(rule: Rule, inp: MetricInputs, params: RuleParams) -> DataFrame:
 
 
 def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
-               rules: Sequence[str] | None = None, where=None) -> DataFrame:
+               rules: Sequence[str] | dict[str, Rule] | None = None, where=None) -> DataFrame:
     """Every rule of the set -> one alert list.
 
     The condition ticks of all rules are unioned first, keyed by (rule, label
@@ -151,8 +151,11 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
     durations share the pass; only rules with a different evaluation step
     need a pass of their own. ``where`` (over ``tick``) bounds the condition
     ticks first -- the incremental stream evaluates a recent range only.
+    ``rules``: names of built-in rules, or a mapping ``name -> Rule`` for a
+    rule set of your own (``params`` keyed by the same names).
     """
-    names = list(rules or RULES)
+    catalog = rules if isinstance(rules, dict) else RULES
+    names = list(catalog) if isinstance(rules, dict) or rules is None else list(rules)
     groups: dict[int, list[str]] = {}
     for name in names:
         groups.setdefault(seconds(params[name].step), []).append(name)
@@ -160,7 +163,7 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
     for step_s, members in groups.items():
         ticks = None
         for name in members:
-            rule = RULES[name]
+            rule = catalog[name]
             t = rule.condition(inp, params[name]).select(
                 F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
                 labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
@@ -173,7 +176,7 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
                                  hold_col="__hold")
         alert = action = description = None
         for name in members:
-            rule, is_rule = RULES[name], F.col("__rule") == F.lit(name)
+            rule, is_rule = catalog[name], F.col("__rule") == F.lit(name)
             alert = (F.when(is_rule, F.lit(rule.alert)) if alert is None else alert.when(is_rule, F.lit(rule.alert)))
             a = render_from_map(rule.action, "__lbl")
             d = render_from_map(rule.description, "__lbl")

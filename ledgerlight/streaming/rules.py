@@ -32,8 +32,10 @@ def message_panes(messages: DataFrame, step: str, delay: str, ts: str = "ts") ->
 
 def run_rule_stream(spark: SparkSession, messages: DataFrame, root: str, params: dict[str, rules.RuleParams], *,
                     delay: str, step: str = standins.PANE, flush: bool = True, compact_every: int = 20,
-                    timeout_s: float | None = None, available_now: bool = True, interval: str = "10 seconds"):
-    """Alerts of every rule, fired per micro-batch; returns the alert list (see :func:`run_incremental`)."""
+                    timeout_s: float | None = None, available_now: bool = True, interval: str = "10 seconds",
+                    rule_set: dict[str, rules.Rule] | None = None):
+    """Alerts of every rule (the built-in set, or ``rule_set``), fired per
+    micro-batch; returns the alert list (see :func:`run_incremental`)."""
     if any(seconds(p.step) != seconds(step) for p in params.values()):
         raise ValueError("the stream evaluates every rule at the pane step")
     look = max(seconds(p.hold) for p in params.values()) + 2 * seconds(step)
@@ -47,7 +49,7 @@ def run_rule_stream(spark: SparkSession, messages: DataFrame, root: str, params:
             where = where & (F.col("tick") > F.timestamp_add("SECOND", F.lit(-look), lo))
         if hi is not None:
             where = where & (F.col("tick") <= hi)
-        fired = rules.alerts_all(inp, params, where=where)
+        fired = rules.alerts_all(inp, params, rules=rule_set, where=where)
         return fired.filter(F.col("fires_at") > lo) if lo is not None else fired
 
     return run_incremental(spark, message_panes(messages, step, delay), root, PANE_KEYS, fire=fire,

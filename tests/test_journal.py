@@ -139,3 +139,23 @@ def test_write_outcomes_one_pass_two_folders(spark):
     back = spark.read.parquet(root)
     assert sorted((r.key, r.outcome, r.error) for r in back.collect()) == [
         (1, "ok", None), (2, "dead", "bad_amount"), (3, "dead", "missing")]
+
+
+def test_custom_rule_set(spark):
+    """A rule set of one's own: a condition function, labels and texts."""
+    import os
+    from ledgerlight.operators import metrics
+    from ledgerlight.plans import rules
+    from conftest import SF001
+
+    def many_warnings(inp, p):
+        return metrics.above(inp.selftests, "value", p.threshold).withColumnRenamed("ts", "tick")
+
+    mine = {"warn": rules.Rule("mange advarsler", ("app", "kubernetes_namespace"), many_warnings,
+                               "Se på {{ $labels.app }} ({{ $labels.kubernetes_namespace }})")}
+    params = {"warn": rules.RuleParams(app=None, step="1h", threshold=0.0, hold="0s")}
+    inp = rules.MetricInputs.from_events(spark.read.parquet(os.path.join(SF001, "events.parquet")),
+                                         materialize=False)
+    out = rules.alerts_all(inp, params, rules=mine).collect()
+    assert out and all(r.alert == "mange advarsler" and r.action.startswith("Se på app-") for r in out)
+    assert all(r.start == r.fires_at for r in out)          # hold 0: fires at the episode start
