@@ -188,6 +188,8 @@ WORKDAYS = 260
 PERIODS_PER_DOCUMENT = 16
 #: rows per salt when the lines of one oversized entry are ranked
 SALT_ROWS = 65536
+#: salts of the join that tags lines of oversized entries
+JOIN_SALTS = 64
 
 
 def _line_chunks(lineitem: DataFrame) -> DataFrame:
@@ -195,16 +197,20 @@ def _line_chunks(lineitem: DataFrame) -> DataFrame:
 
     Orders within the limit (all of them in TPC-H-like data) keep chunk 0 and
     need no ranking. Only oversized orders -- found by a partial-aggregated
-    count, joined back (AQE broadcasts the list when it is small) -- are
-    salted into buckets of about SALT_ROWS rows, ranked inside (order, salt),
-    and cut into chunks. A hot order is thus spread over many tasks.
+    count -- are salted into buckets of about SALT_ROWS rows, ranked inside
+    (order, salt), and cut into chunks. The count is joined back on
+    (order, salt): the list of oversized orders is replicated JOIN_SALTS times
+    and every line carries a hash salt, so a hot order's lines are spread
+    over JOIN_SALTS tasks even when the list is too large to broadcast.
     """
     per = PERIODS_PER_DOCUMENT
+    cols = [c for c in lineitem.columns if c != "l_orderkey"]
     big = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-                   .filter(F.col("__n") > F.lit(per)))
-    tagged = lineitem.join(big, "l_orderkey", "left")
+                   .filter(F.col("__n") > F.lit(per))
+                   .withColumn("__js", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))))
+    salted = lineitem.withColumn("__js", F.pmod(F.xxhash64(*cols), F.lit(JOIN_SALTS)).cast("int"))
+    tagged = salted.join(big, ["l_orderkey", "__js"], "left").drop("__js")
     small = tagged.filter(F.col("__n").isNull()).withColumn("chunk", F.lit(0).cast("bigint"))
-    cols = [c for c in lineitem.columns if c != "l_orderkey"]
     salt = F.pmod(F.xxhash64(*cols), F.ceil(F.col("__n") / F.lit(SALT_ROWS)))
     rank = F.row_number().over(Window.partitionBy("l_orderkey", "__salt").orderBy(*cols))
     large = (tagged.filter(F.col("__n").isNotNull()).withColumn("__salt", salt)
