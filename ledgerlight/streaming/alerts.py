@@ -94,13 +94,16 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
 
     ``panes`` is a streaming aggregate with ``pane_end`` and ``max_et`` per
     (``pane_keys``, pane). Per micro-batch the changed panes go to a
-    :class:`RowLedger`; the closed mark moves to ``max event time - delay``;
+    :class:`RowLedger`; the closed mark moves to ``max event time through the
+    previous batch - delay`` (Spark drops late rows against the previous
+    batch's watermark, so this is the first mark no later row can cross);
     ``fire(pane_rows, lo, hi)`` returns the firings with ``lo < fires_at <= hi``
     from the panes of ``(lo - lookback - span, hi]`` and is written under the
     batch id. ``span`` is the longest window summed from panes, ``lookback``
     how far a firing decision looks back over ticks. Returns all firings (after
     the optional end-of-input flush), or the running query when not
-    ``available_now``.
+    ``available_now``. The flush is meant for a bounded input processed in one
+    run (it closes what the last micro-batch of this run left open).
     """
     import datetime as dt
     import os
@@ -124,21 +127,26 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
     def max_et(df: DataFrame | None):
         return None if df is None else df.agg(F.max("max_et")).first()[0]
 
+    def closed_after(batch_id: int):
+        """Windows ending at or before this mark get no more rows from batch ``batch_id + 1`` on.
+
+        Spark drops a batch's late rows against the *previous* batch's watermark,
+        so after batch N the closed mark is max event time through batch N - 1
+        minus the delay (one batch behind the watermark itself)."""
+        m = max_et(ledger.versions_before(batch_id))           # max over versions = max over latest
+        return None if m is None else m - delay_td
+
+    seen = {"last": None}                      # last batch processed (foreachBatch runs on the driver)
+
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.persist()          # the micro-batch plan (with its state) runs once
-        try:
-            prev_max = max_et(ledger.versions_before(batch_id))   # max over versions = max over latest
-            marks = [m for m in (prev_max, max_et(batch_df)) if m is not None]
-            prev = None if prev_max is None else prev_max - delay_td
-            now = None if not marks else max(marks) - delay_td
-            # keep what this batch's and every later evaluation reads
-            ledger.record(batch_df, batch_id, retain=None if prev is None else F.col("pane_end") > at(prev - reach))
-        finally:
-            batch_df.unpersist()
-        if now is not None and (prev is None or now > prev):
-            rows = ledger.rows_before(batch_id + 1, where=pane_range(prev, now))
+        seen["last"] = batch_id
+        lo, hi = closed_after(batch_id - 1), closed_after(batch_id)
+        # keep what this batch's and every later evaluation reads
+        ledger.record(batch_df, batch_id, retain=None if lo is None else F.col("pane_end") > at(lo - reach))
+        if hi is not None and (lo is None or hi > lo):
+            rows = ledger.rows_before(batch_id + 1, where=pane_range(lo, hi))
             if rows is not None:
-                write_batch(fire(rows, None if prev is None else at(prev), at(now)), fired_root, batch_id)
+                write_batch(fire(rows, None if lo is None else at(lo), at(hi)), fired_root, batch_id)
 
     q = run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                           writer_fn=process, available_now=available_now, interval=interval)
@@ -146,8 +154,9 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
         return q
     if flush:                                   # end of a bounded input closes every window
         history = read_batches(spark, panes_root, panes.schema)
-        last = history.agg(F.max("max_et")).first()[0]
-        closed = None if last is None else at(last - delay_td)
+        # what the last micro-batch closed (see closed_after); the rest closes now
+        done = None if seen["last"] is None else closed_after(seen["last"])
+        closed = None if done is None else at(done)
         every = latest_per_key(history, [*pane_keys, "pane_end"], "batch").drop("batch")
         fire(every, closed, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
     return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")

@@ -214,3 +214,31 @@ def test_rule_set_stream_runs_continuously(spark):
     finally:
         q.stop()
     assert 0 < first < second
+
+
+def test_rows_later_than_the_watermark_are_dropped(spark):
+    """Late data: Spark drops a batch's rows that are older than the *previous* batch's
+    watermark. Two on-time arrivals, then the early days: those are dropped, and the
+    result equals the batch result over the on-time rows."""
+    folder = scratch_path(spark, "test", "late_in")
+    os.makedirs(folder, exist_ok=True)
+    ev = spark.read.parquet(os.path.join(SF01, "events.parquet"))
+    ts15, ts25 = (F.to_timestamp_ntz(F.lit(x)) for x in ("2024-01-15 00:00:00", "2024-01-25 00:00:00"))
+    first = ev.filter((F.col("ts") >= ts15) & (F.col("ts") < ts25))
+    second = ev.filter(F.col("ts") >= ts25)
+    late = ev.filter(F.col("ts") < ts15)
+    for name, part, age in (("a", first, 30), ("b", second, 20), ("c", late, 10)):
+        part.coalesce(1).write.parquet(os.path.join(folder, name + ".tmp"))
+        f = [x for x in os.listdir(os.path.join(folder, name + ".tmp")) if x.endswith(".parquet")][0]
+        os.rename(os.path.join(folder, name + ".tmp", f), os.path.join(folder, name + ".parquet"))
+        t = time.time() - age
+        os.utime(os.path.join(folder, name + ".parquet"), (t, t))
+    stream = file_stream(spark, folder, EVENTS_SCHEMA, glob="*.parquet", max_files_per_trigger=1)
+    agg = salerts.error_counts(standins.log_messages(stream), KEYS, "3h", "1h", "1h", is_err())
+    root = scratch_path(spark, "test", "late_ticks")
+    salerts.run_update_stream(agg, root + "/t", root + "/cp")
+    got = salerts.current_ticks(spark, root + "/t", KEYS)
+    on_time = first.unionByName(second)
+    want = metrics.windowed_counts(standins.log_messages(on_time), KEYS, "3h", "1h", is_err())
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert late.count() > 0
