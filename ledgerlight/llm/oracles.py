@@ -48,3 +48,16 @@ SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, a
        coalesce(sum(size) FILTER (run <= 1.5 * total), 0)::BIGINT AS taken
 FROM r GROUP BY doc_id, place, cum, rank
 """
+
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS keeper FROM p),
+b AS (SELECT *, list_transform(range(4), lambda k: ('0x' || substr(hex, (10 * k + 1)::INTEGER, 10))::BIGINT) AS parts FROM d)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(parts, lambda v: list_aggregate(list_transform(range(8),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((v >> (35 - 5 * i)) & 31) + 1)::INTEGER, 1)), 'string_agg', '')),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN NULL ELSE keeper END AS refers_to
+FROM b
+"""

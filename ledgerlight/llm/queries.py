@@ -9,10 +9,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import host_rules, mixing, secret_scan
+from . import host_rules, langid, mixing, secret_scan, warc
 from .catalog import corpus_query
-from .common import id_crc32
-from .oracles import OP2, OP3
+from .common import id_crc32, shared_path
+from .oracles import OP2, OP3, OP9
+
+
+@corpus_query("op1_language_id")
+def op1(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", id_crc32("doc_id") % 3 == 1)
+    model = langid.fit(docs.where("not held_out"))
+    found = docs.select("doc_id", "held_out", langid.label_languages(model, "text").alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
+                        F.size("found.spans").alias("n_spans"))
 
 
 @corpus_query("op2_host_rules", OP2)
@@ -45,3 +54,11 @@ def op8(spark, sf_dir):
         *(F.size(of(k)).cast("long").alias(f"n_{k}")
           for k in secret_scan.BASE_KINDS),
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+@corpus_query("op9_warc", OP9)
+def op9(spark, sf_dir):
+    path = shared_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
