@@ -6,10 +6,11 @@ defaults.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import host_rules, langid, mixing, secret_scan, warc
+from . import convnet, host_rules, langid, mixing, packing, secret_scan, warc
 from .catalog import corpus_query
 from .common import id_crc32, shared_path
 from .oracles import OP2, OP3, OP9
@@ -37,6 +38,15 @@ def op3(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@corpus_query("op7_byte_convnet")
+def op7(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", (id_crc32("doc_id") % 5 == 0).alias("held_out"))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    net = convnet.fit(docs.where("not held_out").join(labels, "doc_id"))
+    scored = docs.select("doc_id", "held_out", convnet.quality_score(net, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= convnet.THRESHOLD).cast("int"))
+
+
 @corpus_query("op8_secret_scan")
 def op8(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", secret_scan.secret_spans("text").alias("found"))
@@ -62,3 +72,9 @@ def op9(spark, sf_dir):
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path, payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@corpus_query("op10_vector_best_fit")
+def op10(spark, sf_dir):
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
