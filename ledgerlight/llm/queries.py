@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import convnet, host_rules, langid, mixing, packing, secret_scan, warc
+from . import convnet, host_rules, langid, minhash, mixing, packing, secret_scan, warc
 from .catalog import corpus_query
 from .common import id_crc32, shared_path
-from .oracles import OP2, OP3, OP9
+from .oracles import OP2, OP3, OP6, OP9
 
 
 @corpus_query("op1_language_id")
@@ -38,6 +38,11 @@ def op3(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@corpus_query("op6_sketch_dedup", OP6)
+def op6(spark, sf_dir):
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
+
+
 @corpus_query("op7_byte_convnet")
 def op7(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", (id_crc32("doc_id") % 5 == 0).alias("held_out"))
