@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,3 +95,64 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(os.path.join(top, n), os.path.relpath(os.path.join(top, n), home))
     sc.addPyFile(target)    # served to the executors by the driver
     sc._ledgerlight_shipped = True
+
+
+def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a written table for broadcast if its counted rows are few; otherwise leave the join to a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of the links among ids that share a bucket: ``(id, component)`` for every linked id.
+
+    ``members`` is a written table ``(band, rep, leader)`` of the buckets with
+    more than one id, ``leader`` being the bucket's smallest. ``verify`` takes
+    pairs ``(a, b)`` and returns those that are links. A bucket is not expanded
+    to all pairs: each id is held against the leader it shares most buckets
+    with; then against the leaders it is still apart from; last, ids that share
+    a bucket and are still in different components are held against each
+    other. A pair within one component needs no look, and none is looked at
+    twice, so no link between different components is lost.
+    """
+    stars = materialise(members.where("rep != leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b"))
+                        .agg(F.count("*").alias("votes")), "stars")
+    first = stars.groupBy("b").agg(F.max(F.struct(F.col("votes"), (-F.col("a")).alias("less"))).alias("m")) \
+        .select((-F.col("m.less")).alias("a"), "b")
+    tested = materialise(first, "pairs")
+    links = materialise(verify(tested), "links")
+    label = materialise(components(links), "labels")
+
+    def labelled(df: DataFrame, col: str, out: str) -> DataFrame:
+        of = label.select(F.col("id").alias(col), F.col("component").alias(out))
+        return df.join(of, col, "left").withColumn(out, F.coalesce(out, col))
+
+    def apart() -> DataFrame:
+        return labelled(labelled(stars.select("a", "b"), "a", "la"), "b", "lb").where("la != lb").select("a", "b") \
+            .join(tested, ["a", "b"], "left_anti").distinct()
+
+    def cross() -> DataFrame:
+        m = labelled(members.select("band", "rep"), "rep", "label")
+        mixed = m.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
+        m = m.join(mixed, "band", "left_semi")
+        other = m.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
+        return m.join(other, "band").where("rep < b and label != lb").select(F.col("rep").alias("a"), "b").distinct() \
+            .join(tested, ["a", "b"], "left_anti")
+
+    for candidates in (apart, cross):
+        pairs = materialise(candidates(), "pairs")
+        if not pairs.isEmpty():
+            links = materialise(links.union(verify(pairs)), "links")
+            tested = tested.union(pairs)
+            label = materialise(components(links), "labels")
+    return label
+
+
+def shared_buckets(banded: DataFrame, short: int) -> DataFrame:
+    """``(band, rep, leader)`` of the buckets of ``banded (rep, band)`` that hold more than one id, written once.
+
+    Buckets are counted with partial aggregation first; the second pass joins
+    those found, by broadcast if they are few.
+    """
+    found = materialise(banded.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n"))
+                        .where("n > 1").select("band", "leader"), "shared")
+    return materialise(banded.join(broadcast_if_short(found, short), "band").select("band", "rep", "leader"), "buckets")

@@ -10,11 +10,8 @@ text.
 
 Links: documents with equal sets are one class. Classes that share a band of
 ``ROWS`` coordinates are candidates; a link is confirmed on the full shingle
-sets (64-bit fingerprints). A bucket is never expanded to all pairs: first
-each class is held against the bucket leader it shares most bands with, then
-against the leaders it is still apart from, and last the members that are
-still in different components against each other. Pairs within one component
-need no look. At a similarity of 0.8 two classes share no band with
+sets (64-bit fingerprints). A bucket is never expanded to all pairs, see
+:func:`ledgerlight.llm.common.link_buckets`. At a similarity of 0.8 two classes share no band with
 probability 1.2e-5 (less above it).
 
 Defined results: a null or wordless text has an empty set and links with
@@ -35,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import components, materialise
+from .common import broadcast_if_short, link_buckets, materialise, shared_buckets
 
 BANDS, ROWS = 48, 7
 PERCENT = 80
 WORDS = 5
 BLOCK = 1 << 20             # bytes hashed at a time
-BROADCAST_IDS = 500_000     # a list of ids up to this long (4 MB) is broadcast, a longer one is joined by shuffle
+BROADCAST_ROWS = 500_000    # a list of ids or buckets up to this long (8 MB) is broadcast, a longer one joined by shuffle
 
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -209,8 +206,7 @@ def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     (counted first) is broadcast to the scan, a longer one joined by shuffle.
     """
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    listed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = materialise(texts.join(listed, texts["key"] == ids["id"], "left_semi").mapInPandas(_sets(words), "id long, set binary"), "sets")
+    sets = materialise(texts.join(broadcast_if_short(ids, BROADCAST_ROWS), texts["key"] == ids["id"], "left_semi").mapInPandas(_sets(words), "id long, set binary"), "sets")
     near = pandas_udf(lambda x, y: pd.Series([jaccard_at_least(p, q, percent) for p, q in zip(x, y)], dtype=bool), "boolean")
     return pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b") \
@@ -232,42 +228,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     classes = materialise(prepared.where("n > 0").groupBy("digest")
                           .agg(F.min("key").alias("rep"), F.first("bands").alias("bands")), "classes")
 
-    banded = classes.select("rep", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = materialise(banded.join(shared.select("band", "leader"), "band"), "buckets")
-    stars = materialise(members.where("rep != leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b"))
-                        .agg(F.count("*").alias("votes")), "stars")
-
-    first = stars.groupBy("b").agg(F.max(F.struct("votes", -F.col("a"))).alias("m")) \
-        .select((-F.col("m.col2")).alias("a"), "b")
-    tested = materialise(first, "pairs")
-    links = materialise(verified(known, tested, words, percent), "links")
-    label = materialise(components(links), "labels")
-
-    def labelled(df: DataFrame, col: str, out: str) -> DataFrame:
-        of = label.select(F.col("id").alias(col), F.col("component").alias(out))
-        return df.join(of, col, "left").withColumn(out, F.coalesce(out, col))
-
-    def apart(df: DataFrame) -> DataFrame:
-        return labelled(labelled(df, "a", "la"), "b", "lb").where("la != lb").select("a", "b") \
-            .join(tested, ["a", "b"], "left_anti").distinct()
-
-    def cross() -> DataFrame:
-        m = labelled(members.select("band", "rep"), "rep", "label")
-        mixed = m.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
-        m = m.join(mixed, "band", "left_semi")
-        other = m.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        return m.join(other, "band").where("rep < b and label != lb").select(F.col("rep").alias("a"), "b").distinct() \
-            .join(tested, ["a", "b"], "left_anti")
-
-    for candidates in (lambda: apart(stars.select("a", "b")), cross):
-        pairs = materialise(candidates(), "pairs")
-        if not pairs.isEmpty():
-            links = materialise(links.union(verified(known, pairs, words, percent)), "links")
-            tested = tested.union(pairs)
-            label = materialise(components(links), "labels")
-
-    of_class = labelled(classes.select("digest", "rep"), "rep", "component").select("digest", "component")
+    members = shared_buckets(classes.select("rep", F.explode("bands").alias("band")), BROADCAST_ROWS)
+    label = link_buckets(members, lambda pairs: verified(known, pairs, words, percent))
+    of_class = classes.select("digest", "rep").join(label.withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("digest", F.coalesce("component", "rep").alias("component"))
     done = prepared.select("key", "n", "digest").join(of_class, "digest", "left") \
         .select("key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
     # rows without an id, which take no part

@@ -76,3 +76,15 @@ r(id, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN
 SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id, d.doc_id = min(r.seen) AS kept
 FROM d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+OP4 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda e: isfinite(e)))
+      AND list_bool_or(list_transform(embedding, lambda e: e <> 0))),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+r(id, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, e.b FROM r JOIN e ON r.seen = e.a),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT r.id AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.seen) AS component_id, r.id = min(r.seen) AS kept
+FROM r LEFT JOIN n ON n.a = r.id GROUP BY r.id
+"""

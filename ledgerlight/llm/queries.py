@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import convnet, host_rules, langid, minhash, mixing, packing, secret_scan, warc
+from . import convnet, host_rules, langid, line_dedup, minhash, mixing, packing, secret_scan, vector_dedup, warc
 from .catalog import corpus_query
 from .common import id_crc32, shared_path
-from .oracles import OP2, OP3, OP6, OP9
+from .oracles import OP2, OP3, OP4, OP6, OP9
 
 
 @corpus_query("op1_language_id")
@@ -38,6 +38,17 @@ def op3(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@corpus_query("op4_sorted_projections", OP4)
+def op4(spark, sf_dir):
+    return vector_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@corpus_query("op5_fuzzy_lines")
+def op5(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, n_dropped="n_dropped")
+
+
 @corpus_query("op6_sketch_dedup", OP6)
 def op6(spark, sf_dir):
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
