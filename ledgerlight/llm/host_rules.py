@@ -62,8 +62,11 @@ def _metrics(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_metrics(t) for t in texts], columns=METRICS, dtype="int64")
 
 
-def _failures() -> dict[str, F.Column]:
-    c = F.col
+def _metrics_column(text: str) -> F.Column:
+    return pandas_udf(_metrics, ", ".join(f"{m} long" for m in METRICS))(F.col(text))
+
+
+def _failures(c=F.col) -> dict[str, F.Column]:
     return {
         "short": c("n_words") < MIN_WORDS,
         "repeats": 100 * c("n_repeat_words") > REPEAT_PCT * c("n_words"),
@@ -90,6 +93,20 @@ def host_rates(measured: DataFrame, host: str = "host") -> DataFrame:
     return hosts
 
 
+def measure(docs: DataFrame, host: str, text: str, *key: F.Column) -> DataFrame:
+    """Host, counts and failed rules of every document, written once to the shared folder (no texts)."""
+    m = _metrics_column(text)
+    counts = materialise(docs.select(*key, F.col(host).alias("host"), m.alias("m"))
+                         .select(*(c for c in ("key",) if key), "host", *(F.col(f"m.{c}") for c in METRICS)), "quality")
+    return counts.select("*", *(v.alias(r) for r, v in _failures().items()))
+
+
+def rejected_hosts(measured: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
+    """``(bad_host)``: hosts with any shrunk rate above the limit, each once."""
+    worst = F.greatest(*(F.col(f"rate_{r}") for r in RULES))
+    return host_rates(measured).where(worst > host_limit).select(F.col("host").alias("bad_host"))
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
           host_limit: float = HOST_LIMIT) -> DataFrame:
     """One row per document: ``key``, :data:`METRICS`, rule failures, ``host_rejected``, ``kept``.
@@ -99,14 +116,22 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     right side holds rejected hosts only; its left side may have a host with
     a third of all rows, which AQE may split in a left outer join.
     """
-    m = pandas_udf(_metrics, ", ".join(f"{m} long" for m in METRICS))(F.col(text))
-    counts = materialise(docs.select(F.col(key).alias("key"), F.col(host).alias("host"), m.alias("m"))
-                         .select("key", "host", *(F.col(f"m.{c}") for c in METRICS)), "quality")
-    measured = counts.select("*", *(v.alias(r) for r, v in _failures().items()))
-    worst = F.greatest(*(F.col(f"rate_{r}") for r in RULES))
-    bad = host_rates(measured).where(worst > host_limit).select(F.col("host").alias("bad_host"), F.lit(True).alias("bad"))
+    measured = measure(docs, host, text, F.col(key).alias("key"))
+    bad = rejected_hosts(measured, host_limit).withColumn("bad", F.lit(True))
     base_failed = F.col("short") | F.col("repeats")
     return measured.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left").select(
         F.col("key").alias(key), *METRICS, *RULES, base_failed.alias("base_failed"),
         F.coalesce("bad", F.lit(False)).alias("host_rejected"),
         (~base_failed & F.col("bad").isNull()).alias("kept"))
+
+
+def keep_documents(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, all columns.
+
+    Texts are measured a second time rather than joined to their verdicts, so
+    no text is shuffled.
+    """
+    bad = rejected_hosts(measure(docs, host, text), host_limit).withColumnRenamed("bad_host", "__bad_host")
+    fails = _failures(lambda c: F.col(f"__m.{c}"))
+    rows = docs.withColumn("__m", _metrics_column(text)).where(~(fails["short"] | fails["repeats"]))
+    return rows.join(bad, F.col(host).eqNullSafe(F.col("__bad_host")), "left_anti").select(*docs.columns)

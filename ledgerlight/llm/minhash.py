@@ -183,7 +183,7 @@ def _prepare(words: int, bands: int, rows: int):
                 full = [k for k, x in enumerate(sets) if len(x)]
                 keys = dict(zip(full, band_keys(sketches([sets[k] for k in full], bands * rows), bands, rows)))
                 yield pd.DataFrame({
-                    "key": part["key"].to_numpy(), "n": [len(x) for x in sets],
+                    "key": part["key"].to_numpy(), "text_hash": part["text_hash"].to_numpy(), "n": [len(x) for x in sets],
                     "digest": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets],
                     "bands": [keys.get(k, []) for k in range(len(sets))]})
     return run
@@ -215,15 +215,16 @@ def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: ``key, n_shingles, component_id, kept``.
+    """One row per document: ``key, n_shingles, component_id, kept, text_hash``.
 
     ``key`` is an integer column. The sketch table, classes, buckets with more
     than one member, pairs and links are written to the shared folder; none is
     collected.
     """
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text"))
     known = texts.where("key is not null")
-    schema = "key long, n long, digest binary, bands array<long>"
+    schema = "key long, text_hash long, n long, digest binary, bands array<long>"
     prepared = materialise(known.mapInPandas(_prepare(words, bands, rows), schema), "sketch")
     classes = materialise(prepared.where("n > 0").groupBy("digest")
                           .agg(F.min("key").alias("rep"), F.first("bands").alias("bands")), "classes")
@@ -232,10 +233,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     label = link_buckets(members, lambda pairs: verified(known, pairs, words, percent))
     of_class = classes.select("digest", "rep").join(label.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
-    done = prepared.select("key", "n", "digest").join(of_class, "digest", "left") \
-        .select("key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
-    # rows without an id, which take no part
-    lost = texts.where("key is null").mapInPandas(_prepare(words, bands, rows), schema) \
-        .select(F.lit(None).cast("long").alias("key"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    done = prepared.select("key", "text_hash", "n", "digest").join(of_class, "digest", "left") \
+        .select("key", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+    # rows without an id take no part
+    lost = texts.where("key is null").withColumn("key", F.lit(0).cast("long")) \
+        .mapInPandas(_prepare(words, bands, rows), schema) \
+        .select(F.lit(None).cast("long").alias("key"), "text_hash", F.col("n").alias("n_shingles"),
+                F.lit(None).cast("long").alias("component_id"))
     return done.unionByName(lost).select(
-        F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+        "text_hash")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` without the near duplicates of a document with a smaller id, all columns.
+
+    Rows that share id and text stay or go together.
+    """
+    gone = materialise(near_duplicates(docs, key, text, words).where("not kept")
+                       .select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash")).distinct(), "gone")
+    return docs.join(broadcast_if_short(gone, BROADCAST_ROWS),
+                     (F.col(key) == F.col("__key")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")

@@ -15,8 +15,8 @@ shuffled, only ``(id, source, size)``. The order is a hash of the id, so
 reruns agree.
 
 Defined results: a null text has size 0; a null source is a source of its own
-and sorts last; a null id is hashed as the empty text; equal rows take
-neighbouring places and count each; an empty table gives an empty table; a
+and sorts last; a null id is hashed as the empty text; rows that share id,
+source and text queue as one entry and are taken alike; an empty table gives an empty table; a
 source of empty texts has target 0 and takes 0 words.
 """
 
@@ -28,13 +28,14 @@ from operator import add
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, materialise
+from .common import broadcast_if_short, count_words, materialise
 
 WEIGHTS = (3, 1, 2)     # by rank of the source, repeating
 SHARE = 1.5             # budget as a multiple of all sizes
 REPEATS = 2             # a source may be taken this many times over
 SLICE_ROWS = 4096
 SEED = "mix-1"
+SHORT = 500_000         # a plan of up to this many rows (about 20 MB) is broadcast to the documents
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:
@@ -60,17 +61,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, repeats=REPEA
     return w.select("source", "rank", "n_docs", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
-        share=SHARE, repeats=REPEATS, seed: str = SEED) -> DataFrame:
-    """One row per document: ``key, source, size, source_size, target, finish, copies, taken``.
+def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
+         share=SHARE, repeats=REPEATS, seed: str = SEED) -> DataFrame:
+    """One row per distinct ``(key, source, text)``: what the mix takes of it.
 
-    ``copies`` (0 to ``repeats``) is how often the mix takes the document,
-    ``taken`` the words that makes, ``finish`` the first copy's finish time.
+    ``key, source, text_hash, n_same`` (rows alike), ``size, source_size,
+    target, finish`` (the first copy's finish time) and ``copies`` (0 to
+    ``repeats``).
     """
-    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    digest = F.md5(F.concat(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(f":{seed}")))
     place = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")     # 52 bits: exact as a double
-    sized = materialise(docs.select(F.col(key).alias("key"), F.col(source).alias("source"),
-                                    count_words(F.col(text)).alias("size"), place.alias("place")), "mix")
+    sized = materialise(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.xxhash64(text).alias("text_hash"),
+                                    count_words(F.col(text)).alias("words"))
+                        .groupBy("key", "source", "text_hash", "words").agg(F.count("*").alias("n_same"))
+                        .withColumn("size", F.col("words") * F.col("n_same")).withColumn("place", place), "mix")
     targets = materialise(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")),
         weights, share, repeats), "targets")
@@ -85,10 +89,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     earlier = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = rowed.groupBy("rank", "slice").agg(F.sum("size").alias("sum")) \
         .select("rank", "slice", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("rank", "slice").orderBy("place", "key", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("rank", "slice").orderBy("place", "key", "size", "text_hash") \
+        .rowsBetween(Window.unboundedPreceding, 0)
     queued = materialise(
         rowed.withColumn("inside", F.sum("size").over(inside)).join(starts, ["rank", "slice"])
-        .select("key", "source", "size", "source_size", "target", "rank", "n_docs",
+        .select("key", "source", "text_hash", "n_same", "words", "size", "source_size", "target", "rank",
                 (F.col("start") + F.col("inside")).alias("cum")), "queue")
 
     # finish times, and where the budget cuts them
@@ -114,5 +119,28 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                             F.lit(last["cum"]).cast("long").alias("cum"))
             inside_cut = lambda f: F.struct(f.alias("finish"), F.col("rank"), F.col("cum")) <= edge
     copies = reduce(add, [inside_cut(f).cast("int") for f in finishes])
-    return queued.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target",
-                         finishes[0].alias("finish"), copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return queued.select("key", "source", "text_hash", "n_same", F.col("words").alias("size"), "source_size", "target",
+                         finishes[0].alias("finish"), copies.alias("copies"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """One row per document: ``key, source, size, source_size, target, finish, copies, taken`` (words taken)."""
+    planned = plan(docs, key, text, source, **how)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_same")))
+    return planned.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "finish",
+                          "copies", (F.col("copies") * F.col("size")).alias("taken"), each.alias("__row")).drop("__row")
+
+
+def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, all columns; rows without words go.
+
+    The plan is written once and joined back on id, source and text hash, by
+    broadcast if it is short.
+    """
+    planned = plan(docs, key, text, source, **how).where("copies > 0 and size > 0") \
+        .select(F.col("key").alias("__key"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"),
+                F.col("copies").alias("__copies"))
+    wanted = materialise(planned, "taken")
+    joined = docs.join(broadcast_if_short(wanted, SHORT), F.col(key).eqNullSafe(F.col("__key"))
+                       & F.col(source).eqNullSafe(F.col("__source")) & (F.xxhash64(text) == F.col("__hash")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
