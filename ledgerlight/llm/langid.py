@@ -107,8 +107,8 @@ def _grams(letters: np.ndarray) -> list[np.ndarray]:
 
 
 def _codes(text: str) -> np.ndarray:
-    """Code points with a blank before and three after."""
-    return np.frombuffer(f" {text}   ".encode("utf-32-le"), np.uint32)
+    """Code points with a blank before and four after."""
+    return np.frombuffer(f" {text}    ".encode("utf-32-le"), np.uint32)
 
 
 def _blank(codes: np.ndarray) -> np.ndarray:
@@ -182,9 +182,7 @@ def _score_words(text: str, model: Model) -> tuple[np.ndarray, ...]:
     for g in _grams(letters):
         ok = g >= 0
         scores[ok] += model.table[g[ok]]
-    bounds = np.minimum(np.ravel(np.column_stack((start - 1, end))), len(scores))
-    bounds = np.minimum(bounds, len(scores) - 1)
-    total = np.add.reduceat(scores, bounds, axis=0)[0::2]
+    total = np.add.reduceat(scores, np.column_stack((start - 1, end)).ravel(), axis=0)[0::2]
     is_letter = letters > 0
     cells = np.column_stack((start, end)).ravel()
     n_letters = np.add.reduceat(is_letter.astype(np.int64), cells)[0::2]

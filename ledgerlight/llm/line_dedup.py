@@ -34,6 +34,7 @@ from .common import broadcast_if_short, link_buckets, materialise, shared_bucket
 CHARS = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
+SEGMENT = 64
 SHORT = 1_000_000       # tables of up to this many narrow rows (about 40 MB) are broadcast, longer ones joined by shuffle
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -53,21 +54,30 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select("doc", "text_hash", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
 
 
-def _shingle_starts(chars: int) -> F.Column:
-    return F.sequence(F.lit(0), F.greatest(F.char_length("line") - chars, F.lit(0)))
+def _segments(chars: int) -> F.Column:
+    """The line in overlapping segments of ``SEGMENT`` shingles each, four bytes a character.
 
+    A shingle is then a plain slice of a short binary, whatever the length of the line.
+    """
+    n = F.greatest(F.char_length("line") - chars + 1, F.lit(1))
+    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")),
+                       lambda k: F.encode(F.substring(F.col("line"), k * SEGMENT + 1, F.lit(SEGMENT + chars - 1)), "UTF-32"))
 
-def _shingle(at, chars: int):
-    """Hash of the shingle at a position; four bytes a character make the cut a plain slice."""
-    return F.xxhash64(F.substring(F.col("wide"), at * 4 + 1, 4 * chars))
+
+def _starts(segment, chars: int) -> F.Column:
+    return F.sequence(F.lit(0), F.greatest((F.octet_length(segment) / 4).cast("int") - chars, F.lit(0)))
+
+
+def _shingle(segment, at, chars: int) -> F.Column:
+    return F.xxhash64(F.substring(segment, at * 4 + 1, F.lit(4 * chars)))
 
 
 def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
     """One row per distinct line: ``rep, h1, h2, doc, n, bands``, written once."""
-    distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min("doc").alias("doc"), F.count("*").alias("n")) \
-        .withColumn("wide", F.encode("line", "UTF-32"))
-    hashed = distinct.select("h1", "h2", "doc", "n", "wide", F.explode(_shingle_starts(chars)).alias("at")) \
-        .select("h1", "h2", "doc", "n", _shingle(F.col("at"), chars).alias("h"))
+    distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min("doc").alias("doc"), F.count("*").alias("n"))
+    hashed = distinct.select("h1", "h2", "doc", "n", F.explode(_segments(chars)).alias("segment")) \
+        .select("h1", "h2", "doc", "n", "segment", F.explode(_starts(F.col("segment"), chars)).alias("at")) \
+        .select("h1", "h2", "doc", "n", _shingle(F.col("segment"), F.col("at"), chars).alias("h"))
     signed = hashed.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.min("n").alias("n"),
         *(F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{j}") for j, s in enumerate(_seeds())))
@@ -80,10 +90,9 @@ def verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, chars: int,
     """The pairs ``(a, b)`` of classes whose shingle sets have the similarity."""
     ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     wanted = materialise(classes.join(ids, "rep", "left_semi").select("rep", "h1", "h2"), "ids")
-    found = lines.join(broadcast_if_short(wanted, SHORT), ["h1", "h2"]).groupBy("rep").agg(F.first("line").alias("line")) \
-        .withColumn("wide", F.encode("line", "UTF-32"))
-    sets = materialise(found.select("rep", F.array_distinct(
-        F.transform(_shingle_starts(chars), lambda at: _shingle(at, chars))).alias("set")), "sets")
+    found = lines.join(broadcast_if_short(wanted, SHORT), ["h1", "h2"]).groupBy("rep").agg(F.first("line").alias("line"))
+    sets = materialise(found.select("rep", F.array_distinct(F.flatten(F.transform(
+        _segments(chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars))))).alias("set")), "sets")
     both = F.size(F.array_intersect("set_a", "set_b"))
     size_a, size_b = F.size("set_a"), F.size("set_b")
     return pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a") \

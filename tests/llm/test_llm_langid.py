@@ -1,0 +1,75 @@
+import numpy as np
+
+from ledgerlight.llm import langid as g
+from llm_fixtures import awkward_docs, docs_frame, empty_docs
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = rng.integers(0, 6, 4)
+        scores = rng.normal(size=(sizes.sum(), 3)).astype(np.float32) * 2
+        got = g.viterbi(scores, sizes, switch=1.5)
+        at = 0
+        for n in sizes:
+            s, y = scores[at:at + n], got[at:at + n]
+            value = lambda p: sum(s[i, p[i]] for i in range(n)) - 1.5 * sum(p[i] != p[i - 1] for i in range(1, n))  # noqa: B023, E731
+            best = max((value(p) for p in np.ndindex(*(3,) * n)), default=0)
+            assert n == 0 or np.isclose(value(tuple(y)), best, atol=1e-4)
+            at += n
+
+
+def _model(spark):
+    from conftest import SF01
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    extra = spark.createDataFrame([("привет мир это русский текст " * 5, "ru"), ("γειά σου κόσμε " * 5, "el")], "text string, lang string")
+    return docs, g.fit(docs.select("text", "lang").union(extra))
+
+
+def test_mixed_text_scripts_and_edges(spark):
+    docs, model = _model(spark)
+    by = {r["lang"]: r["text"] for r in docs.where("n_chars > 800").collect()}
+    en, de = by["en"][:400].rsplit(" ", 1)[0], by["de"][:300].rsplit(" ", 1)[0]
+    text = f"{en} {de} привет мир"
+    (lang, score, spans), none, blank, digits, empty = g.identify([text, None, " \n", "123 - 45", ""], model)
+    assert lang == "en" and 0 < score < 1
+    assert [s[2] for s in spans] == ["en", "de", "ru"]
+    assert abs(spans[1][0] - len(en) - 1) < 40 and text[spans[2][0]:spans[2][1]] == "привет мир"
+    assert spans[0][0] == 0 and spans[-1][1] == len(text)
+    assert none == blank == digits == empty == ("und", 0.0, [])
+    assert g.identify(["日本語"], model)[0][0] in model.langs       # a script nobody was seen to use
+
+
+def test_long_text_in_pieces_equals_whole(spark):
+    docs, model = _model(spark)
+    long = " ".join(r["text"] for r in docs.limit(500).collect())
+    assert len(long) > 2 * g.BLOCK
+    whole = g._score_words(long, model)
+    parts = [(s + a, e + a, n, x) for a, p in g._pieces(long) for s, e, n, x in [g._score_words(p, model)]]
+    for c in range(4):
+        assert np.allclose(np.concatenate([p[c] for p in parts]), whole[c], atol=1e-3)
+    assert g.identify(["x", long, None], model)[1] == g.identify([long], model)[0]
+
+
+def test_held_out_accuracy(spark):
+    from conftest import SF01
+    from ledgerlight.llm.queries import op1
+    rows = op1(spark, SF01).join(spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
+    held = rows[rows.held_out]
+    assert len(rows) == 1000 and (held.lang == held.lang_pred).mean() >= 0.98
+    assert rows.score.between(0, 1).all()
+
+
+def test_awkward_rows_and_nothing_learned(spark):
+    rows = awkward_docs()
+    df = docs_frame(spark, rows)
+    model = g.fit(df)
+    assert model.langs == ["aa", "bb"]
+    got = df.select("doc_id", "text", g.label_languages(model, "text").alias("x")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert (r["x"]["lang"] != "und") == letters and 0 <= r["x"]["score"] <= 1
+    nothing = g.fit(empty_docs(spark))
+    assert {r["x"]["lang"] for r in df.select(g.label_languages(nothing, "text").alias("x")).collect()} == {"und"}
+    assert empty_docs(spark).select(g.label_languages(model, "text").alias("x")).count() == 0
