@@ -39,17 +39,25 @@ def flatten_document(df: DataFrame, doc: str = "doc", keep: tuple[str, ...] = ()
         f["aktorId"].alias("aktor_id"),
         f["vedtakId"].alias("vedtak_id"),
         f["beregningsdato"].alias("beregningsdato"),
+        f["inntektsId"].alias("inntekts_id"),
+        f["inntektAvvik"].alias("inntekt_avvik"),
+        f["inntektManueltRedigert"].alias("inntekt_manuelt_redigert"),
         f["antallBarn"].alias("antall_barn"),
         g["avkortet"].alias("avkortet_raw"),
         D.decimal_or_null(g["avkortet"]).alias("avkortet"),
+        D.decimal_or_null(g["uavkortet"]).alias("uavkortet"),
+        g["harAvkortet"].alias("har_avkortet"),
+        g["beregningsregel"].alias("beregningsregel"),
         m["oppfyllerMinsteinntekt"].alias("oppfyller_minsteinntekt"),
         p["periodeAntallUker"].alias("periode_antall_uker"),
         s["dagsats"].alias("dagsats"),
         s["ukesats"].alias("ukesats"),
-        D.rule_name(g["regelIdentifikator"]).alias("grunnlag_regel"),
-        D.rule_version(g["regelIdentifikator"]).alias("grunnlag_versjon"),
-        D.rule_name(s["regelIdentifikator"]).alias("sats_regel"),
-        D.rule_version(s["regelIdentifikator"]).alias("sats_versjon"),
+        s["benyttet90ProsentRegel"].alias("benyttet_90_prosent_regel"),
+        *(c for name, part in (("grunnlag", g), ("minsteinntekt", m), ("periode", p), ("sats", s)) for c in (
+            part["sporingsId"].alias(f"{name}_sporings_id"),
+            part["subsumsjonsId"].alias(f"{name}_subsumsjons_id"),
+            D.rule_name(part["regelIdentifikator"]).alias(f"{name}_regel"),
+            D.rule_version(part["regelIdentifikator"]).alias(f"{name}_versjon"))),
         F.size(g["grunnlagInntektsPerioder"]).alias("n_perioder"),
         d[CORRUPT].isNotNull().alias("corrupt"),
     )
@@ -58,17 +66,20 @@ def flatten_document(df: DataFrame, doc: str = "doc", keep: tuple[str, ...] = ()
 def explode_periods(df: DataFrame, doc: str = "doc", key: str = "vedtak_id",
                     field: str = "grunnlagResultat.grunnlagInntektsPerioder") -> DataFrame:
     """Array of income periods -> one row each (X8), documents with an empty
-    list kept as one row of nulls (``inline_outer``); months decoded (X4, X5)."""
+    list kept as one row of nulls (``inline_outer``); months decoded (X4, X5).
+    A list whose periods have a share (``andel``) gives it as text and decimal."""
     arr = F.col(doc)
     for part in field.split("."):
         arr = arr[part]
     base = df.select(F.col(doc)["faktum"]["vedtakId"].alias(key), F.inline_outer(arr))
     ip = F.col("inntektsPeriode")
     first, last = ip["førsteMåned"], ip["sisteMåned"]
+    share = [F.col("andel").alias("andel_raw"), D.decimal_or_null("andel").alias("andel")] if "andel" in base.columns else []
     return base.select(
         key, "periode",
         F.col("inntekt").alias("inntekt_raw"),
         D.decimal_or_null("inntekt").alias("inntekt"),
+        *share,
         D.month_start(first).alias("fra"),
         D.month_end(last).alias("til"),
         D.months_inclusive(first, last).alias("n_maaneder"),

@@ -71,8 +71,10 @@ def finalise(entries: DataFrame, decisions: DataFrame, cutoff, *, key: str, stat
     ``already_final``: keys finalised by earlier runs (skipped; re-runs are no-ops).
     Output: ``key, version, decided_at, n_parts, outcome, new_status``.
     """
-    latest = latest_per_key(entries.select(key, status, version), key, version)
-    prov = latest.filter(F.col(status) == PROVISIONAL)
+    # two fixed-width results: a hash aggregate on both sides of the shuffle, no sort of the entries
+    is_open = F.coalesce(F.col(status) == PROVISIONAL, F.lit(False))
+    prov = entries.groupBy(key).agg(F.max_by(is_open, version).alias("__open"), F.max(version).alias(version)) \
+        .filter(F.col("__open")).drop("__open")
     if already_final is not None:
         prov = prov.join(already_final.select(F.col(key)), key, "left_anti")
     j = prov.join(decisions, prov[key] == decisions["__key"], "left").drop("__key")
@@ -142,22 +144,35 @@ def retry_due(dead: DataFrame, now, max_attempts: int, backoff: str,
                 .withColumn("next_attempt", F.col(attempt) + 1))
 
 
+def tag_retry(dead: DataFrame, checks: Sequence[tuple[str, Column]], now, max_attempts: int, backoff: str,
+              attempt: str = "attempt", failed_at: str = "failed_at", error: str = "error") -> DataFrame:
+    """One retry pass over a dead-letter table in one projection (T6): every row, with its ``state``.
+
+    ``recovered``: was due and passes ``checks`` now; ``again``: was due and
+    fails (``attempt + 1``, ``failed_at = now``); ``waiting``: not due yet, or
+    its failure time is unknown; ``parked``: no attempt left, or their number
+    is unknown. ``first_error`` keeps the error it came with.
+    """
+    tagged = tag_outcome(dead.withColumnRenamed(error, "first_error"), checks, error)
+    due = F.coalesce(_due_at(attempt, failed_at, backoff) <= F.lit(now), F.lit(False))
+    left = F.coalesce(F.col(attempt) < F.lit(max_attempts), F.lit(False))
+    state = F.when(~left, "parked").when(~due, "waiting").when(F.col(error).isNull(), "recovered").otherwise("again")
+    tagged = tagged.withColumn("state", state)
+    again = F.col("state") == "again"
+    return tagged.withColumn(attempt, F.when(again, F.col(attempt) + 1).otherwise(F.col(attempt))) \
+        .withColumn(failed_at, F.when(again, F.lit(now)).otherwise(F.col(failed_at)))
+
+
 def retry_round(dead: DataFrame, checks: Sequence[tuple[str, Column]], now, max_attempts: int, backoff: str,
                 attempt: str = "attempt", failed_at: str = "failed_at", error: str = "error"
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One retry pass over a dead-letter table (T6): ``(recovered, dead_next, parked)``.
+    """The three tables of :func:`tag_retry`: ``(recovered, dead_next, parked)``.
 
-    Due rows are checked again with the same ``checks``: those that pass are
-    recovered; those that still fail stay dead with ``attempt + 1`` and
-    ``failed_at = now``. Rows not yet due stay as they are; rows that used
-    their last attempt are ``parked`` for manual handling (kept, never
-    dropped). Only filters and projections: no join, no shuffle.
+    Rows that fail again carry their new error, rows not due and parked ones
+    the old; every row is in exactly one of the three, nulls included.
     """
     cols = dead.columns
-    tagged = dead.withColumn("__due", (F.col(attempt) < F.lit(max_attempts))
-                             & (_due_at(attempt, failed_at, backoff) <= F.lit(now)))
-    parked = tagged.filter(F.col(attempt) >= F.lit(max_attempts)).select(*cols)
-    waiting = tagged.filter((F.col(attempt) < F.lit(max_attempts)) & ~F.col("__due")).select(*cols)
-    ok, bad = split_outcome(tagged.filter(F.col("__due")).drop("__due", error), checks, error)
-    again = (bad.withColumn(attempt, F.col(attempt) + 1).withColumn(failed_at, F.lit(now)).select(*cols))
-    return ok, waiting.unionByName(again), parked
+    done = tag_retry(dead, checks, now, max_attempts, backoff, attempt, failed_at, error)
+    old = done.withColumn(error, F.when(F.col("state") == "again", F.col(error)).otherwise(F.col("first_error")))
+    recovered = done.filter("state = 'recovered'").select(*(c for c in cols if c != error))
+    return recovered, old.filter("state in ('again', 'waiting')").select(*cols), old.filter("state = 'parked'").select(*cols)

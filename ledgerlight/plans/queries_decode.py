@@ -50,75 +50,104 @@ def q_year_month(spark, sf_dir):
                      D.months_inclusive("ym_first", "ym_last").alias("n_maaneder"))
 
 
-def _docs(spark, sf_dir, fields=None):
-    return documents.decode_documents(standins.payload_table(spark, sf_dir), fields=fields)
+def _docs(spark, sf_dir, kind="headers"):
+    return documents.decode_documents(standins.payload_table(spark, sf_dir, kind))
 
 
-# Documents per (order, chunk): an order with more than PERIODS_PER_DOCUMENT lines is cut
-# into chunks of that size after ranking its lines by every other column (nulls first).
-# Below SALT_ROWS lines an order has a single salt, so this SQL gives the same chunks;
-# the driver tables stay far below that.
-_LINE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in (
-    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-    "l_returnflag", "l_linestatus", "l_shipdate"))
+# One header per order; its income is the sum over all lines. Orders whose text is cut off decode to nulls.
 SQL_DOC_BASE = f"""
-WITH ln AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS cnt,
-                   row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS rk
-            FROM lineitem),
-l AS (SELECT l_orderkey,
-             CASE WHEN cnt > {standins.PERIODS_PER_DOCUMENT} THEN (rk - 1) // {standins.PERIODS_PER_DOCUMENT}
-                  ELSE 0 END AS chunk,
-             sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
-      FROM ln GROUP BY ALL),
-d AS (SELECT o.*, COALESCE(l.chunk, 0) AS chunk, l.s, l.n FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
+WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+d AS (SELECT o.*, l.s, l.n, o_orderkey % {standins.CUT_OFF[0]} = {standins.CUT_OFF[1]} AS cut_off,
+             o_orderkey % {standins.BAD_RATE[0]} = {standins.BAD_RATE[1]}
+             AND o_orderkey % {standins.CUT_OFF[0]} <> {standins.CUT_OFF[1]} AS bad_rate
+      FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey)"""
 
 _DAGSATS = f"CAST(floor(o_totalprice / {float(standins.WORKDAYS)}) AS INTEGER)"
-
-
-@register("flatten_doc", "F6 X6 X7 X9 X3 S3", SQL_DOC_BASE + f"""
-SELECT {standins.sql_ulid_parts('(epoch_us(o_orderdate) // 1000)', 'o_orderkey * 10', 'chunk')} AS id,
-       {standins.sql_ulid_parts('(epoch_us(o_orderdate) // 1000)', 'o_custkey', '0')} AS behov_id,
-       make_timestamp((epoch_us(o_orderdate) // 1000) * 1000) AS created_at,
-       lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS aktor_id,
-       o_orderkey AS vedtak_id,
-       CAST(o_orderdate AS DATE) AS beregningsdato,
-       CAST(o_custkey % 4 AS INTEGER) AS antall_barn,
-       COALESCE(CAST(CAST(s AS DECIMAL(20,2)) AS VARCHAR), '{standins.UNKNOWN_INCOME}') AS avkortet_raw,
-       CAST(s AS DECIMAL(20,2)) AS avkortet,
-       s >= {standins.MIN_INCOME} AS oppfyller_minsteinntekt,
-       CASE WHEN s >= {standins.MIN_INCOME} THEN 52 ELSE 26 END AS periode_antall_uker,
-       {_DAGSATS} AS dagsats,
-       5 * {_DAGSATS} AS ukesats,
-       'Grunnlag' AS grunnlag_regel, 'v1' AS grunnlag_versjon,
-       'Sats' AS sats_regel, 'v1' AS sats_versjon,
-       CAST(COALESCE(n, 0) AS INTEGER) AS n_perioder,
-       false AS corrupt
-FROM d""")
+_INCOME = "CAST(CAST(s AS DECIMAL(20,2)) AS VARCHAR)"
+
+
+def _sql_uid(k: int) -> str:
+    return standins.sql_ulid_parts("(epoch_us(o_orderdate) // 1000)", f"o_orderkey * 10 + {k}", "0")
+
+
+_FLAT = {
+    "id": _sql_uid(0),
+    "behov_id": standins.sql_ulid_parts("(epoch_us(o_orderdate) // 1000)", "o_custkey", "0"),
+    "created_at": "make_timestamp((epoch_us(o_orderdate) // 1000) * 1000)",
+    "aktor_id": "lpad(CAST(o_custkey AS VARCHAR), 13, '0')",
+    "vedtak_id": "o_orderkey",
+    "beregningsdato": "CAST(o_orderdate AS DATE)",
+    "inntekts_id": _sql_uid(1),
+    "inntekt_avvik": "o_orderpriority = '1-URGENT'",
+    "inntekt_manuelt_redigert": "o_orderstatus = 'F'",
+    "antall_barn": "CAST(o_custkey % 4 AS INTEGER)",
+    "avkortet_raw": f"COALESCE({_INCOME}, '{standins.UNKNOWN_INCOME}')",
+    "avkortet": "CAST(s AS DECIMAL(20,2))",
+    "uavkortet": "CAST(s AS DECIMAL(20,2))",
+    "har_avkortet": "false",
+    "beregningsregel": f"'{standins.BEREGNINGSREGEL}'",
+    "oppfyller_minsteinntekt": f"s >= {standins.MIN_INCOME}",
+    "periode_antall_uker": f"CASE WHEN s >= {standins.MIN_INCOME} THEN 52 ELSE 26 END",
+    "dagsats": f"CASE WHEN NOT bad_rate THEN {_DAGSATS} END",
+    "ukesats": f"5 * {_DAGSATS}",
+    "benyttet_90_prosent_regel": "false",
+    **{f"{name}_{col}": value for name, k in (("grunnlag", 2), ("minsteinntekt", 4), ("periode", 6), ("sats", 8))
+       for col, value in (("sporings_id", _sql_uid(k)), ("subsumsjons_id", _sql_uid(k + 1)),
+                          ("regel", f"'{name.capitalize()}'"), ("versjon", "'v1'"))},
+    "n_perioder": "CASE WHEN n IS NULL THEN 0 END",
+}
+
+
+@register("flatten_doc", "F6 X6 X7 X9 X3 S3", SQL_DOC_BASE + "\nSELECT " + ",\n       ".join(
+    f"CASE WHEN NOT cut_off THEN {sql} END AS {col}" for col, sql in _FLAT.items()) + ",\n       cut_off OR bad_rate AS corrupt\nFROM d")
 def q_flatten_doc(spark, sf_dir):
     return documents.flatten_document(_docs(spark, sf_dir))
 
 
 @register("decimal_parse", "X3", SQL_DOC_BASE + f"""
-SELECT o_orderkey AS vedtak_id,
-       COALESCE(CAST(CAST(s AS DECIMAL(20,2)) AS VARCHAR), '{standins.UNKNOWN_INCOME}') AS avkortet_raw,
-       CAST(s AS DECIMAL(20,2)) AS avkortet,
-       s IS NULL AS avkortet_bad
+SELECT CASE WHEN NOT cut_off THEN o_orderkey END AS vedtak_id,
+       CASE WHEN NOT cut_off THEN COALESCE({_INCOME}, '{standins.UNKNOWN_INCOME}') END AS avkortet_raw,
+       CASE WHEN NOT cut_off THEN CAST(s AS DECIMAL(20,2)) END AS avkortet,
+       s IS NULL AND NOT cut_off AS avkortet_bad
 FROM d""")
 def q_decimal_parse(spark, sf_dir):
-    d = _docs(spark, sf_dir, fields=("faktum", "grunnlagResultat"))
+    d = _docs(spark, sf_dir)
     raw = F.col("doc.grunnlagResultat.avkortet")
     return d.select(F.col("doc.faktum.vedtakId").alias("vedtak_id"), raw.alias("avkortet_raw"),
                     D.decimal_or_null(raw).alias("avkortet"), D.decimal_is_bad(raw).alias("avkortet_bad"))
 
 
-@register("explode_periods", "X8 X4 X5 X3", """
-SELECT o.o_orderkey AS vedtak_id, l.l_linenumber AS periode,
+def _sql_periods(share: str) -> str:
+    """Every line, and one row of nulls for an order whose readable header says it has none."""
+    return f"""
+SELECT coalesce(l.l_orderkey, o.o_orderkey) AS vedtak_id,
+       l.l_linenumber AS periode,
        CAST(CAST(l.l_extendedprice AS DECIMAL(20,2)) AS VARCHAR) AS inntekt_raw,
-       CAST(l.l_extendedprice AS DECIMAL(20,2)) AS inntekt,
-       CAST(date_trunc('month', l.l_shipdate - INTERVAL 11 MONTH) AS DATE) AS fra,
+       CAST(l.l_extendedprice AS DECIMAL(20,2)) AS inntekt,{share}
+       CAST(date_trunc('month', l.l_shipdate + to_months(CAST(l.l_linenumber - 12 AS INTEGER))) AS DATE) AS fra,
        last_day(l.l_shipdate) AS til,
-       CASE WHEN l.l_orderkey IS NOT NULL THEN CAST(12 AS INTEGER) END AS n_maaneder,
+       CAST(13 - l.l_linenumber AS INTEGER) AS n_maaneder,
        l.l_returnflag = 'R' AS fangst_og_fisk
-FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
+FROM orders o FULL JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WHERE l.l_orderkey IS NOT NULL OR o.o_orderkey % {standins.CUT_OFF[0]} <> {standins.CUT_OFF[1]}"""
+
+
+def _periods(spark, sf_dir, field):
+    """Periods of the period documents, and a row of nulls for each header that says it has none."""
+    headers = _docs(spark, sf_dir)
+    empty = F.size(F.col("doc")["grunnlagResultat"]["grunnlagInntektsPerioder"]) == 0
+    no_lines = headers.where(empty)
+    return documents.explode_periods(_docs(spark, sf_dir, "periods"), field=field) \
+        .unionByName(documents.explode_periods(no_lines, field=field))
+
+
+@register("explode_periods", "X8 X4 X5 X3", _sql_periods(""))
 def q_explode_periods(spark, sf_dir):
-    return documents.explode_periods(_docs(spark, sf_dir, fields=("faktum", "grunnlagResultat")))
+    return _periods(spark, sf_dir, "grunnlagResultat.grunnlagInntektsPerioder")
+
+
+@register("explode_min_periods", "X8 X3", _sql_periods("""
+       CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(20,2)) * 0.50 AS DECIMAL(20,2)) AS VARCHAR) AS andel_raw,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(20,2)) * 0.50 AS DECIMAL(20,2)) AS andel,"""))
+def q_explode_min_periods(spark, sf_dir):
+    return _periods(spark, sf_dir, "minsteinntektResultat.minsteinntektInntektsPerioder")

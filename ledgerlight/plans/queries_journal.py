@@ -76,42 +76,72 @@ def q_task_outbox(spark, sf_dir):
 SQL_DEAD = f"""
 WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
            FROM lineitem GROUP BY l_orderkey),
+c AS (SELECT o.*, l.s, l.n, o_orderkey % {standins.CUT_OFF[0]} = {standins.CUT_OFF[1]} AS cut_off,
+             o_orderkey % {standins.BAD_RATE[0]} = {standins.BAD_RATE[1]} AS bad_rate
+      FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey),
 dl AS (
-  SELECT o.o_orderkey,
-         NULLIF(concat_ws(',', CASE WHEN l.s IS NULL THEN 'bad_amount' END,
-                               CASE WHEN COALESCE(l.n, 0) = 0 THEN 'no_periods' END), '') AS error,
-         1 AS attempt, o.o_orderdate AS failed_at
-  FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderstatus = 'P')"""
+  SELECT o_orderkey,
+         NULLIF(concat_ws(',', CASE WHEN cut_off OR bad_rate THEN 'corrupt' END,
+                               CASE WHEN s IS NULL AND NOT cut_off THEN 'bad_amount' END,
+                               CASE WHEN n IS NULL AND NOT cut_off THEN 'no_periods' END), '') AS error,
+         CAST(1 + o_custkey % {MAX_ATTEMPTS} AS INTEGER) AS attempt, o_orderdate AS failed_at
+  FROM c)"""
+_SQL_DUE = f"failed_at + INTERVAL (30 * 86400 * pow(2, attempt - 1)) SECOND"
 
 
-def _dead_letters(spark, sf_dir):
-    payloads = standins.payload_table(spark, sf_dir).filter(F.col("o_orderstatus") == journal.PROVISIONAL)
-    docs = documents.decode_documents(payloads, fields=("grunnlagResultat",))
-    checks = [("corrupt", F.col("doc")[CORRUPT].isNotNull()),
-              ("bad_amount", D.decimal_is_bad(F.col("doc.grunnlagResultat.avkortet"))),
-              ("no_periods", F.coalesce(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"), F.lit(0)) == 0)]
-    _, bad = journal.split_outcome(docs, checks)
-    return bad.select("o_orderkey", "error", F.lit(1).alias("attempt"), F.col("o_orderdate").alias("failed_at"))
+CHECKS = [("corrupt", lambda: F.col("doc")[CORRUPT].isNotNull()),
+          ("bad_amount", lambda: D.decimal_is_bad(F.col("doc.grunnlagResultat.avkortet"))),
+          ("no_periods", lambda: F.coalesce(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder") == 0, F.lit(False)))]
 
 
-@register("dead_letter", "T5 X3", SQL_DEAD + " SELECT * FROM dl WHERE error IS NOT NULL")
+def _tagged(spark, sf_dir):
+    """Every document, all fields checked, in one tagged pass; the attempts made so far are a stand-in (1 to the most)."""
+    docs = documents.decode_documents(standins.payload_table(spark, sf_dir))
+    attempt = (F.lit(1) + F.col("o_custkey") % MAX_ATTEMPTS).cast("int")
+    return journal.tag_outcome(docs, [(n, c()) for n, c in CHECKS]).select(
+        "o_orderkey", "error", attempt.alias("attempt"), F.col("o_orderdate").alias("failed_at"), "payload")
+
+
+@register("dead_letter", "T5 X3", SQL_DEAD + """
+SELECT *, CASE WHEN error IS NULL THEN 'ok' ELSE 'dead' END AS outcome FROM dl""")
 def q_dead_letter(spark, sf_dir):
-    return _dead_letters(spark, sf_dir)
+    return _tagged(spark, sf_dir).drop("payload").withColumn(
+        "outcome", F.when(F.col("error").isNull(), "ok").otherwise("dead"))
 
 
 @register("retry_due", "T6", SQL_DEAD + f"""
-SELECT *, failed_at + INTERVAL (30 * 86400 * pow(2, attempt - 1)) SECOND AS due_at, attempt + 1 AS next_attempt
+SELECT *, {_SQL_DUE} AS due_at, attempt + 1 AS next_attempt
 FROM dl
-WHERE error IS NOT NULL AND attempt < {MAX_ATTEMPTS}
-  AND failed_at + INTERVAL (30 * 86400 * pow(2, attempt - 1)) SECOND <= TIMESTAMP '{CUTOFF}'""")
+WHERE error IS NOT NULL AND attempt < {MAX_ATTEMPTS} AND {_SQL_DUE} <= TIMESTAMP '{CUTOFF}'""")
 def q_retry_due(spark, sf_dir):
-    return journal.retry_due(_dead_letters(spark, sf_dir), ntz_literal(CUTOFF), MAX_ATTEMPTS, BACKOFF)
-
-
-@register("observe_counts", "S8", SQL_FINALISE + " SELECT * FROM fin")
+    dead = _tagged(spark, sf_dir).where("error is not null").drop("payload")
+    return journal.retry_due(dead, ntz_literal(CUTOFF), MAX_ATTEMPTS, BACKOFF)
+
+
+@register("retry_round", "T6 T5", SQL_DEAD + f"""
+SELECT o_orderkey, state, CASE WHEN state = 'recovered' THEN NULL ELSE error END AS error,
+       CASE WHEN state = 'again' THEN attempt + 1 ELSE attempt END AS attempt,
+       CASE WHEN state = 'again' THEN TIMESTAMP '{CUTOFF}' ELSE failed_at END AS failed_at
+FROM (SELECT *, CASE WHEN attempt >= {MAX_ATTEMPTS} THEN 'parked' WHEN {_SQL_DUE} > TIMESTAMP '{CUTOFF}' THEN 'waiting'
+                     WHEN error LIKE '%corrupt%' THEN 'again' ELSE 'recovered' END AS state
+      FROM dl WHERE error IS NOT NULL)""")
+def q_retry_round(spark, sf_dir):
+    """A round after the amount and period checks were lifted: only texts that cannot be read fail again."""
+    dead = documents.decode_documents(_tagged(spark, sf_dir).where("error is not null"))
+    done = journal.tag_retry(dead, [("corrupt", F.col("doc")[CORRUPT].isNotNull())], ntz_literal(CUTOFF), MAX_ATTEMPTS, BACKOFF)
+    cause = F.when(F.col("state") == "recovered", None).otherwise(F.col("first_error"))
+    return done.select("o_orderkey", "state", cause.alias("error"), "attempt", "failed_at")
+
+
+@register("observe_counts", "S8", SQL_FINALISE + """
+SELECT count(*) AS "rows", count(*) FILTER (outcome = 'final') AS final, count(*) FILTER (outcome = 'waiting') AS waiting
+FROM fin""")
 def q_observe_counts(spark, sf_dir):
+    """The counters of a finalising run, read back from its observation after the run."""
     from ..sources.sinks import observe_run
-    df, _ = observe_run(_finalised(spark, sf_dir), "finalise",
-                        final=F.col("outcome") == "final", waiting=F.col("outcome") == "waiting")
-    return df
+
+    df, seen = observe_run(_finalised(spark, sf_dir), "finalise",
+                           final=F.col("outcome") == "final", waiting=F.col("outcome") == "waiting")
+    df.write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return spark.createDataFrame([(counts["rows"], counts["final"], counts["waiting"])], "rows long, final long, waiting long")

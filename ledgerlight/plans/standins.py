@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import MIN_PERIOD_DDL, PERIOD_DDL
+
 from ..functions.timefn import seconds
 from ..operators import metrics
 from ..operators.routing import DEFAULT_ROUTES
@@ -182,81 +184,81 @@ UNKNOWN_INCOME = "n/a"
 WORKDAYS = 260
 
 
-#: at most this many income periods per document: an entry with more line
-#: items is spread over several documents (no line is dropped), so no single
-#: row or task ever holds an unbounded list
-PERIODS_PER_DOCUMENT = 16
-#: rows per salt when the lines of one oversized entry are ranked
-SALT_ROWS = 65536
-#: salts of the join that tags lines of oversized entries
-JOIN_SALTS = 64
+#: line numbers per period document: a fixed layout that never looks at how many lines an entry has
+LINES_PER_DOCUMENT = 16
+#: stand-ins for bad input: these entries' texts are cut off, or carry a daily rate that is no number
+CUT_OFF, BAD_RATE = (97, 13), (89, 7)
 
 
-def _line_chunks(lineitem: DataFrame) -> DataFrame:
-    """lineitem + ``chunk``: lines of one order in groups of <= PERIODS_PER_DOCUMENT.
+def _is(case: tuple[int, int]):
+    return F.col("o_orderkey") % case[0] == case[1]
 
-    Orders within the limit (all of them in TPC-H-like data) keep chunk 0 and
-    need no ranking. Only oversized orders -- found by a partial-aggregated
-    count -- are salted into buckets of about SALT_ROWS rows, ranked inside
-    (order, salt), and cut into chunks. The count is joined back on
-    (order, salt): the list of oversized orders is replicated JOIN_SALTS times
-    and every line carries a hash salt, so a hot order's lines are spread
-    over JOIN_SALTS tasks even when the list is too large to broadcast.
-    """
-    per = PERIODS_PER_DOCUMENT
-    cols = [c for c in lineitem.columns if c != "l_orderkey"]
-    big = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-                   .filter(F.col("__n") > F.lit(per))
-                   .withColumn("__js", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))))
-    salted = lineitem.withColumn("__js", F.pmod(F.xxhash64(*cols), F.lit(JOIN_SALTS)).cast("int"))
-    tagged = salted.join(big, ["l_orderkey", "__js"], "left").drop("__js")
-    small = tagged.filter(F.col("__n").isNull()).withColumn("chunk", F.lit(0).cast("bigint"))
-    salt = F.pmod(F.xxhash64(*cols), F.ceil(F.col("__n") / F.lit(SALT_ROWS)))
-    rank = F.row_number().over(Window.partitionBy("l_orderkey", "__salt").orderBy(*cols))
-    large = (tagged.filter(F.col("__n").isNotNull()).withColumn("__salt", salt)
-                   # chunk = salt * 2^13 + index in the salt (a salt holds ~SALT_ROWS rows)
-                   .withColumn("chunk", F.col("__salt") * F.lit(1 << 13) + F.floor((rank - 1) / F.lit(per)))
-                   .drop("__salt"))
-    return small.unionByName(large).drop("__n")
-
-
-def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """JSON documents shaped like the sample rule-evaluation document, one per
-    order and chunk of at most :data:`PERIODS_PER_DOCUMENT` line items.
-
-    Income periods are the order's line items (price as a decimal string,
-    ship month as the last month of a 12-month span). Orders without line
-    items get one document with an empty period list and the income text
-    ``n/a`` -- the input the decoders must flag. Line items are grouped by
-    (order, chunk) before the join, so even an order holding a third of all
-    lines is spread over many bounded groups.
-
-    Output: (o_orderkey, chunk, o_orderstatus, o_orderdate, payload).
+
+def period_documents(lineitem: DataFrame) -> DataFrame:
+    """Income periods as JSON documents, from ``lineitem`` alone: one per (order, line number div 16).
+
+    The layout is fixed by the line's own key, so a list holds at most
+    :data:`LINES_PER_DOCUMENT` lines however many an order has, and an order's
+    lines spread over as many groups; nothing is joined, ranked or counted.
+
+    Output: (l_orderkey, part, payload).
     """
     from ..functions.decode import ulid_head, ulid_with_parts, year_month
     from ..functions.timefn import epoch_millis
 
     price = F.col("l_extendedprice").cast("decimal(20,2)")
     period = F.struct(
-        price.cast("string").alias("inntekt"),
-        F.col("l_linenumber").alias("periode"),
+        F.col("l_linenumber").alias("periode"), price.cast("string").alias("inntekt"),
         F.struct(year_month("l_shipdate").alias("sisteMåned"),
-                 year_month(F.add_months(F.to_date("l_shipdate"), -11)).alias("førsteMåned")
+                 year_month(F.add_months(F.to_date("l_shipdate"), F.col("l_linenumber").cast("int") - 12)).alias("førsteMåned")
                  ).alias("inntektsPeriode"),
         (F.col("l_returnflag") == "R").alias("inneholderFangstOgFisk"),
+        (price * F.lit(0.5).cast("decimal(3,2)")).cast("decimal(20,2)").cast("string").alias("andel"),
     )
-    lines = (_line_chunks(lineitem).groupBy("l_orderkey", "chunk")
-                     .agg(F.collect_list(period).alias("perioder"), F.sum(price).alias("sum_inntekt")))
-    lines = lines.withColumn("perioder", F.array_sort(
-        "perioder", lambda a, b: (a["periode"] - b["periode"]).cast("int")))
-    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left") \
-        .withColumn("chunk", F.coalesce(F.col("chunk"), F.lit(0)).cast("bigint"))
+    part = F.floor(F.col("l_linenumber") / LINES_PER_DOCUMENT).cast("bigint").alias("part")
+    g = lineitem.groupBy("l_orderkey", part).agg(
+        F.sort_array(F.collect_list(period)).alias("perioder"), F.min("l_shipdate").alias("first"))
+    head = ulid_head(epoch_millis("first"))
+    fields = ("inntekt", "periode", "inntektsPeriode", "inneholderFangstOgFisk")
+
+    def listed(*names):
+        return F.transform("perioder", lambda x: F.struct(*(x[n].alias(n) for n in names)))
+
+    doc = F.struct(
+        ulid_with_parts(head, F.col("l_orderkey") * F.lit(10), F.col("part") + F.lit(1)).alias("id"),
+        F.struct(F.col("l_orderkey").alias("vedtakId")).alias("faktum"),
+        F.struct(listed(*fields).alias("grunnlagInntektsPerioder")).alias("grunnlagResultat"),
+        F.struct(listed("andel", *fields).alias("minsteinntektInntektsPerioder")).alias("minsteinntektResultat"))
+    return g.select("l_orderkey", "part", F.to_json(doc).alias("payload"))
+
+
+def header_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """JSON documents shaped like the sample rule-evaluation document, one per order.
+
+    The income is the sum over *all* lines of the order, and so is what is
+    decided on it: lines are summed per order (partial aggregation), and the
+    totals join the orders on a key that is unique on both sides, so no
+    order's lines ever meet in a task. The period lists travel in
+    :func:`period_documents`; a header has an empty list only if its order has
+    no line, and then the income text ``n/a`` -- the input the decoders must
+    flag. Some texts are cut off or hold a wrong type, see :data:`CUT_OFF`.
+
+    Output: (o_orderkey, o_custkey, o_orderstatus, o_orderdate, payload).
+    """
+    from ..functions.decode import ulid_head, ulid_with_parts
+    from ..functions.timefn import epoch_millis
+
+    totals = lineitem.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).alias("sum_inntekt"))
+    o = orders.join(totals, orders.o_orderkey == totals.l_orderkey, "left")
     # every id of a document has the same time part: compute it once per row
     o = o.withColumn("__head", ulid_head(epoch_millis("o_orderdate")))
-    key, ts, head, part = F.col("o_orderkey"), F.col("o_orderdate"), F.col("__head"), F.col("chunk")
+    key, ts, head, part = F.col("o_orderkey"), F.col("o_orderdate"), F.col("__head"), F.lit(0)
     income = F.col("sum_inntekt").cast("decimal(20,2)").cast("string")
     income_txt = F.coalesce(income, F.lit(UNKNOWN_INCOME))
-    periods = F.coalesce(F.col("perioder"), F.array().cast(f"array<{_period_ddl()}>"))
+
+    def periods(ddl):
+        return F.when(F.col("l_orderkey").isNull(), F.array().cast(f"array<{ddl}>"))
+
     meets = F.col("sum_inntekt") >= F.lit(MIN_INCOME)
     dagsats = F.floor(F.col("o_totalprice") / F.lit(float(WORKDAYS))).cast("int")
 
@@ -277,15 +279,11 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                  uid(2).alias("sporingsId"), F.lit(False).alias("harAvkortet"),
                  uid(3).alias("subsumsjonsId"), F.lit(BEREGNINGSREGEL).alias("beregningsregel"),
                  F.lit(RULE_IDS["grunnlag"]).alias("regelIdentifikator"),
-                 periods.alias("grunnlagInntektsPerioder")).alias("grunnlagResultat"),
+                 periods(PERIOD_DDL).alias("grunnlagInntektsPerioder")).alias("grunnlagResultat"),
         F.struct(uid(4).alias("sporingsId"), uid(5).alias("subsumsjonsId"),
                  F.lit(RULE_IDS["minsteinntekt"]).alias("regelIdentifikator"),
                  meets.alias("oppfyllerMinsteinntekt"),
-                 F.transform(periods, lambda x: F.struct(x["inntekt"].alias("andel"), x["inntekt"].alias("inntekt"),
-                                                         x["periode"].alias("periode"),
-                                                         x["inntektsPeriode"].alias("inntektsPeriode"),
-                                                         x["inneholderFangstOgFisk"].alias("inneholderFangstOgFisk"))
-                             ).alias("minsteinntektInntektsPerioder")).alias("minsteinntektResultat"),
+                 periods(MIN_PERIOD_DDL).alias("minsteinntektInntektsPerioder")).alias("minsteinntektResultat"),
         F.struct(uid(6).alias("sporingsId"), uid(7).alias("subsumsjonsId"),
                  F.when(meets, F.lit(52)).otherwise(F.lit(26)).alias("periodeAntallUker"),
                  F.lit(RULE_IDS["periode"]).alias("regelIdentifikator")).alias("periodeResultat"),
@@ -294,12 +292,10 @@ def rule_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                  F.lit(RULE_IDS["sats"]).alias("regelIdentifikator"),
                  F.lit(False).alias("benyttet90ProsentRegel")).alias("satsResultat"),
     )
-    return o.select("o_orderkey", "chunk", "o_orderstatus", "o_orderdate", F.to_json(doc).alias("payload"))
-
-
-def _period_ddl() -> str:
-    from ..schemas import PERIOD_DDL
-    return PERIOD_DDL
+    text = F.to_json(doc)
+    text = F.when(_is(CUT_OFF), F.substring(text, 1, 200)) \
+        .when(_is(BAD_RATE), F.regexp_replace(text, '"dagsats":-?[0-9]+', '"dagsats":"abc"')).otherwise(text)
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", text.alias("payload"))
 
 
 def sql_ulid(ms_sql: str, seed_sql: str) -> str:
@@ -329,28 +325,26 @@ def sql_ulid_decode(u_sql: str) -> str:
             f"substr(translate(upper({u_sql}), 'ILO', '110'), i + 1, 1)) - 1 AS BIGINT) << (5 * (9 - i)))) AS BIGINT)")
 
 
-_PAYLOAD_TABLES: dict[tuple[str, str], str] = {}
+_PAYLOAD_TABLES: dict[tuple[str, str, str], str] = {}
 
 
-def payload_table(spark, sf_dir: str) -> DataFrame:
-    """The journal payload table: :func:`rule_documents` of the driver tables.
+def payload_table(spark, sf_dir: str, kind: str = "headers") -> DataFrame:
+    """The journal payload table: :func:`header_documents` or :func:`period_documents` (``kind="periods"``).
 
     In production this is the pipeline's input (JSON records landed from the
     stream). Here it is derived once per Spark application and scale factor and
     written as Parquet below ``spark.checkpoint.dir``; every decoding query then
-    reads it -- with ``o_orderstatus`` filters pushed into the scan -- and does
-    its own parsing.
+    reads it and does its own parsing.
     """
-    import os
-
     from ..session import scratch_path
     from ..sources.tables import read_table
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     path = _PAYLOAD_TABLES.get(key)
     if path is None:
-        path = scratch_path(spark, "standins", "payloads")
-        docs = rule_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+        path = scratch_path(spark, "standins", kind)
+        lineitem = read_table(spark, sf_dir, "lineitem")
+        docs = period_documents(lineitem) if kind == "periods" else header_documents(read_table(spark, sf_dir, "orders"), lineitem)
         docs.write.mode("overwrite").option("compression", "zstd").parquet(path)
         _PAYLOAD_TABLES[key] = path
     return spark.read.parquet(path)

@@ -131,24 +131,26 @@ def test_templates(spark):
     assert df.select(render(None).alias("x")).first().x is None
 
 
-def test_documents_split_long_period_lists_without_losing_lines(spark, monkeypatch):
-    import os
-
+def test_entry_totals_and_bounded_period_lists(spark):
+    """1, 16, 17 and 100,000 lines per entry: the true sum and decision, lists of at most 16."""
     from ledgerlight.plans import standins
-    from conftest import SF001
-    monkeypatch.setattr(standins, "PERIODS_PER_DOCUMENT", 3)
-    monkeypatch.setattr(standins, "SALT_ROWS", 4)          # several salts per oversized order
-    o = spark.read.parquet(os.path.join(SF001, "orders.parquet"))
-    li = spark.read.parquet(os.path.join(SF001, "lineitem.parquet"))
-    docs = documents.decode_documents(standins.rule_documents(o, li))
-    n_lines = li.groupBy("l_orderkey").count()
-    small = n_lines.filter("count <= 3").count()
-    n_empty = o.join(li, o.o_orderkey == li.l_orderkey, "left_anti").count()
-    assert docs.count() >= small + n_empty + n_lines.filter("count > 3").count()
-    assert docs.select(F.max(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"))).first()[0] <= 3
-    periods = documents.explode_periods(docs)
-    assert periods.filter(F.col("periode").isNotNull()).count() == li.count()
+    counts = {1: 1, 2: 16, 3: 17, 4: 100_000, 5: 0}
+    line = "l_orderkey long, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz, l_returnflag string"
+    li = spark.createDataFrame([], line)
+    for k, n in counts.items():
+        li = li.union(spark.range(n).selectExpr(f"{k}L", "cast(id + 1 as int)", "9000D", "timestamp_ntz'1996-05-05 00:00:00'", "'R'"))
+    o = spark.range(1, 6).selectExpr("id as o_orderkey", "id as o_custkey", "'P' as o_orderstatus", "26000D as o_totalprice",
+                                     "timestamp_ntz'1996-01-01 00:00:00' as o_orderdate", "'1-URGENT' as o_orderpriority")
+    flat = documents.flatten_document(documents.decode_documents(standins.header_documents(o, li)), keep=("o_orderkey",))
+    got = {r.o_orderkey: (r.avkortet, r.oppfyller_minsteinntekt, r.periode_antall_uker) for r in flat.collect()}
+    assert got == {1: (9000, False, 26), 2: (144000, False, 26), 3: (153000, True, 52), 4: (900_000_000, True, 52),
+                   5: (None, None, 26)}
+    docs = documents.decode_documents(standins.period_documents(li))
+    assert docs.select(F.max(F.size("doc.grunnlagResultat.grunnlagInntektsPerioder"))).first()[0] <= 16
+    assert documents.explode_periods(docs).count() == li.count()
     assert docs.select("doc.id").distinct().count() == docs.count()          # ids stay unique
+    shares = documents.explode_periods(docs, field="minsteinntektResultat.minsteinntektInntektsPerioder")
+    assert shares.select("andel").distinct().collect()[0][0] == Decimal("4500.00")
 
 
 def test_iso_date(spark):
