@@ -78,7 +78,11 @@ def _matches(logger: Column, name: str) -> Column:
 
 def route_logs(events: DataFrame, routes: Sequence[Route] = DEFAULT_ROUTES,
                logger: str = "logger", level: str = "level", sink: str = "sink") -> DataFrame:
-    """One row per (event, sink) the event reaches; events below their level vanish."""
+    """One row per (event, sink) the event reaches; events below their level vanish.
+
+    An event whose level is null or unknown is not known to be below: it
+    passes (its record's ``level_value`` is null, so it can be told apart).
+    """
     lg = F.col(logger)
     resolved = resolve(routes)
     level_case = sinks_case = None
@@ -87,7 +91,7 @@ def route_logs(events: DataFrame, routes: Sequence[Route] = DEFAULT_ROUTES,
         sink_arr = F.array(*[F.lit(s) for s in sinks]) if sinks else F.array().cast("array<string>")
         level_case = F.when(cond, F.lit(rank)) if level_case is None else level_case.when(cond, F.lit(rank))
         sinks_case = F.when(cond, sink_arr) if sinks_case is None else sinks_case.when(cond, sink_arr)
-    passed = events.filter(level_ordinal(level) >= level_case)
+    passed = events.filter(F.coalesce(level_ordinal(level) >= level_case, F.lit(True)))
     return passed.withColumn(sink, F.explode(sinks_case))
 
 

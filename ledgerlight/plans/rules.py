@@ -166,13 +166,14 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
             rule = catalog[name]
             t = rule.condition(inp, params[name]).select(
                 F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
+                F.to_json(labels_map(list(rule.labels))).alias("__key"),      # no two label sets share it, as their texts may
                 labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
                 F.lit(seconds(params[name].hold)).alias("__hold"))
             if where is not None:
                 t = t.filter(where)
             ticks = t if ticks is None else ticks.unionByName(t)
         max_hold = max(seconds(params[name].hold) for name in members)
-        firing = holds.sustained(ticks, ["__rule", "labels"], f"{max_hold}s", f"{step_s}s", ts="tick",
+        firing = holds.sustained(ticks, ["__rule", "__key"], f"{max_hold}s", f"{step_s}s", ts="tick",
                                  hold_col="__hold")
         alert = action = description = None
         for name in members:

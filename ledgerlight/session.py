@@ -77,9 +77,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A fresh location under the shared checkpoint folder."""
+    """A fresh location under the shared checkpoint folder, scheme included."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
+    # a bare local path in local mode, where every reader shares this machine's files
+    if spark.sparkContext.master.startswith("local[") and base.startswith("file:"):
         base = base[len("file:"):]
     leaf = list(parts)
     if unique:

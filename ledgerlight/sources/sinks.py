@@ -43,16 +43,21 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """All micro-batch outputs with their ``batch`` id (from the folder name).
 
     A stream that saw no data wrote no batch: with ``schema`` (the batch
-    rows' schema) that reads as an empty frame instead of an error.
+    rows' schema) that reads as an empty frame. Any other failure to read is
+    an error: missing output must not pass for "nothing done yet".
     """
-    from pyspark.errors import AnalysisException
     from pyspark.sql.types import IntegerType, StructField, StructType
-    try:
-        return spark.read.option("basePath", root).parquet(os.path.join(root, "batch=*"))
-    except AnalysisException:
-        if schema is None:
-            raise
+    if schema is not None and not _exists(spark, os.path.join(root, "batch=*")):
         return spark.createDataFrame([], StructType([*schema.fields, StructField("batch", IntegerType())]))
+    return spark.read.option("basePath", root).parquet(os.path.join(root, "batch=*"))
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches, asked of the path's own file system."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
 
 
 def observe_run(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:

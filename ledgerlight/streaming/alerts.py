@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timefn import as_instant, instant_to_ntz, interval_text, ntz_literal
 from ..operators import holds, metrics
@@ -102,8 +103,10 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
     batch id. ``span`` is the longest window summed from panes, ``lookback``
     how far a firing decision looks back over ticks. Returns all firings (after
     the optional end-of-input flush), or the running query when not
-    ``available_now``. The flush is meant for a bounded input processed in one
-    run (it closes what the last micro-batch of this run left open).
+    ``available_now``. Each batch stores the mark it closed; the flush fires
+    only what lies after the last stored mark, into a folder of its own that
+    the next run's flush replaces. So a root may be run again, with or without
+    new files, and holds each firing once.
     """
     import datetime as dt
     import os
@@ -112,7 +115,8 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
     from ..operators.journal import latest_per_key
     from .ledger import RowLedger
 
-    panes_root, fired_root = os.path.join(root, "panes"), os.path.join(root, "fired")
+    panes_root, fired_root, closed_root = (os.path.join(root, x) for x in ("panes", "fired", "closed"))
+    mark_schema = T.StructType([T.StructField("mark", T.TimestampNTZType())])
     delay_td = dt.timedelta(seconds=seconds(delay))
     reach = dt.timedelta(seconds=seconds(lookback) + seconds(span))
     ledger = RowLedger(spark, panes_root, [*pane_keys, "pane_end"], compact_every)
@@ -136,10 +140,7 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
         m = max_et(ledger.versions_before(batch_id))           # max over versions = max over latest
         return None if m is None else m - delay_td
 
-    seen = {"last": None}                      # last batch processed (foreachBatch runs on the driver)
-
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        seen["last"] = batch_id
         lo, hi = closed_after(batch_id - 1), closed_after(batch_id)
         # keep what this batch's and every later evaluation reads
         ledger.record(batch_df, batch_id, retain=None if lo is None else F.col("pane_end") > at(lo - reach))
@@ -147,6 +148,8 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
             rows = ledger.rows_before(batch_id + 1, where=pane_range(lo, hi))
             if rows is not None:
                 write_batch(fire(rows, None if lo is None else at(lo), at(hi)), fired_root, batch_id)
+        if hi is not None:
+            write_batch(spark.createDataFrame([(hi,)], mark_schema), closed_root, batch_id)
 
     q = run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                           writer_fn=process, available_now=available_now, interval=interval)
@@ -154,8 +157,8 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
         return q
     if flush:                                   # end of a bounded input closes every window
         history = read_batches(spark, panes_root, panes.schema)
-        # what the last micro-batch closed (see closed_after); the rest closes now
-        done = None if seen["last"] is None else closed_after(seen["last"])
+        # what micro-batches of this and earlier runs have closed; the rest closes now
+        done = read_batches(spark, closed_root, mark_schema).agg(F.max("mark")).first()[0]
         closed = None if done is None else at(done)
         every = latest_per_key(history, [*pane_keys, "pane_end"], "batch").drop("batch")
         fire(every, closed, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))

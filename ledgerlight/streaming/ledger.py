@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.sinks import write_batch
@@ -31,10 +30,8 @@ class KeyLedger:
         return s if s >= 0 else None
 
     def _read(self, paths: list[str]) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(*paths).select(*self.key) if paths else None
-        except AnalysisException:          # folders of empty batches hold no files
-            return None
+        """Keys of folders that must all be there: a missing one fails the batch rather than pass for "no keys"."""
+        return self.spark.read.parquet(*paths).select(*self.key) if paths else None
 
     def keys_before(self, batch_id: int) -> DataFrame | None:
         """All keys recorded by batches ``< batch_id`` (distinct not guaranteed)."""
@@ -86,18 +83,12 @@ class RowLedger(KeyLedger):
         snap = self._snapshot_before(batch_id)
         frames = []
         if snap is not None:
-            try:
-                frames.append(self.spark.read.parquet(os.path.join(self.root, "snapshot", f"upto={snap}")))
-            except AnalysisException:
-                pass
+            frames.append(self.spark.read.parquet(os.path.join(self.root, "snapshot", f"upto={snap}")))
         start = (snap + 1) if snap is not None else 0
         recent = [os.path.join(self.root, f"batch={i}") for i in range(start, batch_id)]
         if recent:
-            try:
-                frames.append(self.spark.read.option("basePath", self.root).parquet(*recent)
-                              .withColumn("batch", F.col("batch").cast("bigint")))
-            except AnalysisException:      # only empty batches so far
-                pass
+            frames.append(self.spark.read.option("basePath", self.root).parquet(*recent)
+                          .withColumn("batch", F.col("batch").cast("bigint")))
         if not frames:
             return None
         out = frames[0]
@@ -132,11 +123,6 @@ class RowLedger(KeyLedger):
         """Versions of batches <= batch_id from the previous snapshot on."""
         from pyspark.sql import functions as F
         before = self._versions(batch_id)
-        try:
-            cur = self.spark.read.option("basePath", self.root).parquet(
-                os.path.join(self.root, f"batch={batch_id}")).withColumn("batch", F.col("batch").cast("bigint"))
-        except AnalysisException:
-            cur = None
-        if before is None:
-            return cur
-        return before if cur is None else before.unionByName(cur)
+        cur = self.spark.read.option("basePath", self.root).parquet(
+            os.path.join(self.root, f"batch={batch_id}")).withColumn("batch", F.col("batch").cast("bigint"))
+        return cur if before is None else before.unionByName(cur)

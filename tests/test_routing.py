@@ -47,8 +47,8 @@ def test_level_inherited_from_nearest_ancestor_with_a_level(spark):
         1: {"y", "out"}, 2: set(), 3: {"out"}}
 
 
-def test_unknown_level_never_passes(spark):
-    assert routed(spark, [(1, "a", "LOUD"), (2, "a", None)]) == {1: set(), 2: set()}
+def test_unknown_level_is_kept(spark):
+    assert routed(spark, [(1, "a", "LOUD"), (2, "a", None)]) == {1: {"STDOUT_JSON"}, 2: {"STDOUT_JSON"}}
 
 
 def test_write_routed_logs_one_folder_per_sink(spark):

@@ -242,3 +242,35 @@ def test_rows_later_than_the_watermark_are_dropped(spark):
     want = metrics.windowed_counts(standins.log_messages(on_time), KEYS, "3h", "1h", is_err())
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     assert late.count() > 0
+
+
+def test_alert_stream_run_again_holds_each_firing_once(spark):
+    """The same root run twice, and again with new files: the batch rule's firings, none doubled."""
+    import datetime as dt
+
+    from ledgerlight.operators import holds, metrics
+    from ledgerlight.streaming import alerts
+
+    start = dt.datetime(2024, 1, 1)
+    schema = "app string, level string, ts timestamp_ntz"
+
+    def rows(lo, hi):
+        return spark.createDataFrame([("a" if m % 2 else "b", "Error", start + dt.timedelta(minutes=m)) for m in range(lo, hi)], schema)
+
+    folder, root = scratch_path(spark, "test", "again_in"), scratch_path(spark, "test", "again")
+    rows(0, 60).coalesce(1).write.parquet(folder)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        panes = alerts.error_panes(stream, ["app"], "5m", "10m", F.col("level") == "Error")
+        out = alerts.run_alert_stream(spark, panes, root, ["app"], window="10m", step="5m", delay="10m", threshold=50, hold="10m")
+        return sorted((r.app, r.fires_at) for r in out.collect())
+
+    def batch(n):
+        ratio = metrics.error_ratio(rows(0, n), ["app"], "10m", "5m", F.col("level") == "Error", 50)
+        return sorted((r.app, r.fires_at) for r in holds.sustained(ratio, ["app"], "10m", "5m", ts="tick").collect())
+
+    first = run()
+    assert first == batch(60) and first == run() == run()
+    rows(60, 120).coalesce(1).write.mode("append").parquet(folder)
+    assert run() == batch(120) == run()
