@@ -5,7 +5,7 @@ nothing collected to the driver). A short warm-up runs first so JVM start-up
 and first codegen are not charged to the first query.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, default all), BENCH_REPEAT (default 1, best of n)
+     BENCH_QUERIES (comma list, default all), BENCH_REPEAT (default 3, median of n)
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -29,7 +30,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="ledgerlight-bench",
                           extra={"spark.driver.memory": "16g"})
@@ -42,13 +43,12 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for name in names:
-        best = None
+        took = []
         for _ in range(repeat):
             t0 = time.perf_counter()
             run(reg[name].build(spark, sf_dir))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+            took.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(took), 3)
     spark.stop()
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
