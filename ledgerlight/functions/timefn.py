@@ -2,7 +2,7 @@
 
 The driver tables store wall-clock ``TIMESTAMP_NTZ``. Converting through the
 session zone would make results depend on cluster settings, so epoch values
-are taken with ``timestampdiff`` against the NTZ epoch, which is exact and
+are built from the calendar date and the time of day, which is exact and
 zone free, and stays inside codegen.
 """
 

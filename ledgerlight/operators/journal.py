@@ -77,6 +77,11 @@ def finalise(entries: DataFrame, decisions: DataFrame, cutoff, *, key: str, stat
         .filter(F.col("__open")).drop("__open")
     if already_final is not None:
         prov = prov.join(already_final.select(F.col(key)), key, "left_anti")
+    return decide(prov, decisions, cutoff, key=key, version=version)
+
+
+def decide(prov: DataFrame, decisions: DataFrame, cutoff, *, key: str, version: str) -> DataFrame:
+    """Outcome of provisional entries, one row per key (columns as :func:`finalise`)."""
     j = prov.join(decisions, prov[key] == decisions["__key"], "left").drop("__key")
     ready = F.col("decided_at").isNotNull() & (F.col("decided_at") <= F.lit(cutoff))
     return j.select(

@@ -1,11 +1,14 @@
 """Journal finalisation on a stream (S1 + T3/T4 through ``foreachBatch``).
 
-Each micro-batch of journal entries is finalised against the decision table
-(a stream-static left join) and against the keys already final in earlier
-batches (anti join with a compacted key ledger), then written under its
-batch id with overwrite. A replayed batch therefore rewrites exactly its own
-output: "already final" only covers batches before it, so nothing is lost or
-doubled. Tasks for the newly final entries are written the same way (outbox).
+The state is one row per key: its newest version seen, and what became of it
+(``final``, ``waiting``, or ``closed`` if the newest version is not
+provisional). A micro-batch compares its arrivals with the state of the same
+keys, looks at the waiting entries again, joins the decision table and writes
+the rows that changed under its batch id with overwrite. So the state equals
+the batch form over all arrivals so far, whatever their order and whenever
+decisions come; a replayed batch rewrites exactly its own output, because the
+state before it covers earlier batches only. Tasks for final entries are
+written the same way, once per key.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import journal
 from ..sources.sinks import read_batches, write_batch
-from .ledger import KeyLedger
+from .ledger import KeyLedger, RowLedger
 
 
 def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: DataFrame, cutoff, root: str,
@@ -27,22 +30,39 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
     """Start (and, with ``available_now``, finish) the finalising stream under ``root``;
     otherwise it keeps running with a processing-time trigger of ``interval``.
 
-    Keys already final and task ids already issued are kept in two
-    :class:`KeyLedger` s, so a micro-batch reads a snapshot plus at most
-    ``compact_every`` recent folders, never the stream's whole history.
+    The state and the task ids issued are ledgers: a micro-batch reads a
+    snapshot plus at most ``compact_every`` recent folders, never the stream's
+    whole history. Decisions that come without new entries are seen by the
+    next micro-batch that has any.
     """
-    final_root = os.path.join(root, "finalised")
     outbox_root = os.path.join(root, "outbox")
-    finals = KeyLedger(spark, os.path.join(root, "final_keys"), key, compact_every)
+    state = RowLedger(spark, os.path.join(root, "finalised"), key, compact_every)
     issued = KeyLedger(spark, os.path.join(root, "task_ids"), "task_id", compact_every)
 
+    def newest(df: DataFrame) -> DataFrame:
+        return df.groupBy(key).agg(F.max_by("open", version).alias("open"), F.max(version).alias(version))
+
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        res = journal.finalise(batch_df, decisions, cutoff, key=key, status=status, version=version,
-                               already_final=finals.keys_before(batch_id))
+        is_open = F.coalesce(F.col(status) == F.lit(journal.PROVISIONAL), F.lit(False))
+        arrived = newest(batch_df.select(key, version, is_open.alias("open")))
+        before = state.rows_before(batch_id)
+        if before is not None:
+            seen = before.select(key, version, (F.col("outcome") != "closed").alias("open"), "outcome")
+            waiting = seen.filter("outcome = 'waiting'").drop("outcome")
+            known = seen.drop("outcome").join(arrived.select(key), key, "left_semi")
+            arrived = newest(arrived.select(key, version, "open").unionByName(waiting).unionByName(known))
+        entries_now = journal.decide(arrived.filter("open").drop("open"), decisions, cutoff, key=key, version=version)
+        closed = arrived.filter(~F.col("open")).select(
+            key, version, F.lit(None).cast(entries_now.schema["decided_at"].dataType).alias("decided_at"),
+            F.lit(0).cast(entries_now.schema["n_parts"].dataType).alias("n_parts"), F.lit("closed").alias("outcome"),
+            F.lit(None).cast("string").alias("new_status"))
+        res = entries_now.unionByName(closed)
+        if before is not None:      # a ledger of changes
+            res = res.join(before.select(key, version, "outcome"), [key, version, "outcome"], "left_anti") \
+                .select(*entries_now.columns)
         res = res.persist()
         try:
-            write_batch(res, final_root, batch_id)
-            finals.record(res.filter(F.col("outcome") == "final"), batch_id)
+            state.record(res, batch_id)
             tasks = journal.task_outbox(res, key, task_kind, "decided_at", existing=issued.keys_before(batch_id))
             tasks = tasks.persist()
             write_batch(tasks, outbox_root, batch_id)
@@ -63,7 +83,8 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
 
 
 def finalised_state(spark: SparkSession, root: str, key: str, schema=None) -> DataFrame:
-    """Current outcome per key: the row from the latest batch that touched it
-    (``schema``: the finalise output schema, for a stream that wrote nothing)."""
+    """Current outcome of every entry: the row from the latest batch that changed it
+    (``schema``: the finalise output schema, for a stream that wrote nothing).
+    Keys whose newest version is not provisional are no entries."""
     b = read_batches(spark, os.path.join(root, "finalised"), schema)
-    return journal.latest_per_key(b, key, "batch").drop("batch")
+    return journal.latest_per_key(b, key, "batch").drop("batch").filter("outcome != 'closed'")

@@ -274,3 +274,34 @@ def test_alert_stream_run_again_holds_each_firing_once(spark):
     assert first == batch(60) and first == run() == run()
     rows(60, 120).coalesce(1).write.mode("append").parquet(folder)
     assert run() == batch(120) == run()
+
+
+def test_finalise_stream_equals_batch_for_any_arrival_order(spark):
+    """Newer version first, newer version later, decision later: state and tasks as the batch form has them."""
+    import datetime as dt
+
+    from ledgerlight.operators import journal
+    from ledgerlight.sources.sinks import read_batches
+    from ledgerlight.streaming import journal as sjournal
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    schema = "k long, s string, v timestamp_ntz"
+    cutoff = ntz_literal("2024-02-01 00:00:00")
+    folder, root = scratch_path(spark, "test", "order_in"), scratch_path(spark, "test", "order")
+    runs = [[(1, "F", day(5)), (2, "P", day(1)), (3, "P", day(1)), (4, "P", day(1)), (5, "P", day(1))],
+            [(1, "P", day(2)), (2, "F", day(6)), (6, "P", day(1)), (4, "P", day(3))],
+            [(6, "P", day(1)), (7, "P", day(9))]]
+    decided = [[(4, day(2))], [(4, day(2)), (3, day(4))], [(4, day(2)), (3, day(4)), (6, day(3)), (7, dt.datetime(2024, 3, 1))]]
+    kw = dict(key="k", status="s", version="v")
+    arrived = []
+    for rows, done in zip(runs, decided):
+        arrived += rows
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        dec = journal.decisions_from_lines(spark.createDataFrame(done, "k long, t timestamp_ntz"), "k", "t")
+        stream = spark.readStream.schema(schema).parquet(folder)
+        sjournal.run_finalise_stream(spark, stream, dec, cutoff, root, root + "/cp", task_kind="t", compact_every=2, **kw)
+        batch = journal.finalise(spark.createDataFrame(arrived, schema), dec, cutoff, **kw)
+        got = sjournal.finalised_state(spark, root, "k")
+        assert sorted(map(tuple, got.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+    tasks = [r.k for r in read_batches(spark, f"{root}/outbox").collect()]
+    assert sorted(tasks) == [3, 4, 6]
