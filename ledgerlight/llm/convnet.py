@@ -7,7 +7,7 @@ and the maximum of the pooled values over all chunks are combined into one
 probability.
 
 Training fits on a bounded sample of labelled rows (``max_rows`` a class,
-chosen by a hash of the text, with ``train_chunks`` chunks of each drawn from
+chosen by a hash of the id, with ``train_chunks`` chunks of each drawn from
 the whole text), so the driver holds a few MB whatever the corpus. Class
 weights undo the sampling. Scoring reads every chunk of every text, a bounded
 number of chunks at a time.
@@ -167,17 +167,25 @@ def train(x: np.ndarray, owner: np.ndarray, label: np.ndarray, weight: np.ndarra
     return net
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", max_rows: int = MAX_ROWS) -> Net:
-    """Fit on rows of ``labelled`` whose label is 0 or 1; see the module's text for the bound."""
-    rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label")) \
-        .where("label in (0, 1)")
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label",
+        max_rows: int = MAX_ROWS) -> Net:
+    """Fit on the texts of ``docs`` that ``labels`` gives label 0 or 1; see the module's text for the bound.
+
+    The sample is drawn from the labels, by a hash of the id, about
+    ``max_rows`` a class at most; that list is broadcast, so no text is
+    shuffled. An id with both labels counts as 0; a null id has none.
+    """
+    rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")) \
+        .where("label in (0, 1) and key is not null").groupBy("key").agg(F.min("label").alias("label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n = sum(sizes.values())
     prior = sizes.get(1, 0) / n if n else 0.5
     if len(sizes) < 2:
         return Net(*(np.zeros(1),) * 4, 0.0, prior=prior, fitted=False)
     share = F.when(F.col("label") == 1, min(1.0, max_rows / sizes[1])).otherwise(min(1.0, max_rows / sizes[0]))
-    chosen = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 20)) < share * float(1 << 20))
+    listed = rows.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << 20)) < share * float(1 << 20))
+    chosen = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")) \
+        .join(F.broadcast(listed), "key").select("text", "label")
 
     def draw(batches):
         rng = np.random.default_rng(3)

@@ -57,8 +57,8 @@ def op6(spark, sf_dir):
 @corpus_query("op7_byte_convnet")
 def op7(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", (id_crc32("doc_id") % 5 == 0).alias("held_out"))
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    net = convnet.fit(docs.where("not held_out").join(labels, "doc_id"))
+    labels = read_table(spark, sf_dir, "labels").where(id_crc32("doc_id") % 5 != 0)
+    net = convnet.fit(docs.where("not held_out"), labels, label="quality")
     scored = docs.select("doc_id", "held_out", convnet.quality_score(net, "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= convnet.THRESHOLD).cast("int"))
 

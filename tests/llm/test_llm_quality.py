@@ -111,9 +111,12 @@ def test_held_out_accuracy(spark):
 
 
 def test_one_class_or_none(spark):
-    one = spark.createDataFrame([("a", 1), ("b", 1), (None, 1), ("c", None)], "text string, label int")
-    net = convnet.fit(one)
+    one = spark.createDataFrame([(1, 1), (2, 1), (None, 0), (4, None), (5, 7)], "doc_id long, label int")
+    docs = docs_frame(spark, awkward_docs())
+    net = convnet.fit(docs, one)
     assert not net.fitted and net.prior == 1.0
     got = docs_frame(spark, awkward_docs()).select(convnet.quality_score(net, "text").alias("s")).distinct().collect()
     assert [r["s"] for r in got] == [1.0]
-    assert convnet.fit(one.limit(0)).prior == 0.5
+    assert convnet.fit(docs, one.limit(0)).prior == 0.5
+    both = spark.createDataFrame([(1, 1), (2, 1), (200, 0), (201, 0), (999, 0)], "doc_id long, label int")
+    assert convnet.fit(docs, both).fitted and convnet.fit(docs.limit(0), both).fitted is False
