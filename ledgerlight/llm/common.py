@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +51,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     id reachable. Each round is two aggregates and two joins over the edge
     table, so a hub is pre-aggregated before its rows move and the join that
     follows can be split by AQE; each round's edges are written to the shared
-    folder. Loops and repeated edges are fine; no edges give no rows.
+    folder. Rounds end when every id has one edge, to the smallest. Loops and repeated edges are fine; no edges give no rows.
     """
     def settled(e: DataFrame) -> DataFrame:
         return e.where(F.col("u") != F.col("v")).distinct()
@@ -64,18 +67,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 .union(low.select("u", F.col("m").alias("v")))
         return settled(moved)
 
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    def is_forest_of_stars(e: DataFrame) -> bool:
+        ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+            .union(e.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("id").agg(F.sum("up").alias("up"), F.sum("down").alias("down")) \
+            .where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
     big, small = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
     now = materialise(settled(edges.select(big.alias("u"), small.alias("v"))), "edges")
-    before = mark(now)
-    while before[0]:
+    while not is_forest_of_stars(now):
         now = materialise(star(star(now, large=True), large=False), "edges")
-        after = mark(now)
-        if after == before:
-            break
-        before = after
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")) \
         .union(now.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
@@ -102,17 +103,35 @@ def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def equal_nibbles(a: F.Column, b: F.Column, longs: int) -> F.Column:
+    """In how many of the 16 four-bit digits of each of ``longs`` longs two arrays agree."""
+    def unequal(i: int) -> F.Column:
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        any_bit = x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseOR(F.shiftright(x, 3))
+        return F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(16 * longs) - reduce(add, map(unequal, range(longs)))
+
+
+def least_agreement(coordinates: int, similarity: float, deviations: float = 4.5) -> int:
+    """Digits in which two sketches of sets of a similarity agree, less so many standard deviations."""
+    p = similarity + (1 - similarity) / 16      # unequal coordinates agree in a digit one time in 16
+    return math.ceil(coordinates * p - deviations * math.sqrt(coordinates * p * (1 - p)))
+
+
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                 apart: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of the links among ids that share a bucket: ``(id, component)`` for every linked id.
 
     ``members`` is a written table ``(band, rep, leader)`` of the buckets with
     more than one id, ``leader`` being the bucket's smallest. ``verify`` takes
     pairs ``(a, b)`` and returns those that are links. A bucket is not expanded
     to all pairs: each id is held against the leader it shares most buckets
-    with; then against the leaders it is still apart from; last, ids that share
-    a bucket and are still in different components are held against each
-    other. A pair within one component needs no look, and none is looked at
-    twice, so no link between different components is lost.
+    with, then against the leaders it is still apart from. A pair within one
+    component needs no look. What is left are buckets whose members are still
+    in different components; ``apart`` takes these, ``(band, rep, label)``, and
+    returns the links among members with different labels, so no link between
+    different components is lost.
     """
     stars = materialise(members.where("rep != leader").groupBy(F.col("leader").alias("a"), F.col("rep").alias("b"))
                         .agg(F.count("*").alias("votes")), "stars")
@@ -126,24 +145,19 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -
         of = label.select(F.col("id").alias(col), F.col("component").alias(out))
         return df.join(of, col, "left").withColumn(out, F.coalesce(out, col))
 
-    def apart() -> DataFrame:
-        return labelled(labelled(stars.select("a", "b"), "a", "la"), "b", "lb").where("la != lb").select("a", "b") \
-            .join(tested, ["a", "b"], "left_anti").distinct()
-
-    def cross() -> DataFrame:
-        m = labelled(members.select("band", "rep"), "rep", "label")
-        mixed = m.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
-        m = m.join(mixed, "band", "left_semi")
-        other = m.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        return m.join(other, "band").where("rep < b and label != lb").select(F.col("rep").alias("a"), "b").distinct() \
-            .join(tested, ["a", "b"], "left_anti")
-
-    for candidates in (apart, cross):
-        pairs = materialise(candidates(), "pairs")
-        if not pairs.isEmpty():
-            links = materialise(links.union(verify(pairs)), "links")
-            tested = tested.union(pairs)
-            label = materialise(components(links), "labels")
+    rest = labelled(labelled(stars.select("a", "b"), "a", "la"), "b", "lb").where("la != lb").select("a", "b") \
+        .join(tested, ["a", "b"], "left_anti")
+    rest = materialise(rest, "pairs")
+    if not rest.isEmpty():
+        links = materialise(links.union(verify(rest)), "links")
+        label = materialise(components(links), "labels")
+
+    m = labelled(members.select("band", "rep"), "rep", "label")
+    mixed = m.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
+    open_ = materialise(m.join(mixed, "band", "left_semi"), "mixed")
+    if not open_.isEmpty():
+        links = materialise(links.union(apart(open_)), "links")
+        label = materialise(components(links), "labels")
     return label
 
 

@@ -25,16 +25,17 @@ id and text pass through untouched, whatever their names.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_short, link_buckets, materialise, shared_buckets
+from .common import broadcast_if_short, equal_nibbles, least_agreement, link_buckets, materialise, shared_buckets
 
 CHARS = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
-SEGMENT = 64
+SEGMENT, STRIDE = 64, 4
 SHORT = 1_000_000       # tables of up to this many narrow rows (about 40 MB) are broadcast, longer ones joined by shuffle
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -54,18 +55,22 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select("doc", "text_hash", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
 
 
-def _segments(chars: int) -> F.Column:
+def _segments(line: F.Column, chars: int) -> F.Column:
     """The line in overlapping segments of ``SEGMENT`` shingles each, four bytes a character.
 
     A shingle is then a plain slice of a short binary, whatever the length of the line.
     """
-    n = F.greatest(F.char_length("line") - chars + 1, F.lit(1))
+    n = F.greatest(F.char_length(line) - chars + 1, F.lit(1))
     return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")),
-                       lambda k: F.encode(F.substring(F.col("line"), k * SEGMENT + 1, F.lit(SEGMENT + chars - 1)), "UTF-32"))
+                       lambda k: F.encode(F.substring(line, k * SEGMENT + 1, F.lit(SEGMENT + chars - 1)), "UTF-32"))
+
+
+def _last_start(segment, chars: int) -> F.Column:
+    return F.greatest((F.octet_length(segment) / 4).cast("int") - chars, F.lit(0))
 
 
 def _starts(segment, chars: int) -> F.Column:
-    return F.sequence(F.lit(0), F.greatest((F.octet_length(segment) / 4).cast("int") - chars, F.lit(0)))
+    return F.sequence(F.lit(0), _last_start(segment, chars))
 
 
 def _shingle(segment, at, chars: int) -> F.Column:
@@ -73,32 +78,67 @@ def _shingle(segment, at, chars: int) -> F.Column:
 
 
 def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
-    """One row per distinct line: ``rep, h1, h2, doc, n, bands``, written once."""
+    """One row per distinct line: ``rep, h1, h2, doc, n, bands, digits``, written once."""
     distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min("doc").alias("doc"), F.count("*").alias("n"))
-    hashed = distinct.select("h1", "h2", "doc", "n", F.explode(_segments(chars)).alias("segment")) \
-        .select("h1", "h2", "doc", "n", "segment", F.explode(_starts(F.col("segment"), chars)).alias("at")) \
-        .select("h1", "h2", "doc", "n", _shingle(F.col("segment"), F.col("at"), chars).alias("h"))
+    # STRIDE shingles a row, so that the aggregate's buffers are touched that much less often; the last one may repeat
+    last = _last_start(F.col("segment"), chars)
+    hashed = distinct.select("h1", "h2", "doc", "n", F.explode(_segments(F.col("line"), chars)).alias("segment")) \
+        .select("h1", "h2", "doc", "n", "segment", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STRIDE))).alias("at")) \
+        .select("h1", "h2", "doc", "n", *(_shingle(F.col("segment"), F.least(F.col("at") + k, F.col("last")), chars).alias(f"s{k}")
+                                          for k in range(STRIDE)))
     signed = hashed.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.min("n").alias("n"),
-        *(F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{j}") for j, s in enumerate(_seeds())))
+        *(F.min(F.least(*(F.col(f"s{k}").bitwiseXOR(F.lit(s)) for k in range(STRIDE)))).alias(f"m{j}")
+          for j, s in enumerate(_seeds())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + j}" for j in range(ROWS))) for b in range(BANDS)))
-    return materialise(signed.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "doc", "n",
-                                     bands.alias("bands")), "lines")
+    def digits(at: int) -> F.Column:     # four bits of sixteen coordinates
+        part = [F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(15)), 4 * (j - at)) for j in range(at, min(at + 16, BANDS * ROWS))]
+        return reduce(lambda x, y: x.bitwiseOR(y), part)
+
+    return materialise(signed.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "doc", "n", bands.alias("bands"),
+                                     F.array(*map(digits, range(0, BANDS * ROWS, 16))).alias("digits")), "lines")
+
+
+def near_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members ``(band, rep, label)`` of one bucket with different labels, written once.
+
+    The join itself passes over pairs whose signatures agree in too few
+    coordinates for the similarity (4.5 standard deviations: one link in
+    300,000 of those that are only just links).
+    """
+    coordinates = BANDS * ROWS
+    longs = -(-coordinates // 16)
+    needed = least_agreement(coordinates, percent / 100) + 16 * longs - coordinates     # unused digits always agree
+    m = materialise(mixed.join(classes.select("rep", "digits"), "rep"), "digits")
+    other = m.select(F.col("band").alias("band_b"), F.col("rep").alias("b"), F.col("label").alias("lb"),
+                     F.col("digits").alias("digits_b"))
+    near = (F.col("band") == F.col("band_b")) & (F.col("rep") < F.col("b")) & (F.col("label") != F.col("lb")) \
+        & (equal_nibbles(F.col("digits"), F.col("digits_b"), longs) >= needed)
+    return materialise(m.join(other, near).select(F.col("rep").alias("a"), "b").distinct(), "pairs")
+
+
+def lines_of(lines: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """``(rep, line)`` of every class in a bucket with another, read from the texts once and written."""
+    wanted = materialise(classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "h1", "h2"), "ids")
+    return materialise(lines.join(broadcast_if_short(wanted, SHORT), ["h1", "h2"]).groupBy("rep")
+                       .agg(F.first("line").alias("line")), "found")
+
+
+def verified(found: DataFrame, pairs: DataFrame, chars: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of classes whose shingle sets have the similarity; ``found`` has their lines."""
+    def shingles(line: F.Column) -> F.Column:
+        return F.array_distinct(F.flatten(F.transform(
+            _segments(line, chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars)))))
 
+    def near(x):
+        both, size_a, size_b = F.size(F.array_intersect(x["a"], x["b"])), F.size(x["a"]), F.size(x["b"])
+        return 100 * both >= percent * (size_a + size_b - both)
 
-def verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, chars: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose shingle sets have the similarity."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    wanted = materialise(classes.join(ids, "rep", "left_semi").select("rep", "h1", "h2"), "ids")
-    found = lines.join(broadcast_if_short(wanted, SHORT), ["h1", "h2"]).groupBy("rep").agg(F.first("line").alias("line"))
-    sets = materialise(found.select("rep", F.array_distinct(F.flatten(F.transform(
-        _segments(chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars))))).alias("set")), "sets")
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    size_a, size_b = F.size("set_a"), F.size("set_b")
-    return pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a") \
-        .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b") \
-        .where(100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) \
-        .where(100 * both >= percent * (size_a + size_b - both)).select("a", "b")
+    # the lines travel, not their sets; the lambda's argument keeps each set from being made more than once
+    sets = F.array(F.struct(shingles(F.col("line_a")).alias("a"), shingles(F.col("line_b")).alias("b")))
+    return pairs.join(found.select(F.col("rep").alias("a"), F.col("line").alias("line_a")), "a") \
+        .join(found.select(F.col("rep").alias("b"), F.col("line").alias("line_b")), "b") \
+        .where(F.exists(sets, near)).select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: int = CHARS,
@@ -107,7 +147,9 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", char
     lines = line_rows(docs, key, text)
     classes = classes_of(lines, chars)
     members = shared_buckets(classes.select("rep", F.explode("bands").alias("band")), SHORT)
-    label = link_buckets(members, lambda pairs: verified(lines, classes, pairs, chars, percent))
+    found = lines_of(lines, classes, members)
+    label = link_buckets(members, lambda pairs: verified(found, pairs, chars, percent),
+                         lambda mixed: verified(found, near_pairs(mixed, classes, percent), chars, percent))
 
     # only classes with another line somewhere can lose one
     of = classes.select("rep", "h1", "h2", "doc", "n").join(label.withColumnRenamed("id", "rep"), "rep", "left") \

@@ -88,3 +88,19 @@ def test_main_path_is_native(spark):
     for p in plans:
         text = p._jdf.queryExecution().toString()
         assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
+
+
+def test_digits_that_agree(spark):
+    from ledgerlight.llm.common import equal_nibbles, least_agreement
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    rows = []
+    for _ in range(200):
+        a = [rng.getrandbits(64) - (1 << 63) for _ in range(2)]
+        b = [x ^ (rng.getrandbits(4) << (4 * rng.randrange(15))) ^ (rng.getrandbits(4) << (4 * rng.randrange(15))) for x in a]
+        rows.append((a, b))
+    got = spark.createDataFrame(rows, "a array<long>, b array<long>").select("a", "b", equal_nibbles(F.col("a"), F.col("b"), 2).alias("n"))
+    for r in got.collect():
+        pairs = [((x >> 4 * k) & 15, (y >> 4 * k) & 15) for x, y in zip(r["a"], r["b"]) for k in range(16)]
+        assert r["n"] == sum(x == y for x, y in pairs)
+    assert least_agreement(336, 0.8) < 336 * 0.8 < 336
