@@ -32,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import broadcast_if_short, link_buckets, materialise, shared_buckets
+from .common import broadcast_if_short, components, link_buckets, materialise, shared_buckets
 
 BANDS, ROWS = 48, 7
 PERCENT = 80
 WORDS = 5
-BLOCK = 1 << 20             # bytes hashed at a time
+BLOCK = 1 << 19             # bytes hashed at a time
+CELL = 256                  # texts on a side of a block comparison
 BROADCAST_ROWS = 500_000    # a list of ids or buckets up to this long (8 MB) is broadcast, a longer one joined by shuffle
 
 _U = np.uint64
@@ -177,8 +178,8 @@ def _prepare(words: int, bands: int, rows: int):
     """Rows of key, set size, set digest and band keys from rows of key and text."""
     def run(batches):
         for b in batches:
-            for at in range(0, len(b), 1024):
-                part = b.iloc[at:at + 1024]
+            for at in range(0, len(b), 512):
+                part = b.iloc[at:at + 512]
                 sets = shingle_sets(list(part["text"]), words)
                 full = [k for k, x in enumerate(sets) if len(x)]
                 keys = dict(zip(full, band_keys(sketches([sets[k] for k in full], bands * rows), bands, rows)))
@@ -192,13 +193,20 @@ def _prepare(words: int, bands: int, rows: int):
 def _sets(words: int):
     def run(batches):
         for b in batches:
-            for at in range(0, len(b), 1024):
-                part = b.iloc[at:at + 1024]
+            for at in range(0, len(b), 512):
+                part = b.iloc[at:at + 512]
                 yield pd.DataFrame({"id": part["key"].to_numpy(),
                                     "set": [x.tobytes() for x in shingle_sets(list(part["text"]), words)]})
     return run
 
 
+def _sets_of(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``(id, set)`` of the texts listed in the written table ``ids (id)``: by broadcast if it is short, else by shuffle."""
+    listed = broadcast_if_short(ids, BROADCAST_ROWS)
+    return materialise(texts.join(listed, texts["key"] == ids["id"], "left_semi")
+                       .mapInPandas(_sets(words), "id long, set binary"), "sets")
+
+
 def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar enough. ``texts`` has ``key, text``.
 
@@ -206,13 +214,74 @@ def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     (counted first) is broadcast to the scan, a longer one joined by shuffle.
     """
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    sets = materialise(texts.join(broadcast_if_short(ids, BROADCAST_ROWS), texts["key"] == ids["id"], "left_semi").mapInPandas(_sets(words), "id long, set binary"), "sets")
+    sets = _sets_of(texts, ids, words)
     near = pandas_udf(lambda x, y: pd.Series([jaccard_at_least(p, q, percent) for p, q in zip(x, y)], dtype=bool), "boolean")
     return pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b") \
         .where(near("set_a", "set_b")).select("a", "b").distinct()
 
 
+def _common(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and column of every shingle that more than one of the sets has; columns are numbered from 0."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = n[column] > 1
+    _, column = np.unique(column[keep], return_inverse=True)
+    return owner[keep], column
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
+    """Sizes of the intersections of all left sets with all right sets, ``width`` shared shingles at a time."""
+    owner, column = _common([*left, *right])
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [at, at + width])
+        has = np.zeros((len(left) + len(right), width), np.float32)
+        has[owner[i:j], column[i:j] - at] = 1
+        both += (has[:len(left)] @ has[len(left):].T).astype(np.int64)
+    return both
+
+
+def clump_links(texts: DataFrame, mixed: DataFrame, words: int, percent: int, cell: int = CELL) -> DataFrame:
+    """Links ``(a, b)`` among members ``(band, rep, label)`` of shared buckets that have different labels.
+
+    Members that hang together by buckets are a clump. A clump is cut into
+    blocks of about ``cell`` and a task compares two blocks: all intersections
+    of their full sets as one matrix product. Only links that join two labels
+    leave the task, so the rows stay in proportion to the members; the
+    comparisons are the square of a clump.
+    """
+    lead = mixed.groupBy("band").agg(F.min("rep").alias("a"))
+    clump = components(mixed.join(lead, "band").select("a", F.col("rep").alias("b"))).withColumnRenamed("component", "clump")
+    of = materialise(mixed.select(F.col("rep").alias("id"), "label").distinct().join(clump, "id"), "clumps")
+    blocks = of.groupBy("clump").agg(F.ceil(F.count("*") / cell).alias("blocks"))
+    dealt = of.join(blocks, "clump").withColumn("mine", F.pmod(F.xxhash64("id"), "blocks")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
+    sets = _sets_of(texts, materialise(of.select("id"), "ids"), words)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = (pdf[pdf["mine"] == pdf[side].iloc[0]] for side in ("x", "y"))
+        found = []
+        if len(left) and len(right):
+            a, b = ([np.frombuffer(v, np.uint64) for v in side["set"]] for side in (left, right))
+            both = intersections(a, b)
+            size = np.add.outer([len(v) for v in a], [len(v) for v in b])
+            la, lb = left["label"].to_numpy(), right["label"].to_numpy()
+            near = (both > 0) & (100 * both >= percent * (size - both)) & (la[:, None] != lb[None, :])
+            seen = set()
+            for i, j in zip(*np.nonzero(near)):
+                pair = (min(la[i], lb[j]), max(la[i], lb[j]))
+                if pair not in seen:
+                    seen.add(pair)
+                    found.append((int(left["id"].iloc[i]), int(right["id"].iloc[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(sets, "id").groupBy("clump", "x", "y").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: ``key, n_shingles, component_id, kept, text_hash``.
@@ -230,7 +299,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                           .agg(F.min("key").alias("rep"), F.first("bands").alias("bands")), "classes")
 
     members = shared_buckets(classes.select("rep", F.explode("bands").alias("band")), BROADCAST_ROWS)
-    label = link_buckets(members, lambda pairs: verified(known, pairs, words, percent))
+    label = link_buckets(members, lambda pairs: verified(known, pairs, words, percent),
+                         lambda mixed: clump_links(known, mixed, words, percent))
     of_class = classes.select("digest", "rep").join(label.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
     done = prepared.select("key", "text_hash", "n", "digest").join(of_class, "digest", "left") \

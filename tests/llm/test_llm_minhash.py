@@ -90,3 +90,25 @@ def test_a_chain_and_a_star_of_different_texts(spark):
 
 def test_no_rows(spark):
     assert m.near_duplicates(empty_docs(spark)).count() == 0 and m.keep_one(empty_docs(spark)).count() == 0
+
+
+def test_intersections_in_slices():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 400, n).astype(np.uint64)) for n in (0, 1, 30, 300, 90, 90)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[3:]] for a in sets[:3]]
+    for width in (1, 7, 1 << 14):
+        assert m.intersections(sets[:3], sets[3:], width).tolist() == want
+    assert m.intersections([sets[0]], [sets[0]]).tolist() == [[0]]
+
+
+def test_clump_over_several_blocks(spark):
+    """Members that hang together by buckets only: links are found across blocks, within one label none is reported."""
+    texts = [(i, " ".join(f"w{(i // 10) * 7 + j}" for j in range(60)) + f" z{i}", None, None, None) for i in range(60)]
+    df = docs_frame(spark, texts, clash=False).selectExpr("doc_id as key", "text")
+    mixed = spark.createDataFrame([(1, i, i) for i in range(60)], "band long, rep long, label long")
+    links = [(r["a"], r["b"]) for r in m.clump_links(df, mixed, 2, 80, cell=7).collect()]
+    sets = [word_set(r[1], 2) for r in texts]
+    want = closure(range(60), [(a, b) for a in range(60) for b in range(a) if similar(sets[a], sets[b])])
+    assert closure(range(60), links) == want and all(similar(sets[a], sets[b]) for a, b in links)
+    one = mixed.withColumn("label", mixed["label"] * 0)
+    assert m.clump_links(df, one, 2, 80, cell=7).count() == 0
