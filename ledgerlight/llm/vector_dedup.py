@@ -9,13 +9,15 @@ stream that remembers ``WINDOW`` vectors; the ends of neighbouring partitions
 are compared in a second, small step. A pass reports a spanning forest of what
 it found, so a big group costs one row a vector, not all pairs.
 
-The window caps the partners that a pass looks at. The rest is exact: within
-each component all members are compared, block against block, and only the
-counts leave a task. Equal vectors are one class with a multiplicity, so
-copies cost nothing; a group of *different* vectors all alike does cost its
-square in comparisons (not in rows). Two vectors of cosine 0.98 agree in a
-projection's sign with probability 0.936, so with n vectors a label a pass
-finds them with about ``0.936 ** log2(n / WINDOW)``.
+The window caps the partners that a pass looks at, and vectors of a label that
+share a direction share most signs, so the passes alone miss links. They only
+find most components cheaply. After them all pairs of vectors of one label and
+length are compared, so every link is found and every count is exact, however
+the vectors lie. No row is sent more than once: rounds broadcast a piece of a
+label and scan the rest of it, and what leaves a task are counts and the links
+between different components. Equal vectors are one class with a multiplicity,
+so copies cost nothing; the comparisons (not the rows) are the square of the
+*different* vectors of a label.
 
 Defined results: a null label, a null, empty or zero vector, and a vector with
 a null or non-finite component link with nothing; vectors of different length
@@ -27,6 +29,7 @@ gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -34,14 +37,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise
+from .common import broadcast_if_short, components, materialise, shared_path
 
 PASSES, BITS, WINDOW = 16, 64, 32
 MIN_COSINE = 0.98
-CELL = 512          # vectors on a side of a block comparison
+CELL = 512          # rows compared at a time
+HELD_BYTES = 1 << 25        # vectors that a round of the comparison of all pairs broadcasts
+BROADCAST_ROWS = 100_000    # groups whose sizes are broadcast
 SEED = 4
 _CLASS = "rep long, grp string, raw binary"
 _FOUND = "a long, b long, part int, side int, at int, band int, grp string, raw binary"
+_PAIRS = "a long, b long, n long"
 
 
 def planes(dim: int, band: int, bits: int) -> np.ndarray:
@@ -175,36 +181,97 @@ def sorted_passes(classes: DataFrame, passes: int = PASSES, bits: int = BITS, wi
     return found.where("part is null").select("a", "b").union(across).distinct()
 
 
-def link_counts(members: DataFrame, least: float = MIN_COSINE, cell: int = CELL) -> DataFrame:
+def _against(shared, piece: int, least: float):
+    """Compare rows with the held vectors of their group: counts for both sides, and links that join two labels.
+
+    Rows of the held piece itself are counted for their own side only: each of them is a row as well as held.
+    """
+    def run(batches):
+        held = {c: (_matrix(raws), *rest) for c, (raws, *rest) in shared.value.items()}
+        other = {c: np.zeros(len(n), np.int64) for c, (_, _, n, _) in held.items()}
+        forest, links = _Forest(), []
+        for b in batches:
+            out = []
+            for (c, same), g in b.assign(same=b["piece"] == piece).groupby(["component", "same"], sort=False):
+                if c not in held:
+                    continue
+                right, _, n_right, l_right = held[c]
+                for i in range(0, len(g), CELL):
+                    part = g.iloc[i:i + CELL]
+                    left, n_left, l_left = _matrix(part["raw"]), part["n"].to_numpy(), part["label"].to_numpy()
+                    n = np.zeros(len(part), np.int64)
+                    for j in range(0, len(right), 8 * CELL):
+                        p, q = np.nonzero(left @ right[j:j + 8 * CELL].T >= least)
+                        q += j
+                        np.add.at(n, p, n_right[q])
+                        if not same:
+                            np.add.at(other[c], q, n_left[p])
+                        apart = l_left[p] != l_right[q]
+                        if apart.any():
+                            for x, y in np.unique(np.column_stack((l_left[p[apart]], l_right[q[apart]])), axis=0):
+                                if forest.join(int(x), int(y)):
+                                    links.append((int(x), int(y)))
+                    out.append(pd.DataFrame({"a": part["rep"].to_numpy(), "b": None, "n": n})[n > 0])
+            if out:
+                yield pd.concat(out).astype({"b": "Int64"})
+        for c, n in other.items():
+            if n.any():
+                yield pd.DataFrame({"a": held[c][1], "b": None, "n": n})[n > 0].astype({"b": "Int64"})
+        if links:
+            yield pd.DataFrame(links, columns=["a", "b"]).assign(n=None).astype({"n": "Int64"})
+    return run
+
+
+def all_pairs(members: DataFrame, least: float = MIN_COSINE, cell: int | None = None) -> DataFrame:
+    """Every pair of vectors of a component of ``members (component, rep, n, label, raw)``, compared by cosine.
+
+    Returns ``(a, b, n)``: rows without ``b`` say that ``a`` links with ``n``
+    vectors, copies included (``a`` itself in one of its rows); rows without
+    ``n`` are links between labels that span all links between different labels.
+
+    No row is sent twice: components are cut into pieces of ``cell`` vectors
+    (those that fill ``HELD_BYTES`` if None), small ones share a piece, and a
+    round broadcasts one piece to tasks that scan the rest of its component.
+    """
+    spark = members.sparkSession
+    room = F.lit(cell) if cell else F.greatest(F.lit(1), F.floor(F.lit(HELD_BYTES) / F.max(F.length("raw"))))
+    sizes = materialise(members.groupBy("component").agg((F.count("*") / room).alias("share"),
+                                                         F.sum(F.length("raw")).alias("bytes")), "groups")
+    total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum(F.when(F.col("share") <= 1, F.col("share"))).alias("small")).first()
+    path = shared_path(spark, "pairs")
+    if total["bytes"] is None:
+        return spark.createDataFrame([], _PAIRS)
+    shelves = max(1, math.ceil(total["small"] or 0))
+    lot = F.when(F.col("share") <= 1, F.concat(F.lit("-"), F.pmod(F.xxhash64("component"), F.lit(shelves)).cast("string"))) \
+        .otherwise(F.concat(F.lit("+"), "component"))
+    piece = F.pmod(F.xxhash64("rep"), F.ceil("share")).cast("int")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total["bytes"] // (1 << 24))
+    dealt = materialise(members.join(broadcast_if_short(sizes, BROADCAST_ROWS), "component")
+                        .select("component", "rep", "n", "label", "raw", lot.alias("lot"), piece.alias("piece"))
+                        .repartitionByRange(parts, "lot", "piece", "rep"), "lots")
+    rounds = dealt.select("lot", "piece").distinct().collect()
+    for k, (lot, piece) in enumerate(rounds):
+        mine = dealt.where(F.col("lot") == lot)
+        held = mine.where(F.col("piece") == piece).select("component", "rep", "n", "label", "raw").toPandas()
+        shared = spark.sparkContext.broadcast({c: (list(g["raw"]), g["rep"].to_numpy(), g["n"].to_numpy(), g["label"].to_numpy())
+                                               for c, g in held.groupby("component", sort=False)})
+        mine.where(F.col("piece") >= piece).mapInPandas(_against(shared, piece, least), _PAIRS).write.parquet(f"{path}/round={k}")
+        shared.destroy()
+    return spark.read.schema(_PAIRS).parquet(*(f"{path}/round={k}" for k in range(len(rounds))))
+
+
+def link_counts(members: DataFrame, least: float = MIN_COSINE, cell: int | None = None) -> DataFrame:
     """``(rep, n)``: vectors, copies included, that each member of a component links with, itself included.
 
-    ``members`` has ``component, rep, n, raw`` (``n`` copies). Members fall
-    into blocks of about ``cell``; a task compares two blocks.
+    ``members`` has ``component, rep, n, raw`` (``n`` copies).
     """
-    blocks = members.groupBy("component").agg(F.ceil(F.count("*") / cell).alias("blocks"))
-    dealt = members.join(blocks, "component").withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks"))
-    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-        .withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
-        left, right = pdf[pdf["mine"] == x], pdf[pdf["mine"] == y]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"rep": [], "n": []}, dtype="int64")
-        near = _matrix(left["raw"]) @ _matrix(right["raw"]).T >= least
-        if x == y:
-            np.fill_diagonal(near, True)
-        out = [pd.DataFrame({"rep": left["rep"].to_numpy(), "n": near @ right["n"].to_numpy()})]
-        if x != y:
-            out.append(pd.DataFrame({"rep": right["rep"].to_numpy(), "n": left["n"].to_numpy() @ near}))
-        return pd.concat(out)
-
-    counted = sent.groupBy("component", "x", "y").applyInPandas(run, "rep long, n long")
-    return counted.groupBy("rep").agg(F.sum("n").alias("n"))
+    return all_pairs(members.withColumn("label", F.lit(0).cast("long")), least, cell).where("n is not null") \
+        .groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-                 least: float = MIN_COSINE, passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+                 least: float = MIN_COSINE, passes: int = PASSES, window: int = WINDOW,
+                 cell: int | None = None) -> DataFrame:
     """One row per vector: ``key, n_links, component_id, kept``."""
     clean = materialise(vectors.select(F.col(key).cast("long").alias("key"), F.col(label).cast("string").alias("label"),
                                        F.col(vector).alias("vector"))
@@ -214,10 +281,15 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                                F.first("raw").alias("raw")), "classes")
     links = sorted_passes(classes.select("rep", "grp", "raw"), passes, BITS, window, least)
     label_of = materialise(components(links).withColumnRenamed("id", "rep"), "labels")
-    # a component of links between classes; an id that stands for two classes keeps their groups apart
-    members = classes.join(label_of, "rep").select(F.concat_ws("|", F.col("component").cast("string"), "grp").alias("component"),
-                                                   "rep", "n", "raw")
-    counts = materialise(link_counts(members, least), "counts")
+    # what no pass brought together: all pairs of a label, whatever the passes found
+    members = classes.join(label_of, "rep", "left").select(F.col("grp").alias("component"), "rep", "n",
+                                                           F.coalesce("component", "rep").alias("label"), "raw")
+    pairs = all_pairs(members, least, cell)
+    missed = pairs.where("n is null").select("a", "b")
+    if not missed.isEmpty():
+        known = label_of.select(F.col("rep").alias("a"), F.col("component").alias("b"))
+        label_of = materialise(components(known.union(missed)).withColumnRenamed("id", "rep"), "labels")
+    counts = materialise(pairs.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n")), "counts")
     of_class = classes.select("digest", "rep", "n").join(counts.withColumnRenamed("n", "linked"), "rep", "left") \
         .join(label_of, "rep", "left") \
         .select("digest", (F.coalesce("linked", "n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))

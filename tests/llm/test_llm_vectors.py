@@ -62,3 +62,16 @@ def test_many_partitions_and_small_blocks(spark):
 
 def test_no_rows(spark):
     assert v.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_links_that_no_pass_finds(spark):
+    """Vectors that share a direction share their signs: the passes alone miss most of the planted pairs."""
+    rng = np.random.default_rng(8)
+    x = np.ones(32) + rng.normal(size=(1200, 32)) * 0.3
+    near = x[:100] + rng.normal(size=(100, 32)) * 0.05
+    rows = [(i, [float(np.float32(e)) for e in v], 1, "x", "y", 1) for i, v in enumerate([*x, *near])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for cell in (None, 500):        # one round, and several pieces of the label
+        got = v.near_vectors(df, passes=2, window=2, cell=cell).collect()
+        assert sorted((repr(r["vec_id"]), r["n_links"], repr(r["component_id"])) for r in got) == brute(rows)
+        assert sum(not r["kept"] for r in got) >= 100
