@@ -23,16 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .common import materialise
+
 UNKNOWN = "und"
 BUCKET_BITS = 16
 ORDERS = (2, 3, 4)
 SWITCH = 8.0            # nats a change of language costs
 SMOOTHING = 0.5
-TRAIN_DOCS = 2000       # labelled texts a language, chosen by a hash of the text
+TRAIN_DOCS = 2000       # different labelled texts a language, chosen by a hash of the text
 SCRIPT_SHARE = 0.01     # a language uses a script if this share of its letters is in it
 BLOCK = 1 << 19         # characters scored at a time
 RESULT = "lang string, score double, spans array<struct<start:int,end:int,lang:string>>"
@@ -129,17 +132,33 @@ def count_text(text: str) -> tuple[np.ndarray, np.ndarray]:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = TRAIN_DOCS) -> Model:
     """Learn from the rows of ``labelled`` that have a text and a language.
 
-    Of each language about ``max_docs`` texts are read, all if there are fewer: those whose
-    hash is below its share. Counts are summed by language on the executors; the driver gets
-    one vector of ``2 ** BUCKET_BITS`` counts per language.
+    Of each language about ``max_docs`` different texts are read, one copy of each, all if there are fewer: those
+    whose hash is below its share, and the one with the smallest hash in any case. Counts are summed by language on
+    the executors; the driver gets one vector of ``2 ** BUCKET_BITS`` counts per language.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text <> '' and lang is not null") \
+        .withColumn("hash", F.xxhash64("text", F.lit(7)))
+    distinct = materialise(rows.select("lang", "hash").distinct(), "texts")
+    sizes = {r["lang"]: r for r in distinct.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("first")).collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool))
-    share = F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, max_docs / sizes[k]))))
-    chosen = rows.where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20))
+    share = F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, max_docs / sizes[k]["n"]))))
+    first = F.create_map(*(F.lit(x) for k in langs for x in (k, sizes[k]["first"])))
+    below = F.pmod("hash", F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)
+    drawn = distinct.where(below | (F.col("hash") == first[F.col("lang")]))
+
+    def once(batches):
+        """The first copy in this task; the others go no further."""
+        part, seen = TaskContext.get().partitionId(), set()
+        for b in batches:
+            new = [(k, h) not in seen and not seen.add((k, h)) for k, h in zip(b["lang"], b["hash"])]
+            yield b[new].assign(part=part)
+
+    copies = materialise(rows.join(F.broadcast(drawn), ["lang", "hash"]).select("lang", "hash", "text")
+                         .mapInPandas(once, "lang string, hash long, text string, part int"), "drawn")
+    chosen = copies.join(F.broadcast(copies.groupBy("lang", "hash").agg(F.min("part").alias("part"))), ["lang", "hash", "part"]) \
+        .select("text", "lang")
 
     def count(batches):
         sums: dict = {}

@@ -73,3 +73,16 @@ def test_awkward_rows_and_nothing_learned(spark):
     nothing = g.fit(empty_docs(spark))
     assert {r["x"]["lang"] for r in df.select(g.label_languages(nothing, "text").alias("x")).collect()} == {"und"}
     assert empty_docs(spark).select(g.label_languages(model, "text").alias("x")).count() == 0
+
+
+def test_copies_count_once_in_the_sample(spark):
+    """Copies that fill a language neither push it out of the sample nor are read one by one."""
+    others = [("alpha beta gamma delta " + "abcdefghij"[i % 10] * (i // 10 + 1), "xx") for i in range(50)]
+    few = [(t.replace("alpha", "omega"), "yy") for t, _ in others]
+    for hot in ("kopie sulo", "vesta nurim", "trelb odan"):
+        rows = [*others, *[(hot, "xx")] * 3000, *few]
+        df = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+        assert g.fit(df, max_docs=5).langs == ["xx", "yy"]
+        whole = g.fit(df, max_docs=2000)
+        plain = g.fit(spark.createDataFrame([*others, (hot, "xx"), *few], "text string, lang string"))
+        assert np.array_equal(whole.table, plain.table) and np.array_equal(whole.uses, plain.uses)
