@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 TOKENS = 1024
+# slack by choice beside TOKENS, for the fewest sequences: pieces have a token at least, squares sum to at most the squared sum
 DOCS = 1024             # documents in a sequence at most
 COST = 1024 * 1024      # sum of squared lengths in a sequence at most
 WEIGHTS = (1.0, 0.05, 0.05)     # of tokens, documents and cost in the score
