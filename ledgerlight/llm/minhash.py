@@ -250,8 +250,8 @@ def clump_links(texts: DataFrame, mixed: DataFrame, words: int, percent: int, ce
     Members that hang together by buckets are a clump. A clump is cut into
     blocks of about ``cell`` and a task compares two blocks: all intersections
     of their full sets as one matrix product. Only links that join two labels
-    leave the task, so the rows stay in proportion to the members; the
-    comparisons are the square of a clump.
+    leave the task. Every set is sent once per block of its clump, so the
+    shuffled rows, as the comparisons, grow with the square of a clump.
     """
     lead = mixed.groupBy("band").agg(F.min("rep").alias("a"))
     clump = components(mixed.join(lead, "band").select("a", F.col("rep").alias("b"))).withColumnRenamed("component", "clump")

@@ -13,11 +13,11 @@ The window caps the partners that a pass looks at, and vectors of a label that
 share a direction share most signs, so the passes alone miss links. They only
 find most components cheaply. After them all pairs of vectors of one label and
 length are compared, so every link is found and every count is exact, however
-the vectors lie. No row is sent more than once: rounds broadcast a piece of a
+the vectors lie. Its rows are shuffled once: rounds broadcast a piece of a
 label and scan the rest of it, and what leaves a task are counts and the links
 between different components. Equal vectors are one class with a multiplicity,
-so copies cost nothing; the comparisons (not the rows) are the square of the
-*different* vectors of a label.
+so copies cost nothing; the comparisons are the square of the *different*
+vectors of a label, and a label of several pieces is scanned once for each.
 
 Defined results: a null label, a null, empty or zero vector, and a vector with
 a null or non-finite component link with nothing; vectors of different length
@@ -229,7 +229,7 @@ def all_pairs(members: DataFrame, least: float = MIN_COSINE, cell: int | None =
     vectors, copies included (``a`` itself in one of its rows); rows without
     ``n`` are links between labels that span all links between different labels.
 
-    No row is sent twice: components are cut into pieces of ``cell`` vectors
+    Rows are shuffled once: components are cut into pieces of ``cell`` vectors
     (those that fill ``HELD_BYTES`` if None), small ones share a piece, and a
     round broadcasts one piece to tasks that scan the rest of its component.
     """
