@@ -88,3 +88,57 @@ n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
 SELECT r.id AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.seen) AS component_id, r.id = min(r.seen) AS kept
 FROM r LEFT JOIN n ON n.a = r.id GROUP BY r.id
 """
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 19], ' ') AS x FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM d)),
+rep AS (SELECT r, i FROM win QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM rep)),
+pos AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM pos ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+def _merkle_sql(levels: int = 6, group_levels: int = 3) -> str:
+    """The manifest with a fixed number of levels, unrolled (8**6 documents a language, 8**3 languages)."""
+    def field(c):
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"
+    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), "
+           f"lambda c: ascii(c)::BIGINT)), {byte}), 4294967295)")
+    parts = [f"d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('text')} AS leaf, "
+             f"CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS seen FROM documents)",
+             "t AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS pos FROM d)",
+             "a0 AS (SELECT g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM t)",
+             "p0 AS (SELECT *, '' AS proof, seen AS f FROM t)"]
+
+    def climb(nodes, k, rows, key):
+        up, runs, out = f"{nodes}{k + 1}", f"{nodes}r{k}", f"{rows}{k + 1}"
+        parts.append(f"{runs} AS (SELECT g, pos // 8 AS run, any_value(n) AS n, list(h ORDER BY pos) AS hs FROM {nodes}{k} GROUP BY g, pos // 8)")
+        parts.append(f"{up} AS (SELECT g, run AS pos, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) "
+                     f"ELSE hs[1] END AS h FROM {runs})")
+        slot = f"(({key} // {8 ** k}) % 8)::INTEGER"
+        before, after = f"array_to_string(hs[1:{slot}], '')", f"array_to_string(hs[{slot} + 2:], '')"
+        parts.append(f"{out} AS (SELECT x.* EXCLUDE (proof, f), CASE WHEN n > 1 THEN proof || {before} || {after} ELSE proof END AS proof, "
+                     f"CASE WHEN n > 1 THEN sha256({before} || f || {after}) ELSE f END AS f "
+                     f"FROM {rows}{k} x JOIN {runs} r ON r.g = x.{'g' if nodes == 'a' else 'top'} AND r.run = {key} // {8 ** (k + 1)})")
+
+    for k in range(levels):
+        climb("a", k, "p", "pos")
+    parts += [f"s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS place FROM a{levels})",
+              "b0 AS (SELECT '' AS g, place AS pos, subroot AS h, count(*) OVER () AS n FROM s)",
+              f"q0 AS (SELECT x.*, subroot, place, '' AS top FROM p{levels} x JOIN s USING (g))"]
+    for k in range(group_levels):
+        climb("b", k, "q", "place")
+    return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, b.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, " \
+           f"f = b.h AS verified FROM q{group_levels} JOIN b{group_levels} b ON true"
+
+
+OP11 = _merkle_sql()

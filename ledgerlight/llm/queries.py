@@ -10,10 +10,13 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import convnet, host_rules, langid, line_dedup, minhash, mixing, packing, secret_scan, vector_dedup, warc
+from . import (convnet, host_rules, langid, line_dedup, merkle, minhash, mixing, packing, secret_scan, substring_dedup,
+               vector_dedup, warc, whitening)
 from .catalog import corpus_query
 from .common import id_crc32, shared_path
-from .oracles import OP2, OP3, OP4, OP6, OP9
+from .oracles import OP2, OP3, OP4, OP6, OP9, OP11, OP12
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 @corpus_query("op1_language_id")
@@ -94,3 +97,27 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@corpus_query("op11_merkle_manifest", OP11)
+def op11(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in merkle.COLUMNS]
+    lowered = [F.translate(c, UPPER, UPPER.lower()) if name == "text" else c for name, c in zip(merkle.COLUMNS, columns)]
+    seen = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_hash(*lowered))
+    rows = merkle.prove(docs, merkle.leaf_hash(*columns), carry={"seen": seen})
+    out = rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+                      merkle.fold(F.coalesce("seen", "leaf"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@corpus_query("op12_substring_dedup", OP12)
+def op12(spark, sf_dir):
+    cut = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@corpus_query("op13_chebyshev_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))

@@ -36,4 +36,4 @@ def test_entry_lists_them():
     import __spark_entry__ as e
 
     assert {"pipeline", *CORPUS} <= set(e.queries())
-    assert {n.split("_")[0] for n in CORPUS} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in CORPUS} == {f"op{i}" for i in range(1, 14)}
