@@ -118,8 +118,8 @@ class Chunk:
         return mix(mix(self.key[s].astype(np.uint64)) + self.place(at).astype(np.uint64)).astype(np.int64)
 
 
-def _chunks(batches, window: int, anchor: int, with_marks: bool = False):
-    """Chunks of about ``CHUNK`` words, each with the anchor places known of its segments."""
+def _chunks(batches, window: int, anchor: int, limits: tuple[int, int], with_marks: bool = False):
+    """Chunks of about ``limits[0]`` words, each with the anchor places known of its segments."""
     segments, marks, n = [], [], 0
     for b in batches:
         texts = b.column("text").cast(pa.binary())
@@ -127,7 +127,7 @@ def _chunks(batches, window: int, anchor: int, with_marks: bool = False):
         for i, (key, text_key) in enumerate(zip(keys, text_keys)):
             at, tail = 0, np.empty(0, np.uint64)
             mark = np.array(b.column("at")[i].as_py(), np.int64) if with_marks else None
-            for words in words_of(texts[i].as_py()):
+            for words in words_of(texts[i].as_py(), limits[1]):
                 new = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
                 hashes = np.concatenate([tail, new]) if len(tail) else new
                 if len(hashes) >= window:
@@ -136,17 +136,17 @@ def _chunks(batches, window: int, anchor: int, with_marks: bool = False):
                     n += len(hashes)
                 at += len(new)
                 tail = hashes[max(0, len(hashes) - window + 1):]
-                if n >= CHUNK:
+                if n >= limits[0]:
                     yield Chunk(segments, window, anchor), marks
                     segments, marks, n = [], [], 0
     if segments:
         yield Chunk(segments, window, anchor), marks
 
 
-def _find_anchors(window: int, anchor: int):
+def _find_anchors(window: int, anchor: int, limits: tuple[int, int]):
     """Rows ``(hash, key, text_key, at, n)``: the anchors of a chunk. ``n``: how often it counts (0: known to repeat)."""
     def run(batches):
-        for c, _ in _chunks(batches, window, anchor):
+        for c, _ in _chunks(batches, window, anchor, limits):
             seen = np.zeros(len(c.hashes), bool)
             seen[c.anchor_at[c.whole]] = True
             at = np.flatnonzero(seen)
@@ -163,14 +163,14 @@ def _find_anchors(window: int, anchor: int):
     return run
 
 
-def _find_windows(window: int, anchor: int):
+def _find_windows(window: int, anchor: int, limits: tuple[int, int]):
     """Rows ``(hash, check, key, text_key, start, length)`` of the windows around repeated anchors.
 
     ``length`` 0: the chunk's first occurrence of a window; else an interval
     of words known to occur earlier within the chunk.
     """
     def run(batches):
-        for c, marks in _chunks(batches, window, anchor, with_marks=True):
+        for c, marks in _chunks(batches, window, anchor, limits, with_marks=True):
             open_ = np.zeros(len(c.hashes), bool)
             for s, mark in enumerate(marks):
                 end = c.begin[s + 1] if s + 1 < len(c.begin) else len(c.hashes)
@@ -285,24 +285,24 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   anchor: int = ANCHOR) -> DataFrame:
+                   anchor: int = ANCHOR, limits: tuple[int, int] = (CHUNK, PIECE)) -> DataFrame:
     """``(doc_id, n_words, removed, kept_text)`` of every document.
 
     ``removed`` lists the maximal intervals of words ``[start, stop)`` covered
     by windows that occur earlier; ``kept_text`` joins the other words by one
-    space.
+    space. ``limits`` are the words of a chunk and the bytes of a piece.
     """
     if not 1 <= anchor <= window:
         raise ValueError("an anchor lies within its window")
     texts = _classes(docs, id_col, text_col)
     slim = texts.select("key", "text_key", "text")
-    found = slim.mapInArrow(_find_anchors(window, anchor), "hash long, key long, text_key long, at long, n int")
+    found = slim.mapInArrow(_find_anchors(window, anchor, limits), "hash long, key long, text_key long, at long, n int")
     total = F.sum("n").over(Window.partitionBy("hash"))
     again = found.withColumn("total", total).where("n = 0 or (n = 1 and total > 1)")
     marks = materialise(again.groupBy("key", "text_key").agg(F.collect_list("at").alias("at")), "anchors")
 
     windows = slim.join(marks, ["key", "text_key"]).select("key", "text_key", "at", "text") \
-        .mapInArrow(_find_windows(window, anchor), "hash long, check int, key long, text_key long, start long, length long")
+        .mapInArrow(_find_windows(window, anchor, limits), "hash long, check int, key long, text_key long, start long, length long")
     place = F.row_number().over(Window.partitionBy("hash", "check").orderBy("key", "text_key", "start"))
     repeated = windows.withColumn("place", place).where("length > 0 or place > 1")
     spans = materialise(repeated.groupBy("key", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("found")),

@@ -1,0 +1,100 @@
+import hashlib
+import random
+import zlib
+
+from pyspark.sql import functions as F
+
+from ledgerlight.llm import merkle
+from ledgerlight.llm.catalog import load_corpus
+from ledgerlight.llm.common import shared_path
+from llm_fixtures import DOCS, awkward_docs, docs_frame
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWER = str.maketrans(UPPER, UPPER.lower())
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(doc_id, text, lang, source, n_chars):
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+    return H(*map(field, (doc_id, source, lang, n_chars, text)))
+
+
+def tree(nodes):
+    """Root, and the siblings of every leaf: a list of (before, after) by level."""
+    paths, where = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        runs = [nodes[i:i + 8] for i in range(0, len(nodes), 8)]
+        for k, at in enumerate(where):
+            run, slot = runs[at // 8], at % 8
+            paths[k].append(("".join(run[:slot]), "".join(run[slot + 1:])))
+            where[k] = at // 8
+        nodes = [H(*r) for r in runs]
+    return nodes[0], paths
+
+
+def brute(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault("" if r[2] is None else "=" + r[2], []).append(r)
+    names = sorted(groups, key=lambda g: g.encode())
+    made = {}
+    for g in names:
+        ordered = sorted(groups[g], key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        made[g] = (ordered, *tree([leaf(*r) for r in ordered]))
+    root, tops = tree([made[g][1] for g in names])
+    out = []
+    for g, top in zip(names, tops):
+        ordered, subroot, paths = made[g]
+        for r, path in zip(ordered, paths):
+            doc_id, text = r[0], r[1]
+            own = leaf(*r)
+            h = own
+            if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0:
+                h = leaf(doc_id, text and text.translate(LOWER), *r[2:])
+            path = path + top
+            proof = H(*(b + a for b, a in path))
+            for b, a in path:
+                h = H(b, h, a)
+            out.append((doc_id, own, subroot, root, proof, h, h == root))
+    return sorted(out, key=repr)
+
+
+def run(spark, df):
+    folder = shared_path(spark, "merkle-test").removeprefix("file:")
+    df.write.parquet(folder + "/documents.parquet")
+    got = load_corpus()["op11_merkle_manifest"][0](spark, folder)
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def test_query_equals_plain_trees(spark):
+    rows = awkward_docs()
+    assert run(spark, docs_frame(spark, rows)) == brute(rows)
+
+
+def test_sparse_negative_and_many_ids_in_one_group(spark):
+    """Several rounds of blocks in a hot language, ids all over the long range, tiny groups, non-ASCII group names."""
+    rng = random.Random(4)
+    ids = rng.sample(range(-(1 << 63) + 1, (1 << 63) - 1), 4500) + list(range(-70, 70))
+    rows = [(i, "T" + str(k), "aa" if k % 9 else rng.choice(["é", "zz", "Z", None, "b" * 40]), "s", k) for k, i in enumerate(ids)]
+    rng.shuffle(rows)
+    got = run(spark, spark.createDataFrame(rows, DOCS).repartition(7))
+    assert got == brute(rows)
+    assert any(not r[-1] for r in got) and any(r[-1] for r in got)
+
+
+def test_one_id_for_many_rows(spark):
+    rows = [(None, f"t{k % 150}", "aa", None, None) for k in range(400)] + [(7, "X", "aa", None, None)] * 130
+    assert run(spark, spark.createDataFrame(rows, DOCS)) == brute(rows)
+
+
+def test_single_row_and_its_fold(spark):
+    rows = [(1, "Only", "aa", "s", 4)]
+    assert run(spark, spark.createDataFrame(rows, DOCS)) == brute(rows)
+    df = merkle.prove(spark.createDataFrame(rows, DOCS), merkle.leaf_hash(F.col("text")))
+    row = df.first()
+    assert row["leaf"] == row["root"] == H("4:Only") and row["path"] == [] and row["pos"] == 0
