@@ -21,6 +21,7 @@ shuffle on the key, or a broadcast of the target when AQE measures it small).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,26 +63,51 @@ def decisions_from_lines(lines: DataFrame, key: str, done_at: str) -> DataFrame:
         F.max(done_at).alias("decided_at"), F.count(F.lit(1)).alias("n_parts"))
 
 
+def version_order(df: DataFrame, version: str, tie: str | None, is_open: Column) -> Column:
+    """One number that orders the rows of a key: version, then ``tie``, then closed after open.
+
+    ``version`` is a timestamp or a whole number below 10**18, ``tie`` a whole
+    number (an offset or a line id); null ones come first. A decimal of fixed
+    width keeps the aggregate over it a hash aggregate.
+    """
+    from ..functions.timefn import epoch_micros
+
+    is_time = df.schema[version].dataType.typeName().startswith("timestamp")
+    at = epoch_micros(version) if is_time else F.col(version).cast("bigint")
+    at = F.coalesce(at, F.lit(-10 ** 18)).cast("decimal(19,0)")
+    second = F.coalesce(F.col(tie).cast("bigint"), F.lit(-(1 << 63))) if tie else F.lit(0)
+    # digits from the left: version, tie (shifted to be positive), closed
+    return (at * F.lit(Decimal(1 << 64)) + second.cast("decimal(19,0)")) * F.lit(Decimal(2)) \
+        + F.when(is_open, 0).otherwise(1).cast("decimal(1,0)")
+
+
+def is_provisional(status: str) -> Column:
+    return F.coalesce(F.col(status) == PROVISIONAL, F.lit(False))
+
+
 def finalise(entries: DataFrame, decisions: DataFrame, cutoff, *, key: str, status: str,
-             version: str, already_final: DataFrame | None = None) -> DataFrame:
+             version: str, already_final: DataFrame | None = None, tie: str | None = None) -> DataFrame:
     """Provisional entries -> ``final`` (decision ready by ``cutoff``) or ``waiting``.
 
-    ``entries``: journal rows (several versions per key allowed);
-    ``decisions``: one row per key (``__key, decided_at, n_parts``);
+    ``entries``: journal rows (several versions per key allowed; the newest
+    counts: by ``version``, then ``tie``, and of rows equal in both one that is
+    not provisional); ``decisions``: one row per key (``__key, decided_at, n_parts``);
     ``already_final``: keys finalised by earlier runs (skipped; re-runs are no-ops).
     Output: ``key, version, decided_at, n_parts, outcome, new_status``.
     """
     # two fixed-width results: a hash aggregate on both sides of the shuffle, no sort of the entries
-    is_open = F.coalesce(F.col(status) == PROVISIONAL, F.lit(False))
-    prov = entries.groupBy(key).agg(F.max_by(is_open, version).alias("__open"), F.max(version).alias(version)) \
+    is_open = is_provisional(status)
+    order = version_order(entries, version, tie, is_open)
+    prov = entries.groupBy(key).agg(F.max_by(is_open, order).alias("__open"), F.max(version).alias(version)) \
         .filter(F.col("__open")).drop("__open")
     if already_final is not None:
         prov = prov.join(already_final.select(F.col(key)), key, "left_anti")
     return decide(prov, decisions, cutoff, key=key, version=version)
 
 
-def decide(prov: DataFrame, decisions: DataFrame, cutoff, *, key: str, version: str) -> DataFrame:
-    """Outcome of provisional entries, one row per key (columns as :func:`finalise`)."""
+def decide(prov: DataFrame, decisions: DataFrame, cutoff, *, key: str, version: str,
+           carry: Sequence[str] = ()) -> DataFrame:
+    """Outcome of provisional entries, one row per key (columns as :func:`finalise`, then ``carry``)."""
     j = prov.join(decisions, prov[key] == decisions["__key"], "left").drop("__key")
     ready = F.col("decided_at").isNotNull() & (F.col("decided_at") <= F.lit(cutoff))
     return j.select(
@@ -90,6 +116,7 @@ def decide(prov: DataFrame, decisions: DataFrame, cutoff, *, key: str, version:
         F.coalesce(F.col("n_parts"), F.lit(0)).alias("n_parts"),
         F.when(ready, F.lit("final")).otherwise(F.lit("waiting")).alias("outcome"),
         F.when(ready, F.lit(FINAL)).otherwise(F.lit(PROVISIONAL)).alias("new_status"),
+        *carry,
     )
 
 

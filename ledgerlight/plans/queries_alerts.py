@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import holds, metrics
+from ..operators import counters, holds, metrics, series
 from . import rules, standins
 from .catalog import register, table
 
@@ -188,12 +188,43 @@ def _sql_alert(name: str, src: str, labels: list[str], rule: rules.Rule) -> str:
             f"{_sql_render(rule.action)} AS action, {_sql_render(rule.description)} AS description FROM {src}")
 
 
-SQL_ALERTS = SQL_ERROR_COUNTS + f""",
+def sql_tick_increase(window_h: int, out: str = "tinc") -> str:
+    """CTEs: the counter's increase over ``(tick - window, tick]`` at every tick with two samples in the window."""
+    return f""",
+d AS (SELECT *, lag(ts) OVER w AS pts,
+             CASE WHEN lag(value) OVER w IS NULL THEN 0
+                  WHEN value >= lag(value) OVER w THEN value - lag(value) OVER w
+                  ELSE value END AS d
+      FROM c WINDOW w AS (PARTITION BY log_app, log_namespace, log_level ORDER BY ts)),
+tk AS (SELECT DISTINCT log_app, log_namespace, log_level, ts + to_hours(k) AS tick FROM c, range(0, {window_h}) r(k)),
+{out} AS (SELECT t.log_app, t.log_namespace, t.log_level, t.tick,
+                 CAST(sum(d.d) FILTER (WHERE d.pts > t.tick - INTERVAL {window_h} HOUR) AS DOUBLE) AS increase
+          FROM tk t JOIN d ON t.log_app = d.log_app AND t.log_namespace = d.log_namespace AND t.log_level = d.log_level
+           AND d.ts > t.tick - INTERVAL {window_h} HOUR AND d.ts <= t.tick
+          GROUP BY t.log_app, t.log_namespace, t.log_level, t.tick HAVING count(*) >= 2)"""
+
+
+SQL_RATE_SHARE = """
+rshare AS (SELECT log_app, log_namespace, tick,
+                  CAST(100 AS DOUBLE) * sum(increase) FILTER (WHERE log_level = 'Error') / NULLIF(sum(increase), 0) AS error_pct
+           FROM tinc GROUP BY log_app, log_namespace, tick)"""
+
+
+@register("rate_at_ticks", "A2 W1 W2", SQL_COUNTER + sql_tick_increase(3) + """
+SELECT log_app, log_namespace, log_level, tick, increase / 10800.0 AS rate FROM tinc""")
+def q_rate_at_ticks(spark, sf_dir):
+    """The rate at every evaluation tick, from pane increments."""
+    inc = counters.increase(_counter(spark, sf_dir), CKEYS, WINDOW, STEP)
+    return inc.select(*CKEYS, "tick", (F.col("increase") / F.lit(10800.0)).alias("rate"))
+
+
+SQL_ALERTS = SQL_COUNTER + sql_tick_increase(3) + f""",
+{SQL_RATE_SHARE},
 rg AS ({standins.sql_replica_gauge()}),
 sg AS ({standins.sql_selftest_gauge()}),
 c1 AS (SELECT deployment, namespace, job, ts AS tick, value FROM rg
        WHERE job = '{standins.SERVICE_JOB}' AND value > 0),
-c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM ratio),
+c2 AS (SELECT log_app, log_namespace, tick, error_pct FROM rshare WHERE error_pct > {THRESHOLD}),
 c3 AS (SELECT app, kubernetes_namespace, ts AS tick, value FROM sg WHERE value > 0),
 a1 AS {_sql_islands('c1', ['deployment', 'namespace', 'job'], 'INTERVAL 2 MINUTE', 'value')},
 a2 AS {_sql_islands('c2', ['log_app', 'log_namespace'], 'INTERVAL 3 HOUR', 'error_pct')},
@@ -232,3 +263,85 @@ def q_error_ratio_rate(spark, sf_dir):
         F.sum("increase").alias("all_inc"))
     return metrics.above(sums.withColumn("error_pct", metrics.percent_share("err_inc", "all_inc")),
                          "error_pct", THRESHOLD)
+
+
+# ------------------------------------------------------------------ long sample tables
+
+SQL_SAMPLES = f"""{SQL_COUNTER}, rg AS ({standins.sql_replica_gauge()})"""
+
+
+def _samples(spark, sf_dir):
+    return standins.metric_samples(table(spark, sf_dir, "events"))
+
+
+@register("label_match_samples", "S4 F1 F2 F3", SQL_SAMPLES + f"""
+SELECT * FROM rg WHERE deployment = '{APP}' AND job = '{standins.SERVICE_JOB}' AND value > 0""")
+def q_label_match_samples(spark, sf_dir):
+    """A matcher with two labels over a long sample table whose metrics carry different label sets."""
+    g = metrics.series_frame(_samples(spark, sf_dir), standins.REPLICAS_NAME, ["deployment", "namespace", "job"])
+    return metrics.above(metrics.match_labels(g, deployment=APP, job=standins.SERVICE_JOB), "value", 0.0)
+
+
+@register("series_rate", "S4 F1 A1 A2 W2", SQL_SAMPLES + sql_tick_increase(3) + f"""
+SELECT log_app, log_namespace, CASE WHEN log_namespace = '{standins.EXTRA_NAMESPACE}' THEN '{standins.EXTRA_LABEL[1]}' END AS zone,
+       tick, sum(increase) / 10800.0 AS rate
+FROM tinc GROUP BY ALL""")
+def q_series_rate(spark, sf_dir):
+    """``sum by (log_app, log_namespace, zone)(rate(c[w]))`` with series keyed by one long; labels join back at the end."""
+    samples = _samples(spark, sf_dir)
+    dictionary = series.match_series(series.series_dictionary(samples), standins.COUNTER_NAME)
+    mine = series.with_series(metrics.match_labels(samples, metric=standins.COUNTER_NAME))
+    inc = series.with_labels(counters.increase(mine, ["series"], WINDOW, STEP), dictionary, [*KEYS, standins.EXTRA_LABEL[0]])
+    out = metrics.sum_by(inc, [*KEYS, standins.EXTRA_LABEL[0]], "increase", ts="tick")
+    return out.select(*KEYS, standins.EXTRA_LABEL[0], "tick", (F.col("increase") / F.lit(10800.0)).alias("rate"))
+
+
+# ------------------------------------------------------------------ parameters as data
+
+#: (rule, app, threshold, hold, window) in hours; the third app has no row, the second none for the self-test
+PARAM_ROWS = [("down", "app-0", 0.0, 1, 1), ("errors", "app-0", 25.0, 3, 3), ("selftest", "app-0", 0.0, 2, 1),
+              ("down", "app-1", 1.0, 2, 1), ("errors", "app-1", 20.0, 2, 2)]
+
+
+def _sql_param_alerts() -> str:
+    values = ", ".join(f"('{r}', '{a}', CAST({t} AS DOUBLE), {h}, {w})" for r, a, t, h, w in PARAM_ROWS)
+
+    def islands(name, src, labels):
+        return f"{name} AS " + _sql_islands(src, [*labels, "hold_h"], "to_hours(hold_h)", "value")
+
+    share = "".join(f"""
+s{w} AS (SELECT t.log_app, t.log_namespace, t.tick, t.log_level,
+                sum(d.d) FILTER (WHERE d.pts > t.tick - INTERVAL {w} HOUR) AS increase
+         FROM (SELECT DISTINCT log_app, log_namespace, log_level, ts + to_hours(k) AS tick FROM c, range(0, {w}) r(k)) t
+         JOIN d ON t.log_app = d.log_app AND t.log_namespace = d.log_namespace AND t.log_level = d.log_level
+          AND d.ts > t.tick - INTERVAL {w} HOUR AND d.ts <= t.tick
+         GROUP BY t.log_app, t.log_namespace, t.log_level, t.tick HAVING count(*) >= 2),""" for w in (2, 3))
+    return SQL_COUNTER + sql_tick_increase(3) + f""",
+p AS (SELECT * FROM (VALUES {values}) v(rule, app, threshold, hold_h, window_h)),{share}
+pct AS (SELECT log_app, log_namespace, tick, window_h,
+               CAST(100 AS DOUBLE) * sum(increase) FILTER (WHERE log_level = 'Error') / NULLIF(sum(increase), 0) AS error_pct
+        FROM (SELECT *, 2 AS window_h FROM s2 UNION ALL SELECT *, 3 FROM s3) GROUP BY ALL),
+rg AS ({standins.sql_replica_gauge()}),
+sg AS ({standins.sql_selftest_gauge()}),
+c1 AS (SELECT deployment, namespace, job, ts AS tick, value, hold_h FROM rg JOIN p ON rule = 'down' AND app = deployment
+       WHERE job = '{standins.SERVICE_JOB}' AND value > threshold),
+c2 AS (SELECT log_app, log_namespace, tick, error_pct AS value, hold_h FROM pct JOIN p ON rule = 'errors' AND app = log_app
+       AND p.window_h = pct.window_h WHERE error_pct > threshold),
+c3 AS (SELECT sg.app, kubernetes_namespace, ts AS tick, value, hold_h FROM sg JOIN p ON rule = 'selftest' AND p.app = sg.app
+       WHERE value > threshold),
+{islands('a1', 'c1', ['deployment', 'namespace', 'job'])},
+{islands('a2', 'c2', ['log_app', 'log_namespace'])},
+{islands('a3', 'c3', ['app', 'kubernetes_namespace'])}
+{_sql_alert('down', 'a1', ['deployment', 'namespace', 'job'], rules.RULES['down'])}
+UNION ALL
+{_sql_alert('errors', 'a2', ['log_app', 'log_namespace'], rules.RULES['errors'])}
+UNION ALL
+{_sql_alert('selftest', 'a3', ['app', 'kubernetes_namespace'], rules.RULES['selftest'])}"""
+
+
+@register("alerts_by_params", "F7 U1 F3 W3 A2", _sql_param_alerts())
+def q_alerts_by_params(spark, sf_dir):
+    """The rule set over all apps with its parameters as a table: thresholds, holds and windows by app."""
+    rows = [(r, a, t, h * 3600, w * 3600) for r, a, t, h, w in PARAM_ROWS]
+    inp = rules.MetricInputs.from_events(table(spark, sf_dir, "events"))
+    return rules.alerts_by_params(inp, spark.createDataFrame(rows, rules.PARAMS_DDL), STEP)

@@ -11,14 +11,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ntz_literal
-from ..operators import journal
+from ..operators import journal, series
 from ..schemas import EVENTS_SCHEMA, ORDERS_SCHEMA
 from ..session import scratch_path
-from ..sources.streams import file_stream
+from ..sources.streams import file_stream, replay, time_slice
 from ..streaming import alerts as salerts
+from ..streaming import counters as scounters
 from ..streaming import journal as sjournal
 from ..streaming import logs as slogs
 from ..streaming import rules as srules
+from ..streaming import windows as swindows
 from . import queries_alerts as qa
 from . import queries_journal as qj
 from . import queries_logs as ql
@@ -29,18 +31,44 @@ from .catalog import register, table
 DELAY = "1h"
 
 
-def _stream_ticks(spark, sf_dir):
-    events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)
-    msgs = standins.log_messages(events)
-    agg = salerts.error_counts(msgs, qa.KEYS, qa.WINDOW, qa.STEP, DELAY, F.col("log_level") == "Error")
-    root = scratch_path(spark, "streams", "error_ratio")
-    salerts.run_update_stream(agg, root + "/ticks", root + "/checkpoint")
-    return salerts.current_ticks(spark, root + "/ticks", qa.KEYS, schema=agg.schema)
+#: micro-batches of the queries that replay a table in slices
+SLICES = 3
+
+
+def _event_slices(spark, sf_dir, name, df):
+    """``df`` written slice by slice in order of event time: ``(folder, slice numbers as they are written)``."""
+    folder = scratch_path(spark, "streams", name + "_in")
+    return folder, replay(df, folder, SLICES, time_slice(df, "ts", SLICES))
 
 
 @register("stream_error_ratio", "T1 A3 F4 F3", qa.SQL_ERROR_COUNTS + " SELECT * FROM ratio")
 def q_stream_error_ratio(spark, sf_dir):
-    return salerts.error_ratio_from_ticks(_stream_ticks(spark, sf_dir), qa.THRESHOLD)
+    """Error share over sliding windows, one micro-batch per third of the time span."""
+    events = table(spark, sf_dir, "events")
+    folder, slices = _event_slices(spark, sf_dir, "windows", events)
+    root = scratch_path(spark, "streams", "windows")
+    aggs = {"errors": F.count_if(F.col("log_level") == "Error"), "total": F.count(F.lit(1))}
+    for _ in slices:
+        msgs = standins.log_messages(file_stream(spark, folder, events.schema))
+        swindows.run_window_stream(spark, msgs, root, qa.KEYS, window=qa.WINDOW, step=qa.STEP, aggs=aggs)
+    schema = swindows.window_deltas(standins.log_messages(events), qa.KEYS, qa.WINDOW, qa.STEP, aggs).schema
+    ticks = swindows.current_windows(spark, root, qa.KEYS, list(aggs), schema)
+    return salerts.error_ratio_from_ticks(ticks, qa.THRESHOLD)
+
+
+@register("stream_counter_rate", "A2 W2 T1 S4 S1", qa.SQL_SAMPLES + qa.sql_tick_increase(3) + """
+SELECT log_app, log_namespace, log_level, tick, increase / 10800.0 AS rate FROM tinc""")
+def q_stream_counter_rate(spark, sf_dir):
+    """The counter's rate from a stream of long samples, carried over three micro-batches by series fingerprint."""
+    samples = standins.metric_samples(table(spark, sf_dir, "events")).filter(F.col("metric") == standins.COUNTER_NAME)
+    folder, slices = _event_slices(spark, sf_dir, "samples", samples)
+    root = scratch_path(spark, "streams", "rate")
+    for _ in slices:
+        live = series.with_series(file_stream(spark, folder, samples.schema))
+        inc = scounters.run_counter_stream(spark, live, root, ["series"], window=qa.WINDOW, step=qa.STEP, delay=DELAY)
+    dictionary = series.series_dictionary(spark.read.schema(samples.schema).parquet(folder))
+    return series.with_labels(inc, dictionary, qa.CKEYS) \
+        .select(*qa.CKEYS, "tick", (F.col("increase") / F.lit(10800.0)).alias("rate"))
 
 
 @register("stream_sustained_for", "T2 W3", qa.SQL_SUSTAINED)
@@ -67,6 +95,81 @@ def q_stream_finalise(spark, sf_dir):
     return sjournal.finalised_state(spark, root, "o_orderkey", schema=out_schema)
 
 
+# Records that arrive in any order: every order twice, once provisional and once with its own status, a version that
+# is a day older, equal (the second version column decides) or a day newer, dealt over three micro-batches.
+
+SQL_RECORDS = f"""
+WITH rec AS (SELECT o_orderkey, 'P' AS status, o_orderdate AS version, 0 AS seq, o_orderkey % 3 AS slice FROM orders
+             UNION ALL
+             SELECT o_orderkey, o_orderstatus, o_orderdate + to_days(CAST(o_custkey % 3 AS INTEGER) - 1), 1, (o_orderkey // 3) % 3 FROM orders),
+l AS (SELECT l_orderkey, max(l_shipdate) AS d, count(*) AS n FROM lineitem GROUP BY l_orderkey)"""
+SQL_NEWEST = SQL_RECORDS + f""",
+newest AS (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, seq DESC) = 1),
+fin AS (SELECT p.o_orderkey, p.version, CASE WHEN l.d <= TIMESTAMP '{qj.CUTOFF}' THEN l.d END AS decided_at,
+               COALESCE(l.n, 0) AS n_parts, CASE WHEN l.d <= TIMESTAMP '{qj.CUTOFF}' THEN 'final' ELSE 'waiting' END AS outcome,
+               CASE WHEN l.d <= TIMESTAMP '{qj.CUTOFF}' THEN 'F' ELSE 'P' END AS new_status
+        FROM newest p LEFT JOIN l ON p.o_orderkey = l.l_orderkey WHERE p.status = 'P')"""
+
+
+def journal_records(orders):
+    key, days = F.col("o_orderkey"), F.col("o_custkey") % 3 - 1
+    first = orders.select("o_orderkey", F.lit("P").alias("status"), F.col("o_orderdate").alias("version"),
+                          F.lit(0).alias("seq"), (key % 3).alias("slice"))
+    own = orders.select("o_orderkey", F.col("o_orderstatus").alias("status"),
+                        F.timestamp_add("DAY", days, F.col("o_orderdate")).alias("version"), F.lit(1).alias("seq"),
+                        (F.floor(key / 3) % 3).alias("slice"))
+    return first.unionByName(own)
+
+
+def _finalised_records(spark, sf_dir):
+    """The finalising stream over the records, a micro-batch per slice; returns its root and the outcomes' schema."""
+    records = journal_records(table(spark, sf_dir, "orders"))
+    dec = journal.decisions_from_lines(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_shipdate")
+    folder, root = scratch_path(spark, "streams", "records_in"), scratch_path(spark, "streams", "records")
+    kw = dict(key="o_orderkey", status="status", version="version", tie="seq")
+    for _ in replay(records, folder, SLICES, F.col("slice")):
+        sjournal.run_finalise_stream(spark, file_stream(spark, folder, records.schema), dec, ntz_literal(qj.CUTOFF), root,
+                                     root + "/checkpoint", task_kind=qj.TASK_KIND, **kw)
+    return root, journal.finalise(records.limit(0), dec, ntz_literal(qj.CUTOFF), **kw).schema
+
+
+@register("stream_finalise_versions", "T3 W4 S1", SQL_NEWEST + " SELECT * FROM fin")
+def q_stream_finalise_versions(spark, sf_dir):
+    root, schema = _finalised_records(spark, sf_dir)
+    return sjournal.finalised_state(spark, root, "o_orderkey", schema)
+
+
+@register("stream_counters", "S8", SQL_RECORDS + f""",
+b AS (SELECT unnest([0, 1, 2]) AS batch),
+upto AS (SELECT b.batch, r.*, max(CASE WHEN r.slice = b.batch THEN 1 ELSE 0 END) OVER (PARTITION BY b.batch, o_orderkey) AS touched
+         FROM rec r JOIN b ON r.slice <= b.batch),
+newest AS (SELECT * FROM upto QUALIFY row_number() OVER (PARTITION BY batch, o_orderkey ORDER BY version DESC, seq DESC) = 1),
+out AS (SELECT batch, CASE WHEN status <> 'P' THEN 'closed' WHEN l.d <= TIMESTAMP '{qj.CUTOFF}' THEN 'final' ELSE 'waiting' END AS outcome
+        FROM newest LEFT JOIN l ON l_orderkey = o_orderkey WHERE touched = 1),
+read AS (SELECT slice AS batch, count(*) AS "rows", count(*) FILTER (status = 'P') AS provisional FROM rec GROUP BY slice)
+SELECT CAST(read.batch AS INTEGER) AS batch, any_value("rows") AS "rows", any_value(provisional) AS provisional,
+       count(*) FILTER (outcome = 'final') AS final, count(*) FILTER (outcome = 'waiting') AS waiting,
+       count(*) FILTER (outcome = 'closed') AS closed
+FROM read JOIN out ON read.batch = out.batch GROUP BY read.batch""")
+def q_stream_counters(spark, sf_dir):
+    """Counters of every micro-batch of the finalising stream: rows read, and what became of the keys they touched."""
+    root, _ = _finalised_records(spark, sf_dir)
+    return sjournal.stream_counters(spark, root)
+
+
+# An entry's task is issued when it first becomes final, and is not taken back when a newer record closes it.
+@register("stream_task_outbox", "T4", SQL_RECORDS + f""",
+b AS (SELECT unnest([0, 1, 2]) AS batch),
+newest AS (SELECT b.batch, r.* FROM rec r JOIN b ON r.slice <= b.batch
+           QUALIFY row_number() OVER (PARTITION BY b.batch, o_orderkey ORDER BY version DESC, seq DESC) = 1)
+SELECT DISTINCT sha256(CAST(o_orderkey AS VARCHAR) || '|' || '{qj.TASK_KIND}') AS task_id, o_orderkey,
+       '{qj.TASK_KIND}' AS kind, l.d AS created_at
+FROM newest JOIN l ON l_orderkey = o_orderkey WHERE status = 'P' AND l.d <= TIMESTAMP '{qj.CUTOFF}'""")
+def q_stream_task_outbox(spark, sf_dir):
+    root, _ = _finalised_records(spark, sf_dir)
+    return sjournal.issued_tasks(spark, root)
+
+
 @register("stream_log_to_json", "S5 S6 J2 F5 X2 (stream)", ql.SQL_ROUTE + ql.SQL_LOG_JSON)
 def q_stream_log_to_json(spark, sf_dir):
     events = file_stream(spark, sf_dir, EVENTS_SCHEMA, glob="events.parquet", max_files_per_trigger=1)

@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.templates import labels_map, labels_text, render, render_from_map
 from ..functions.timefn import seconds
-from ..operators import holds, metrics
+from ..operators import counters, holds, metrics
 from . import standins
 
 # Alert names and texts of the rule set (templates use {{ $labels.x }}).
@@ -49,16 +49,24 @@ class MetricInputs:
     replicas: DataFrame
     selftests: DataFrame
     pane_step: str = standins.PANE
+    counter: DataFrame | None = None    # message counter samples (log_app, log_namespace, log_level, ts, value)
 
     @staticmethod
     def from_messages(messages: DataFrame, step: str = standins.PANE, materialize: bool = True) -> "MetricInputs":
         """Inputs from a log-message table (ts, log_app, log_namespace, log_level, level, ...)."""
-        apps = standins.app_panes(standins.message_panes(messages, step))
+        panes = standins.message_panes(messages, step)
         if materialize:
             from ..session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(apps.sparkSession)
-            apps = apps.checkpoint(eager=True)
-        return MetricInputs(messages, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps), step)
+            ensure_checkpoint_dir(panes.sparkSession)
+            panes = panes.checkpoint(eager=True)
+        return MetricInputs.from_panes(panes, step, messages)
+
+    @staticmethod
+    def from_panes(panes: DataFrame, step: str = standins.PANE, messages: DataFrame | None = None) -> "MetricInputs":
+        """Inputs from a message pane table (log_app, log_namespace, log_level, pane_end, n)."""
+        apps = standins.app_panes(panes)
+        return MetricInputs(messages, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps), step,
+                            standins.message_counter(panes, step))
 
     @staticmethod
     def from_events(events: DataFrame, materialize: bool = True) -> "MetricInputs":
@@ -98,8 +106,20 @@ def replicas_down(inp: MetricInputs, p: RuleParams) -> DataFrame:
     return metrics.above(g, "value", p.threshold).withColumnRenamed("ts", "tick")
 
 
+def high_error_rate(inp: MetricInputs, p: RuleParams) -> DataFrame:
+    """``100 * sum by(app, ns)(rate(c{level="Error"}[w])) / sum by(app, ns)(rate(c[w])) > threshold``, as the rule is written.
+
+    Rates of the message counter, resets corrected, at every evaluation tick.
+    """
+    keys = ["log_app", "log_namespace"]
+    c = metrics.match_labels(inp.counter, _app("log_app", p))
+    inc = counters.increase(c, [*keys, "log_level"], p.window, p.step)
+    share = counters.rate_share(inc, keys, F.col("log_level") == "Error")
+    return metrics.above(share, "error_pct", p.threshold).select(*keys, "tick", F.col("error_pct").alias("value"))
+
+
 def high_error_share(inp: MetricInputs, p: RuleParams) -> DataFrame:
-    """``100 * sum by(app, ns)(rate(errors[w])) / sum by(app, ns)(rate(all[w])) > threshold``.
+    """The share by counted messages instead of rates: for a log table without a message counter.
 
     With the evaluation step equal to the pane step the windows are summed
     from the shared panes; otherwise from the raw messages.
@@ -124,7 +144,7 @@ def selftest_failing(inp: MetricInputs, p: RuleParams) -> DataFrame:
 
 RULES: dict[str, Rule] = {
     "down": Rule(ALERT_DOWN, ("deployment", "namespace", "job"), replicas_down, ACTION_DOWN, DESCRIPTION_DOWN),
-    "errors": Rule(ALERT_ERRORS, ("log_app", "log_namespace"), high_error_share, ACTION_ERRORS),
+    "errors": Rule(ALERT_ERRORS, ("log_app", "log_namespace"), high_error_rate, ACTION_ERRORS),
     "selftest": Rule(ALERT_SELFTEST, ("app", "kubernetes_namespace"), selftest_failing, ACTION_SELFTEST),
 }
 
@@ -163,34 +183,80 @@ def alerts_all(inp: MetricInputs, params: dict[str, RuleParams],
     for step_s, members in groups.items():
         ticks = None
         for name in members:
-            rule = catalog[name]
-            t = rule.condition(inp, params[name]).select(
-                F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
-                F.to_json(labels_map(list(rule.labels))).alias("__key"),      # no two label sets share it, as their texts may
-                labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
-                F.lit(seconds(params[name].hold)).alias("__hold"))
+            t = _labelled(name, catalog[name], catalog[name].condition(inp, params[name]), F.lit(seconds(params[name].hold)))
             if where is not None:
                 t = t.filter(where)
             ticks = t if ticks is None else ticks.unionByName(t)
         max_hold = max(seconds(params[name].hold) for name in members)
-        firing = holds.sustained(ticks, ["__rule", "__key"], f"{max_hold}s", f"{step_s}s", ts="tick",
-                                 hold_col="__hold")
-        alert = action = description = None
-        for name in members:
-            rule, is_rule = catalog[name], F.col("__rule") == F.lit(name)
-            alert = (F.when(is_rule, F.lit(rule.alert)) if alert is None else alert.when(is_rule, F.lit(rule.alert)))
-            a = render_from_map(rule.action, "__lbl")
-            d = render_from_map(rule.description, "__lbl")
-            action = F.when(is_rule, a) if action is None else action.when(is_rule, a)
-            description = F.when(is_rule, d) if description is None else description.when(is_rule, d)
-        frames.append(firing.select(alert.alias("alert"), "labels", "start", "fires_at", "value",
-                                    action.alias("action"), description.alias("description")))
+        frames.append(_held_alerts(ticks, {n: catalog[n] for n in members}, max_hold, step_s))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def _labelled(name: str, rule: Rule, ticks: DataFrame, hold_s) -> DataFrame:
+    """Condition ticks of a rule in the common form of every rule: labels as text, as a key and as a map."""
+    return ticks.select(
+        F.lit(name).alias("__rule"), labels_text(list(rule.labels)).alias("labels"),
+        F.to_json(labels_map(list(rule.labels))).alias("__key"),      # no two label sets share it, as their texts may
+        labels_map(list(rule.labels)).alias("__lbl"), "tick", F.col("value").cast("double").alias("value"),
+        hold_s.alias("__hold"))
+
+
+def _held_alerts(ticks: DataFrame, catalog: dict[str, Rule], max_hold_s: int, step_s: int) -> DataFrame:
+    """Held and rendered alerts of labelled ticks, one pass for all rules."""
+    firing = holds.sustained(ticks, ["__rule", "__key"], f"{max_hold_s}s", f"{step_s}s", ts="tick", hold_col="__hold")
+
+    def by_rule(of: Callable[[Rule], Column]) -> Column:
+        return F.coalesce(*(F.when(F.col("__rule") == name, of(rule)) for name, rule in catalog.items()))
+
+    return firing.select(by_rule(lambda r: F.lit(r.alert)).alias("alert"), "labels", "start", "fires_at", "value",
+                         by_rule(lambda r: render_from_map(r.action, "__lbl")).alias("action"),
+                         by_rule(lambda r: render_from_map(r.description, "__lbl")).alias("description"))
+
+
+# ------------------------------------------------------------------ parameters as data
+
+#: one row per rule and app that is to be watched; an app without a row has no alert of that rule
+PARAMS_DDL = "rule string, app string, threshold double, hold_s bigint, window_s bigint"
+
+
+def alerts_by_params(inp: MetricInputs, params: DataFrame, step: str) -> DataFrame:
+    """The rule set with its parameters as rows ``(rule, app, threshold, hold_s, window_s)``, in one pass for all apps.
+
+    Each value meets the parameters of its rule and app by an equi join, so
+    thresholds, holds and windows differ per row and no plan is built per app.
+    ``(rule, app)`` is unique; windows are multiples of ``step`` and matter to
+    the error rate alone. The two values read on the driver are the longest
+    hold and window, which bound the frames.
+    """
+    top = params.agg(F.max("hold_s").alias("hold"), F.max("window_s").alias("window")).first()
+    hold, window = int(top["hold"] or 0), int(top["window"] or seconds(step))
+
+    def of(rule: str, app: str) -> DataFrame:
+        return params.filter(F.col("rule") == rule).select(F.col("app").alias(app), "threshold", "hold_s", "window_s")
+
+    def passing(df: DataFrame, value: str) -> DataFrame:
+        return df.filter(F.col(value) > F.col("threshold")).withColumn("value", F.col(value))
+
+    keys = ["log_app", "log_namespace"]
+    panes = counters.pane_increments(inp.counter, [*keys, "log_level"], step, f"{window}s") \
+        .join(of("errors", "log_app"), "log_app").withColumn("panes", F.floor(F.col("window_s") / seconds(step)))
+    carried = ["threshold", "hold_s"]
+    inc = counters.increase_at_ticks(panes, [*keys, "log_level", *carried], f"{window}s", step, panes_col="panes")
+    share = counters.rate_share(inc, [*keys, *carried], F.col("log_level") == "Error")
+    down = metrics.match_labels(inp.replicas, job=standins.SERVICE_JOB).join(of("down", "deployment"), "deployment")
+    selftest = inp.selftests.join(of("selftest", "app"), "app")
+    found = {"down": passing(down.withColumnRenamed("ts", "tick"), "value"), "errors": passing(share, "error_pct"),
+             "selftest": passing(selftest.withColumnRenamed("ts", "tick"), "value")}
+    ticks = None
+    for name, df in found.items():
+        t = _labelled(name, RULES[name], df, F.col("hold_s"))
+        ticks = t if ticks is None else ticks.unionByName(t)
+    return _held_alerts(ticks, RULES, hold, seconds(step))
+
+
 def params_for(app: str | None, step: str = "1h", **overrides: dict) -> dict[str, RuleParams]:
     """Rule parameters: the rule set's defaults, then per-rule overrides."""
     out = {}

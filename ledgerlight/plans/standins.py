@@ -95,15 +95,15 @@ def app_panes(panes: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("log_level") == "Warn", n).otherwise(0)).alias("warns"))
 
 
-def message_counter(panes: DataFrame) -> DataFrame:
+def message_counter(panes: DataFrame, step: str = PANE) -> DataFrame:
     """``logd_messages_total``: (log_app, log_namespace, log_level, ts, value).
 
-    A sample at the end of every hour with messages; the value counts the
+    A sample at the end of every pane with messages; the value counts the
     messages since the start of that UTC day, so it drops back at midnight.
-    The running sum is partitioned by (series, day): at most 24 rows each.
+    The running sum is partitioned by (series, day): at most a day's panes each.
     """
     keys = ["log_app", "log_namespace", "log_level"]
-    start = F.timestamp_add("SECOND", F.lit(-seconds(PANE)), F.col("pane_end"))
+    start = F.timestamp_add("SECOND", F.lit(-seconds(step)), F.col("pane_end"))
     day = Window.partitionBy(*keys, F.to_date(start)).orderBy("pane_end") \
         .rowsBetween(Window.unboundedPreceding, 0)
     return panes.select(*keys, F.col("pane_end").alias("ts"), F.sum("n").over(day).cast("double").alias("value"))
@@ -126,6 +126,32 @@ def selftest_gauge(apps: DataFrame) -> DataFrame:
                        F.col("pane_end").alias("ts"), F.col("warns").cast("double").alias("value"))
 
 
+#: metric names of the sample table
+COUNTER_NAME, REPLICAS_NAME, SELFTEST_NAME = ("logd_messages_total", "kube_deployment_status_replicas_unavailable",
+                                              "selftests_aggregate_result_status")
+#: series of this namespace carry one label more, others an empty one, to which a label set is indifferent
+EXTRA_LABEL, EXTRA_NAMESPACE = ("zone", "north"), "ns-1"
+
+
+def metric_samples(events: DataFrame) -> DataFrame:
+    """The three metrics as one long sample table ``(metric, labels, ts, value)``, each with its own label set.
+
+    All samples come from one pane table, read three times.
+    """
+    panes = message_panes(log_messages(events))
+    apps = app_panes(panes)
+    extra = [F.lit(EXTRA_LABEL[0]), None]
+
+    def long(df: DataFrame, name: str, labels: list[str], namespace: str) -> DataFrame:
+        pairs = [x for c in labels for x in (F.lit(c), F.col(c))]
+        extra[1] = F.when(F.col(namespace) == EXTRA_NAMESPACE, F.lit(EXTRA_LABEL[1])).otherwise(F.lit(""))
+        return df.select(F.lit(name).alias("metric"), F.create_map(*extra, *pairs).alias("labels"), "ts", "value")
+
+    return long(message_counter(panes), COUNTER_NAME, ["log_app", "log_namespace", "log_level"], "log_namespace") \
+        .unionByName(long(replica_gauge(apps), REPLICAS_NAME, ["deployment", "namespace", "job"], "namespace")) \
+        .unionByName(long(selftest_gauge(apps), SELFTEST_NAME, ["app", "kubernetes_namespace"], "kubernetes_namespace"))
+
+
 # ---------------------------------------------------------------- SQL forms (oracle)
 
 def sql_log_messages(events: str = "events") -> str:

@@ -47,12 +47,12 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
     an error: missing output must not pass for "nothing done yet".
     """
     from pyspark.sql.types import IntegerType, StructField, StructType
-    if schema is not None and not _exists(spark, os.path.join(root, "batch=*")):
+    if schema is not None and not path_exists(spark, os.path.join(root, "batch=*")):
         return spark.createDataFrame([], StructType([*schema.fields, StructField("batch", IntegerType())]))
     return spark.read.option("basePath", root).parquet(os.path.join(root, "batch=*"))
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
+def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches, asked of the path's own file system."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)

@@ -6,11 +6,14 @@ are always explicit -- a stream never infers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.decode import parse_json
+from ..functions.timefn import epoch_micros
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
@@ -24,6 +27,26 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str
     return reader.load(folder)
 
 
+def replay(df: DataFrame, folder: str, slices: int, by: Column) -> Iterator[int]:
+    """Write ``df`` into ``folder`` slice after slice (rows with ``by`` = 0, 1, ...), giving way after each.
+
+    A stream over the folder that is run to the end of its input each time
+    gets one micro-batch per slice, however many files a slice has.
+    """
+    for k in range(slices):
+        df.filter(by == k).write.mode("append").parquet(folder)
+        yield k
+
+
+def time_slice(df: DataFrame, ts: str, slices: int) -> Column:
+    """Slice number by event time: equal spans between the first and the last time (one aggregate)."""
+    ends = df.agg(F.min(epoch_micros(ts)).alias("a"), F.max(epoch_micros(ts)).alias("b")).first()
+    if ends["a"] is None:
+        return F.lit(0)
+    span = ends["b"] - ends["a"] + 1
+    return F.floor((epoch_micros(ts) - F.lit(ends["a"])) * F.lit(slices) / F.lit(span)).cast("int")
+
+
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
                  starting_offsets: str = "earliest", **options: str) -> DataFrame:
     """Kafka records ``(key, value, topic, partition, offset, timestamp)``.

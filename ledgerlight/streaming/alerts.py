@@ -62,15 +62,16 @@ def error_panes(stream: DataFrame, keys: Sequence[str], step: str, delay: str,
 
 
 def run_update_stream(agg: DataFrame, sink_root: str, checkpoint: str, available_now: bool = True,
-                      timeout_s: float | None = None, writer_fn=None, interval: str = "10 seconds"):
-    """Run an aggregating stream in update mode into batch folders under ``sink_root``
+                      timeout_s: float | None = None, writer_fn=None, interval: str = "10 seconds",
+                      mode: str = "update"):
+    """Run a stream (an aggregating one in update mode) into batch folders under ``sink_root``
     (or through ``writer_fn(batch_df, batch_id)``). ``available_now`` processes
     what is there and returns when done; otherwise the query keeps running with
     a processing-time trigger of ``interval`` and is returned at once."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(batch_df, sink_root, batch_id)
 
-    writer = (agg.writeStream.outputMode("update").foreachBatch(writer_fn or write)
+    writer = (agg.writeStream.outputMode(mode).foreachBatch(writer_fn or write)
                  .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     q = writer.start()

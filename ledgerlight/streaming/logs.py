@@ -32,8 +32,8 @@ def run_routing_stream(messages: DataFrame, out_root: str, checkpoint: str,
 
 def read_routed(spark, out_root: str, messages: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:
     """What :func:`run_routing_stream` wrote; empty (same schema) when no data ever arrived."""
-    from ..sources.sinks import _exists
-    if not _exists(spark, f"{out_root}/sink=*"):
+    from ..sources.sinks import path_exists
+    if not path_exists(spark, f"{out_root}/sink=*"):
         routed = routing.log_records(routing.route_logs(
             messages.select(*keep, "ts", "logger", "level", "message"), routing.DEFAULT_ROUTES))
         return spark.createDataFrame([], routed.schema)

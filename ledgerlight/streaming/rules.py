@@ -10,6 +10,8 @@ result equals the batch rule set over the same data.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +41,14 @@ def run_rule_stream(spark: SparkSession, messages: DataFrame, root: str, params:
     if any(seconds(p.step) != seconds(step) for p in params.values()):
         raise ValueError("the stream evaluates every rule at the pane step")
     look = max(seconds(p.hold) for p in params.values()) + 2 * seconds(step)
-    span = max(seconds(p.window) for p in params.values())
+    window = max(seconds(p.window) for p in params.values())
+    span = window + 86_400 + seconds(step)      # a sample of the message counter needs the panes of its day
 
     def fire(pane_rows: DataFrame, lo, hi) -> DataFrame:
-        apps = standins.app_panes(pane_rows)
-        inp = rules.MetricInputs(None, apps, standins.replica_gauge(apps), standins.selftest_gauge(apps), step)
+        inp = rules.MetricInputs.from_panes(pane_rows, step)
+        if lo is not None:                     # earlier samples may miss panes of their day
+            from_ = F.timestamp_add("SECOND", F.lit(-look - window), lo)
+            inp = replace(inp, counter=inp.counter.filter(F.col("ts") > from_))
         where = F.lit(True)
         if lo is not None:                     # ticks whose windows may miss panes are left out
             where = where & (F.col("tick") > F.timestamp_add("SECOND", F.lit(-look), lo))

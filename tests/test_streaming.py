@@ -305,3 +305,94 @@ def test_finalise_stream_equals_batch_for_any_arrival_order(spark):
         assert sorted(map(tuple, got.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
     tasks = [r.k for r in read_batches(spark, f"{root}/outbox").collect()]
     assert sorted(tasks) == [3, 4, 6]
+
+
+def _records(spark, rows, folder):
+    spark.createDataFrame(rows, "k long, s string, v timestamp_ntz, line long").write.mode("append").parquet(folder)
+
+
+def test_finalise_state_is_carried_by_key(spark):
+    """Ties by the second version column, closed keys never read again, counters per batch, and a replayed batch."""
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    folder, root = scratch_path(spark, "test", "keyed_in"), scratch_path(spark, "test", "keyed")
+    kw = dict(key="k", status="s", version="v", tie="line")
+    cutoff = ntz_literal("2024-02-01 00:00:00")
+    dec = journal.decisions_from_lines(spark.createDataFrame([(2, day(3)), (5, day(4))], "k long, t timestamp_ntz"), "k", "t")
+    batches = [
+        [(1, "P", day(1), 1), (1, "F", day(1), 2), (2, "P", day(1), 1), (3, "P", day(1), 1), (None, "P", day(1), 1)] + [(k, "F", day(1), 1) for k in range(100, 200)],
+        [(1, "P", day(1), 1), (3, "P", day(1), 0), (3, "F", day(1), 1), (4, "P", None, 1)],       # equal in both: closed wins
+        [(5, "P", day(2), 7), (5, "F", day(2), 6), (2, "P", day(9), 1), (4, "F", None, None)]]
+    arrived = []
+    for rows in batches:
+        arrived += rows
+        _records(spark, rows, folder)
+        stream = file_stream(spark, folder, spark.read.parquet(folder).schema)
+        sjournal.run_finalise_stream(spark, stream, dec, cutoff, root, root + "/cp", task_kind="t", **kw)
+        batch = journal.finalise(spark.createDataFrame(arrived, "k long, s string, v timestamp_ntz, line long"), dec, cutoff, **kw)
+        got = sjournal.finalised_state(spark, root, "k")
+        assert sorted(map(tuple, got.select(*batch.columns).collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
+
+    def counters():
+        return sorted(map(tuple, sjournal.stream_counters(spark, root).collect()))
+
+    want = [(0, 105, 4, 1, 2, 101), (1, 4, 3, 0, 1, 2), (2, 4, 2, 2, 1, 0)]
+    assert counters() == want
+    # what a batch reads and writes besides its arrivals: the waiting entries, not the closed keys
+    assert [spark.read.parquet(f"{root}/waiting/batch={n}").count() for n in range(3)] == [2, 2, 2]
+    assert [spark.read.parquet(f"{root}/finalised/batch={n}").count() for n in range(3)] == [104, 3, 3]
+    tasks = sorted(map(tuple, sjournal.issued_tasks(spark, root).select("k", "created_at").collect()))
+    assert tasks == [(2, day(3)), (5, day(4))]         # 2 became final twice, one task
+
+    # the last batch runs again, as after a failure before its commit
+    os.remove(os.path.join(root.removeprefix("file:"), "cp", "commits", "2"))
+    crc = os.path.join(root.removeprefix("file:"), "cp", "commits", ".2.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    stream = file_stream(spark, folder, spark.read.parquet(folder).schema)
+    sjournal.run_finalise_stream(spark, stream, dec, cutoff, root, root + "/cp", task_kind="t", **kw)
+    assert counters() == want and sorted(map(tuple, sjournal.issued_tasks(spark, root).select("k", "created_at").collect())) == tasks
+    assert sum(r[1] for r in want) == len(arrived) and sum(r[2] for r in want) == sum(r[1] == "P" for r in arrived)
+
+
+def test_waiting_entries_become_final_without_arriving_again(spark):
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    folder, root = scratch_path(spark, "test", "wait_in"), scratch_path(spark, "test", "wait")
+    cutoff = ntz_literal("2024-02-01 00:00:00")
+    for n, done in enumerate([[(9, day(1))], [(1, day(5))]]):
+        _records(spark, [(1 + n, "P", day(1), 1)], folder)
+        dec = journal.decisions_from_lines(spark.createDataFrame(done, "k long, t timestamp_ntz"), "k", "t")
+        stream = file_stream(spark, folder, spark.read.parquet(folder).schema)
+        sjournal.run_finalise_stream(spark, stream, dec, cutoff, root, root + "/cp", key="k", status="s", version="v", task_kind="t")
+    assert {(r.k, r.outcome) for r in sjournal.finalised_state(spark, root, "k").collect()} == {(1, "final"), (2, "waiting")}
+    assert [r.k for r in sjournal.issued_tasks(spark, root).collect()] == [1]
+    assert [tuple(r)[3:] for r in sjournal.stream_counters(spark, root).orderBy("batch").collect()] == [(0, 1, 0), (1, 1, 0)]
+
+
+def test_version_order(spark):
+    rows = [(1, "P", "2024-01-01", 5), (1, "P", "1969-12-31", 9), (1, "P", None, 99), (1, "P", "2024-01-01", None), (1, "F", "2024-01-01", 5)]
+    df = spark.createDataFrame(rows, "k long, s string, v string, t long").withColumn("v", F.to_timestamp_ntz("v"))
+    order = journal.version_order(df, "v", "t", journal.is_provisional("s"))
+    got = [(r.s, r.t) for r in df.withColumn("o", order).orderBy("o").collect()]
+    assert got == [("P", 99), ("P", 9), ("P", None), ("P", 5), ("F", 5)]
+
+
+def test_late_panes_correct_earlier_windows(spark):
+    """Deltas by batch: rows in any order, at most one slice at a time, sum to the batch form after every slice."""
+    from ledgerlight.sources.streams import replay
+    from ledgerlight.streaming import windows as swindows
+
+    ev = spark.read.parquet(os.path.join(SF01, "events.parquet")).withColumn("slice", F.pmod(F.xxhash64("event_id"), F.lit(3)))
+    folder, root = scratch_path(spark, "test", "late_windows_in"), scratch_path(spark, "test", "late_windows")
+    aggs = {"errors": F.count_if(F.col("log_level") == "Error"), "total": F.count(F.lit(1))}
+    for k in replay(ev, folder, 3, F.col("slice")):
+        msgs = standins.log_messages(file_stream(spark, folder, ev.schema))
+        swindows.run_window_stream(spark, msgs, root, KEYS, window="3h", step="1h", aggs=aggs)
+        got = swindows.current_windows(spark, root, KEYS, list(aggs))
+        want = metrics.windowed_counts(standins.log_messages(ev.filter(F.col("slice") <= k)), KEYS, "3h", "1h", is_err())
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    touched = swindows.changed_windows(spark, root, KEYS, list(aggs), 2)
+    assert 0 < touched.count() <= want.count() and touched.join(want, want.columns, "left_anti").count() == 0
