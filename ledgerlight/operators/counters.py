@@ -35,12 +35,13 @@ def pane_end(ts: str, step: str):
 
 def pane_increments(samples: DataFrame, series: Sequence[str], step: str, window: str, *, ts: str = "ts",
                     value: str = "value", context: DataFrame | None = None,
-                    slice_seconds: int | None = None) -> DataFrame:
+                    slice_seconds: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
     """``(series..., pane_end, n, inc, first_d)`` of counter samples.
 
     ``window`` is the longest window that will be summed: a previous sample
     further back than that never counts, so a hot series is cut into time
-    slices that look back no further. ``context``: earlier samples, at least
+    slices that look back no further (by counted rows with ``rows_per_slice``,
+    see :mod:`slicing`). ``context``: earlier samples, at least
     the last of each series, that serve as previous samples only.
     """
     w_us = seconds(window) * 1_000_000
@@ -48,7 +49,7 @@ def pane_increments(samples: DataFrame, series: Sequence[str], step: str, window
     if context is not None:
         rows = rows.unionByName(context.select(*series, ts, value, F.lit(False).alias("__new")))
     rows = rows.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).withColumn("__t", epoch_micros(ts))
-    rows = slicing.add_time_slices(rows, "__t", w_us, slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(w_us))
+    rows = slicing.add_slices(rows, series, "__t", w_us, slice_seconds=slice_seconds, rows_per_slice=rows_per_slice)
     prev = F.lag(value).over(Window.partitionBy(*slicing.sliced_partition(*series)).orderBy("__t"))
     d = F.when(prev.isNull(), F.lit(0.0)).when(F.col(value) >= prev, F.col(value) - prev).otherwise(F.col(value))
     steps = slicing.keep_owned(rows.withColumn("__d", d.cast("double"))).filter("__new")

@@ -32,14 +32,15 @@ from . import slicing
 
 
 def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
-              ts: str = "tick", slice_seconds: int | None = None, hold_col: str | None = None) -> DataFrame:
+              ts: str = "tick", slice_seconds: int | None = None, hold_col: str | None = None,
+              rows_per_slice: int | None = None) -> DataFrame:
     """Rows of ``ticks`` at which a held condition fires, with ``start`` and ``fires_at``.
 
     Output: the input columns of the firing tick plus ``start`` (first tick of
     the episode) and ``fires_at`` (= the tick). Requires one row per series and tick.
     ``hold_col`` (seconds, per row) lets series with different holds share one
     pass; ``hold`` is then the largest of them. ``slice_seconds`` overrides the
-    slice length (default: 16 look-backs, at least a day).
+    slice length (default: 16 look-backs, at least a day), ``rows_per_slice`` cuts by counted rows.
     """
     hold_us = seconds(hold) * 1_000_000
     step_us = seconds(step) * 1_000_000
@@ -48,8 +49,7 @@ def sustained(ticks: DataFrame, series: Sequence[str], hold: str, step: str,
     lookback = hold_us + 2 * step_us
     h = F.col(hold_col).cast("bigint") * F.lit(1_000_000) if hold_col else F.lit(hold_us)
     df = ticks.filter(F.col(ts).isNotNull()).withColumn("__t", epoch_micros(ts))
-    slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(lookback)
-    df = slicing.add_time_slices(df, "__t", lookback, slice_us)
+    df = slicing.add_slices(df, series, "__t", lookback, slice_seconds=slice_seconds, rows_per_slice=rows_per_slice)
     by_time = Window.partitionBy(*slicing.sliced_partition(*series)).orderBy("__t")
 
     # brk: no tick in [t - step, t) -- t opens an episode

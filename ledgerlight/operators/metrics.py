@@ -146,10 +146,18 @@ def error_ratio_join(msgs: DataFrame, keys: Sequence[str], window: str, step: st
                      error_cond: Column, threshold: float, ts: str = "ts") -> DataFrame:
     """The literal vector-match form: ``sum by(k)(errors) / sum by(k)(all)`` as an inner join.
 
-    Kept as the check of the one-pass form. Both sides are aggregated before
-    the join, so the join inputs are (keys x ticks) rows; AQE picks a
-    broadcast hash join when one side is small at run time.
+    Kept as the check of the one-pass form. Both sides are summed from panes,
+    so raw rows are aggregated once a side and never expanded into windows (for
+    a window that is no multiple of the step they are). The join inputs are
+    (keys x ticks) rows; AQE picks a broadcast hash join when one side is small
+    at run time.
     """
+    if seconds(step) > 0 and seconds(window) % seconds(step) == 0:
+        def summed(rows: DataFrame, name: str) -> DataFrame:
+            return slide_panes(pane_counts(rows, keys, step, {name: F.count(F.lit(1))}, ts), keys, window, step, [name])
+
+        joined = summed(msgs.filter(error_cond), "errors").join(summed(msgs, "total"), [*keys, "tick"], "inner")
+        return above(joined.withColumn("error_pct", percent_share("errors", "total")), "error_pct", threshold)
     w = F.window(ts, interval_text(window), interval_text(step))
     msgs = msgs.filter(F.col(ts).isNotNull())
     num = (msgs.filter(error_cond).groupBy(w.alias("__w"), *keys)
@@ -166,7 +174,7 @@ def error_ratio_join(msgs: DataFrame, keys: Sequence[str], window: str, step: st
 
 def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
                      ts: str = "ts", value: str = "value", out: str = "increase",
-                     slice_seconds: int | None = None) -> DataFrame:
+                     slice_seconds: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
     """Reset-corrected increase of a counter over ``(t - window, t]`` at every sample.
 
     ``d_i = v_i - v_{i-1}`` when non-negative, else ``v_i`` (a reset restarts at
@@ -176,15 +184,15 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
 
     The frame is bounded, so the series is split into time slices (see
     :mod:`slicing`) and a hot series is processed by many tasks.
-    ``slice_seconds`` overrides the slice length (default: 16 frames, at least a day).
+    ``slice_seconds`` overrides the slice length (default: 16 frames, at least a day);
+    ``rows_per_slice`` cuts by counted rows instead, for a series that is dense in a short time.
     """
     w_us = seconds(window) * 1_000_000
     if w_us <= 0:
         raise ValueError("window must be positive")
-    slice_us = slice_seconds * 1_000_000 if slice_seconds else slicing.slice_length_us(w_us)
     # a sample needs a time and a value; anything else is not a sample
     df = samples.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).withColumn("__t", epoch_micros(ts))
-    df = slicing.add_time_slices(df, "__t", w_us, slice_us)
+    df = slicing.add_slices(df, series, "__t", w_us, slice_seconds=slice_seconds, rows_per_slice=rows_per_slice)
     part = slicing.sliced_partition(*series)
     by_time = Window.partitionBy(*part).orderBy("__t")
     prev = F.lag(value).over(by_time)

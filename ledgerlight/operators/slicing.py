@@ -9,11 +9,20 @@ frames of owned rows. Results are exact, and a series holding a third of all
 rows is spread over ``span / slice_len`` tasks instead of one.
 
 Extra rows: ``lookback / slice_len`` of the input (about 1/``factor``).
+
+Slices of a fixed length do not help a series that is dense within one of
+them. :func:`add_density_slices` cuts by counted rows instead: a histogram of
+each series over short buckets gives cut points such that a slice holds about
+``rows_per_slice`` rows of its own, whatever the time they span. That costs a
+second pass over the keys and times; a slice still copies the look-back, so it
+cannot be smaller than the rows of one frame and one bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
@@ -42,6 +51,49 @@ def add_time_slices(df: DataFrame, t_us: str, lookback_us: int, slice_us: int) -
               .drop("__own_slice"))
 
 
+#: buckets of the histogram per look-back: a copy reaches at most one bucket too far
+BUCKETS = 8
+
+
+def add_density_slices(df: DataFrame, series: Sequence[str], t_us: str, lookback_us: int, rows_per_slice: int) -> DataFrame:
+    """As :func:`add_time_slices`, with cut points from the counted density of each series.
+
+    A bucket is an eighth of the look-back. A slice is a run of buckets of one
+    series whose counts, summed from its start, stay within ``rows_per_slice``
+    multiples, so a bucket denser than that is a slice by itself. Rows meet
+    the slices of their bucket by an equi join with the histogram, which has a
+    row per series and bucket that occurs: broadcast if its measured size
+    allows, otherwise a join that AQE splits where a bucket is hot.
+    """
+    if lookback_us < 0 or rows_per_slice <= 0:
+        raise ValueError("lookback must be >= 0 and rows per slice > 0")
+    width = max(1, int(lookback_us) // BUCKETS)
+    keys = list(series)
+    bucketed = df.withColumn("__bucket", _floor_div(f"`{t_us}`", width))
+    counts = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    by_time = Window.partitionBy(*keys).orderBy("__bucket")
+    before = F.sum("__n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
+    cut = counts.withColumn(SLICE, F.floor(before / F.lit(rows_per_slice)))
+    reach = -(-int(lookback_us) // width) + 1
+    cut = cut.withColumn("__last", F.max(SLICE).over(by_time.rangeBetween(0, reach)))
+    cut = cut.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__bucket").alias("__b"),
+                     F.col(SLICE).alias("__own_slice"), "__last")
+    same = bucketed["__bucket"] == cut["__b"]
+    for i, k in enumerate(keys):
+        same = same & bucketed[k].eqNullSafe(cut[f"__k{i}"])
+    out = bucketed.join(cut, same).withColumn(SLICE, F.explode(F.sequence("__own_slice", "__last")))
+    return out.withColumn(OWN, F.col(SLICE) == F.col("__own_slice")) \
+        .drop("__bucket", "__b", "__own_slice", "__last", *(f"__k{i}" for i in range(len(keys))))
+
+
+def add_slices(df: DataFrame, series: Sequence[str], t_us: str, lookback_us: int, *, slice_seconds: int | None = None,
+               rows_per_slice: int | None = None) -> DataFrame:
+    """Slices by counted rows if ``rows_per_slice`` is given, else of a fixed length."""
+    if rows_per_slice:
+        return add_density_slices(df, series, t_us, lookback_us, rows_per_slice)
+    return add_time_slices(df, t_us, lookback_us, slice_seconds * 1_000_000 if slice_seconds else slice_length_us(lookback_us))
+
+
 def _floor_div(expr_sql: str, d: int) -> Column:
     """Exact integer floor division (no double rounding)."""
     return F.expr(f"({expr_sql} - pmod({expr_sql}, {int(d)})) div {int(d)}")

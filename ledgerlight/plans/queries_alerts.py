@@ -345,3 +345,24 @@ def q_alerts_by_params(spark, sf_dir):
     rows = [(r, a, t, h * 3600, w * 3600) for r, a, t, h, w in PARAM_ROWS]
     inp = rules.MetricInputs.from_events(table(spark, sf_dir, "events"))
     return rules.alerts_by_params(inp, spark.createDataFrame(rows, rules.PARAMS_DDL), STEP)
+
+
+# ------------------------------------------------------------------ a dense series, cut by counted rows
+
+DENSE_WINDOW, DENSE_ROWS = "2h", 2000
+
+
+@register("dense_counter_increase", "W1 W2", f"""
+WITH c AS (SELECT event_id, event_type = 'error' AS err, ts, CAST(event_id % 1000 AS DOUBLE) AS value FROM events WHERE ts IS NOT NULL),
+d AS (SELECT *, lag(ts) OVER w AS pts,
+             CASE WHEN lag(value) OVER w IS NULL THEN 0 WHEN value >= lag(value) OVER w THEN value - lag(value) OVER w ELSE value END AS d
+      FROM c WINDOW w AS (PARTITION BY err ORDER BY ts))
+SELECT a.event_id, a.err, CASE WHEN count(*) >= 2
+       THEN CAST(sum(b.d) FILTER (WHERE b.pts > a.ts - INTERVAL 2 HOUR) AS DOUBLE) END AS increase
+FROM d a JOIN d b ON a.err = b.err AND b.ts > a.ts - INTERVAL 2 HOUR AND b.ts <= a.ts GROUP BY a.event_id, a.err""")
+def q_dense_counter_increase(spark, sf_dir):
+    """One sample per event in two series, one of which holds four fifths of all rows: slices by counted rows."""
+    ev = table(spark, sf_dir, "events")
+    c = ev.select("event_id", F.coalesce(F.col("event_type") == "error", F.lit(False)).alias("err"), "ts",
+                  (F.col("event_id") % 1000).cast("double").alias("value"))
+    return metrics.counter_increase(c, ["err"], DENSE_WINDOW, rows_per_slice=DENSE_ROWS).select("event_id", "err", "increase")

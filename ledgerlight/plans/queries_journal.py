@@ -102,11 +102,43 @@ def _tagged(spark, sf_dir):
         "o_orderkey", "error", attempt.alias("attempt"), F.col("o_orderdate").alias("failed_at"), "payload")
 
 
-@register("dead_letter", "T5 X3", SQL_DEAD + """
+#: a further stand-in for bad input: these entries' number of children is a word
+BAD_CHILDREN = (83, 5)
+
+
+def _is(case):
+    return f"o_orderkey % {case[0]} = {case[1]}"
+
+
+@register("dead_letter", "T5 X3 S3 X1", f"""
+WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS s, count(*) AS n
+           FROM lineitem GROUP BY l_orderkey),
+c AS (SELECT o.*, l.s, l.n, {_is(standins.CUT_OFF)} AS cut_off, {_is(standins.BAD_RATE)} AS bad_rate, {_is(BAD_CHILDREN)} AS bad_children
+      FROM orders o LEFT JOIN l ON o.o_orderkey = l.l_orderkey),
+dl AS (
+  SELECT o_orderkey,
+         NULLIF(concat_ws(',', CASE WHEN cut_off THEN 'unreadable' END,
+                               CASE WHEN NOT cut_off AND (bad_rate OR bad_children) THEN 'wrong_fields' END,
+                               CASE WHEN s IS NULL AND NOT cut_off THEN 'bad_amount' END,
+                               CASE WHEN n IS NULL AND NOT cut_off THEN 'no_periods' END), '') AS error,
+         CASE WHEN cut_off THEN '' ELSE concat_ws(',', CASE WHEN bad_children THEN 'faktum.antallBarn' END,
+                                                       CASE WHEN bad_rate THEN 'satsResultat.dagsats' END) END AS wrong_fields,
+         CASE WHEN NOT cut_off THEN 5 * CAST(floor(o_totalprice / {float(standins.WORKDAYS)}) AS INTEGER) END AS ukesats,
+         CAST(1 + o_custkey % {MAX_ATTEMPTS} AS INTEGER) AS attempt, o_orderdate AS failed_at
+  FROM c)
 SELECT *, CASE WHEN error IS NULL THEN 'ok' ELSE 'dead' END AS outcome FROM dl""")
 def q_dead_letter(spark, sf_dir):
-    return _tagged(spark, sf_dir).drop("payload").withColumn(
-        "outcome", F.when(F.col("error").isNull(), "ok").otherwise("dead"))
+    """Outcome of every document, the wrong fields by name, and a value from a branch that survives them."""
+    rows = standins.payload_table(spark, sf_dir)
+    text = F.when(F.expr(_is(BAD_CHILDREN)), F.regexp_replace("payload", '"antallBarn":[0-9]+', '"antallBarn":"two"')) \
+        .otherwise(F.col("payload"))
+    docs = documents.decode_fields(rows.withColumn("payload", text))
+    checks = [("unreadable", F.col("unreadable")), ("wrong_fields", F.size("wrong_fields") > 0), *((n, c()) for n, c in CHECKS[1:])]
+    attempt = (F.lit(1) + F.col("o_custkey") % MAX_ATTEMPTS).cast("int")
+    tagged = journal.tag_outcome(docs, checks)
+    return tagged.select("o_orderkey", "error", F.array_join("wrong_fields", ",").alias("wrong_fields"),
+                         F.col("doc.satsResultat.ukesats").alias("ukesats"), attempt.alias("attempt"),
+                         F.col("o_orderdate").alias("failed_at"), F.when(F.col("error").isNull(), "ok").otherwise("dead").alias("outcome"))
 
 
 @register("retry_due", "T6", SQL_DEAD + f"""
@@ -133,6 +165,45 @@ def q_retry_round(spark, sf_dir):
     return done.select("o_orderkey", "state", cause.alias("error"), "attempt", "failed_at")
 
 
+# All dead letters retried until each is recovered or parked. A letter recovers once what it lacked has come: stand-in,
+# a missing amount or list is there (o_custkey % 5) * 60 days after 1999-01-01; a text that cannot be read never mends.
+RETRY_START = "1999-01-01 00:00:00"
+MENDS_AFTER = "(o_custkey % 5) * 60"
+
+
+def _sql_rounds() -> str:
+    now = [f"(TIMESTAMP '{RETRY_START}' + INTERVAL {30 * (2 ** k - 1)} DAY)" for k in range(1, MAX_ATTEMPTS + 1)]
+    parts = [f"""r0 AS (SELECT dl.o_orderkey, error, attempt, failed_at, {MENDS_AFTER} AS mends FROM dl JOIN orders USING (o_orderkey)
+              WHERE error IS NOT NULL)"""]
+    for k, t in enumerate(now, 1):
+        ok = f"error NOT LIKE '%corrupt%' AND {t} >= TIMESTAMP '{RETRY_START}' + to_days(CAST(mends AS INTEGER))"
+        parts.append(f"""s{k} AS (SELECT *, CASE WHEN attempt >= {MAX_ATTEMPTS} THEN 'parked' WHEN {_SQL_DUE} > {t} THEN 'waiting'
+                 WHEN {ok} THEN 'recovered' ELSE 'again' END AS state FROM r{k - 1})""")
+        parts.append(f"""r{k} AS (SELECT o_orderkey, error, CASE WHEN state = 'again' THEN attempt + 1 ELSE attempt END AS attempt,
+                 CASE WHEN state = 'again' THEN {t} ELSE failed_at END AS failed_at, mends FROM s{k} WHERE state IN ('again', 'waiting'))""")
+    log = " UNION ALL ".join(f"""SELECT CAST({k} AS INTEGER) AS round, o_orderkey, state,
+              CASE WHEN state = 'again' THEN attempt + 1 ELSE attempt END AS attempt FROM s{k}""" for k in range(1, MAX_ATTEMPTS + 1))
+    return SQL_DEAD + ", " + ", ".join(parts) + " " + log
+
+
+@register("retry_rounds", "T6 T5", _sql_rounds())
+def q_retry_rounds(spark, sf_dir):
+    """Every round's log: each letter until it is recovered or parked."""
+    from ..session import scratch_path
+    from ..streaming import retries
+
+    dead = _tagged(spark, sf_dir).where("error is not null").drop("payload") \
+        .join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+
+    def checks(now):
+        there = F.timestamp_add("DAY", F.expr(MENDS_AFTER), ntz_literal(RETRY_START)) <= now
+        return [("corrupt", F.col("first_error").contains("corrupt")), ("missing", ~there)]
+
+    times = [F.timestamp_add("DAY", F.lit(30 * (2 ** k - 1)), ntz_literal(RETRY_START)) for k in range(1, MAX_ATTEMPTS + 1)]
+    log = retries.run_retry_rounds(dead, scratch_path(spark, "retries", "rounds"), checks, times, MAX_ATTEMPTS, BACKOFF, key="o_orderkey")
+    return log.select("round", "o_orderkey", "state", "attempt")
+
+
 @register("observe_counts", "S8", SQL_FINALISE + """
 SELECT count(*) AS "rows", count(*) FILTER (outcome = 'final') AS final, count(*) FILTER (outcome = 'waiting') AS waiting
 FROM fin""")

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timefn import ntz_literal
+from ..functions.timefn import as_instant, ntz_literal
 from ..operators import journal, series
 from ..schemas import EVENTS_SCHEMA, ORDERS_SCHEMA
 from ..session import scratch_path
-from ..sources.streams import file_stream, replay, time_slice
+from ..sources.sinks import read_files, run_to_files
+from ..sources.streams import decode_records, dedup_records, file_stream, replay, time_slice
 from ..streaming import alerts as salerts
 from ..streaming import counters as scounters
 from ..streaming import journal as sjournal
@@ -147,10 +148,10 @@ newest AS (SELECT * FROM upto QUALIFY row_number() OVER (PARTITION BY batch, o_o
 out AS (SELECT batch, CASE WHEN status <> 'P' THEN 'closed' WHEN l.d <= TIMESTAMP '{qj.CUTOFF}' THEN 'final' ELSE 'waiting' END AS outcome
         FROM newest LEFT JOIN l ON l_orderkey = o_orderkey WHERE touched = 1),
 read AS (SELECT slice AS batch, count(*) AS "rows", count(*) FILTER (status = 'P') AS provisional FROM rec GROUP BY slice)
-SELECT CAST(read.batch AS INTEGER) AS batch, any_value("rows") AS "rows", any_value(provisional) AS provisional,
+SELECT CAST(b.batch AS INTEGER) AS batch, coalesce(any_value("rows"), 0) AS "rows", coalesce(any_value(provisional), 0) AS provisional,
        count(*) FILTER (outcome = 'final') AS final, count(*) FILTER (outcome = 'waiting') AS waiting,
        count(*) FILTER (outcome = 'closed') AS closed
-FROM read JOIN out ON read.batch = out.batch GROUP BY read.batch""")
+FROM b LEFT JOIN read ON read.batch = b.batch LEFT JOIN out ON out.batch = b.batch GROUP BY b.batch""")
 def q_stream_counters(spark, sf_dir):
     """Counters of every micro-batch of the finalising stream: rows read, and what became of the keys they touched."""
     root, _ = _finalised_records(spark, sf_dir)
@@ -185,3 +186,41 @@ def q_stream_alerts_all(spark, sf_dir):
     fired = srules.run_rule_stream(spark, standins.log_messages(events), scratch_path(spark, "streams", "rules"),
                                    qa._rule_params(), delay=DELAY, step=qa.STEP)
     return fired.select(*rules.ALERT_COLUMNS)
+
+
+# Kafka-shaped records: an order per record, tombstones and cut-off texts among them, delivered in time order in three
+# slices; every slice repeats part of its own records and of the end of the one before.
+TOMBSTONE, CUT = (11, 4), (13, 6)
+RECORD_DDL = "key bigint, status string"
+
+
+def kafka_records(orders, *more):
+    key = F.col("o_orderkey")
+    text = F.to_json(F.struct(key.alias("key"), F.col("o_orderstatus").alias("status")))
+    value = F.when(key % TOMBSTONE[0] == TOMBSTONE[1], None).when(key % CUT[0] == CUT[1], F.substring(text, 1, 9)).otherwise(text)
+    return orders.select(
+        key.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("journal").alias("topic"),
+        (key % 4).cast("int").alias("partition"), F.floor(key / 4).alias("offset"), as_instant("o_orderdate").alias("timestamp"), *more)
+
+
+@register("stream_records", "S1 S3 T3", f"""
+SELECT 'journal' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey // 4 AS "offset",
+       CAST(o_orderkey AS VARCHAR) AS record_key,
+       CASE WHEN o_orderkey % {TOMBSTONE[0]} = {TOMBSTONE[1]} THEN 'tombstone'
+            WHEN o_orderkey % {CUT[0]} = {CUT[1]} THEN 'unreadable' ELSE 'value' END AS kind,
+       CASE WHEN o_orderkey % {TOMBSTONE[0]} <> {TOMBSTONE[1]} AND o_orderkey % {CUT[0]} <> {CUT[1]} THEN o_orderkey END AS "key",
+       CASE WHEN o_orderkey % {TOMBSTONE[0]} <> {TOMBSTONE[1]} AND o_orderkey % {CUT[0]} <> {CUT[1]} THEN o_orderstatus END AS status
+FROM orders""")
+def q_stream_records(spark, sf_dir):
+    """Every record once, decoded, however often it was delivered."""
+    orders = table(spark, sf_dir, "orders")
+    dealt = kafka_records(orders, time_slice(orders, "o_orderdate", SLICES).alias("slice"))
+    twice = dealt.filter(F.col("offset") % 5 == 0)
+    next_slice = F.least(F.col("slice") + 1, F.lit(SLICES - 1))
+    later = dealt.filter(F.col("offset") % 7 == 0).withColumn("slice", next_slice)
+    folder, out = scratch_path(spark, "streams", "kafka_in"), scratch_path(spark, "streams", "kafka")
+    sent = dealt.unionByName(twice).unionByName(later)
+    for _ in replay(sent, folder, SLICES, F.col("slice")):
+        records = dedup_records(file_stream(spark, folder, sent.schema).drop("slice"), "1d")
+        run_to_files(decode_records(records, RECORD_DDL), out, out + "_checkpoint")
+    return read_files(spark, out, decode_records(kafka_records(orders), RECORD_DDL).schema).drop("timestamp")

@@ -52,6 +52,21 @@ def read_batches(spark: SparkSession, root: str, schema=None) -> DataFrame:
     return spark.read.option("basePath", root).parquet(os.path.join(root, "batch=*"))
 
 
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, timeout_s: float | None = None):
+    """Append a stream to Parquet files, to the end of its input; each row once, also after a restart (the sink's log)."""
+    q = (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    return q
+
+
+def read_files(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What a file sink holds; an empty frame of ``schema`` if the stream has not written."""
+    if not path_exists(spark, os.path.join(path, "_spark_metadata")):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches, asked of the path's own file system."""
     jvm = spark._jvm

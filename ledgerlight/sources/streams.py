@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.decode import parse_json
-from ..functions.timefn import epoch_micros
+from ..functions.timefn import epoch_micros, interval_text
+from ..schemas import CORRUPT
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None,
@@ -69,3 +70,38 @@ def decode_json_values(records: DataFrame, ddl: str, value: str = "value") -> Da
     parsed = parse_json(F.col(value).cast("string"), ddl)
     keep = [c for c in ("key", "topic", "partition", "offset", "timestamp") if c in records.columns]
     return records.select(*keep, parsed.alias("__v")).select(*keep, "__v.*")
+
+
+#: identity of a record: where it lies in the log
+RECORD_ID = ["topic", "partition", "offset"]
+
+
+def dedup_records(records: DataFrame, delay: str, timestamp: str = "timestamp") -> DataFrame:
+    """Kafka-shaped records without replays: one row per (topic, partition, offset).
+
+    A producer or a restarted reader may deliver a record again. On a stream
+    the identities seen are state, dropped once the watermark has passed a
+    record by ``delay``, so state is bounded; a record delivered again later
+    than that is behind the watermark and dropped as late. A batch frame is
+    deduplicated as a whole. A record without a timestamp cannot be placed on
+    the watermark: on a stream it is never late and never forgotten.
+    """
+    if not records.isStreaming:
+        return records.dropDuplicates(RECORD_ID)
+    return records.withWatermark(timestamp, interval_text(delay)).dropDuplicatesWithinWatermark(RECORD_ID)
+
+
+def decode_records(records: DataFrame, ddl: str, value: str = "value") -> DataFrame:
+    """Records -> the columns of ``ddl``, with the record's place and what it is.
+
+    ``kind``: ``value``; ``tombstone`` for a null value, which deletes its key
+    and has null columns; ``unreadable`` for a text that is no JSON object of
+    this shape (its columns hold what could be read).
+    """
+    text = F.col(value).cast("string")
+    parsed = parse_json(text, f"{ddl}, {CORRUPT} string")
+    keep = [c for c in (*RECORD_ID, "timestamp") if c in records.columns]
+    rows = records.select(*keep, F.col("key").cast("string").alias("record_key"), text.alias("__text"), parsed.alias("__v"))
+    kind = F.when(F.col("__text").isNull(), "tombstone") \
+        .when(F.col("__v").isNull() | F.col("__v")[CORRUPT].isNotNull(), "unreadable").otherwise("value")
+    return rows.select(*keep, "record_key", kind.alias("kind"), "__v.*").drop(CORRUPT)

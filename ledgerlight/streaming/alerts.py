@@ -104,23 +104,25 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
     batch id. ``span`` is the longest window summed from panes, ``lookback``
     how far a firing decision looks back over ticks. Returns all firings (after
     the optional end-of-input flush), or the running query when not
-    ``available_now``. Each batch stores the mark it closed; the flush fires
-    only what lies after the last stored mark, into a folder of its own that
-    the next run's flush replaces. So a root may be run again, with or without
+    ``available_now``. Each batch stores the mark it closed; the flush reads
+    the panes that still reach behind the last stored mark and fires only what
+    lies after it, into a folder of its own that the next run's flush replaces. So a root may be run again, with or without
     new files, and holds each firing once.
     """
     import datetime as dt
     import os
 
     from ..functions.timefn import seconds
-    from ..operators.journal import latest_per_key
+    from .carried import Carried, last_batch
     from .ledger import RowLedger
 
     panes_root, fired_root, closed_root = (os.path.join(root, x) for x in ("panes", "fired", "closed"))
-    mark_schema = T.StructType([T.StructField("mark", T.TimestampNTZType())])
     delay_td = dt.timedelta(seconds=seconds(delay))
     reach = dt.timedelta(seconds=seconds(lookback) + seconds(span))
     ledger = RowLedger(spark, panes_root, [*pane_keys, "pane_end"], compact_every)
+    # per batch: the mark it closed, and the latest event time through it
+    marks = Carried(spark, closed_root, T.StructType([T.StructField("mark", T.TimestampNTZType()),
+                                                      T.StructField("latest", T.TimestampNTZType())]))
 
     def at(t: dt.datetime):
         return ntz_literal(t.isoformat(sep=" "))        # wall clock, no session zone involved
@@ -129,39 +131,34 @@ def run_incremental(spark: SparkSession, panes: DataFrame, root: str, pane_keys:
         cond = F.col("pane_end") <= at(hi) if hi is not None else F.lit(True)
         return cond & (F.col("pane_end") > at(lo - reach)) if lo is not None else cond
 
-    def max_et(df: DataFrame | None):
-        return None if df is None else df.agg(F.max("max_et")).first()[0]
-
-    def closed_after(batch_id: int):
-        """Windows ending at or before this mark get no more rows from batch ``batch_id + 1`` on.
-
-        Spark drops a batch's late rows against the *previous* batch's watermark,
-        so after batch N the closed mark is max event time through batch N - 1
-        minus the delay (one batch behind the watermark itself)."""
-        m = max_et(ledger.versions_before(batch_id))           # max over versions = max over latest
-        return None if m is None else m - delay_td
-
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        lo, hi = closed_after(batch_id - 1), closed_after(batch_id)
+        before = marks.before(batch_id).first()
+        lo, latest = (before["mark"], before["latest"]) if before else (None, None)
+        # Spark drops a batch's late rows against the *previous* batch's watermark, so windows up to the latest time
+        # through the batch before, less the delay, get no more rows
+        hi = None if latest is None else latest - delay_td
         # keep what this batch's and every later evaluation reads
         ledger.record(batch_df, batch_id, retain=None if lo is None else F.col("pane_end") > at(lo - reach))
+        own = spark.read.parquet(os.path.join(panes_root, f"batch={batch_id}")).agg(F.max("max_et")).first()[0]
         if hi is not None and (lo is None or hi > lo):
             rows = ledger.rows_before(batch_id + 1, where=pane_range(lo, hi))
             if rows is not None:
                 write_batch(fire(rows, None if lo is None else at(lo), at(hi)), fired_root, batch_id)
-        if hi is not None:
-            write_batch(spark.createDataFrame([(hi,)], mark_schema), closed_root, batch_id)
+        latest = max((t for t in (latest, own) if t is not None), default=None)
+        marks.record(spark.createDataFrame([(hi, latest)], marks.schema), batch_id)
 
     q = run_update_stream(panes, panes_root, os.path.join(root, "checkpoint"), timeout_s=timeout_s,
                           writer_fn=process, available_now=available_now, interval=interval)
     if not available_now:
         return q
     if flush:                                   # end of a bounded input closes every window
-        history = read_batches(spark, panes_root, panes.schema)
-        # what micro-batches of this and earlier runs have closed; the rest closes now
-        done = read_batches(spark, closed_root, mark_schema).agg(F.max("mark")).first()[0]
-        closed = None if done is None else at(done)
-        every = latest_per_key(history, [*pane_keys, "pane_end"], "batch").drop("batch")
+        n = last_batch(spark, closed_root)
+        if n is None:
+            every, closed = spark.createDataFrame([], panes.schema), None
+        else:       # what micro-batches of this and earlier runs have not closed yet closes now
+            done = marks.before(n + 1).first()["mark"]
+            closed = None if done is None else at(done)
+            every = ledger.rows_before(n + 1, where=pane_range(done, None))
         fire(every, closed, None).write.mode("overwrite").parquet(os.path.join(fired_root, "batch=flush"))
     return spark.read.option("basePath", fired_root).parquet(os.path.join(fired_root, "batch=*")).drop("batch")
 

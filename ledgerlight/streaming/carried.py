@@ -29,3 +29,12 @@ class Carried:
 
     def record(self, rows: DataFrame, batch_id: int) -> None:
         write_batch(rows, self.root, batch_id)
+
+
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    """The number of the last batch recorded under ``root``, from the folder names."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(root, "batch=*"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    numbers = [int(f.getPath().getName().split("=")[1]) for f in found]
+    return max(numbers, default=None)

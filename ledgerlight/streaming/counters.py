@@ -28,7 +28,7 @@ from ..functions.timefn import epoch_micros, seconds
 from ..operators import counters
 from ..sources.sinks import path_exists, read_batches, write_batch
 from .alerts import run_update_stream
-from .carried import Carried
+from .carried import Carried, last_batch
 
 MARK = "mark long, latest long, late long"
 
@@ -100,7 +100,7 @@ def run_counter_stream(spark: SparkSession, samples: DataFrame, root: str, serie
     if not available_now:
         return q
     if flush:
-        n = _last_batch(spark, root)
+        n = last_batch(spark, marks.root)
         if n is not None:
             was = marks.before(n + 1).first()["mark"]
             ticks, both, _ = close(open_.before(n + 1), n + 1, was, None)
@@ -111,12 +111,6 @@ def run_counter_stream(spark: SparkSession, samples: DataFrame, root: str, serie
     return read_batches(spark, rates, out_schema).select(*series, "tick", "increase")
 
 
-def _last_batch(spark: SparkSession, root: str) -> int | None:
-    if not path_exists(spark, os.path.join(root, "mark", "batch=*")):
-        return None
-    return read_batches(spark, os.path.join(root, "mark")).agg(F.max("batch")).first()[0]
-
-
 def late_samples(spark: SparkSession, root: str) -> DataFrame:
     """Samples left out as too late, per batch."""
     schema = spark.createDataFrame([], MARK).schema
