@@ -23,11 +23,13 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ COST = 1024 * 1024      # sum of squared lengths in a sequence at most
 WEIGHTS = (1.0, 0.05, 0.05)     # of tokens, documents and cost in the score
 SEPARATOR = 2
 GROUP_ROWS = 8192
-CACHE = 300_000         # distinct pieces of text whose ids a task remembers
+CACHE = 1_000_000       # distinct pieces of text whose ids a worker remembers (about 200 MB)
+BLOCK = 1 << 23         # characters whose pieces are looked up together
 PIECES = "key long, piece int, start long, length long, ids_crc32 long"
 
 # fixed values: white space of the pre-tokeniser's pattern, outside ASCII
@@ -60,19 +63,33 @@ def _classes() -> np.ndarray:
     return out
 
 
+@lru_cache(1)
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it prints, else the next free one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return {b: chr(b if b in prints else next(free)) for b in range(256)}
+
+
 class Ids(dict):
-    """Little-endian ids of a piece of text, remembered up to ``CACHE`` pieces."""
+    """Little-endian ids of a piece of text, remembered up to ``CACHE`` pieces.
+
+    A piece is merged by the tokeniser's model directly, in byte letters: the
+    tokeniser's own pre-tokenisation is what :func:`piece_starts` has done.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.merge = tokenizer.model.tokenize
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= CACHE:
+    def learn(self, pieces: set[str]) -> None:
+        """Make sure of all ``pieces``."""
+        if len(self) > CACHE:
             self.clear()
-        self[piece] = ids
-        return ids
+        letters, merge = _byte_letters(), self.merge
+        for x in pieces.difference(self):
+            ids = [t.id for t in merge(x.encode().decode("latin-1").translate(letters))]
+            self[x] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(2)
@@ -84,21 +101,24 @@ def _tokenizer(path: str) -> tuple:
     return t, Ids(t), special
 
 
-def split_words(text: str) -> list[str] | None:
-    """The pieces the byte-level pre-tokeniser cuts a text into; None where that needs its own pattern.
+def plain_codes(text: str, special: list[str]) -> np.ndarray | None:
+    """Code points of a text that :func:`piece_starts` can cut; None where the tokeniser needs its own pattern.
 
-    Runs of letters, numbers and other signs, each with a single space before
-    it; of white space before such a run all but its last character is a
-    piece. Apostrophes (contractions) and rare code points are left to the
-    tokeniser itself.
+    That is so for apostrophes (contractions), special tokens and rare code points.
     """
-    if "'" in text or "\x00" in text:
+    if "'" in text or any(s in text for s in special):
         return None
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    if len(codes) == 0:
-        return []
-    if codes.max() >= 0x10000:
-        return None
+    return None if codes.max(initial=0) >= 0x10000 else codes
+
+
+def piece_starts(codes: np.ndarray) -> np.ndarray:
+    """Where the byte-level pre-tokeniser begins a new piece of a non-empty text.
+
+    Runs of letters, numbers and other signs, each with a single space before
+    it; of white space before such a run all but its last character is a
+    piece.
+    """
     kind = _classes()[codes]
     new = np.empty(len(codes), bool)
     new[0] = True
@@ -108,22 +128,69 @@ def split_words(text: str) -> list[str] | None:
     space = codes[run - 1] == 32
     new[run[space]] = False
     new[run - 1] = True
-    at = np.flatnonzero(new[1:]) + 1
-    return np.insert(codes, at, 0).tobytes().decode("utf-32-le").split("\x00")
+    return np.flatnonzero(new)
+
+
+def encode_texts(texts: list[str | None], path: str, separator: int = SEPARATOR) -> list[bytes]:
+    """Ids of whole texts, little-endian 32-bit, each closed by the separator.
+
+    The pieces of all texts form one Arrow string array over their bytes; its
+    dictionary has every different piece once, and ids are gathered by
+    dictionary index.
+    """
+    tokenizer, cache, special = _tokenizer(path)
+    end = np.array([separator], "<u4")
+    raws, offsets, counts, base = [], [], [], 0
+    for t in texts:
+        codes = plain_codes(t, special) if t else np.empty(0, np.uint32)
+        if codes is None or not len(codes):
+            counts.append(None if codes is None else 0)
+            continue
+        before = np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800)) if codes.max() >= 0x80 else None
+        at = piece_starts(codes)
+        raw = t.encode()
+        offsets.append(base + (at if before is None else np.append(0, before)[at]))
+        raws.append(raw)
+        counts.append(len(at))
+        base += len(raw)
+    bounds = np.append(np.concatenate(offsets), base).astype(np.int64) if offsets else np.zeros(1, np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.tobytes()), pa.py_buffer(b"".join(raws))).dictionary_encode()
+    names, which = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+    cache.learn(set(names))
+    known = [cache[x] for x in names]
+    size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    first = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(known), "<u4")
+    n = size[which]
+    done = np.append(0, np.cumsum(n))           # ids before each piece
+    ids = flat[np.repeat(first[which] - done[:-1], n) + np.arange(done[-1])]
+    out, piece = [], 0
+    for t, k in zip(texts, counts):
+        if k is None:
+            own = np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4")
+        else:
+            own = ids[done[piece]:done[piece + k]]
+            piece += k
+        out.append(np.concatenate([own, end]).tobytes())
+    return out
 
 
 def token_ids(text: str | None, path: str, separator: int = SEPARATOR) -> bytes:
     """Ids of a whole text, little-endian 32-bit, closed by the separator."""
-    tokenizer, cache, special = _tokenizer(path)
-    end = np.array([separator], "<u4").tobytes()
-    if not text:
-        return end
-    words = None if any(s in text for s in special) else split_words(text)
-    if words is None:
-        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    else:
-        ids = b"".join(map(cache.__getitem__, words))
-    return ids + end
+    return encode_texts([text], path, separator)[0]
+
+
+def _blocks(keys, texts):
+    """Rows in blocks of about ``BLOCK`` characters."""
+    block, held = [], 0
+    for k, t in zip(keys, texts):
+        block.append((k, t))
+        held += len(t or "")
+        if held >= BLOCK:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
 
 
 def cut(n: int, size: int = TOKENS) -> list[tuple[int, int]]:
@@ -139,14 +206,14 @@ def tokenise(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
     """One row per piece, columns of :data:`PIECES`."""
     def run(batches):
         for b in batches:
-            out = []
-            for k, t in zip(b["key"], b["text"]):
-                ids = token_ids(t, path, separator)
-                k = None if pd.isna(k) else int(k)
-                out += [(k, i, s, n, zlib.crc32(ids[4 * s:4 * (s + n)]))
-                        for i, (s, n) in enumerate(cut(len(ids) // 4, size))]
-            df = pd.DataFrame(out, columns=["key", "piece", "start", "length", "ids_crc32"])
-            yield df.astype({"key": "Int64"})
+            for block in _blocks(b["key"], b["text"]):
+                out = []
+                for (k, _), ids in zip(block, encode_texts([t for _, t in block], path, separator)):
+                    k = None if pd.isna(k) else int(k)
+                    out += [(k, i, s, n, zlib.crc32(ids[4 * s:4 * (s + n)]))
+                            for i, (s, n) in enumerate(cut(len(ids) // 4, size))]
+                df = pd.DataFrame(out, columns=["key", "piece", "start", "length", "ids_crc32"])
+                yield df.astype({"key": "Int64"})
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, PIECES)
 
