@@ -8,8 +8,8 @@ columns without forming ``V`` (a task sums ``Xc' (Xc Q)`` over its rows, Spark
 sums the tasks' cells). A few Lanczos passes bound the spectrum; then the
 three-term Chebyshev recurrence on the unwanted interval damps it, QR
 orthonormalises the block, Rayleigh-Ritz rotates it, and the residuals
-``|V q - e q|`` certify the leading k pairs. If the block spans the whole space,
-one Rayleigh-Ritz step gives them.
+``|V q - e q|`` certify the leading k pairs. A block that converges too slowly is
+doubled; one that spans the whole space needs a single Rayleigh-Ritz step.
 
 What reaches the driver is the dimension times the block's columns, whatever
 the number of vectors. Every task holds one Arrow batch and one block.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 COMPONENTS, GUARD, DEGREE, LANCZOS = 32, 12, 8, 10
-TOLERANCE, ACCEPTED, MAX_PASSES = 2e-14, 1e-12, 2000
+TOLERANCE, ACCEPTED, PATIENCE = 2e-14, 1e-12, 8
 SCALE, SHIFT, LARGEST = 64, 1_000_000, float(1 << 40)
 
 
@@ -150,7 +150,9 @@ def leading_pairs(times, dim: int, k: int, guard: int = GUARD, degree: int = DEG
     ``times(block)`` multiplies the operator with a block of columns. Iterates
     until every residual is at rounding level (``TOLERANCE`` times the largest
     eigenvalue and the root of the dimension), or no longer falls and lies
-    below ``ACCEPTED``; otherwise an error.
+    below ``ACCEPTED``. Where a cluster of eigenvalues reaches across the
+    block's edge that takes for ever, so after every ``PATIENCE`` rounds the
+    block is doubled, at most to the whole space.
     """
     k = min(k, dim)
     width = min(dim, k + guard)
@@ -160,22 +162,25 @@ def leading_pairs(times, dim: int, k: int, guard: int = GUARD, degree: int = DEG
     else:
         low, top = lanczos_bounds(times, dim, LANCZOS, rng)
         q = np.linalg.qr(rng.normal(size=(dim, width)))[0]
-    best, stalled, passes = np.inf, 0, 0
+    best, stalled, rounds = np.inf, 0, 0
     while True:
         v = times(q)
         h = q.T @ v
         e, r = np.linalg.eigh((h + h.T) / 2)
         e, r = e[::-1], r[:, ::-1]
         q, v = q @ r, v @ r
-        passes += 1
+        rounds += 1
         worst = float(np.linalg.norm(v[:, :k] - q[:, :k] * e[:k], axis=0).max())
         scale = max(float(e[0]), np.finfo(float).tiny)
         stalled = stalled + 1 if worst > best / 2 else 0
         best = min(best, worst)
         if width == dim or worst <= TOLERANCE * np.sqrt(dim) * scale or (stalled >= 2 and worst <= ACCEPTED * scale):
             return e[:k], q[:, :k], worst
-        if passes > MAX_PASSES:
-            raise RuntimeError(f"subspace iteration ended with a residual of {worst:.3g}")
+        if rounds % PATIENCE == 0:
+            width = min(dim, 2 * width)
+            q = np.linalg.qr(np.hstack([q, rng.normal(size=(dim, width - q.shape[1]))]))[0] if width < dim else np.eye(dim)
+            best = np.inf
+            continue
         high = float(e[-1])                 # the block's smallest Ritz value: what lies below is unwanted
         top = max(top, float(e[0]))
         if high <= 1e-15 * scale:           # the rest of the spectrum is zero
@@ -183,7 +188,6 @@ def leading_pairs(times, dim: int, k: int, guard: int = GUARD, degree: int = DEG
             continue
         floor = low if low < 0.999 * high else 0.0
         q = np.linalg.qr(chebyshev(times, q, floor, high, top, degree))[0]
-        passes += degree
 
 
 def _project(vectors: Vectors, basis: np.ndarray, share: np.ndarray, error: float):

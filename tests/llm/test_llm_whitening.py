@@ -80,7 +80,7 @@ SPECTRA = {
     "flat": np.linspace(0.93, 1.07, 64),
     "decaying": 2.0 ** -np.arange(60.0),
     "low rank": np.concatenate([np.arange(1.0, 11.0), np.zeros(70)]),
-    "clusters": np.repeat([5.0, 3.0, 1.0, 0.99], 25) + np.linspace(0, 1e-6, 100),
+    "clusters": np.repeat([5.0, 3.0, 1.0, 0.99], 25) + np.linspace(0, 1e-6, 100),     # one across the block's edge
 }
 
 
