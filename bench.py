@@ -5,7 +5,8 @@ nothing collected to the driver). A short warm-up runs first so JVM start-up
 and first codegen are not charged to the first query.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, default all), BENCH_REPEAT (default 3, median of n)
+     BENCH_QUERIES (comma list, default all), BENCH_REPEAT (default 3, median of n; a query
+     that has taken LONG seconds in all is not run again)
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from ledgerlight.plans.catalog import load_all  # noqa: E402
 from ledgerlight.session import build_session  # noqa: E402
 
 
+LONG = 12.0
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -44,7 +48,7 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in names:
         took = []
-        for _ in range(repeat):
+        while len(took) < repeat and sum(took) < LONG:
             t0 = time.perf_counter()
             run(reg[name].build(spark, sf_dir))
             took.append(time.perf_counter() - t0)
