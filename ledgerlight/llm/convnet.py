@@ -6,15 +6,18 @@ run over learned byte embeddings; each is max-pooled over a chunk. The mean
 and the maximum of the pooled values over all chunks are combined into one
 probability.
 
-Training fits on a bounded sample of labelled rows (``max_rows`` a class,
-chosen by a hash of the id, with ``train_chunks`` chunks of each drawn from
-the whole text), so the driver holds a few MB whatever the corpus. Class
-weights undo the sampling. Scoring reads every chunk of every text, a bounded
+Training fits on a bounded sample of labelled rows: at most ``max_rows`` a
+class and ``max_bytes`` of text in all, taken in the order of a hash of the id,
+each with all chunks of its whole text. So the driver holds a bounded number
+of MB whatever the corpus, and the sample, and with it the model, does not
+depend on how the files are split. Class weights undo the sampling. Scoring reads every chunk of every text, a bounded
 number of chunks at a time.
 
 Defined results: a null or empty text is one chunk of padding and gets a
 score; without rows of both classes the score is the share of class 1 (0.5 if
-there are no labelled rows); repeated rows score alike; an empty table gives
+there are no labelled rows); repeated rows score alike, and an id that stands
+for several texts is sampled with one of them; a text longer than
+``max_bytes`` is scored but not sampled; an empty table gives
 an empty table. Only the text is an input.
 """
 
@@ -32,7 +35,7 @@ CHUNK, STEP = 256, 208      # bytes of a chunk, and from one chunk's start to th
 WIDTH, DIM, FILTERS = 6, 5, 16
 PAD = 256                   # embedding row of padding
 MAX_ROWS = 3000             # labelled rows of a class to fit on
-TRAIN_CHUNKS = 12           # chunks drawn from each of them
+MAX_BYTES = 32 << 20        # bytes of their texts, all together
 STEPS, BATCH, RATE = 500, 48, 0.01
 SCORE_CHUNKS = 512          # chunks scored at a time
 THRESHOLD = 0.3
@@ -168,41 +171,45 @@ def train(x: np.ndarray, owner: np.ndarray, label: np.ndarray, weight: np.ndarra
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label",
-        max_rows: int = MAX_ROWS) -> Net:
-    """Fit on the texts of ``docs`` that ``labels`` gives label 0 or 1; see the module's text for the bound.
+        max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Net:
+    """Fit on the texts of ``docs`` that ``labels`` gives label 0 or 1; see the module's text for the bounds.
 
-    The sample is drawn from the labels, by a hash of the id, about
-    ``max_rows`` a class at most; that list is broadcast, so no text is
-    shuffled. An id with both labels counts as 0; a null id has none.
+    The sample is drawn from the labels; lists of at most ``2 * max_rows`` ids
+    are broadcast, so no text is shuffled. An id with both labels counts as 0;
+    a null id has none.
     """
     rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")) \
         .where("label in (0, 1) and key is not null").groupBy("key").agg(F.min("label").alias("label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n = sum(sizes.values())
     prior = sizes.get(1, 0) / n if n else 0.5
+    unfitted = Net(*(np.zeros(1),) * 4, 0.0, prior=prior, fitted=False)
     if len(sizes) < 2:
-        return Net(*(np.zeros(1),) * 4, 0.0, prior=prior, fitted=False)
+        return unfitted
     share = F.when(F.col("label") == 1, min(1.0, max_rows / sizes[1])).otherwise(min(1.0, max_rows / sizes[0]))
-    listed = rows.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << 20)) < share * float(1 << 20))
-    chosen = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")) \
-        .join(F.broadcast(listed), "key").select("text", "label")
-
-    def draw(batches):
-        rng = np.random.default_rng(3)
-        for b in batches:
-            out = []
-            for t, y in zip(b["text"], b["label"]):
-                c = chunks(t)
-                if len(c) > TRAIN_CHUNKS:
-                    c = c[np.sort(rng.choice(len(c), TRAIN_CHUNKS, replace=False))]
-                out.append((int(y), c.astype("<i2").tobytes()))
-            yield pd.DataFrame(out, columns=["label", "chunks"])
-
-    got = sorted((r["label"], bytes(r["chunks"])) for r in chosen.mapInPandas(draw, "label int, chunks binary").collect())
-    parts = [np.frombuffer(c, "<i2").reshape(-1, CHUNK) for _, c in got]
-    y = np.array([r[0] for r in got])
-    if len(set(y)) < 2:
-        return Net(*(np.zeros(1),) * 4, 0.0, prior=prior, fitted=False)
+    place = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << 20))
+    listed = rows.where(place < share * float(1 << 20))
+    texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # one text an id, and its length: the rows that fit the budget, in the order of the hash
+    found = texts.join(F.broadcast(listed), "key").groupBy("key", "label") \
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.octet_length("text").alias("bytes"))).alias("t")) \
+        .select("key", "label", "t.hash", "t.bytes", place.alias("place")).toPandas().sort_values(["place", "key"], kind="stable")
+    wanted, held = [], 0
+    for r in found.itertuples():
+        if held + r.bytes <= max_bytes:
+            held += r.bytes
+            wanted.append((r.key, r.hash))
+    if not wanted:
+        return unfitted
+    chosen = docs.sparkSession.createDataFrame(wanted, f"key {docs.schema[key].dataType.simpleString()}, hash long")
+    held_texts = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["key", "hash"]) \
+        .groupBy("key").agg(F.first("text").alias("text")).collect()
+    label_of = dict(zip(found["key"], found["label"]))
+    sample = sorted((r["key"], r["text"]) for r in held_texts)
+    y = np.array([label_of[k] for k, _ in sample])
+    if len(set(y.tolist())) < 2:
+        return unfitted
+    parts = [chunks(t) for _, t in sample]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     net = train(np.concatenate(parts), owner, y, np.array([1 - prior, prior]))
     net.prior = prior

@@ -120,3 +120,29 @@ def test_one_class_or_none(spark):
     assert convnet.fit(docs, one.limit(0)).prior == 0.5
     both = spark.createDataFrame([(1, 1), (2, 1), (200, 0), (201, 0), (999, 0)], "doc_id long, label int")
     assert convnet.fit(docs, both).fitted and convnet.fit(docs.limit(0), both).fitted is False
+
+
+def test_model_does_not_depend_on_the_file_split(spark):
+    import os
+
+    from conftest import SF001
+    docs = spark.read.parquet(os.path.join(SF001, "documents.parquet"))
+    labels = spark.read.parquet(os.path.join(SF001, "labels.parquet"))
+    nets = [convnet.fit(docs.repartition(n), labels, label="quality") for n in (1, 3, 8)]
+    texts = [r["text"] for r in docs.limit(30).collect()]
+    scores = [convnet.score(texts, n) for n in nets]
+    assert (scores[0] == scores[1]).all() and (scores[0] == scores[2]).all()
+
+
+def test_sample_holds_whole_texts_within_its_bounds(spark, monkeypatch):
+    """Every chunk of a sampled text is seen, rows beyond the byte budget are not sampled, one text an id."""
+    seen = {}
+    monkeypatch.setattr(convnet, "train", lambda x, owner, y, w: seen.update(x=x, owner=owner, y=y) or convnet.Net(*(np.zeros(1),) * 4, 0.0))
+    docs = spark.createDataFrame([(i, f"{i} " * 400) for i in range(20)] + [(3, "other"), (50, "x" * 50_000), (51, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (*range(20), 50, 51)], "doc_id long, label int")
+    convnet.fit(docs, labels, max_bytes=30_000)
+    sizes = np.bincount(seen["owner"])
+    whole = {i: len(convnet.chunks(f"{i} " * 400)) for i in range(20)}
+    assert len(seen["y"]) == 21 and len(convnet.chunks("x" * 50_000)) not in sizes
+    assert sorted(sizes)[:2] == [1, 1] or len(convnet.chunks("other")) in sizes
+    assert set(sizes.tolist()) <= {1, *whole.values()}
