@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
-from functools import reduce
-from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,8 +78,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .union(now.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
 
 
+#: bytes of a batch that goes to a Python worker at most (more only for a single longer text)
+ARROW_BYTES = 4 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that do not have it installed, once per context."""
+    """Make this package importable in Python workers that do not have it installed, once per context.
+
+    Also bounds the batches they get by bytes, so that a worker's memory does not grow with the length of the texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_ledgerlight_shipped", False):
         return
@@ -103,20 +108,10 @@ def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def equal_nibbles(a: F.Column, b: F.Column, longs: int) -> F.Column:
-    """In how many of the 16 four-bit digits of each of ``longs`` longs two arrays agree."""
-    def unequal(i: int) -> F.Column:
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        any_bit = x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseOR(F.shiftright(x, 3))
-        return F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
-
-    return F.lit(16 * longs) - reduce(add, map(unequal, range(longs)))
-
-
-def least_agreement(coordinates: int, similarity: float, deviations: float = 4.5) -> int:
-    """Digits in which two sketches of sets of a similarity agree, less so many standard deviations."""
-    p = similarity + (1 - similarity) / 16      # unequal coordinates agree in a digit one time in 16
-    return math.ceil(coordinates * p - deviations * math.sqrt(coordinates * p * (1 - p)))
+def broadcast_if_small(df: DataFrame, size: F.Column, limit: int = 32 << 20) -> DataFrame:
+    """As :func:`broadcast_if_short` for rows of no fixed width: by the summed ``size`` of the rows in bytes."""
+    total = df.agg(F.sum(size.cast("long") + 32)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
@@ -170,3 +165,41 @@ def shared_buckets(banded: DataFrame, short: int) -> DataFrame:
     found = materialise(banded.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n"))
                         .where("n > 1").select("band", "leader"), "shared")
     return materialise(banded.join(broadcast_if_short(found, short), "band").select("band", "rep", "leader"), "buckets")
+
+
+def quoted(name: str) -> F.Column:
+    """A column by its literal name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def with_rest(docs: DataFrame, used: list[str], work: Callable[[DataFrame], DataFrame], extra: list[str] | None = None) -> DataFrame:
+    """``work`` on the ``used`` columns of ``docs`` alone, with the other columns put back under their names.
+
+    They travel in one struct, ``rest``, whose fields are numbered, so no name
+    of theirs can clash with a name that ``work`` uses. ``extra`` are columns
+    that ``work`` adds.
+    """
+    others = [c for c in docs.columns if c not in used]
+    rest = [F.struct(*(quoted(c).alias(f"c{i}") for i, c in enumerate(others))).alias("rest")] if others else []
+    out = work(docs.select(*map(quoted, used), *rest))
+    place = {c: F.col("rest")[f"c{i}"].alias(c) for i, c in enumerate(others)}
+    return out.select(*(place.get(c, quoted(c)) for c in docs.columns), *(extra or []))
+
+
+def own_ids(rows: DataFrame, key: str, content: str) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with an id of their own for every different ``content`` of a key, where keys are shared at all.
+
+    Returns the rows and a written table ``(own, key)``, or the rows as they
+    are and None if no key has two contents (``content`` is a hash column). The
+    new ids are longs in the order of the old ones, so a smallest id stays
+    one; null keys stay null.
+    """
+    shared = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(content).alias("a"), F.max(content).alias("b")).where("a != b")
+    if shared.isEmpty():
+        return rows, None
+    pairs = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("of_key"), F.col(content).alias("of_content")).distinct()
+    # ids that rise along a global sort rise with the key
+    ids = materialise(pairs.orderBy("of_key", "of_content").withColumn("own", F.monotonically_increasing_id()), "ids")
+    named = rows.join(ids, (F.col(key) == F.col("of_key")) & (F.col(content) == F.col("of_content")), "left")
+    return named.select(*(F.col("own").alias(key) if c == key else F.col(c) for c in rows.columns)), \
+        ids.select("own", F.col("of_key").alias("key"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialise
+from .common import broadcast_if_small, materialise, with_rest
 
 MIN_WORDS = 50          # fewer words: too short
 REPEAT_PCT = 50         # more than this share of words in repeated windows
@@ -131,7 +131,14 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source", ho
     Texts are measured a second time rather than joined to their verdicts, so
     no text is shuffled.
     """
-    bad = rejected_hosts(measure(docs, host, text), host_limit).withColumnRenamed("bad_host", "__bad_host")
+    # written and measured first: left to the planner, the texts are shuffled before the list turns out to be short
+    rejected = materialise(rejected_hosts(measure(docs.select(text, host), host, text), host_limit)
+                           .withColumnRenamed("bad_host", "__bad_host"), "hosts")
+    bad = broadcast_if_small(rejected, F.coalesce(F.octet_length(F.col("__bad_host").cast("string")), F.lit(0)))
     fails = _failures(lambda c: F.col(f"__m.{c}"))
-    rows = docs.withColumn("__m", _metrics_column(text)).where(~(fails["short"] | fails["repeats"]))
-    return rows.join(bad, F.col(host).eqNullSafe(F.col("__bad_host")), "left_anti").select(*docs.columns)
+
+    def kept(rows: DataFrame) -> DataFrame:
+        judged = rows.withColumn("__m", _metrics_column(text)).where(~(fails["short"] | fails["repeats"]))
+        return judged.join(bad, F.col(host).eqNullSafe(F.col("__bad_host")), "left_anti")
+
+    return with_rest(docs, [text, host], kept)

@@ -7,7 +7,9 @@ all runs of ``CHARS`` characters; each is hashed once, and coordinate ``j`` of
 the signature is the smallest ``hash xor seed_j``. Lines go by their hash
 only, so the signature's aggregate needs no shuffle of its own. Classes that
 share a band of ``ROWS`` coordinates are candidates and are verified by the
-exact Jaccard similarity of their shingle sets; links become components by
+exact Jaccard similarity of their shingle sets, after a bitmap of each set has
+ruled out most of those that cannot reach it (see :func:`may_be_near`: no link
+is lost by it); links become components by
 :func:`ledgerlight.llm.common.link_buckets`. Of each component one line stays:
 the first in the document with the smallest id that has one.
 
@@ -17,7 +19,8 @@ with 3e-5.
 Defined results: lines without a word stay as they are; a line shorter than a
 shingle is one shingle; a null or empty text stays as it is; of a component
 with an occurrence under a null id only, that one stays; rows that share id
-and text keep the same lines; a text may lose all its lines and is then
+and text keep the same lines; rows that share an id alone are apart, in the
+order of a hash of their text; a text may lose all its lines and is then
 empty; an empty table gives an empty table. Columns of the input other than
 id and text pass through untouched, whatever their names.
 """
@@ -30,12 +33,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_short, equal_nibbles, least_agreement, link_buckets, materialise, shared_buckets
+from .common import broadcast_if_short, broadcast_if_small, link_buckets, materialise, own_ids, shared_buckets, with_rest
 
 CHARS = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
 SEGMENT, STRIDE = 64, 4
+MARKS = 16              # longs of a set's bitmap
 SHORT = 1_000_000       # tables of up to this many narrow rows (about 40 MB) are broadcast, longer ones joined by shuffle
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -77,46 +81,72 @@ def _shingle(segment, at, chars: int) -> F.Column:
     return F.xxhash64(F.substring(segment, at * 4 + 1, F.lit(4 * chars)))
 
 
+def _hashed(segments: DataFrame, chars: int) -> DataFrame:
+    """Shingle hashes ``s0`` to ``s3`` of the column ``segment``, ``STRIDE`` of them a row.
+
+    So the buffers of an aggregate over them are touched that much less often; the last one of a segment may repeat.
+    """
+    last = _last_start(F.col("segment"), chars)
+    keep = [c for c in segments.columns if c != "segment"]
+    return segments.select(*keep, "segment", last.alias("last")) \
+        .select(*keep, "segment", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("at")) \
+        .select(*keep, *(_shingle(F.col("segment"), F.least(F.col("at") + k, F.col("last")), chars).alias(f"s{k}") for k in range(STRIDE)))
+
+
 def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
-    """One row per distinct line: ``rep, h1, h2, doc, n, bands, digits``, written once."""
+    """One row per distinct line: ``rep, h1, h2, doc, n, bands``, written once."""
     distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min("doc").alias("doc"), F.count("*").alias("n"))
-    # STRIDE shingles a row, so that the aggregate's buffers are touched that much less often; the last one may repeat
-    last = _last_start(F.col("segment"), chars)
-    hashed = distinct.select("h1", "h2", "doc", "n", F.explode(_segments(F.col("line"), chars)).alias("segment")) \
-        .select("h1", "h2", "doc", "n", "segment", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STRIDE))).alias("at")) \
-        .select("h1", "h2", "doc", "n", *(_shingle(F.col("segment"), F.least(F.col("at") + k, F.col("last")), chars).alias(f"s{k}")
-                                          for k in range(STRIDE)))
+    hashed = _hashed(distinct.select("h1", "h2", "doc", "n", F.explode(_segments(F.col("line"), chars)).alias("segment")), chars)
     signed = hashed.groupBy("h1", "h2").agg(
         F.min("doc").alias("doc"), F.min("n").alias("n"),
         *(F.min(F.least(*(F.col(f"s{k}").bitwiseXOR(F.lit(s)) for k in range(STRIDE)))).alias(f"m{j}")
           for j, s in enumerate(_seeds())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + j}" for j in range(ROWS))) for b in range(BANDS)))
-    def digits(at: int) -> F.Column:     # four bits of sixteen coordinates
-        part = [F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(15)), 4 * (j - at)) for j in range(at, min(at + 16, BANDS * ROWS))]
-        return reduce(lambda x, y: x.bitwiseOR(y), part)
+    return materialise(signed.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "doc", "n", bands.alias("bands")), "lines")
+
+
+def marks_of(found: DataFrame, chars: int) -> DataFrame:
+    """``(rep, size, marks)`` of lines: how many shingles (repeats counted), and a bitmap of their hashes, written once."""
+    size = F.greatest(F.char_length("line") - chars + 1, F.lit(1))
+    hashed = _hashed(found.select("rep", size.alias("size"), F.explode(_segments(F.col("line"), chars)).alias("segment")), chars)
 
-    return materialise(signed.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "doc", "n", bands.alias("bands"),
-                                     F.array(*map(digits, range(0, BANDS * ROWS, 16))).alias("digits")), "lines")
+    def word(w: int) -> F.Column:
+        bits = [F.expr(f"if((s{k} >> 6) & {MARKS - 1} = {w}, shiftleft(1L, cast(s{k} & 63 as int)), 0L)") for k in range(STRIDE)]
+        return F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias(f"w{w}")
 
+    words = hashed.groupBy("rep").agg(F.max("size").alias("size"), *map(word, range(MARKS)))
+    return materialise(words.select("rep", "size", F.array(*(f"w{w}" for w in range(MARKS))).alias("marks")), "marks")
 
-def near_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members ``(band, rep, label)`` of one bucket with different labels, written once.
 
-    The join itself passes over pairs whose signatures agree in too few
-    coordinates for the similarity (4.5 standard deviations: one link in
-    300,000 of those that are only just links).
+def may_be_near(marks_a, size_a, marks_b, size_b, percent: int) -> F.Column:
+    """False only for sets whose similarity is below ``percent``.
+
+    A bit set in one bitmap alone stands for a shingle of one set alone, and
+    sets of similarity t differ in at most (1 - t) / t shingles for each one
+    that the smaller set has.
     """
-    coordinates = BANDS * ROWS
-    longs = -(-coordinates // 16)
-    needed = least_agreement(coordinates, percent / 100) + 16 * longs - coordinates     # unused digits always agree
-    m = materialise(mixed.join(classes.select("rep", "digits"), "rep"), "digits")
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.get(marks_a, F.lit(w)).bitwiseXOR(F.get(marks_b, F.lit(w)))) for w in range(MARKS)))
+    return differ * percent <= F.least(size_a, size_b) * (100 - percent)
+
+
+def near_pairs(mixed: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members ``(band, rep, label)`` of one bucket with different labels that may be near, written once."""
+    m = materialise(mixed.join(marks, "rep"), "marked")
     other = m.select(F.col("band").alias("band_b"), F.col("rep").alias("b"), F.col("label").alias("lb"),
-                     F.col("digits").alias("digits_b"))
+                     F.col("marks").alias("marks_b"), F.col("size").alias("size_b"))
     near = (F.col("band") == F.col("band_b")) & (F.col("rep") < F.col("b")) & (F.col("label") != F.col("lb")) \
-        & (equal_nibbles(F.col("digits"), F.col("digits_b"), longs) >= needed)
+        & may_be_near(F.col("marks"), F.col("size"), F.col("marks_b"), F.col("size_b"), percent)
     return materialise(m.join(other, near).select(F.col("rep").alias("a"), "b").distinct(), "pairs")
 
 
+def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that may be near, written once."""
+    a = marks.select(F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("marks").alias("marks_a"))
+    b = marks.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("marks").alias("marks_b"))
+    near = may_be_near(F.col("marks_a"), F.col("size_a"), F.col("marks_b"), F.col("size_b"), percent)
+    return materialise(pairs.join(a, "a").join(b, "b").where(near).select("a", "b"), "likely")
+
+
 def lines_of(lines: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
     """``(rep, line)`` of every class in a bucket with another, read from the texts once and written."""
     wanted = materialise(classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "h1", "h2"), "ids")
@@ -144,12 +174,15 @@ def verified(found: DataFrame, pairs: DataFrame, chars: int, percent: int) -> Da
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: int = CHARS,
                   percent: int = PERCENT) -> DataFrame:
     """``(doc, text_hash, dropped)``: the positions (from 0) of the lines that go, for texts that lose any."""
-    lines = line_rows(docs, key, text)
+    hashed = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows, ids = own_ids(hashed, "id", "hash")
+    lines = line_rows(rows, "id", "text")
     classes = classes_of(lines, chars)
     members = shared_buckets(classes.select("rep", F.explode("bands").alias("band")), SHORT)
     found = lines_of(lines, classes, members)
-    label = link_buckets(members, lambda pairs: verified(found, pairs, chars, percent),
-                         lambda mixed: verified(found, near_pairs(mixed, classes, percent), chars, percent))
+    marks = marks_of(found, chars)
+    label = link_buckets(members, lambda pairs: verified(found, likely(pairs, marks, percent), chars, percent),
+                         lambda mixed: verified(found, near_pairs(mixed, marks, percent), chars, percent))
 
     # only classes with another line somewhere can lose one
     of = classes.select("rep", "h1", "h2", "doc", "n").join(label.withColumnRenamed("id", "rep"), "rep", "left") \
@@ -160,21 +193,26 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", char
     per_line = hits.groupBy("doc", "text_hash", "component").agg(
         F.collect_set("pos").alias("at"), F.min("pos").alias("first"), F.max("keeper").alias("keeper"))
     gone = F.when(F.col("doc").eqNullSafe(F.col("keeper")), F.array_remove("at", F.col("first"))).otherwise(F.col("at"))
-    return per_line.select("doc", "text_hash", gone.alias("gone")).where(F.size("gone") > 0) \
+    out = per_line.select("doc", "text_hash", gone.alias("gone")).where(F.size("gone") > 0) \
         .groupBy("doc", "text_hash").agg(F.flatten(F.collect_list("gone")).alias("dropped"))
+    if ids is None:
+        return out
+    return out.join(ids, out["doc"] == ids["own"], "left").select(F.col("key").alias("doc"), "text_hash", "dropped")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n_dropped: str | None = None,
                 chars: int = CHARS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the text's repeated lines removed; ``n_dropped`` names a column for their number."""
-    gone = materialise(dropped_lines(docs, key, text, chars, percent), "dropped").toDF("__doc", "__hash", "__dropped")
-    joined = docs.join(broadcast_if_short(gone, SHORT), F.col(key).eqNullSafe(F.col("__doc"))
-                       & (F.xxhash64(text) == F.col("__hash")), "left")
+    gone = materialise(dropped_lines(docs.select(key, text), key, text, chars, percent), "dropped").toDF("__doc", "__hash", "__dropped")
     lines = F.split(F.col(text), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
     new = F.when(F.col("__dropped").isNull(), F.col(text)) \
         .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    out = [new.alias(c) if c == text else F.col(c) for c in docs.columns]
-    if n_dropped:
-        out.append(F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias(n_dropped))
-    return joined.select(*out)
+    count = [F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("__count")]
+
+    def cut(rows: DataFrame) -> DataFrame:
+        joined = rows.join(broadcast_if_small(gone, 4 * F.size("__dropped")), F.col(key).eqNullSafe(F.col("__doc"))
+                           & (F.xxhash64(text) == F.col("__hash")), "left")
+        return joined.select(*(new.alias(c) if c == text else F.col(c) for c in rows.columns), *count)
+
+    return with_rest(docs, [key, text], cut, [F.col("__count").alias(n_dropped)] if n_dropped else [])

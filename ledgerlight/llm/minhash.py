@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import broadcast_if_short, components, link_buckets, materialise, shared_buckets
+from .common import broadcast_if_short, components, link_buckets, materialise, own_ids, shared_buckets, with_rest
 
 BANDS, ROWS = 48, 7
 PERCENT = 80
@@ -284,15 +284,16 @@ def clump_links(texts: DataFrame, mixed: DataFrame, words: int, percent: int, ce
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: ``key, n_shingles, component_id, kept, text_hash``.
+    """One row per document: ``key, n_shingles, component_id, kept, text_hash, leads``.
 
     ``key`` is an integer column. The sketch table, classes, buckets with more
     than one member, pairs and links are written to the shared folder; none is
-    collected.
+    collected. ``leads`` is true for the texts that stand for their component;
+    it differs from ``kept`` only where texts that are near share an id.
     """
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text"))
-    known = texts.where("key is not null")
+    known, ids = own_ids(texts.where("key is not null"), "key", "text_hash")
     schema = "key long, text_hash long, n long, digest binary, bands array<long>"
     prepared = materialise(known.mapInPandas(_prepare(words, bands, rows), schema), "sketch")
     classes = materialise(prepared.where("n > 0").groupBy("digest")
@@ -304,23 +305,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     of_class = classes.select("digest", "rep").join(label.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
     done = prepared.select("key", "text_hash", "n", "digest").join(of_class, "digest", "left") \
-        .select("key", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+        .select("key", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")) \
+        .withColumn("leads", F.col("key") == F.col("component_id"))
+    if ids is not None:     # back to the ids that texts share
+        for c in ("key", "component_id"):
+            done = done.join(ids.select(F.col("own").alias(c), F.col("key").alias("theirs")), c) \
+                .withColumn(c, F.col("theirs")).drop("theirs")
     # rows without an id take no part
     lost = texts.where("key is null").withColumn("key", F.lit(0).cast("long")) \
         .mapInPandas(_prepare(words, bands, rows), schema) \
         .select(F.lit(None).cast("long").alias("key"), "text_hash", F.col("n").alias("n_shingles"),
-                F.lit(None).cast("long").alias("component_id"))
+                F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("leads"))
     return done.unionByName(lost).select(
         F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
-        "text_hash")
+        "text_hash", "leads")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` without the near duplicates of a document with a smaller id, all columns.
 
-    Rows that share id and text stay or go together.
+    Rows that share id and text stay or go together; of near texts that share
+    an id one stays.
     """
-    gone = materialise(near_duplicates(docs, key, text, words).where("not kept")
+    gone = materialise(near_duplicates(docs.select(key, text), key, text, words).where("not leads")
                        .select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash")).distinct(), "gone")
-    return docs.join(broadcast_if_short(gone, BROADCAST_ROWS),
-                     (F.col(key) == F.col("__key")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")
+
+    def without(rows: DataFrame) -> DataFrame:
+        return rows.join(broadcast_if_short(gone, BROADCAST_ROWS),
+                         (F.col(key) == F.col("__key")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")
+
+    return with_rest(docs, [key, text], without)

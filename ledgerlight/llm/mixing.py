@@ -28,7 +28,7 @@ from operator import add
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_short, count_words, materialise
+from .common import broadcast_if_short, count_words, materialise, with_rest
 
 WEIGHTS = (3, 1, 2)     # by rank of the source, repeating
 SHARE = 1.5             # budget as a multiple of all sizes
@@ -137,10 +137,14 @@ def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     The plan is written once and joined back on id, source and text hash, by
     broadcast if it is short.
     """
-    planned = plan(docs, key, text, source, **how).where("copies > 0 and size > 0") \
+    planned = plan(docs.select(key, text, source), key, text, source, **how).where("copies > 0 and size > 0") \
         .select(F.col("key").alias("__key"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash"),
                 F.col("copies").alias("__copies"))
     wanted = materialise(planned, "taken")
-    joined = docs.join(broadcast_if_short(wanted, SHORT), F.col(key).eqNullSafe(F.col("__key"))
-                       & F.col(source).eqNullSafe(F.col("__source")) & (F.xxhash64(text) == F.col("__hash")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        joined = rows.join(broadcast_if_short(wanted, SHORT), F.col(key).eqNullSafe(F.col("__key"))
+                           & F.col(source).eqNullSafe(F.col("__source")) & (F.xxhash64(text) == F.col("__hash")))
+        return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+
+    return with_rest(docs, [key, text, source], repeated)

@@ -42,8 +42,8 @@ COST = 1024 * 1024      # sum of squared lengths in a sequence at most
 WEIGHTS = (1.0, 0.05, 0.05)     # of tokens, documents and cost in the score
 SEPARATOR = 2
 GROUP_ROWS = 8192
-CACHE = 1_000_000       # distinct pieces of text whose ids a worker remembers (about 200 MB)
-BLOCK = 1 << 23         # characters whose pieces are looked up together
+CACHE = 300_000         # distinct pieces of text whose ids a worker remembers (about 60 MB)
+BLOCK = 1 << 20         # characters whose pieces are looked up together
 PIECES = "key long, piece int, start long, length long, ids_crc32 long"
 
 # fixed values: white space of the pre-tokeniser's pattern, outside ASCII
@@ -163,7 +163,7 @@ def encode_texts(texts: list[str | None], path: str, separator: int = SEPARATOR)
     flat = np.frombuffer(b"".join(known), "<u4")
     n = size[which]
     done = np.append(0, np.cumsum(n))           # ids before each piece
-    ids = flat[np.repeat(first[which] - done[:-1], n) + np.arange(done[-1])]
+    ids = flat[np.repeat(first[which] - done[:-1], n) + np.arange(done[-1])] if done[-1] else flat
     out, piece = [], 0
     for t, k in zip(texts, counts):
         if k is None:

@@ -54,7 +54,7 @@ def op5(spark, sf_dir):
 
 @corpus_query("op6_sketch_dedup", OP6)
 def op6(spark, sf_dir):
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2).drop("text_hash")
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2).drop("text_hash", "leads")
 
 
 @corpus_query("op7_byte_convnet")

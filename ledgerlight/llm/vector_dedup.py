@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_short, components, materialise, shared_path
+from .common import broadcast_if_short, components, materialise, own_ids, shared_path
 
 PASSES, BITS, WINDOW = 16, 64, 32
 MIN_COSINE = 0.98
@@ -276,6 +276,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     clean = materialise(vectors.select(F.col(key).cast("long").alias("key"), F.col(label).cast("string").alias("label"),
                                        F.col(vector).alias("vector"))
                         .mapInPandas(_clean, "key long, grp string, digest binary, raw binary"), "vectors")
+    named, ids = own_ids(clean.withColumn("content", F.coalesce(F.xxhash64("digest"), F.lit(0))), "key", "content")
+    if ids is not None:         # ids that stand for several vectors
+        clean = materialise(named.drop("content"), "vectors")
     classes = materialise(clean.where("grp is not null").groupBy("digest")
                           .agg(F.min("key").alias("rep"), F.count("*").alias("n"), F.first("grp").alias("grp"),
                                F.first("raw").alias("raw")), "classes")
@@ -293,7 +296,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     of_class = classes.select("digest", "rep", "n").join(counts.withColumnRenamed("n", "linked"), "rep", "left") \
         .join(label_of, "rep", "left") \
         .select("digest", (F.coalesce("linked", "n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    return clean.select("key", "digest").join(of_class, "digest", "left").select(
-        F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "key").alias("component_id"),
-        F.col("key").eqNullSafe(F.coalesce("component_id", "key")).alias("kept"))
+    out = clean.select("key", "digest").join(of_class, "digest", "left").select(
+        "key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "key").alias("component_id"))
+    if ids is not None:
+        for c in ("key", "component_id"):
+            out = out.join(ids.select(F.col("own").alias(c), F.col("key").alias("theirs")), c, "left") \
+                .withColumn(c, F.col("theirs")).drop("theirs")
+    return out.select(F.col("key").alias(key), "n_links", "component_id",
+                      F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import xxhash
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names the operators use inside.
 CLASH = "key string, size string, rep string, band string, component string, text_hash string, host string, line string, n string"
@@ -53,6 +55,14 @@ def empty_docs(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def text_hash(text):
+    """Spark's xxhash64 of a text: rows that share an id are in its order."""
+    if text is None:
+        return 42
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def closure(ids, links):
     """Smallest id reachable from each id."""
     parent = {i: i for i in ids}

@@ -1,18 +1,19 @@
 import random
 
 from ledgerlight.llm import line_dedup as ld
-from llm_fixtures import awkward_docs, closure, docs_frame, empty_docs, prose, similar
+from llm_fixtures import awkward_docs, closure, docs_frame, empty_docs, prose, similar, text_hash
 
 
 def brute(rows):
-    """Text of every row after the dedup, by comparing all pairs of distinct lines."""
+    """Text of every row after the dedup, by comparing all pairs of distinct lines; rows are told apart by id and text."""
+    own = lambda r: None if r[0] is None else (r[0], text_hash(r[1]))
     blanks = " \t\n\x0b\x0c\r"
     norm = lambda x: x.strip(blanks).lower()
     first = {}
     for r in rows:
         for x in (r[1] or "").split("\n"):
             if norm(x):
-                first.setdefault(norm(x), []).append(r[0])
+                first.setdefault(norm(x), []).append(own(r))
     names = sorted(first)
     sets = [{x[i:i + 8] for i in range(max(1, len(x) - 7))} for x in names]
     links = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))
@@ -33,7 +34,7 @@ def brute(rows):
         for x in r[1].split("\n"):
             c = of.get(norm(x))
             if c is not None:
-                if keeper.get(c) != r[0] or c in seen:
+                if keeper.get(c) != own(r) or c in seen:
                     continue
                 seen.add(c)
             kept.append(x)
@@ -90,17 +91,25 @@ def test_main_path_is_native(spark):
         assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
 
 
-def test_digits_that_agree(spark):
-    from ledgerlight.llm.common import equal_nibbles, least_agreement
+def test_bitmaps_rule_out_no_link(spark):
+    """Pairs around the threshold, short and long, with repeated shingles: none at or above it is ruled out, far ones are."""
     from pyspark.sql import functions as F
     rng = random.Random(4)
-    rows = []
-    for _ in range(200):
-        a = [rng.getrandbits(64) - (1 << 63) for _ in range(2)]
-        b = [x ^ (rng.getrandbits(4) << (4 * rng.randrange(15))) ^ (rng.getrandbits(4) << (4 * rng.randrange(15))) for x in a]
-        rows.append((a, b))
-    got = spark.createDataFrame(rows, "a array<long>, b array<long>").select("a", "b", equal_nibbles(F.col("a"), F.col("b"), 2).alias("n"))
-    for r in got.collect():
-        pairs = [((x >> 4 * k) & 15, (y >> 4 * k) & 15) for x, y in zip(r["a"], r["b"]) for k in range(16)]
-        assert r["n"] == sum(x == y for x, y in pairs)
-    assert least_agreement(336, 0.8) < 336 * 0.8 < 336
+    lines = []
+    for k in range(400):
+        base = (prose(rng, rng.randint(1, 90)) if k % 5 else "ab" * rng.randint(3, 200))[:rng.choice([9, 16, 40, 400, 900])]
+        edits = rng.randint(0, max(1, len(base) // 60))
+        other = list(base)
+        for _ in range(edits):
+            other[rng.randrange(len(other))] = rng.choice("xyz")
+        lines += [(2 * k, base), (2 * k + 1, "".join(other))]
+    found = spark.createDataFrame(lines, "rep long, line string")
+    marks = ld.marks_of(found, 8)
+    pairs = [(2 * k, 2 * k + 1) for k in range(400)] + [(2 * k, 2 * ((k + 7) % 400)) for k in range(400)]
+    kept = {tuple(r) for r in ld.likely(spark.createDataFrame(pairs, "a long, b long"), marks, 80).collect()}
+    sets = {i: {x[j:j + 8] for j in range(max(1, len(x) - 7))} for i, x in lines}
+    links = {(a, b) for a, b in pairs if similar(sets[a], sets[b])}
+    assert links <= kept and len(links) > 100
+    far = {(a, b) for a, b in pairs if 10 * len(sets[a] & sets[b]) < 3 * len(sets[a] | sets[b])}
+    assert len(far & kept) < 0.1 * len(far)
+    assert marks.where(F.size("marks") != ld.MARKS).count() == 0

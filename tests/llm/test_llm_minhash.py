@@ -112,3 +112,22 @@ def test_clump_over_several_blocks(spark):
     assert closure(range(60), links) == want and all(similar(sets[a], sets[b]) for a, b in links)
     one = mixed.withColumn("label", mixed["label"] * 0)
     assert m.clump_links(df, one, 2, 80, cell=7).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    text = lambda seed: " ".join(f"w{seed}x{i}" for i in range(60))
+    rows = [(3, text(1) + " extra", "a", "s", 1), (5, text(1), "a", "s", 1), (5, text(2), "a", "s", 1), (7, text(2) + " more", "a", "s", 1)]
+    got = m.near_duplicates(docs_frame(spark, rows), words=2).collect()
+    assert Counter((r["doc_id"], r["component_id"], r["kept"], r["n_shingles"]) for r in got) == Counter(
+        [(3, 3, True, 60), (5, 3, False, 59), (5, 5, True, 59), (7, 5, False, 60)])
+
+
+def test_own_ids_keep_the_order(spark):
+    df = spark.createDataFrame([(5, 1), (5, 1), (5, -2), (-3, 7), (None, 9), (8, 0)], "k long, h long")
+    same, none = common.own_ids(df.where("h <> -2"), "k", "h")
+    assert none is None and same.columns == ["k", "h"]
+    rows, ids = common.own_ids(df, "k", "h")
+    back = {r["own"]: r["key"] for r in ids.collect()}
+    got = [(r["k"], r["h"]) for r in rows.collect()]
+    assert len(got) == 6 and sorted((back.get(k), h) for k, h in got if k is not None) == [(-3, 7), (5, -2), (5, 1), (5, 1), (8, 0)]
+    assert [back[k] for k in sorted(back)] == [-3, 5, 5, 8]

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from ledgerlight.llm import packing
-from llm_fixtures import awkward_docs, closure, docs_frame, empty_docs, prose, similar, word_set
+from llm_fixtures import awkward_docs, closure, docs_frame, empty_docs, prose, similar, text_hash, word_set
 from test_llm_lines import brute as line_brute
 from test_llm_mixing import brute as mix_brute
 from test_llm_quality import verdicts
@@ -38,10 +38,11 @@ def test_stages_equal_brute_force(spark, tmp_path):
     # 2: lines
     rows2 = [(r[0], t, r[2], r[3], r[4]) for r, t in zip(rows1, line_brute(rows1))]
     # 3: near duplicates
-    sets = {r[0]: word_set(r[1], 5) for r in rows2 if r[0] is not None}
+    own = lambda r: (r[0], text_hash(r[1]))
+    sets = {own(r): word_set(r[1], 5) for r in rows2 if r[0] is not None}
     ids = sorted(sets)
     comp = closure(ids, [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if similar(sets[a], sets[b])])
-    rows3 = [r for r in rows2 if r[0] is None or comp[r[0]] == r[0]]
+    rows3 = [r for r in rows2 if r[0] is None or comp[own(r)] == own(r)]
     # 4: mix
     alike, _, _, copies, size = mix_brute(rows3)
     rows4 = Counter({(e[0], e[2]): 0 for e in alike})
@@ -82,3 +83,35 @@ def test_no_rows(spark, tmp_path):
     empty_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
     assert cp.ORACLE_SQL is None and [n for n, _ in cp.STAGES]
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Extra columns under the names that the stages use inside, and one with a dot, come back as they went in."""
+    names = ["__m", "__bad_host", "__n", "__doc", "__hash", "__dropped", "__count", "__key", "__source", "__copy", "__copies", "rest",
+             "n_dropped", "c0", "a.b", "tick`ed", "own", "content", "key", "id", "box"]
+    rows = [r for r in _rows() if r[0] is not None]
+    stage = docs_frame(spark, rows, clash=False).selectExpr("*", *(f"concat('{i}:', doc_id) as `{n.replace('`', '``')}`" for i, n in enumerate(names)))
+    for name, f in cp.STAGES[:-1]:
+        out = f(spark, stage, str(tmp_path))
+        assert out.columns == stage.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        stage = spark.read.parquet(f"{tmp_path}/{name}")
+        got = stage.collect()
+        assert len(got) > 20
+        for r in got:
+            assert [r[n] for n in names] == [f"{i}:{r['doc_id']}" for i in range(len(names))], name
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark, tmp_path):
+    """An id with two texts: nothing near the second one, so it stays; of near ones one stays, and of a line one."""
+    rng = random.Random(3)
+    x, y, z = prose(rng, 120), prose(rng, 120), prose(rng, 120)
+    near = lambda t: " ".join(["edited", *t.split(" ")[1:]])
+    line = prose(rng, 20)
+    rows = [(3, x + " extra", "aa", "s", 1), (5, x, "aa", "s", 1), (5, y, "aa", "s", 1), (8, z, "aa", "s", 1), (8, near(z), "aa", "s", 1),
+            (9, line + "\n" + prose(rng, 60), "aa", "s", 1), (9, line + "\n" + prose(rng, 61), "aa", "s", 1)]
+    df = docs_frame(spark, rows)
+    kept = [(r["doc_id"], r["text"]) for r in cp.near_dedup(spark, df, str(tmp_path)).collect()]
+    assert sorted(k for k, _ in kept) == [3, 5, 8, 9, 9] and (5, y) in kept
+    lines = [r["text"] for r in cp.line_dedup_stage(spark, df, str(tmp_path)).collect()]
+    assert sum(t.count(line) for t in lines) == 1

@@ -75,3 +75,10 @@ def test_links_that_no_pass_finds(spark):
         got = v.near_vectors(df, passes=2, window=2, cell=cell).collect()
         assert sorted((repr(r["vec_id"]), r["n_links"], repr(r["component_id"])) for r in got) == brute(rows)
         assert sum(not r["kept"] for r in got) >= 100
+
+
+def test_vectors_that_share_an_id_are_apart(spark):
+    rows = [(5, [1.0, 0.0, 0.0], 1), (5, [0.0, 1.0, 0.0], 1), (3, [1.0, 0.01, 0.0], 1), (5, None, 1), (None, [0.0, 1.0, 0.0], 1)]
+    got = v.near_vectors(spark.createDataFrame([(*r, "x", "y", 1) for r in rows], SCHEMA)).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got), key=repr) == sorted(
+        [(3, 1, 3, True), (5, 1, 3, False), (5, 0, 5, True), (5, 0, 5, True), (None, 0, None, True)], key=repr)
