@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import host_rules, line_dedup, minhash, mixing, packing
-from ledgerlight.llm.common import materialise, ship_package
+from ledgerlight.llm.common import materialise, ship_package, with_rest
 from ledgerlight.sources.tables import read_table
 
-#: No SQL form: tokenisation and best-fit packing. tests/llm/test_pipeline.py holds the run against a brute-force version.
+#: No SQL form: tokenisation and best-fit packing. tests/llm/test_llm_pipeline.py holds the run against a brute-force version.
 ORACLE_SQL = None
 
 
@@ -32,11 +32,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-equal lines one stays in the corpus; ``n_chars`` follows the text. No document goes."""
-    out = line_dedup.dedup_lines(docs, n_dropped="__n")
-    if "n_chars" in docs.columns:
-        length = F.when(F.col("__n") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-        out = out.withColumn("n_chars", F.coalesce(length, "n_chars"))
-    return out.select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return line_dedup.dedup_lines(docs)
+    kind = docs.schema["n_chars"].dataType
+
+    def measured(rows: DataFrame) -> DataFrame:
+        out = line_dedup.dedup_lines(rows, n_dropped="n_dropped")
+        return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+
+    return with_rest(docs, ["doc_id", "text", "n_chars"], measured)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
