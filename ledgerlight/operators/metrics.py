@@ -186,6 +186,12 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
     :mod:`slicing`) and a hot series is processed by many tasks.
     ``slice_seconds`` overrides the slice length (default: 16 frames, at least a day);
     ``rows_per_slice`` cuts by counted rows instead, for a series that is dense in a short time.
+
+    A sliding frame would visit its rows again for every sample. Here the time
+    is cut into blocks of one window, so a frame is the end of one block and
+    the start of the next. Both are running sums, one forwards and one
+    backwards, so a sample costs the same however many its frame holds, and
+    nothing is subtracted: the sums stay as exact as those of a frame.
     """
     w_us = seconds(window) * 1_000_000
     if w_us <= 0:
@@ -193,16 +199,36 @@ def counter_increase(samples: DataFrame, series: Sequence[str], window: str,
     # a sample needs a time and a value; anything else is not a sample
     df = samples.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).withColumn("__t", epoch_micros(ts))
     df = slicing.add_slices(df, series, "__t", w_us, slice_seconds=slice_seconds, rows_per_slice=rows_per_slice)
+    df = df.withColumn("__block", slicing.floor_div("`__t`", w_us))
     part = slicing.sliced_partition(*series)
     by_time = Window.partitionBy(*part).orderBy("__t")
-    prev = F.lag(value).over(by_time)
-    df = df.withColumn("__d", F.when(prev.isNull(), F.lit(0.0))
-                               .when(F.col(value) >= prev, F.col(value) - prev)
-                               .otherwise(F.col(value)).cast("double"))
-    frame = by_time.rangeBetween(-(w_us - 1), 0)
-    df = df.withColumn(out, F.when(F.count(F.lit(1)).over(frame) >= 2,
-                                   F.sum("__d").over(frame) - F.first("__d").over(frame)))
-    return slicing.keep_owned(df).drop("__t", "__d")
+
+    def step(before: Column, now: Column) -> Column:
+        return F.when(before.isNull() | now.isNull(), F.lit(0.0)).when(now >= before, now - before).otherwise(now).cast("double")
+
+    same = F.lag("__block").over(by_time) == F.col("__block")
+    df = df.select(
+        "*", step(F.lag(value).over(by_time), F.col(value)).alias("__d"), F.coalesce(same, F.lit(False)).alias("__inner"),
+        # the step to the next sample, if that lies in the same block
+        F.when(F.lead("__block").over(by_time) == F.col("__block"), step(F.col(value), F.lead(value).over(by_time)))
+         .otherwise(F.lit(0.0)).alias("__next"))
+    # from the start of the block to the sample and all of its time: all steps, and those within the block
+    start = Window.partitionBy(*part, "__block").orderBy("__t").rangeBetween(Window.unboundedPreceding, 0)
+    df = df.select("*", F.count(F.lit(1)).over(start).alias("__n"), F.sum("__d").over(start).alias("__all"),
+                   F.sum(F.when(F.col("__inner"), F.col("__d")).otherwise(F.lit(0.0))).over(start).alias("__within"))
+    # each sample stands in its block, and asks at t - window, in the block before, for all that comes after it there
+    asks = F.col("__ask") == 1
+    df = df.withColumn("__ask", F.explode(F.when(F.col(slicing.OWN), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    df = df.withColumn("__at", F.when(asks, F.col("__t") - F.lit(w_us)).otherwise(F.col("__t"))) \
+        .withColumn("__block", F.when(asks, F.col("__block") - 1).otherwise(F.col("__block")))
+    rest = Window.partitionBy(*part, "__block").orderBy(F.desc("__at"), F.desc("__ask")) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    df = df.select("*", F.count_if(~asks).over(rest).alias("__before"),
+                   F.sum(F.when(asks, F.lit(0.0)).otherwise(F.col("__next"))).over(rest).alias("__tail"))
+    total = F.when(F.col("__before") > 0, F.col("__tail") + F.col("__all")).otherwise(F.col("__within"))
+    df = df.filter(asks).withColumn(out, F.when(F.col("__before") + F.col("__n") >= 2, total))
+    return slicing.keep_owned(df).drop("__t", "__d", "__block", "__inner", "__next", "__n", "__all", "__within", "__ask", "__at",
+                                       "__before", "__tail")
 
 
 def counter_rate(samples: DataFrame, series: Sequence[str], window: str,

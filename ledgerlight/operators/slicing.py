@@ -15,7 +15,7 @@ them. :func:`add_density_slices` cuts by counted rows instead: a histogram of
 each series over short buckets gives cut points such that a slice holds about
 ``rows_per_slice`` rows of its own, whatever the time they span. That costs a
 second pass over the keys and times; a slice still copies the look-back, so it
-cannot be smaller than the rows of one frame and one bucket.
+is made no smaller than the rows of one frame.
 """
 
 from __future__ import annotations
@@ -42,9 +42,9 @@ def add_time_slices(df: DataFrame, t_us: str, lookback_us: int, slice_us: int) -
     """
     if lookback_us < 0 or slice_us <= 0:
         raise ValueError("lookback must be >= 0 and slice length > 0")
-    own = _floor_div(f"`{t_us}`", slice_us)
+    own = floor_div(f"`{t_us}`", slice_us)
     # later slices whose start lies within the lookback of t get a copy
-    last = _floor_div(f"(`{t_us}` + {int(lookback_us)})", slice_us)
+    last = floor_div(f"(`{t_us}` + {int(lookback_us)})", slice_us)
     return (df.withColumn("__own_slice", own)
               .withColumn(SLICE, F.explode(F.sequence(own, last)))
               .withColumn(OWN, F.col(SLICE) == F.col("__own_slice"))
@@ -59,8 +59,10 @@ def add_density_slices(df: DataFrame, series: Sequence[str], t_us: str, lookback
     """As :func:`add_time_slices`, with cut points from the counted density of each series.
 
     A bucket is an eighth of the look-back. A slice is a run of buckets of one
-    series whose counts, summed from its start, stay within ``rows_per_slice``
-    multiples, so a bucket denser than that is a slice by itself. Rows meet
+    series with about ``rows_per_slice`` rows, or, where the look-back holds
+    more than that, with about as many rows as the look-back. So slices are
+    numbered without gaps and a row is copied into the next one or two of
+    them, however dense the series. Rows meet
     the slices of their bucket by an equi join with the histogram, which has a
     row per series and bucket that occurs: broadcast if its measured size
     allows, otherwise a join that AQE splits where a bucket is hot.
@@ -69,12 +71,14 @@ def add_density_slices(df: DataFrame, series: Sequence[str], t_us: str, lookback
         raise ValueError("lookback must be >= 0 and rows per slice > 0")
     width = max(1, int(lookback_us) // BUCKETS)
     keys = list(series)
-    bucketed = df.withColumn("__bucket", _floor_div(f"`{t_us}`", width))
+    bucketed = df.withColumn("__bucket", floor_div(f"`{t_us}`", width))
     counts = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     by_time = Window.partitionBy(*keys).orderBy("__bucket")
-    before = F.sum("__n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
-    cut = counts.withColumn(SLICE, F.floor(before / F.lit(rows_per_slice)))
     reach = -(-int(lookback_us) // width) + 1
+    # at most 1 a bucket, so no slice number is left out
+    share = F.col("__n") / F.greatest(F.lit(int(rows_per_slice)), F.sum("__n").over(by_time.rangeBetween(-reach, 0)))
+    before = F.coalesce(F.sum("__share").over(by_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    cut = counts.withColumn("__share", share).withColumn(SLICE, F.floor(before)).drop("__share")
     cut = cut.withColumn("__last", F.max(SLICE).over(by_time.rangeBetween(0, reach)))
     cut = cut.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__bucket").alias("__b"),
                      F.col(SLICE).alias("__own_slice"), "__last")
@@ -94,7 +98,7 @@ def add_slices(df: DataFrame, series: Sequence[str], t_us: str, lookback_us: int
     return add_time_slices(df, t_us, lookback_us, slice_seconds * 1_000_000 if slice_seconds else slice_length_us(lookback_us))
 
 
-def _floor_div(expr_sql: str, d: int) -> Column:
+def floor_div(expr_sql: str, d: int) -> Column:
     """Exact integer floor division (no double rounding)."""
     return F.expr(f"({expr_sql} - pmod({expr_sql}, {int(d)})) div {int(d)}")
 

@@ -131,3 +131,34 @@ def test_density_slices_under_held_conditions(spark):
     want = sorted(map(tuple, holds.sustained(df, ["s"], "4m", "1m").collect()), key=repr)
     got = sorted(map(tuple, holds.sustained(df, ["s"], "4m", "1m", rows_per_slice=20).select("s", "tick", "start", "fires_at").collect()), key=repr)
     assert got == want and len(want) > 0
+
+
+def test_density_slices_copy_a_dense_series_a_bounded_number_of_times(spark):
+    """150 rows in every one of 40 minutes: the slices that a row is copied to do not grow with the rows of a frame."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(minutes=m, microseconds=i), float(i % 7)) for m in range(40) for i in range(150)]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, value double")
+    cut = slicing.add_density_slices(df.withColumn("t", epoch_micros("ts")), ["s"], "t", 600_000_000, 10)
+    assert cut.filter(slicing.OWN).count() == df.count()
+    assert cut.count() < 4 * df.count()
+    owned = [r[0] for r in cut.filter(slicing.OWN).select(slicing.SLICE).distinct().collect()]
+    assert len(owned) >= 3 and max(owned) - min(owned) == len(owned) - 1
+
+
+def test_counter_increase_needs_no_sliding_frame(spark):
+    """Every frame starts at the start of its partition, so a sample costs the same however many its window holds."""
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 1.0)], "s string, ts timestamp_ntz, value double")
+    for kw in ({}, {"rows_per_slice": 10}):
+        plan = metrics.counter_increase(df, ["s"], "5m", **kw).drop(slicing.SLICE)._jdf.queryExecution().optimizedPlan().toString()
+        values = [f for f in plan.split("specifiedwindowframe(")[1:] if "sum(" in plan]
+        frames = {f.split(")")[0] for f in values}
+        # buckets and neighbours (lag, lead) aside, which look at a fixed number of rows
+        assert not any("RangeFrame, -" in f and str(299_999_999) in f for f in frames), frames
+
+
+def test_counter_increase_keeps_a_wild_value_to_its_own_frames(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", t0 + dt.timedelta(seconds=60 * i), v) for i, v in enumerate([1.0, 2.0, float("inf"), 5.0, 6.0, 8.5, 0.25, 1e300, 1.0, 2.5])]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, value double")
+    got = [r.increase for r in metrics.counter_increase(df, ["s"], "2m").orderBy("ts").collect()]
+    assert got == [None, 1.0, float("inf"), 5.0, 1.0, 2.5, 0.25, 1e300, 1.0, 1.5]
