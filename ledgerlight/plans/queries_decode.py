@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import decode as D
 from ..functions.timefn import epoch_millis, from_epoch_micros
 from ..operators import documents
-from ..schemas import CORRUPT, PROPS_DDL
+from ..schemas import CORRUPT, PROPS_DDL, period_lists_ddl
 from . import standins
 from .catalog import register, table
 
@@ -134,10 +134,13 @@ WHERE l.l_orderkey IS NOT NULL OR o.o_orderkey % {standins.CUT_OFF[0]} <> {stand
 
 def _periods(spark, sf_dir, field):
     """Periods of the period documents, and a row of nulls for each header that says it has none."""
-    headers = _docs(spark, sf_dir)
-    empty = F.size(F.col("doc")["grunnlagResultat"]["grunnlagInntektsPerioder"]) == 0
-    no_lines = headers.where(empty)
-    return documents.explode_periods(_docs(spark, sf_dir, "periods"), field=field) \
+    first = "grunnlagResultat.grunnlagInntektsPerioder"
+
+    def docs(kind, *lists):     # only what is read of a document is typed
+        return standins.payload_table(spark, sf_dir, kind).select(D.parse_json("payload", period_lists_ddl(*lists)).alias("doc"))
+
+    no_lines = docs("headers", first, field).where(F.size(F.col(f"doc.{first}")) == 0)
+    return documents.explode_periods(docs("periods", field), field=field) \
         .unionByName(documents.explode_periods(no_lines, field=field))
 
 

@@ -220,6 +220,15 @@ def _is(case: tuple[int, int]):
     return F.col("o_orderkey") % case[0] == case[1]
 
 
+#: rows a task makes documents of
+ROWS_PER_TASK = 200_000
+
+
+def _parts(df: DataFrame) -> int:
+    """Partitions to deal ``df`` over: by its rows, and no fewer than there are cores."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, df.count() // ROWS_PER_TASK)
+
+
 def period_documents(lineitem: DataFrame) -> DataFrame:
     """Income periods as JSON documents, from ``lineitem`` alone: one per (order, line number div 16).
 
@@ -242,7 +251,10 @@ def period_documents(lineitem: DataFrame) -> DataFrame:
         (price * F.lit(0.5).cast("decimal(3,2)")).cast("decimal(20,2)").cast("string").alias("andel"),
     )
     part = F.floor(F.col("l_linenumber") / LINES_PER_DOCUMENT).cast("bigint").alias("part")
-    g = lineitem.groupBy("l_orderkey", part).agg(
+    used = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_returnflag")
+    # dealt out before the texts are made: neither that work nor the rows on their way depend on the files' row groups
+    dealt = lineitem.select(*used, part).repartition(_parts(lineitem), "l_orderkey", "part")
+    g = dealt.groupBy("l_orderkey", "part").agg(
         F.sort_array(F.collect_list(period)).alias("perioder"), F.min("l_shipdate").alias("first"))
     head = ulid_head(epoch_millis("first"))
     fields = ("inntekt", "periode", "inntektsPeriode", "inneholderFangstOgFisk")
@@ -275,6 +287,8 @@ def header_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     from ..functions.timefn import epoch_millis
 
     totals = lineitem.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).alias("sum_inntekt"))
+    # dealt out first: a few row groups would make all texts in as many tasks
+    orders = orders.repartition(_parts(orders), "o_orderkey")
     o = orders.join(totals, orders.o_orderkey == totals.l_orderkey, "left")
     # every id of a document has the same time part: compute it once per row
     o = o.withColumn("__head", ulid_head(epoch_millis("o_orderdate")))

@@ -56,6 +56,18 @@ def document_ddl(fields=None, corrupt: bool = True) -> str:
 
 DOCUMENT_DDL_PERMISSIVE = document_ddl()
 
+#: the two lists of income periods, by path
+PERIOD_LISTS = {"grunnlagResultat.grunnlagInntektsPerioder": PERIOD_DDL,
+                "minsteinntektResultat.minsteinntektInntektsPerioder": MIN_PERIOD_DDL}
+
+
+def period_lists_ddl(*lists: str) -> str:
+    """DDL of the document restricted to its ``vedtakId`` and some of :data:`PERIOD_LISTS`."""
+    parts = (path.split(".") + [PERIOD_LISTS[path]] for path in PERIOD_LISTS if path in lists)
+    return "faktum struct<vedtakId: bigint>, " + "".join(f"{part} struct<{name}: array<{ddl}>>, " for part, name, ddl in parts) \
+        + f"{CORRUPT} string"
+
+
 #: the small JSON object in ``events.props``
 PROPS_DDL = f"k int, {CORRUPT} string"
 

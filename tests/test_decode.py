@@ -156,3 +156,33 @@ def test_entry_totals_and_bounded_period_lists(spark):
 def test_iso_date(spark):
     df = spark.createDataFrame([("2019-05-08",), ("2019-02-30",), ("08.05.2019",)], "t string")
     assert [r.d for r in df.select(D.iso_date("t").alias("d")).collect()] == [dt.date(2019, 5, 8), None, None]
+
+
+def test_documents_are_made_by_all_cores_whatever_the_row_groups(spark, tmp_path):
+    """One file with one row group each: the texts are still made in as many tasks as there are cores."""
+    from ledgerlight.plans import standins
+    spark.range(500).selectExpr("id div 4 as l_orderkey", "id % 4 as l_linenumber", "1.0D * id as l_extendedprice",
+                                "timestamp_ntz'2024-02-03 00:00:00' as l_shipdate", "'R' as l_returnflag") \
+        .coalesce(1).write.parquet(f"{tmp_path}/lineitem")
+    li = spark.read.parquet(f"{tmp_path}/lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1 and li.rdd.getNumPartitions() == 1
+    docs = standins.period_documents(li)
+    assert docs.rdd.getNumPartitions() >= cores and docs.count() == 125
+
+
+def test_period_lists_are_read_without_typing_the_rest(spark):
+    """A narrow parse gives the periods of a document as the whole schema does, broken texts included."""
+    from ledgerlight.functions import decode as D
+    from ledgerlight.schemas import DOCUMENT_DDL_PERMISSIVE, PERIOD_LISTS, period_lists_ddl
+    line = '{"inntekt":"12.50","periode":3,"inntektsPeriode":{"sisteMåned":"2024-02","førsteMåned":"2023-03"},"inneholderFangstOgFisk":true}'
+    texts = ['{"id":"a","faktum":{"aktorId":"x","vedtakId":7},"grunnlagResultat":{"avkortet":"1","grunnlagInntektsPerioder":[%s,%s]},'
+             '"minsteinntektResultat":{"minsteinntektInntektsPerioder":[{"andel":"1.00","inntekt":"2"}]}}' % (line, line),
+             '{"faktum":{"vedtakId":8},"grunnlagResultat":{"grunnlagInntektsPerioder":[]},"satsResultat":{"dagsats":"abc"}}',
+             '{"faktum":{"vedtakId":"nine"},"grunnlagResultat":{"grunnlagInntektsPerioder":[%s]}}' % line,
+             '{"faktum":{"vedtakId":10},"grunnlagResultat":{"grunnlagInn', "", "[]", "null", None]
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    for path in PERIOD_LISTS:
+        got, want = (documents.explode_periods(df.select(D.parse_json("payload", ddl).alias("doc")), field=path).collect()
+                     for ddl in (period_lists_ddl(path), DOCUMENT_DDL_PERMISSIVE))
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) >= 8
