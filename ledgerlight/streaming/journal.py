@@ -77,18 +77,21 @@ def run_finalise_stream(spark: SparkSession, entries: DataFrame, decisions: Data
         now = touched.unionByName(again).groupBy(key).agg(
             F.max_by(version, "touched").alias(version), F.max_by("open", "touched").alias("open"),
             F.max("touched").alias("touched"))
-        decided = journal.decide(now.filter("open"), decisions, cutoff, key=key, version=version, carry=["touched"])
-        kinds = decided.schema
-        closed = now.filter("not open").select(
-            key, version, F.lit(None).cast(kinds["decided_at"].dataType).alias("decided_at"),
-            F.lit(0).cast(kinds["n_parts"].dataType).alias("n_parts"), F.lit("closed").alias("outcome"),
-            F.lit(None).cast("string").alias("new_status"), "touched")
-        res = decided.unionByName(closed).persist()
+        # open and closed keys in one pass, so that the union above is aggregated and moved once
+        every = journal.decide(now, decisions, cutoff, key=key, version=version, carry=["touched", "open"])
+        of_open = {"decided_at": F.lit(None), "n_parts": F.lit(0), "outcome": F.lit("closed"), "new_status": F.lit(None)}
+        res = every.select(key, version, *(F.when(F.col("open"), F.col(c)).otherwise(closed).cast(every.schema[c].dataType).alias(c)
+                                           for c, closed in of_open.items()), "touched").persist()
         try:
             changed = res.filter("touched = 1 or outcome = 'final'")
-            write_batch(changed.drop("touched"), os.path.join(root, "finalised"), batch_id)
+            changed = changed.drop("touched")
+            finalised = os.path.join(root, "finalised")
+            write_batch(changed, finalised, batch_id)
             waiting.record(res.filter("outcome = 'waiting'").select(key, version), batch_id)
-            totals.record(_counters(batch_df.filter("total"), changed, totals.before(batch_id)), batch_id)
+            # counted from what was written: a union with what comes of the batch itself would not find that cached,
+            # and work through the state and the decisions again
+            written = spark.read.schema(changed.schema).parquet(os.path.join(finalised, f"batch={batch_id}"))
+            totals.record(_counters(batch_df.filter("total"), written, totals.before(batch_id)), batch_id)
         finally:
             res.unpersist()
             batch_df.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import time
 
@@ -396,3 +397,26 @@ def test_late_panes_correct_earlier_windows(spark):
         assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     touched = swindows.changed_windows(spark, root, KEYS, list(aggs), 2)
     assert 0 < touched.count() <= want.count() and touched.join(want, want.columns, "left_anti").count() == 0
+
+
+def test_finalising_batch_works_through_its_state_once(spark, monkeypatch):
+    """Counters come from what was written, and open and closed keys from one aggregate of the touched and waiting ones."""
+    folder, root = scratch_path(spark, "test", "once_in"), scratch_path(spark, "test", "once")
+    plans = {}
+
+    def seen(df, path, batch_id):
+        plans[os.path.basename(path)] = df._jdf.queryExecution().executedPlan().toString()
+        write_batch(df, path, batch_id)
+
+    monkeypatch.setattr(sjournal, "write_batch", seen)
+    monkeypatch.setattr("ledgerlight.streaming.carried.write_batch", seen)
+    day = dt.datetime(2024, 1, 1)
+    _records(spark, [(1, "P", day, 1), (2, "F", day, 1), (3, "P", day, 1)], folder)
+    dec = journal.decisions_from_lines(spark.createDataFrame([(1, day)], "k long, t timestamp_ntz"), "k", "t")
+    stream = file_stream(spark, folder, spark.read.parquet(folder).schema)
+    sjournal.run_finalise_stream(spark, stream, dec, ntz_literal("2024-02-01 00:00:00"), root, root + "/cp",
+                                 key="k", status="s", version="v", task_kind="t")
+    assert "Join" not in plans["counters"] and "Join" in plans["finalised"]
+    assert plans["finalised"].split("Initial Plan")[0].count("Union") == 1
+    one = sjournal.stream_counters(spark, root).collect()
+    assert [tuple(r) for r in one] == [(0, 3, 2, 1, 1, 1)]
