@@ -294,18 +294,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not 1 <= anchor <= window:
         raise ValueError("an anchor lies within its window")
-    texts = _classes(docs, id_col, text_col)
-    slim = texts.select("key", "text_key", "text")
-    found = slim.mapInArrow(_find_anchors(window, anchor, limits), "hash long, key long, text_key long, at long, n int")
+    # keys that cannot be null, so that both joins below ask for the same rows and the texts are shuffled once for both
+    texts = _classes(docs, id_col, text_col) \
+        .select("doc_id", F.coalesce("key", F.lit(_NO_ID)).alias("key"), F.coalesce("text_key", F.lit(0)).alias("text_key"), "copies", "text")
+    found = texts.select("key", "text_key", "text").mapInArrow(_find_anchors(window, anchor, limits), "hash long, key long, text_key long, at long, n int")
     total = F.sum("n").over(Window.partitionBy("hash"))
     again = found.withColumn("total", total).where("n = 0 or (n = 1 and total > 1)")
     marks = materialise(again.groupBy("key", "text_key").agg(F.collect_list("at").alias("at")), "anchors")
 
-    windows = slim.join(marks, ["key", "text_key"]).select("key", "text_key", "at", "text") \
+    windows = texts.join(marks, ["key", "text_key"]).select("doc_id", "key", "text_key", "copies", "at", "text") \
         .mapInArrow(_find_windows(window, anchor, limits), "hash long, check int, key long, text_key long, start long, length long")
     place = F.row_number().over(Window.partitionBy("hash", "check").orderBy("key", "text_key", "start"))
     repeated = windows.withColumn("place", place).where("length > 0 or place > 1")
-    spans = materialise(repeated.groupBy("key", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("found")),
-                        "repeats")
+    spans = repeated.groupBy("key", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("found"))
     return texts.join(spans, ["key", "text_key"], "left").select("doc_id", "text", "copies", "found") \
         .mapInArrow(_cut(window), "doc_id long, n_words long, removed array<struct<start: long, stop: long>>, kept_text string")

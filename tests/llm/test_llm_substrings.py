@@ -98,3 +98,17 @@ def test_rolling_hash_depends_on_the_run_alone():
     y = np.concatenate([x[100:140], x[:50]])
     assert (s.rolling(x, 20, 0x9E3779B97F4A7C15)[100:121] == s.rolling(y, 20, 0x9E3779B97F4A7C15)[:21]).all()
     assert len(np.unique(s.rolling(x, 20, 0x9E3779B97F4A7C15))) == 481
+
+
+def test_texts_are_shuffled_once_for_both_joins(spark):
+    """The join with the anchors and the join with the repeats share one exchange of the texts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows in (shared_passages(), shared_passages() + shared_passages()[:1] + [(None, "a b c", None, None, None)]):
+            out = s.remove_repeats(docs_frame(spark, rows))
+            assert out.count() == len(rows)
+            out.collect()
+            assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
