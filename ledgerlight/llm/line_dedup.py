@@ -7,7 +7,7 @@ all runs of ``CHARS`` characters; each is hashed once, and coordinate ``j`` of
 the signature is the smallest ``hash xor seed_j``. Lines go by their hash
 only, so the signature's aggregate needs no shuffle of its own. Classes that
 share a band of ``ROWS`` coordinates are candidates and are verified by the
-exact Jaccard similarity of their shingle sets, after a bitmap of each set has
+exact Jaccard similarity of their shingle sets, after an odd sketch of each set has
 ruled out most of those that cannot reach it (see :func:`may_be_near`: no link
 is lost by it); links become components by
 :func:`ledgerlight.llm.common.link_buckets`. Of each component one line stays:
@@ -33,13 +33,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_short, broadcast_if_small, link_buckets, materialise, own_ids, shared_buckets, with_rest
+from .common import broadcast_if_short, broadcast_if_small, components, link_buckets, materialise, own_ids, shared_buckets, with_rest
 
 CHARS = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
 SEGMENT, STRIDE = 64, 4
-MARKS = 16              # longs of a set's bitmap
+MARKS = 16              # longs of a set's odd sketch
 SHORT = 1_000_000       # tables of up to this many narrow rows (about 40 MB) are broadcast, longer ones joined by shuffle
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -105,45 +105,111 @@ def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
     return materialise(signed.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "doc", "n", bands.alias("bands")), "lines")
 
 
+def shingles(line: F.Column, chars: int) -> F.Column:
+    """The distinct shingle hashes of a line."""
+    return F.array_distinct(F.flatten(F.transform(
+        _segments(line, chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars)))))
+
+
 def marks_of(found: DataFrame, chars: int) -> DataFrame:
-    """``(rep, size, marks)`` of lines: how many shingles (repeats counted), and a bitmap of their hashes, written once."""
-    size = F.greatest(F.char_length("line") - chars + 1, F.lit(1))
-    hashed = _hashed(found.select("rep", size.alias("size"), F.explode(_segments(F.col("line"), chars)).alias("segment")), chars)
+    """``(rep, size, marks)`` of lines: how many distinct shingles, and an odd sketch of them, written once.
+
+    In an odd sketch every distinct shingle flips one bit, so unlike a bitmap it does not fill up with long lines.
+    """
+    sets = found.select("rep", shingles(F.col("line"), chars).alias("set")).select("rep", F.size("set").alias("size"), "set")
+    dealt = sets.select("rep", "size", "set", F.explode(F.sequence(F.lit(0), F.col("size") - 1, F.lit(STRIDE))).alias("at")) \
+        .select("rep", "size", *(F.get("set", F.col("at") + k).alias(f"s{k}") for k in range(STRIDE)))
 
-    def word(w: int) -> F.Column:
+    def word(w: int) -> F.Column:   # past the end of the set s is null and flips nothing
         bits = [F.expr(f"if((s{k} >> 6) & {MARKS - 1} = {w}, shiftleft(1L, cast(s{k} & 63 as int)), 0L)") for k in range(STRIDE)]
-        return F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias(f"w{w}")
+        return F.bit_xor(reduce(lambda x, y: x.bitwiseXOR(y), bits)).alias(f"w{w}")
 
-    words = hashed.groupBy("rep").agg(F.max("size").alias("size"), *map(word, range(MARKS)))
+    words = dealt.groupBy("rep").agg(F.max("size").alias("size"), *map(word, range(MARKS)))
     return materialise(words.select("rep", "size", F.array(*(f"w{w}" for w in range(MARKS))).alias("marks")), "marks")
 
 
-def may_be_near(marks_a, size_a, marks_b, size_b, percent: int) -> F.Column:
+def _differ(words_a: list[F.Column], words_b: list[F.Column]) -> F.Column:
+    return reduce(lambda x, y: x + y, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(words_a, words_b, strict=True)))
+
+
+def _words(marks: str) -> list[F.Column]:
+    return [F.get(marks, F.lit(w)) for w in range(MARKS)]
+
+
+def may_be_near(words_a: list[F.Column], size_a, words_b: list[F.Column], size_b, percent: int) -> F.Column:
     """False only for sets whose similarity is below ``percent``.
 
-    A bit set in one bitmap alone stands for a shingle of one set alone, and
-    sets of similarity t differ in at most (1 - t) / t shingles for each one
-    that the smaller set has.
+    A bit that differs between two odd sketches stands for at least one
+    shingle of one set alone, and sets of similarity t differ in at most
+    (1 - t) / (1 + t) of the sum of their sizes.
     """
-    differ = reduce(lambda x, y: x + y, (F.bit_count(F.get(marks_a, F.lit(w)).bitwiseXOR(F.get(marks_b, F.lit(w)))) for w in range(MARKS)))
-    return differ * percent <= F.least(size_a, size_b) * (100 - percent)
+    return _differ(words_a, words_b) * (100 + percent) <= (size_a + size_b) * (100 - percent)
+
 
+def near_pairs(mixed: DataFrame, marks: DataFrame, percent: int, leaders: bool) -> DataFrame:
+    """``(a, b, x, y, gap)``: pairs of members ``(band, rep, label)`` of one bucket with different labels that may be near, written once.
 
-def near_pairs(mixed: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members ``(band, rep, label)`` of one bucket with different labels that may be near, written once."""
-    m = materialise(mixed.join(marks, "rep"), "marked")
-    other = m.select(F.col("band").alias("band_b"), F.col("rep").alias("b"), F.col("label").alias("lb"),
-                     F.col("marks").alias("marks_b"), F.col("size").alias("size_b"))
-    near = (F.col("band") == F.col("band_b")) & (F.col("rep") < F.col("b")) & (F.col("label") != F.col("lb")) \
-        & may_be_near(F.col("marks"), F.col("size"), F.col("marks_b"), F.col("size_b"), percent)
-    return materialise(m.join(other, near).select(F.col("rep").alias("a"), "b").distinct(), "pairs")
+    ``x`` and ``y`` are the labels, ``x`` the smaller; ``gap`` is the share of
+    shingles by which the sketches differ. With ``leaders`` one of the two is
+    among some sqrt(n) members of a bucket of n, picked by a hash; without,
+    all pairs are looked at, each in the first bucket that it shares.
+    """
+    bands = mixed.groupBy("rep").agg(F.collect_set("band").alias("bands"))
+    every = mixed.groupBy("band").agg(F.ceil(F.sqrt(F.count("*"))).alias("every"))
+    m = mixed.join(marks, "rep").select("band", "rep", "label", "size", *(x.alias(f"w{w}") for w, x in enumerate(_words("marks"))))
+    m = m.join(every, "band").withColumn("lead", F.expr("pmod(xxhash64(rep), every) = 0")).drop("every") if leaders else m.join(bands, "rep")
+    m = materialise(m, "marked")
+    # sketches are compared as plain columns: with arrays the compiled condition is too long for the JVM to optimise
+    other = m.where("lead") if leaders else m
+    other = other.select(*(F.col(c).alias(f"{c}_b") for c in m.columns))
+    near = (F.col("band") == F.col("band_b")) & (F.col("label") != F.col("label_b")) \
+        & ((~F.col("lead") | (F.col("rep") < F.col("rep_b"))) if leaders else (F.col("rep") < F.col("rep_b"))) \
+        & may_be_near([F.col(f"w{w}") for w in range(MARKS)], F.col("size"), [F.col(f"w{w}_b") for w in range(MARKS)], F.col("size_b"), percent)
+    if not leaders:
+        near = near & (F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band"))
+    gap = _differ([F.col(f"w{w}") for w in range(MARKS)], [F.col(f"w{w}_b") for w in range(MARKS)]) / (F.col("size") + F.col("size_b"))
+    return materialise(m.join(other, near).select(
+        F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b"),
+        F.least("label", "label_b").alias("x"), F.greatest("label", "label_b").alias("y"), gap.alias("gap")), "pairs")
+
+
+def closest_links(found: DataFrame, near: DataFrame, chars: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the pairs between the same two labels the closest is compared: its pairs ``(a, b)``, the links, and ``(id, component)`` of labels."""
+    closest = near.groupBy("x", "y").agg(F.min(F.struct("gap", "a", "b")).alias("m"))
+    tested = materialise(closest.select("m.a", "m.b", "x", "y"), "closest")
+    links = materialise(verified(found, tested.select("a", "b"), chars, percent), "links")
+    joined = materialise(components(tested.join(links, ["a", "b"], "left_semi"), "x", "y"), "joined")
+    return tested.select("a", "b"), links, joined
+
+
+def relabelled(rows: DataFrame, col: str, joined: DataFrame) -> DataFrame:
+    """``rows`` with the labels of ``col`` replaced by the components they are in."""
+    return rows.join(joined.withColumnRenamed("id", col), col, "left").withColumn(col, F.coalesce("component", col)).drop("component")
+
+
+def links_apart(found: DataFrame, mixed: DataFrame, marks: DataFrame, chars: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` among members of one bucket with different labels, enough to join all components that any link joins.
+
+    A few leaders of each bucket first, which joins most of what can be
+    joined; then all pairs of what is still apart, the closest of each two
+    components before the others.
+    """
+    _, first, joined = closest_links(found, near_pairs(mixed, marks, percent, leaders=True), chars, percent)
+    m = relabelled(mixed, "label", joined)
+    still = m.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
+    near = near_pairs(materialise(m.join(still, "band", "left_semi"), "mixed"), marks, percent, leaders=False)
+    tested, second, joined = closest_links(found, near, chars, percent)
+    rest = near.select("a", "b", "x", "y").join(tested, ["a", "b"], "left_anti")
+    rest = materialise(relabelled(relabelled(rest, "x", joined), "y", joined).where("x != y").select("a", "b"), "rest")
+    links = first.union(second)
+    return links if rest.isEmpty() else links.union(verified(found, rest, chars, percent))
 
 
 def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that may be near, written once."""
     a = marks.select(F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("marks").alias("marks_a"))
     b = marks.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("marks").alias("marks_b"))
-    near = may_be_near(F.col("marks_a"), F.col("size_a"), F.col("marks_b"), F.col("size_b"), percent)
+    near = may_be_near(_words("marks_a"), F.col("size_a"), _words("marks_b"), F.col("size_b"), percent)
     return materialise(pairs.join(a, "a").join(b, "b").where(near).select("a", "b"), "likely")
 
 
@@ -156,16 +222,12 @@ def lines_of(lines: DataFrame, classes: DataFrame, members: DataFrame) -> DataFr
 
 def verified(found: DataFrame, pairs: DataFrame, chars: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of classes whose shingle sets have the similarity; ``found`` has their lines."""
-    def shingles(line: F.Column) -> F.Column:
-        return F.array_distinct(F.flatten(F.transform(
-            _segments(line, chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars)))))
-
     def near(x):
         both, size_a, size_b = F.size(F.array_intersect(x["a"], x["b"])), F.size(x["a"]), F.size(x["b"])
         return 100 * both >= percent * (size_a + size_b - both)
 
     # the lines travel, not their sets; the lambda's argument keeps each set from being made more than once
-    sets = F.array(F.struct(shingles(F.col("line_a")).alias("a"), shingles(F.col("line_b")).alias("b")))
+    sets = F.array(F.struct(shingles(F.col("line_a"), chars).alias("a"), shingles(F.col("line_b"), chars).alias("b")))
     return pairs.join(found.select(F.col("rep").alias("a"), F.col("line").alias("line_a")), "a") \
         .join(found.select(F.col("rep").alias("b"), F.col("line").alias("line_b")), "b") \
         .where(F.exists(sets, near)).select("a", "b")
@@ -182,7 +244,7 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", char
     found = lines_of(lines, classes, members)
     marks = marks_of(found, chars)
     label = link_buckets(members, lambda pairs: verified(found, likely(pairs, marks, percent), chars, percent),
-                         lambda mixed: verified(found, near_pairs(mixed, marks, percent), chars, percent))
+                         lambda mixed: links_apart(found, mixed, marks, chars, percent))
 
     # only classes with another line somewhere can lose one
     of = classes.select("rep", "h1", "h2", "doc", "n").join(label.withColumnRenamed("id", "rep"), "rep", "left") \

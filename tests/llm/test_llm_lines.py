@@ -113,3 +113,38 @@ def test_bitmaps_rule_out_no_link(spark):
     far = {(a, b) for a, b in pairs if 10 * len(sets[a] & sets[b]) < 3 * len(sets[a] | sets[b])}
     assert len(far & kept) < 0.1 * len(far)
     assert marks.where(F.size("marks") != ld.MARKS).count() == 0
+
+
+def test_sketches_tell_long_lines_apart(spark):
+    """Long lines that share two thirds of their shingles: a bitmap of them is nearly full, an odd sketch is not."""
+    rng = random.Random(11)
+    lines = []
+    for k in range(60):
+        shared = prose(rng, 200)[:600]
+        lines += [(2 * k, shared + prose(rng, 200)[:180]), (2 * k + 1, shared + prose(rng, 200)[:180])]
+    sets = {i: {x[j:j + 8] for j in range(max(1, len(x) - 7))} for i, x in lines}
+    marks = ld.marks_of(spark.createDataFrame(lines, "rep long, line string"), 8)
+    assert {r["rep"]: r["size"] for r in marks.collect()} == {i: len(s) for i, s in sets.items()}
+    pairs = [(2 * k, 2 * k + 1) for k in range(60)]
+    kept = {tuple(r) for r in ld.likely(spark.createDataFrame(pairs, "a long, b long"), marks, 80).collect()}
+    assert not any(similar(sets[a], sets[b]) for a, b in pairs) and len(kept) < 6
+
+
+def test_pairs_between_two_components_are_not_all_compared(spark, monkeypatch):
+    """One bucket with two components of many members, all near each other, and one member that is near none."""
+    rng = random.Random(12)
+    base = prose(rng, 200)[:400]
+    lines = [(i, base[:380] + chr(97 + i % 26) + chr(97 + i // 26) + base[382:]) for i in range(60)] + [(60, prose(rng, 60))]
+    found = spark.createDataFrame(lines, "rep long, line string")
+    mixed = spark.createDataFrame([(band, i, i % 2) for band in (7, 8) for i, _ in lines[:60]]
+                                  + [(7, 60, 60)], "band long, rep long, label long")
+    compared, real = [], ld.verified
+
+    def counted(found, pairs, *args):
+        compared.append(pairs.count())
+        return real(found, pairs, *args)
+
+    monkeypatch.setattr(ld, "verified", counted)
+    links = {tuple(r) for r in ld.links_apart(found, mixed, ld.marks_of(found, 8), 8, 80).collect()}
+    assert links and all(a % 2 != b % 2 and 60 not in (a, b) for a, b in links)
+    assert sum(compared) < 5        # all 900 pairs of different labels were compared before
