@@ -38,7 +38,7 @@ from .common import broadcast_if_short, broadcast_if_small, components, link_buc
 CHARS = 8
 BANDS, ROWS = 8, 3
 PERCENT = 80
-SEGMENT, STRIDE = 64, 4
+STRIDE = 8
 MARKS = 16              # longs of a set's odd sketch
 SHORT = 1_000_000       # tables of up to this many narrow rows (about 40 MB) are broadcast, longer ones joined by shuffle
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -55,50 +55,46 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per line with a word: ``doc, text_hash, pos, line, h1, h2``."""
     d = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")) \
         .select("doc", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    return d.withColumn("line", F.lower(F.btrim("raw", F.lit(_BLANKS)))).where("line != ''") \
+    trimmed = F.btrim("raw", F.lit(_BLANKS))    # the filter is on it alone: a filter on the lower-cased line makes that twice
+    return d.where(trimmed != "").withColumn("line", F.lower(trimmed)) \
         .select("doc", "text_hash", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
 
 
-def _segments(line: F.Column, chars: int) -> F.Column:
-    """The line in overlapping segments of ``SEGMENT`` shingles each, four bytes a character.
+def _wide(line) -> F.Column:
+    """The line with four bytes a character: a shingle is then a plain slice of it, wherever it begins."""
+    return F.encode(line, "UTF-32")
 
-    A shingle is then a plain slice of a short binary, whatever the length of the line.
-    """
-    n = F.greatest(F.char_length(line) - chars + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int")),
-                       lambda k: F.encode(F.substring(line, k * SEGMENT + 1, F.lit(SEGMENT + chars - 1)), "UTF-32"))
-
-
-def _last_start(segment, chars: int) -> F.Column:
-    return F.greatest((F.octet_length(segment) / 4).cast("int") - chars, F.lit(0))
 
+def _last_byte(wide, chars: int) -> F.Column:
+    """Where the last shingle begins, in bytes from 0."""
+    return F.greatest(F.octet_length(wide) - 4 * chars, F.lit(0))
 
-def _starts(segment, chars: int) -> F.Column:
-    return F.sequence(F.lit(0), _last_start(segment, chars))
 
+def _shingle(wide, at, chars: int) -> F.Column:
+    return F.xxhash64(F.substring(wide, at + 1, F.lit(4 * chars)))
 
-def _shingle(segment, at, chars: int) -> F.Column:
-    return F.xxhash64(F.substring(segment, at * 4 + 1, F.lit(4 * chars)))
 
+def _hashed(lines: DataFrame, chars: int) -> DataFrame:
+    """Shingle hashes ``s0``, ``s1``, ... of the column ``wide``, ``STRIDE`` of them a row; ``at`` is 0 in the first row of a line.
 
-def _hashed(segments: DataFrame, chars: int) -> DataFrame:
-    """Shingle hashes ``s0`` to ``s3`` of the column ``segment``, ``STRIDE`` of them a row.
-
-    So the buffers of an aggregate over them are touched that much less often; the last one of a segment may repeat.
+    So the buffers of an aggregate over them are touched that much less often; the last one of a line may repeat.
     """
-    last = _last_start(F.col("segment"), chars)
-    keep = [c for c in segments.columns if c != "segment"]
-    return segments.select(*keep, "segment", last.alias("last")) \
-        .select(*keep, "segment", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STRIDE))).alias("at")) \
-        .select(*keep, *(_shingle(F.col("segment"), F.least(F.col("at") + k, F.col("last")), chars).alias(f"s{k}") for k in range(STRIDE)))
+    last = _last_byte(F.col("wide"), chars)
+    keep = [c for c in lines.columns if c != "wide"]
+    return lines.select(*keep, "wide", last.alias("last")) \
+        .select(*keep, "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(4 * STRIDE))).alias("at")) \
+        .select(*keep, "at", *(_shingle(F.col("wide"), F.least(F.col("at") + 4 * k, F.col("last")), chars).alias(f"s{k}") for k in range(STRIDE)))
 
 
 def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
-    """One row per distinct line: ``rep, h1, h2, doc, n, bands``, written once."""
-    distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min("doc").alias("doc"), F.count("*").alias("n"))
-    hashed = _hashed(distinct.select("h1", "h2", "doc", "n", F.explode(_segments(F.col("line"), chars)).alias("segment")), chars)
+    """One row per distinct line: ``rep, h1, h2, doc, n, bands``, written once.
+
+    Every line is signed where it is read and equal lines are then one row per
+    task, so no text is sorted or moves.
+    """
+    hashed = _hashed(lines.select("h1", "h2", "doc", _wide(F.col("line")).alias("wide")), chars)
     signed = hashed.groupBy("h1", "h2").agg(
-        F.min("doc").alias("doc"), F.min("n").alias("n"),
+        F.min("doc").alias("doc"), F.count_if(F.col("at") == 0).alias("n"),
         *(F.min(F.least(*(F.col(f"s{k}").bitwiseXOR(F.lit(s)) for k in range(STRIDE)))).alias(f"m{j}")
           for j, s in enumerate(_seeds())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + j}" for j in range(ROWS))) for b in range(BANDS)))
@@ -107,8 +103,11 @@ def classes_of(lines: DataFrame, chars: int = CHARS) -> DataFrame:
 
 def shingles(line: F.Column, chars: int) -> F.Column:
     """The distinct shingle hashes of a line."""
-    return F.array_distinct(F.flatten(F.transform(
-        _segments(line, chars), lambda x: F.transform(_starts(x, chars), lambda at: _shingle(x, at, chars)))))
+    def of(wide):
+        return F.transform(F.sequence(F.lit(0), _last_byte(wide, chars), F.lit(4)), lambda at: _shingle(wide, at, chars))
+
+    # the lambda's argument keeps the line from being encoded once a shingle
+    return F.array_distinct(F.get(F.transform(F.array(_wide(line)), of), F.lit(0)))
 
 
 def marks_of(found: DataFrame, chars: int) -> DataFrame:
@@ -139,11 +138,13 @@ def _words(marks: str) -> list[F.Column]:
 def may_be_near(words_a: list[F.Column], size_a, words_b: list[F.Column], size_b, percent: int) -> F.Column:
     """False only for sets whose similarity is below ``percent``.
 
-    A bit that differs between two odd sketches stands for at least one
-    shingle of one set alone, and sets of similarity t differ in at most
-    (1 - t) / (1 + t) of the sum of their sizes.
+    Sets of that similarity have sizes in that ratio at least. A bit that
+    differs between two odd sketches stands for at least one shingle of one
+    set alone, and sets of similarity t differ in at most (1 - t) / (1 + t) of
+    the sum of their sizes.
     """
-    return _differ(words_a, words_b) * (100 + percent) <= (size_a + size_b) * (100 - percent)
+    return (size_a * 100 >= size_b * percent) & (size_b * 100 >= size_a * percent) \
+        & (_differ(words_a, words_b) * (100 + percent) <= (size_a + size_b) * (100 - percent))
 
 
 def near_pairs(mixed: DataFrame, marks: DataFrame, percent: int, leaders: bool) -> DataFrame:
@@ -267,9 +268,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n_drop
     """``docs`` with the text's repeated lines removed; ``n_dropped`` names a column for their number."""
     gone = materialise(dropped_lines(docs.select(key, text), key, text, chars, percent), "dropped").toDF("__doc", "__hash", "__dropped")
     lines = F.split(F.col(text), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
-    new = F.when(F.col("__dropped").isNull(), F.col(text)) \
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+
+    def joined(of):
+        kept = F.array_except(F.sequence(F.lit(0), F.size(of) - 1), F.col("__dropped"))
+        return F.array_join(F.transform(kept, lambda i: F.get(of, i)), "\n")
+
+    # the lambda's argument keeps the text from being split once a line
+    new = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(F.get(F.transform(F.array(lines), joined), F.lit(0)))
     count = [F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("__count")]
 
     def cut(rows: DataFrame) -> DataFrame:

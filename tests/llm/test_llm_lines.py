@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from ledgerlight.llm import line_dedup as ld
 from llm_fixtures import awkward_docs, closure, docs_frame, empty_docs, prose, similar, text_hash
 
@@ -148,3 +150,39 @@ def test_pairs_between_two_components_are_not_all_compared(spark, monkeypatch):
     links = {tuple(r) for r in ld.links_apart(found, mixed, ld.marks_of(found, 8), 8, 80).collect()}
     assert links and all(a % 2 != b % 2 and 60 not in (a, b) for a, b in links)
     assert sum(compared) < 5        # all 900 pairs of different labels were compared before
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signatures_sort_and_move_no_text(spark, monkeypatch):
+    """Signing the lines takes one exchange, of signatures; the lines were sorted and sent by their hash before."""
+    plans, real = [], ld.materialise
+    monkeypatch.setattr(ld, "materialise", lambda df, tag: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or real(df, tag))
+    rows = [(i, "the same line, here\n" + prose(random.Random(i), 30), None, None, None) for i in range(9)]
+    lines = ld.line_rows(docs_frame(spark, [*rows, rows[0]], clash=False), "doc_id", "text")
+    classes = {r["h1"]: r for r in ld.classes_of(lines).collect()}
+    assert "SortAggregate" not in plans[0]
+    shared = [r for r in classes.values() if r["n"] > 2]
+    assert len(classes) == 10 and [(r["n"], r["doc"]) for r in shared] == [(10, 0)]
+    assert sorted(r["n"] for r in classes.values()) == [1] * 8 + [2, 10]
+
+
+def test_lines_are_encoded_and_split_once(spark):
+    """A set of shingles encodes its line once, whatever its length; a text that loses lines is split once."""
+    found = spark.createDataFrame([(1, "ab" * 5000 + "é😀xyz" * 40)], "rep long, line string")
+    got = found.select(ld.shingles(F.col("line"), 8).alias("s"))
+    line = found.first()["line"]
+    assert len(got.first()["s"]) == len({line[i:i + 8] for i in range(len(line) - 7)})
+    assert _plan(got).count("UTF-32") == 1 and "encode.encode(substring" not in _plan(got).lower()
+    docs = docs_frame(spark, [(i, "a line that comes again\nline number %d of its own" % i, None, None, None) for i in range(3)], clash=False)
+    assert _plan(ld.dedup_lines(docs)).count("split(") == 1
+
+
+def test_sizes_too_far_apart_are_ruled_out(spark):
+    """A set and a small part of it: the sizes alone rule the pair out, at exactly the threshold they do not."""
+    df = spark.createDataFrame([(80, 100), (79, 100), (100, 80), (100, 79)], "a int, b int")
+    same = [F.lit(0)] * ld.MARKS
+    got = df.select(ld.may_be_near(same, F.col("a"), same, F.col("b"), 80).alias("near")).collect()
+    assert [r["near"] for r in got] == [True, False, True, False]
