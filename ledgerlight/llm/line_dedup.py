@@ -55,8 +55,10 @@ def line_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per line with a word: ``doc, text_hash, pos, line, h1, h2``."""
     d = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")) \
         .select("doc", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    trimmed = F.btrim("raw", F.lit(_BLANKS))    # the filter is on it alone: a filter on the lower-cased line makes that twice
-    return d.where(trimmed != "").withColumn("line", F.lower(trimmed)) \
+    # trimming the end walks the whole line, so the filter trims the start alone and only lines that end in a blank are trimmed there
+    left = F.ltrim("raw", F.lit(_BLANKS))
+    ends = reduce(lambda x, y: x | y, (F.endswith("raw", F.lit(c)) for c in _BLANKS))
+    return d.where(left != "").withColumn("line", F.lower(F.when(ends, F.rtrim(left, F.lit(_BLANKS))).otherwise(left))) \
         .select("doc", "text_hash", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
 
 

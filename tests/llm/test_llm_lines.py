@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -186,3 +187,17 @@ def test_sizes_too_far_apart_are_ruled_out(spark):
     same = [F.lit(0)] * ld.MARKS
     got = df.select(ld.may_be_near(same, F.col("a"), same, F.col("b"), 80).alias("near")).collect()
     assert [r["near"] for r in got] == [True, False, True, False]
+
+
+def test_line_ends_are_walked_only_where_they_are_blank(spark):
+    """Every line was trimmed at both ends twice; now only one that ends in a blank is trimmed there, with the same rows."""
+    blanks = " \t\n\x0b\x0c\r"
+    rng = random.Random(13)
+    texts = ["\n".join("".join(rng.choices(blanks.replace("\n", "") + "aÉ\u00a0😀", k=rng.randint(0, 6))) for _ in range(40)) for _ in range(30)]
+    docs = docs_frame(spark, [(i, x, None, None, None) for i, x in enumerate([*texts, "", " \r\n\t", None])], clash=False)
+    lines = ld.line_rows(docs, "doc_id", "text")
+    want = {(i, pos, x.strip(blanks).lower()) for i, text in enumerate(texts) for pos, x in enumerate(text.split("\n")) if x.strip(blanks)}
+    got = [(r["doc"], r["pos"], r["line"]) for r in lines.collect()]
+    assert set(got) == want and len(got) == len(want)
+    plan = _plan(lines)
+    assert not re.search(r"(?<![lr])trim\(", plan) and len(re.findall(r"\brtrim\(", plan)) == 1
